@@ -156,7 +156,7 @@ def roll_up_to_warehouse(forecasts: DataFrame, store_map: DataFrame, locations:
     )
 
 
-def append_warehouse_rows(forecasts: DataFrame, locations: DataFrame) -> DataFrame:
+def append_warehouse_rows(forecasts: DataFrame, locations: DataFrame, digits: int = 2) -> DataFrame:
     """Store rows plus one row per warehouse: the sum of its stores, bounds at 85 and 115 percent."""
     stores = locations.filter(F.col("location_type") != "WH").select(F.col("location_id").alias("store_id"), "wh_id")
     houses = locations.filter(F.col("location_type") == "WH").groupBy("wh_id").agg(F.min("location_id").cast("bigint").alias("_house"))
@@ -167,8 +167,8 @@ def append_warehouse_rows(forecasts: DataFrame, locations: DataFrame) -> DataFra
         .agg(total.alias("t"))
         .join(houses, "wh_id")
         .select(
-            "prediction_date", "target_date", "isbn13", F.col("_house").alias("store_id"), F.bround("t", 2).alias("predicted_demand"),
-            F.bround(F.col("t") * 0.85, 2).alias("confidence_low"), F.bround(F.col("t") * 1.15, 2).alias("confidence_high"),
+            "prediction_date", "target_date", "isbn13", F.col("_house").alias("store_id"), F.bround("t", digits).alias("predicted_demand"),
+            F.bround(F.col("t") * 0.85, digits).alias("confidence_low"), F.bround(F.col("t") * 1.15, digits).alias("confidence_high"),
             F.lit("wh-aggregate").alias("model_version"),
         )
     )
