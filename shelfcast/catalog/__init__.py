@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["source_queries", "cleanse_queries", "join_queries", "rollup_queries", "series_queries"]
+MODULES = ["source_queries", "cleanse_queries", "join_queries", "rollup_queries", "series_queries", "plan_queries"]
 
 
 def _load():

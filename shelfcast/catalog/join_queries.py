@@ -52,9 +52,8 @@ def wh_resolve(spark, sf):
 )
 def spine_cross(spark, sf):
     sales = fx.line_sales(spark, sf)
-    bounds = fx.sale_bounds(spark, sf)
     daily = sales.groupBy("isbn13", "wh_id", F.col("sale_date").alias("feature_date")).agg(F.sum("qty_sold").alias("qty"))
-    return densify(daily, ["isbn13", "wh_id"], "feature_date", ["qty"], bounds.select("lo").scalar(), bounds.select("hi").scalar())
+    return densify(daily, ["isbn13", "wh_id"], "feature_date", ["qty"], *fx.sale_period(spark, sf))
 
 
 PANEL_SQL = """
@@ -82,7 +81,10 @@ LEFT JOIN line_features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_
 
 
 def wh_panel(spark, sf):
-    return training.warehouse_panel(fx.line_sales(spark, sf), fx.line_inventory(spark, sf), store_location_map(spark), locations_static(spark))
+    return training.warehouse_panel(
+        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), store_location_map(spark), locations_static(spark),
+        period=fx.sale_period(spark, sf),
+    )
 
 
 @query("dense_enrich", ENRICHED_SQL)

@@ -188,7 +188,7 @@ SELECT category_name AS isbn13, CAST(min(category_id) AS BIGINT) AS category_id,
 FROM books_static GROUP BY category_name
 """
 TABLES["line_sales"] = """
-SELECT s.sale_date, b.category_name AS isbn13, s.store_id, s.wh_id, s.channel, CAST(sum(s.qty_sold) AS BIGINT) AS qty_sold,
+SELECT s.sale_date, b.category_name AS isbn13, s.store_id, s.wh_id, s.channel, CAST(sum(s.tx_count) AS BIGINT) AS qty_sold,
        CAST(sum(s.revenue) AS BIGINT) AS revenue, CAST(sum(s.tx_count) AS BIGINT) AS tx_count
 FROM sales_fact s JOIN books_static b ON b.isbn13 = s.isbn13 GROUP BY 1, 2, 3, 4, 5
 """

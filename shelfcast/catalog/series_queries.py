@@ -54,21 +54,22 @@ ROUNDED_MEANS = "* REPLACE (round(qty_rolling_7d, 4) AS qty_rolling_7d, round(qt
 def train_wh(spark, sf):
     return training.training_dataset_wh(
         fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf),
-        store_location_map(spark), locations_static(spark),
+        store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf),
     )
 
 
 def train_store(spark, sf):
     return training.training_dataset_store(
         fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf),
-        store_location_map(spark), locations_static(spark),
+        store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf),
     )
 
 
 def store_panel(spark, sf):
     """The dense store panel with its demand class, without covariates."""
     panel = training.store_panel(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), list(range(1, 15))
+        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), list(range(1, 15)),
+        period=fx.sale_period(spark, sf),
     )
     return series.with_segment(panel, STORE, "feature_date", "qty_sold")
 
@@ -264,7 +265,10 @@ def training_dataset_store(spark, sf):
 def automl_input(spark, sf):
     sales = fx.line_sales(spark, sf).withColumn("avg_price", F.expr("revenue div qty_sold"))
     return rounded(
-        training.automl_input(sales, fx.line_features(spark, sf), fx.line_books(spark, sf), store_location_map(spark), locations_static(spark))
+        training.automl_input(
+            sales, fx.line_features(spark, sf), fx.line_books(spark, sf), store_location_map(spark), locations_static(spark),
+            fx.sale_period(spark, sf),
+        )
     )
 
 
@@ -278,7 +282,7 @@ WHERE feature_date > (SELECT max(feature_date) FROM train_store) - 134 AND deman
 
 @query("holdout_split", f"SELECT split_name, isbn13, store_id, feature_date, qty_sold, demand_segment FROM ({SPLIT_SQL})")
 def holdout_split(spark, sf):
-    split = training.holdout_split(train_store(spark, sf))
+    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
     return split.select("split_name", "isbn13", "store_id", "feature_date", "qty_sold", "demand_segment")
 
 
@@ -301,8 +305,12 @@ def training_metrics(spark, sf):
 
 @query(
     "training_validation",
-    f"""SELECT m.*, 'FAILED' AS validation_status, 'row_count_below_threshold;time_series_count_below_threshold;training_data_stale' AS reject_reason
-        FROM ({METRICS_SQL}) m""",
+    f"""SELECT * EXCLUDE (r), CASE WHEN r = '' THEN 'PASSED' ELSE 'FAILED' END AS validation_status, nullif(r, '') AS reject_reason FROM (
+          SELECT m.*, concat_ws(';', CASE WHEN row_count < 1000000 THEN 'row_count_below_threshold' END,
+                 CASE WHEN series_count < 2000 THEN 'time_series_count_below_threshold' END,
+                 CASE WHEN max_feature_date < (SELECT max(sale_date) FROM sales_lines) + 8 THEN 'training_data_stale' END,
+                 CASE WHEN required_null_ratio > 0.01 THEN 'required_null_ratio_above_threshold' END,
+                 CASE WHEN zero_sales_ratio > 0.995 THEN 'zero_sales_ratio_above_threshold' END) AS r FROM ({METRICS_SQL}) m)""",
 )
 def training_validation(spark, sf):
     run = fx.sale_bounds(spark, sf).select(F.date_add("hi", 9)).scalar()

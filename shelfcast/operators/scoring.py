@@ -27,30 +27,38 @@ def with_total_segment(df: DataFrame, segment: str = "demand_segment") -> DataFr
 
 
 def _sums() -> list[Column]:
+    n = F.col("_n")
+    total = F.sum(n)
     diff = F.col("actual") - F.col("predicted")
     size = (F.abs("actual") + F.abs("predicted")) / 2
     under, over = F.greatest(diff, F.lit(0.0)), F.greatest(-diff, F.lit(0.0))
+    relative = safe_ratio(F.abs(diff), size)
     return [
-        F.count("*").alias("row_count"),
-        F.sum("actual").alias("actual_sum"),
-        F.sum("predicted").alias("predicted_sum"),
-        F.avg(F.abs(diff)).alias("mae"),
-        F.sqrt(F.avg(diff * diff)).alias("rmse"),
-        safe_ratio(F.sum(F.abs(diff)), F.sum(F.abs("actual"))).alias("wape"),
-        F.avg(safe_ratio(F.abs(diff), size)).alias("smape"),
-        F.avg(-diff).alias("bias"),
-        F.avg((F.col("predicted") < F.col("actual")).cast("double")).alias("underforecast_rate"),
-        F.sum(under).alias("underforecast_units"),
-        F.sum(over).alias("overforecast_units"),
-        (1 - safe_ratio(F.sum(under), F.sum(F.abs("actual")))).alias("fill_rate_proxy"),
+        total.alias("row_count"),
+        F.sum(F.col("actual") * n).alias("actual_sum"),
+        F.sum(F.col("predicted") * n).alias("predicted_sum"),
+        (F.sum(F.abs(diff) * n) / total).alias("mae"),
+        F.sqrt(F.sum(diff * diff * n) / total).alias("rmse"),
+        safe_ratio(F.sum(F.abs(diff) * n), F.sum(F.abs("actual") * n)).alias("wape"),
+        safe_ratio(F.sum(relative * n), F.sum(F.when(relative.isNotNull(), n))).alias("smape"),
+        (F.sum(-diff * n) / total).alias("bias"),
+        (F.sum(F.when(diff > 0, n).otherwise(0)) / total).alias("underforecast_rate"),
+        F.sum(under * n).alias("underforecast_units"),
+        F.sum(over * n).alias("overforecast_units"),
+        (1 - safe_ratio(F.sum(under * n), F.sum(F.abs("actual") * n))).alias("fill_rate_proxy"),
     ]
 
 
 def error_metrics(scored: DataFrame, group: list[str], quantiles: dict[str, float] | None = None) -> DataFrame:
-    """MAE, RMSE, WAPE, sMAPE, bias, order quantities and error quantiles per group."""
+    """MAE, RMSE, WAPE, sMAPE, bias, order quantities and error quantiles per group.
+
+    Equal (actual, predicted) pairs are counted first. Sums and quantiles both
+    start from that one shuffle, so the forecasts are computed only once.
+    """
     quantiles = quantiles or {"p50_abs_error": 0.5, "p90_abs_error": 0.9, "p95_abs_error": 0.95}
-    sums = scored.groupBy(*group).agg(*_sums())
-    tails = exact_quantiles(scored.withColumn("_err", ERROR), group, "_err", quantiles)
+    pairs = scored.groupBy(*group, "actual", "predicted").agg(F.count("*").alias("_n"))
+    sums = pairs.groupBy(*group).agg(*_sums())
+    tails = exact_quantiles(pairs.withColumn("_err", ERROR), group, "_err", quantiles, weight="_n")
     return sums.join(tails, group)
 
 

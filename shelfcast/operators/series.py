@@ -75,7 +75,8 @@ def with_intermittent_stats(df: DataFrame, keys: list[str], day: str, value: str
     )
 
 
-def last_days(df: DataFrame, day: str, days: int) -> DataFrame:
-    """Rows of the last ``days`` days that occur in the table."""
-    newest = df.agg(F.max(day).alias("d")).scalar()
-    return df.filter(F.col(day) > F.date_sub(newest, days))
+def last_days(df: DataFrame, day: str, days: int, newest: Column | None = None) -> DataFrame:
+    """Rows of the last ``days`` days. Pass ``newest`` when it is known from a cheaper
+    table; otherwise the newest day is looked up in ``df`` itself."""
+    end = newest if newest is not None else df.agg(F.max(day).alias("d")).scalar()
+    return df.filter(F.col(day) > F.date_sub(end, days))

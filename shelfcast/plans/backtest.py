@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import safe_ratio
@@ -21,9 +21,9 @@ def zero(c):
     return F.coalesce(c, F.lit(0.0))
 
 
-def recent_panel(panel: DataFrame, keys: list[str], days: int, lead_in: int) -> DataFrame:
+def recent_panel(panel: DataFrame, days: int, lead_in: int, newest: Column | None = None) -> DataFrame:
     """Only the days a backtest looks at: the scored days and the lead-in of their windows."""
-    return last_days(panel, "feature_date", days + lead_in)
+    return last_days(panel, "feature_date", days + lead_in, newest)
 
 
 def with_baselines(panel: DataFrame, keys: list[str], value: str = "qty_sold") -> DataFrame:
@@ -31,32 +31,35 @@ def with_baselines(panel: DataFrame, keys: list[str], value: str = "qty_sold") -
     return with_lags(rolled, keys, "feature_date", value, lags=(7,), prefix="lag_")
 
 
-def baseline_scores(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold") -> DataFrame:
+def baseline_scores(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold", newest: Column | None = None) -> DataFrame:
     """Moving averages and the same weekday of last week, one scored row per model."""
-    base = with_baselines(recent_panel(panel, keys, holdout_days, 28), keys, value)
-    held = last_days(base, "feature_date", holdout_days)
+    base = with_baselines(recent_panel(panel, holdout_days, 28, newest), keys, value)
+    held = last_days(base, "feature_date", holdout_days, newest)
     models = {"ma_7d": zero("ma_7d"), "ma_28d": zero("ma_28d"), "same_weekday": zero("lag_7")}
     return stack_models(held, models, [], value)
 
 
-def baseline_backtest(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold") -> DataFrame:
-    scored = baseline_scores(panel, keys, holdout_days, value)
+def baseline_backtest(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold", newest: Column | None = None) -> DataFrame:
+    scored = baseline_scores(panel, keys, holdout_days, value, newest)
     return error_metrics(scored, ["model"], {"p50_abs_error": 0.5, "p90_abs_error": 0.9})
 
 
-def intermittent_inputs(panel: DataFrame, keys: list[str], holdout_days: int, lookback: int) -> DataFrame:
-    recent = recent_panel(panel, keys, 2 * holdout_days, max(lookback, 28))
+def intermittent_inputs(panel: DataFrame, keys: list[str], holdout_days: int, lookback: int, newest: Column | None = None) -> DataFrame:
+    if newest is None:
+        newest = panel.agg(F.max("feature_date").alias("d")).scalar()
+    recent = recent_panel(panel, 2 * holdout_days, max(lookback, 28), newest)
     base = with_intermittent_stats(with_baselines(recent, keys), keys, "feature_date", "qty_sold", lookback)
     expected = zero("nonzero_mean_qty") * zero("nonzero_probability")
-    both = last_days(base.withColumn("expected", expected), "feature_date", 2 * holdout_days)
-    newest = panel.agg(F.max("feature_date").alias("d")).scalar()
+    both = last_days(base.withColumn("expected", expected), "feature_date", 2 * holdout_days, newest)
     part = F.when(F.col("feature_date") > F.date_sub(newest, holdout_days), "holdout").otherwise("calibration")
     return both.withColumn("part", part)
 
 
-def intermittent_scores(panel: DataFrame, keys: list[str], holdout_days: int = 14, lookback: int = 56):
+def intermittent_scores(
+    panel: DataFrame, keys: list[str], holdout_days: int = 14, lookback: int = 56, newest: Column | None = None
+):
     """Scored rows of the eight intermittent-demand baselines, and the factors used."""
-    base = intermittent_inputs(panel, keys, holdout_days, lookback)
+    base = intermittent_inputs(panel, keys, holdout_days, lookback, newest)
     plain = {"ma_7d": zero("ma_7d"), "ma_28d": zero("ma_28d"), "intermittent_probability_mean": F.col("expected")}
     keep = ["demand_segment"]
     factors = calibration_factors(stack_models(base.filter("part = 'calibration'"), plain, keep, "qty_sold"))
@@ -81,8 +84,10 @@ def intermittent_scores(panel: DataFrame, keys: list[str], holdout_days: int = 1
     return direct.unionByName(scaled), factors
 
 
-def intermittent_backtest(panel: DataFrame, keys: list[str], holdout_days: int = 14, lookback: int = 56) -> DataFrame:
-    scored, _ = intermittent_scores(panel, keys, holdout_days, lookback)
+def intermittent_backtest(
+    panel: DataFrame, keys: list[str], holdout_days: int = 14, lookback: int = 56, newest: Column | None = None
+) -> DataFrame:
+    scored, _ = intermittent_scores(panel, keys, holdout_days, lookback, newest)
     metrics = error_metrics(scored, ["model", "demand_segment"], {"p50_abs_error": 0.5, "p90_abs_error": 0.9})
     return metrics.withColumn("passed", F.col("wape") < 1.0)
 
@@ -125,9 +130,11 @@ def uplift_checks(held: DataFrame, sns_day: int = 500, sns_week: int = 1000) ->
     return out
 
 
-def feature_screen(training: DataFrame, holdout_days: int = 14, sns_day: int = 500, sns_week: int = 1000) -> DataFrame:
+def feature_screen(
+    training: DataFrame, holdout_days: int = 14, sns_day: int = 500, sns_week: int = 1000, newest: Column | None = None
+) -> DataFrame:
     """The uplift checks plus the 28-day moving average scored per segment."""
-    held = last_days(training, "feature_date", holdout_days)
+    held = last_days(training, "feature_date", holdout_days, newest)
     scored = stack_models(held, {"baseline_ma28": zero("qty_rolling_28d")}, ["demand_segment"], "qty_sold")
     tails = exact_quantiles(
         scored.withColumn("_e", F.abs(F.col("actual") - F.col("predicted"))), ["demand_segment"], "_e", {"metric_3": 0.9}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import hash_bucket, is_weekend, weekday
+from shelfcast.operators.keyed import dedupe_first
 from shelfcast.operators.series import (
     densify,
     segment_of,
@@ -56,23 +57,25 @@ def _one_table(parts: list[DataFrame], keys: list[str], sums: list[str]) -> Data
     return stacked.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
 
 
-def _period(sales: DataFrame):
+def _period(sales: DataFrame, period: tuple | None):
+    """First and last day: as given, else looked up in the sales."""
+    if period is not None:
+        return period
     bounds = sales.agg(F.min("sale_date").alias("lo"), F.max("sale_date").alias("hi"))
     return bounds.select("lo").scalar(), bounds.select("hi").scalar()
 
 
 def warehouse_panel(
-    sales: DataFrame, inventory: DataFrame, store_map: DataFrame, locations: DataFrame, measures=("qty_sold",)
+    sales: DataFrame, inventory: DataFrame, store_map: DataFrame, locations: DataFrame, measures=("qty_sold",),
+    period: tuple | None = None,
 ) -> DataFrame:
     """Dense (isbn13, wh_id, day) panel of sales and stock for every series with sales."""
     keys = ["isbn13", "wh_id"]
     sums = [*measures, "on_hand", "reserved_qty"]
     sold = daily_warehouse_sales(sales, store_map, locations).withColumn("_sold", F.lit(1))
     stock = daily_warehouse_inventory(inventory, locations)
-    lo, hi = _period(sales)
+    lo, hi = _period(sales, period)
     daily = _one_table([sold.select(*keys, "feature_date", *measures, "_sold"), stock], [*keys, "feature_date"], [*sums, "_sold"])
-    from pyspark.sql import Window
-
     ever = F.max("_sold").over(Window.partitionBy(*keys)) > 0
     active = daily.withColumn("_ever", ever).filter("_ever").drop("_ever", "_sold")
     return densify(active, keys, "feature_date", sums, lo, hi)
@@ -114,17 +117,15 @@ def enrich(panel: DataFrame, features: DataFrame, books: DataFrame, keep: list[s
 
 def dedupe_features(features: DataFrame) -> DataFrame:
     """One covariate row per book and day; copies are resolved by column order."""
-    from shelfcast.operators.keyed import dedupe_first
-
     return dedupe_first(features, ["isbn13", "feature_date"])
 
 
 def training_dataset_wh(
     sales: DataFrame, inventory: DataFrame, features: DataFrame, books: DataFrame, store_map: DataFrame,
-    locations: DataFrame, drop_prelaunch: bool = True,
+    locations: DataFrame, drop_prelaunch: bool = True, period: tuple | None = None,
 ) -> DataFrame:
     keys = ["isbn13", "wh_id"]
-    panel = warehouse_panel(sales, inventory, store_map, locations)
+    panel = warehouse_panel(sales, inventory, store_map, locations, period=period)
     wide = enrich(panel, dedupe_features(features), books, ["feature_date", *keys, "qty_sold", "on_hand", "reserved_qty"])
     if drop_prelaunch:
         wide = wide.filter("book_age_days >= 0")
@@ -145,7 +146,7 @@ def store_attributes(locations: DataFrame) -> DataFrame:
 
 def store_panel(
     sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, store_ids: list[int],
-    stock_via: str = "store",
+    stock_via: str = "store", period: tuple | None = None,
 ) -> DataFrame:
     """Dense (isbn13, store_id, day) panel over every book and every store.
 
@@ -154,7 +155,7 @@ def store_panel(
     """
     keys = ["isbn13", "store_id"]
     sums = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
-    lo, hi = _period(sales)
+    lo, hi = _period(sales, period)
     sold = sales.filter(F.col("store_id").isin(store_ids)).select(
         *keys, F.col("sale_date").alias("feature_date"), F.coalesce("qty_sold", F.lit(0)).alias("qty_sold")
     )
@@ -172,8 +173,6 @@ def store_panel(
     stores = F.explode(F.array(*[F.lit(s).cast("bigint") for s in store_ids]))
     seeds = books.select("isbn13", stores.alias("store_id"), lo.alias("feature_date"), F.lit(1).alias("_book"))
     daily = _one_table([sold, stock, seeds], [*keys, "feature_date"], [*sums, "_book"])
-    from pyspark.sql import Window
-
     known = F.max("_book").over(Window.partitionBy(*keys)) > 0
     listed = daily.withColumn("_known", known).filter("_known").drop("_known", "_book")
     return densify(listed, keys, "feature_date", sums, lo, hi)
@@ -181,13 +180,13 @@ def store_panel(
 
 def training_dataset_store(
     sales: DataFrame, inventory: DataFrame, features: DataFrame, books: DataFrame, store_map: DataFrame,
-    locations: DataFrame, stock_via: str = "store",
+    locations: DataFrame, stock_via: str = "store", period: tuple | None = None,
 ) -> DataFrame:
     keys = ["isbn13", "store_id"]
     stores = store_attributes(locations)
     # One row per store, at most the fixed location list; needed as literals for the spine.
     ids = [r["store_id"] for r in stores.select("store_id").orderBy("store_id").collect()]
-    panel = store_panel(sales, inventory, books, store_map, ids, stock_via)
+    panel = store_panel(sales, inventory, books, store_map, ids, stock_via, period)
     facts = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
     wide = enrich(panel, dedupe_features(features), books, ["feature_date", *keys, *facts])
     wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
@@ -196,7 +195,8 @@ def training_dataset_store(
 
 
 def automl_input(
-    sales: DataFrame, features: DataFrame, books: DataFrame, store_map: DataFrame, locations: DataFrame
+    sales: DataFrame, features: DataFrame, books: DataFrame, store_map: DataFrame, locations: DataFrame,
+    period: tuple | None = None,
 ) -> DataFrame:
     """Wide table with one ``series_id`` per book and warehouse."""
     keys = ["isbn13", "wh_id"]
@@ -207,7 +207,7 @@ def automl_input(
         F.avg(F.coalesce("avg_price", F.lit(0)).cast("double")).alias("avg_price"),
         F.sum("tx_count").alias("tx_count"),
     )
-    lo, hi = _period(sales)
+    lo, hi = _period(sales, period)
     dense = densify(daily, keys, "feature_date", ["qty_sold", "revenue", "avg_price", "tx_count"], lo, hi)
     flags = dedupe_features(features).select(
         "isbn13", "feature_date", "sns_mentions_1d", "sns_mentions_7d", "is_holiday", "event_nearby_days", "season",
@@ -242,10 +242,11 @@ AUTOML_COLUMN_ROLES = {
 
 def holdout_split(
     training: DataFrame, window_days: int = 134, holdout_days: int = 14, train_percent: int = 25,
-    segments=("high", "medium"), keys=("isbn13", "store_id"),
+    segments=("high", "medium"), keys=("isbn13", "store_id"), newest: Column | None = None,
 ) -> DataFrame:
     """Whole holdout plus a stable hash sample of the days before it."""
-    newest = training.agg(F.max("feature_date").alias("d")).scalar()
+    if newest is None:
+        newest = training.agg(F.max("feature_date").alias("d")).scalar()
     key = F.concat_ws("#", *[F.col(k).cast("string") for k in keys], F.col("feature_date").cast("string"))
     held = F.col("feature_date") > F.date_sub(newest, holdout_days)
     return (
