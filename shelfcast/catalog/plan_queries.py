@@ -30,15 +30,15 @@ def stored_train(spark, sf):
 def metrics_sql(source: str, group: str, quantiles=(0.5, 0.9, 0.95), extra: str = "") -> str:
     """Error metrics of rows with ``actual`` and ``predicted``."""
     names = {0.5: "p50_abs_error", 0.9: "p90_abs_error", 0.95: "p95_abs_error"}
-    tails = ", ".join(f"round(quantile_cont(abs(actual - predicted), {q}), 4) AS {names[q]}" for q in quantiles)
+    tails = ", ".join(f"round(quantile_cont(abs(actual - predicted), {q}), 5) AS {names[q]}" for q in quantiles)
     return f"""
-SELECT {group}, count(*) AS row_count, round(sum(actual), 4) AS actual_sum, round(sum(predicted), 4) AS predicted_sum,
-       round(avg(abs(actual - predicted)), 4) AS mae, round(sqrt(avg((actual - predicted) * (actual - predicted))), 4) AS rmse,
-       round(sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0), 4) AS wape,
-       round(avg(abs(actual - predicted) / nullif((abs(actual) + abs(predicted)) / 2, 0)), 4) AS smape, round(avg(predicted - actual), 4) AS bias,
-       round(avg(CASE WHEN predicted < actual THEN 1.0 ELSE 0.0 END), 4) AS underforecast_rate,
-       round(sum(greatest(actual - predicted, 0)), 4) AS underforecast_units, round(sum(greatest(predicted - actual, 0)), 4) AS overforecast_units,
-       round(1 - sum(greatest(actual - predicted, 0)) / nullif(sum(abs(actual)), 0), 4) AS fill_rate_proxy, {tails}{extra}
+SELECT {group}, count(*) AS row_count, round(sum(actual), 5) AS actual_sum, round(sum(predicted), 5) AS predicted_sum,
+       round(avg(abs(actual - predicted)), 5) AS mae, round(sqrt(avg((actual - predicted) * (actual - predicted))), 5) AS rmse,
+       round(sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0), 5) AS wape,
+       round(avg(abs(actual - predicted) / nullif((abs(actual) + abs(predicted)) / 2, 0)), 5) AS smape, round(avg(predicted - actual), 5) AS bias,
+       round(avg(CASE WHEN predicted < actual THEN 1.0 ELSE 0.0 END), 5) AS underforecast_rate,
+       round(sum(greatest(actual - predicted, 0)), 5) AS underforecast_units, round(sum(greatest(predicted - actual, 0)), 5) AS overforecast_units,
+       round(1 - sum(greatest(actual - predicted, 0)) / nullif(sum(abs(actual)), 0), 5) AS fill_rate_proxy, {tails}{extra}
 FROM ({source}) GROUP BY {group}
 """
 
@@ -63,12 +63,12 @@ def baseline_stack(spark, sf):
 
 @query("baseline_backtest", metrics_sql(STACK_WH.format(days=28), "model", (0.5, 0.9)))
 def baseline_backtest(spark, sf):
-    return rounded(backtest.baseline_backtest(wh_panel(spark, sf), WH, newest=fx.newest_sale(spark, sf)))
+    return rounded(backtest.baseline_backtest(wh_panel(spark, sf), WH, newest=fx.newest_sale(spark, sf)), 5)
 
 
 @query("forecast_error_metrics", metrics_sql(STACK_WH.format(days=2400), "model"))
 def forecast_error_metrics(spark, sf):
-    return rounded(scoring.error_metrics(backtest.baseline_scores(wh_panel(spark, sf), WH, 2400, newest=fx.newest_sale(spark, sf)), ["model"]))
+    return rounded(scoring.error_metrics(backtest.baseline_scores(wh_panel(spark, sf), WH, 2400, newest=fx.newest_sale(spark, sf)), ["model"]), 5)
 
 
 SEGMENT_SQL = """
@@ -86,19 +86,19 @@ def segment_scores(spark, sf):
 
 @query("segment_error_metrics", metrics_sql(SEGMENT_SQL, "demand_segment"))
 def segment_error_metrics(spark, sf):
-    return rounded(scoring.error_metrics(segment_scores(spark, sf), ["demand_segment"]))
+    return rounded(scoring.error_metrics(segment_scores(spark, sf), ["demand_segment"]), 5)
 
 
 @query(
     "order_cost",
     metrics_sql(
         SEGMENT_SQL, "demand_segment", (0.5, 0.9, 0.95),
-        """, round(sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0)), 4) AS weighted_order_cost,
-           round((sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0))) / sum(actual), 4) AS weighted_order_cost_rate""",
+        """, round(sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0)), 5) AS weighted_order_cost,
+           round((sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0))) / sum(actual), 5) AS weighted_order_cost_rate""",
     ),
 )
 def order_cost(spark, sf):
-    return rounded(scoring.order_cost(scoring.error_metrics(segment_scores(spark, sf), ["demand_segment"])))
+    return rounded(scoring.order_cost(scoring.error_metrics(segment_scores(spark, sf), ["demand_segment"])), 5)
 
 
 TABLES["base_store"] = """
@@ -139,7 +139,7 @@ def calibration_factor(spark, sf):
 
 @query("intermittent_backtest", INTERMITTENT_SQL)
 def intermittent_backtest(spark, sf):
-    return rounded(intermittent(spark, sf))
+    return rounded(intermittent(spark, sf), 5)
 
 
 BEST_SQL = """
