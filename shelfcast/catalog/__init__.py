@@ -2,7 +2,15 @@
 
 from importlib import import_module
 
-MODULES = ["source_queries", "cleanse_queries", "join_queries", "rollup_queries", "series_queries", "plan_queries"]
+MODULES = [
+    "source_queries",
+    "cleanse_queries",
+    "join_queries",
+    "rollup_queries",
+    "series_queries",
+    "plan_queries",
+    "stream_queries",
+]
 
 
 def _load():

@@ -110,11 +110,12 @@ class PosTables:
         """Write one batch of a table; repeating the batch replaces it."""
         df.write.mode("overwrite").parquet(f"{self.path(name)}/batch={batch}")
 
-    def get(self, name: str, schema: str | T.StructType) -> DataFrame:
-        """All batches of a table so far; an absent table is empty."""
+    def get(self, name: str, schema: str) -> DataFrame:
+        """The named columns of all batches so far; ``batch INT`` may be one. An absent table is empty."""
+        names = T.StructType.fromDDL(schema).names
         reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
         try:
-            return reader.parquet(self.path(name))
+            return reader.parquet(self.path(name)).select(*names)
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.enrich import without_recent
+from shelfcast.streaming.pos import audit_rows
 
 
 def mention_windows(mentions: DataFrame, at: str = "collected_at", width: str = "2 hours", slide: str = "1 hour", delay: str = "1 hour", measure: str = "records") -> DataFrame:
@@ -52,7 +53,54 @@ def sales_windows(sales: DataFrame, at: str = "event_ts", width: str = "60 minut
     )
 
 
-def new_spikes(candidates: DataFrame, history: DataFrame, minutes: int = 30) -> DataFrame:
-    """Candidates outside the cooldown of an earlier event of the same book."""
-    marked = candidates.withColumn("detected_at", F.col("window_end")).withColumn("severity", severity())
-    return without_recent(marked, history, "isbn13", "detected_at", minutes)
+def apply_cooldown(candidates: DataFrame, key: str = "isbn13", at: str = "detected_at", minutes: int = 30) -> DataFrame:
+    """Keep a candidate only if no kept one of the same key lies in the minutes before it.
+
+    Whether a candidate counts depends on the ones kept before it, so the times
+    of a key are folded in order. A key has at most one candidate per window,
+    which bounds the folded list by the number of windows, not by raw rows.
+    """
+    gap = F.expr(f"INTERVAL {minutes} MINUTES")
+    times = candidates.groupBy(key).agg(F.array_sort(F.collect_set(at)).alias("_times"))
+
+    def step(kept, t):
+        newest = F.element_at(kept, -1)
+        return F.when((F.size(kept) > 0) & (newest > t - gap), kept).otherwise(F.concat(kept, F.array(t)))
+
+    none = F.array().cast("array<timestamp>")
+    kept = times.select(key, F.explode(F.aggregate("_times", none, step)).alias(at))
+    return candidates.join(kept, [key, at])
+
+
+def new_spikes(windows: DataFrame, history: DataFrame, minutes: int = 30) -> DataFrame:
+    """Spikes of the scored windows: outside the cooldown of stored ones and of each other."""
+    marked = windows.withColumn("detected_at", F.col("window_end")).withColumn("severity", severity())
+    return apply_cooldown(without_recent(marked, history, "isbn13", "detected_at", minutes), minutes=minutes)
+
+
+SPIKE_COLUMNS = "isbn13 STRING, detected_at TIMESTAMP, z_score DOUBLE, count_w BIGINT, severity STRING"
+
+
+def spike_batch(tables, threshold: float = 2.0, minutes: int = 30):
+    """``foreachBatch`` body: score closed windows, keep new spikes, log them.
+
+    A repeated batch replaces its own spikes, and its own spikes do not count as history.
+    """
+
+    def body(counts: DataFrame, batch: int) -> None:
+        history = tables.get("spikes", SPIKE_COLUMNS + ", batch INT").filter(F.col("batch") != batch).select("isbn13", "detected_at")
+        found = new_spikes(window_zscores(counts, threshold), history, minutes)
+        tables.put(found.select(*[c.split(" ")[0] for c in SPIKE_COLUMNS.split(", ")]), "spikes", batch)
+        stored = tables.spark.read.schema(SPIKE_COLUMNS).parquet(f"{tables.path('spikes')}/batch={batch}")
+        named = stored.withColumn("event_id", F.concat_ws("@", "isbn13", F.col("detected_at").cast("string")))
+        tables.put(audit_rows(named, "spike-stream", "spike.detected", "spike_events", "event_id", ["isbn13", "z_score", "count_w", "severity"]), "spike_audit", batch)
+
+    return body
+
+
+def run_spikes(sales: DataFrame, tables, threshold: float = 2.0, once: bool = True, **windows):
+    """Sliding sales counts per book, scored when a window closes."""
+    writer = sales_windows(sales, **windows).writeStream.outputMode("append").foreachBatch(spike_batch(tables, threshold))
+    writer = writer.option("checkpointLocation", tables.path("_spike_checkpoint"))
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 minutes")
+    return writer.start()
