@@ -328,7 +328,7 @@ WHERE f.feature_date = (SELECT max(sale_date) FROM sales_lines)
 
 
 def candidates(spark, sf):
-    run = fx.sale_bounds(spark, sf).select("hi").scalar()
+    run = fx.newest_sale(spark, sf)
     return enrich.new_book_candidates(fx.features(spark, sf), fx.inventory_daily(spark, sf), store_location_map(spark), run)
 
 

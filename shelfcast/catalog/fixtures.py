@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.domain import HOLIDAYS, inline_table, locations_static, store_location_map
+from shelfcast.domain import HOLIDAYS, store_location_map
 from shelfcast.functions.columns import case_map, price_tier
 from shelfcast.operators.calendar import calendar_table, holiday_dates
 from shelfcast.operators.features import build_features
 
 
+_FRAMES: dict = {}
+
+
+def once(make):
+    """Build a frame's plan once per session and folder; frames hold no data."""
+
+    @wraps(make)
+    def frame(spark: SparkSession, sf: str, *name: str):
+        key = (spark.sparkContext.applicationId, id(spark), sf, make.__name__, *name)
+        if key not in _FRAMES:
+            _FRAMES[key] = make(spark, sf, *name)
+        return _FRAMES[key]
+
+    return frame
+
+
+@once
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -19,6 +39,7 @@ def isbn(c) -> F.Column:
     return F.concat(F.lit("978"), F.lpad(F.col(c).cast("string"), 10, "0"))
 
 
+@once
 def sales_lines(spark, sf) -> DataFrame:
     store = F.col("l_suppkey") % 14 + 1
     return table(spark, sf, "lineitem").select(
@@ -34,6 +55,7 @@ def sales_lines(spark, sf) -> DataFrame:
     )
 
 
+@once
 def sales_fact(spark, sf) -> DataFrame:
     return (
         sales_lines(spark, sf)
@@ -44,6 +66,7 @@ def sales_fact(spark, sf) -> DataFrame:
     )
 
 
+@once
 def books_static(spark, sf) -> DataFrame:
     key = F.col("p_partkey")
     shift = (key % 5 - 2) * 4000
@@ -77,6 +100,7 @@ def books_static(spark, sf) -> DataFrame:
     )
 
 
+@once
 def inventory(spark, sf) -> DataFrame:
     """Current stock: every book at the fourteen places that hold stock."""
     places = F.explode(F.array(*[F.lit(i).cast("bigint") for i in [*range(1, 13), 15, 16]]))
@@ -94,6 +118,7 @@ def inventory(spark, sf) -> DataFrame:
     )
 
 
+@once
 def inventory_daily(spark, sf) -> DataFrame:
     """A snapshot row wherever and whenever a book was sold."""
     days = F.datediff("snapshot_date", F.lit("1995-01-01").cast("date"))
@@ -120,19 +145,31 @@ def inventory_daily(spark, sf) -> DataFrame:
     )
 
 
+@once
 def sale_bounds(spark, sf) -> DataFrame:
     return sales_lines(spark, sf).agg(F.min("sale_date").alias("lo"), F.max("sale_date").alias("hi"))
 
 
+@once
+def sale_days(spark, sf) -> tuple:
+    """First and last sale date; a run takes its dates as parameters, so they become literals."""
+    row = sale_bounds(spark, sf).first()
+    return row["lo"], row["hi"]
+
+
 def newest_sale(spark, sf) -> F.Column:
-    return sale_bounds(spark, sf).select("hi").scalar()
+    return F.lit(sale_days(spark, sf)[1])
 
 
-def sale_period(spark, sf) -> tuple:
-    bounds = sale_bounds(spark, sf)
-    return bounds.select("lo").scalar(), bounds.select("hi").scalar()
+def sale_period(spark, sf, last: int | None = None) -> tuple:
+    """The whole period with sales, or its last days."""
+    lo, hi = sale_days(spark, sf)
+    if last is not None:
+        lo = max(lo, hi - timedelta(days=last - 1))
+    return F.lit(lo), F.lit(hi)
 
 
+@once
 def calendar(spark, sf) -> DataFrame:
     bounds = sale_bounds(spark, sf)
     return calendar_table(bounds, holiday_dates(spark, bounds, HOLIDAYS))
@@ -169,6 +206,7 @@ def pos_events(events: DataFrame) -> DataFrame:
     )
 
 
+@once
 def pos_raw(spark, sf) -> DataFrame:
     return pos_events(table(spark, sf, "events"))
 
@@ -184,13 +222,15 @@ def sns_events(events: DataFrame) -> DataFrame:
     )
 
 
+@once
 def sns_raw(spark, sf) -> DataFrame:
     return sns_events(table(spark, sf, "events"))
 
 
+@once
 def sns_daily(spark, sf) -> DataFrame:
     """Mentions per book and day, moved into the sales period."""
-    first = sale_bounds(spark, sf).select("lo").scalar()
+    first = sale_period(spark, sf)[0]
     return (
         table(spark, sf, "events")
         .filter(F.col("event_type").isin("view", "click"))
@@ -204,6 +244,7 @@ def sns_daily(spark, sf) -> DataFrame:
     )
 
 
+@once
 def catalog_raw(spark, sf) -> DataFrame:
     key = F.col("p_partkey")
     base = F.floor("p_retailprice")
@@ -223,6 +264,7 @@ def catalog_raw(spark, sf) -> DataFrame:
     )
 
 
+@once
 def pending_orders(spark, sf) -> DataFrame:
     key, state = F.col("o_orderkey"), F.col("o_orderstatus")
     status = (
@@ -272,6 +314,7 @@ def pending_orders(spark, sf) -> DataFrame:
     )
 
 
+@once
 def order_approvals(spark, sf) -> DataFrame:
     def side(name, hours):
         return F.struct(F.lit(name).alias("side"), F.lit(hours).alias("hours"))
@@ -295,9 +338,10 @@ def order_approvals(spark, sf) -> DataFrame:
     )
 
 
+@once
 def forecast_results(spark, sf) -> DataFrame:
     """Two forecast runs of five days; the older run has faulty rows."""
-    last = sale_bounds(spark, sf).select("hi").scalar()
+    last = newest_sale(spark, sf)
     runs = F.explode(F.array(F.lit(0), F.lit(1)))
     steps = F.explode(F.sequence(F.lit(1), F.lit(5)))
     value = F.col("demand") + F.col("step") * 0.25
@@ -330,6 +374,7 @@ def forecast_results(spark, sf) -> DataFrame:
 # Product lines: the coarse grain on which dense daily series are built.
 
 
+@once
 def line_books(spark, sf) -> DataFrame:
     best = F.sum(F.col("is_bestseller_flag").cast("int")) * 2 > F.count("*")
     return (
@@ -357,6 +402,7 @@ def _to_line(df: DataFrame, spark, sf, keys: list[str], sums: list[str]) -> Data
     )
 
 
+@once
 def line_sales(spark, sf) -> DataFrame:
     """Every receipt line counts as one unit, which gives slow, middling and fast series."""
     return _to_line(
@@ -365,6 +411,7 @@ def line_sales(spark, sf) -> DataFrame:
     )
 
 
+@once
 def line_inventory(spark, sf) -> DataFrame:
     return _to_line(
         inventory_daily(spark, sf), spark, sf,
@@ -372,10 +419,12 @@ def line_inventory(spark, sf) -> DataFrame:
     )
 
 
+@once
 def line_sns(spark, sf) -> DataFrame:
     return _to_line(sns_daily(spark, sf), spark, sf, ["isbn13", "mention_date"], ["mentions"])
 
 
+@once
 def features(spark, sf) -> DataFrame:
     spine = sales_lines(spark, sf).select("isbn13", F.col("sale_date").alias("feature_date")).distinct()
     return build_features(
@@ -383,6 +432,7 @@ def features(spark, sf) -> DataFrame:
     )
 
 
+@once
 def line_features(spark, sf) -> DataFrame:
     days = F.explode(F.sequence(*sale_period(spark, sf)))
     spine = line_books(spark, sf).select("isbn13", days.alias("feature_date"))

@@ -80,10 +80,10 @@ LEFT JOIN line_features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_
 """
 
 
-def wh_panel(spark, sf):
+def wh_panel(spark, sf, last=None):
     return training.warehouse_panel(
         fx.line_sales(spark, sf), fx.line_inventory(spark, sf), store_location_map(spark), locations_static(spark),
-        period=fx.sale_period(spark, sf),
+        period=fx.sale_period(spark, sf, last),
     )
 
 

@@ -19,12 +19,12 @@ from shelfcast.sources import tables
 
 def held_store(spark, sf):
     """The last fourteen days of the store training table."""
-    return last_days(train_store(spark, sf), "feature_date", 14, fx.newest_sale(spark, sf))
+    return last_days(train_store(spark, sf, 14 + 28), "feature_date", 14, fx.newest_sale(spark, sf))
 
 
-def stored_train(spark, sf):
+def stored_train(spark, sf, last=None):
     """The store training table, written once for jobs that read it several times."""
-    return tables.through_disk(spark, train_store(spark, sf), "train-store")
+    return tables.through_disk(spark, train_store(spark, sf, last), "train-store")
 
 
 def metrics_sql(source: str, group: str, quantiles=(0.5, 0.9, 0.95), extra: str = "") -> str:
@@ -58,12 +58,12 @@ FROM base_wh, (VALUES ('ma_7d'), ('ma_28d'), ('same_weekday')) AS m(model) WHERE
 
 @query("baseline_stack", f"SELECT model, actual, round(predicted, 4) AS predicted FROM ({STACK_WH.format(days=28)})")
 def baseline_stack(spark, sf):
-    return rounded(backtest.baseline_scores(wh_panel(spark, sf), WH, newest=fx.newest_sale(spark, sf)))
+    return rounded(backtest.baseline_scores(wh_panel(spark, sf, 56), WH, newest=fx.newest_sale(spark, sf)))
 
 
 @query("baseline_backtest", metrics_sql(STACK_WH.format(days=28), "model", (0.5, 0.9)))
 def baseline_backtest(spark, sf):
-    return rounded(backtest.baseline_backtest(wh_panel(spark, sf), WH, newest=fx.newest_sale(spark, sf)), 5)
+    return rounded(backtest.baseline_backtest(wh_panel(spark, sf, 56), WH, newest=fx.newest_sale(spark, sf)), 5)
 
 
 @query("forecast_error_metrics", metrics_sql(STACK_WH.format(days=2400), "model"))
@@ -129,12 +129,12 @@ INTERMITTENT_SQL = metrics_sql("SELECT * FROM scores_store", "model, demand_segm
 
 
 def intermittent(spark, sf):
-    return backtest.intermittent_backtest(store_panel(spark, sf), STORE, newest=fx.newest_sale(spark, sf))
+    return backtest.intermittent_backtest(store_panel(spark, sf, 28 + 56), STORE, newest=fx.newest_sale(spark, sf))
 
 
 @query("calibration_factor", "SELECT model, demand_segment, round(calibration_factor, 4) AS calibration_factor FROM factors_store")
 def calibration_factor(spark, sf):
-    return rounded(backtest.intermittent_scores(store_panel(spark, sf), STORE, newest=fx.newest_sale(spark, sf))[1])
+    return rounded(backtest.intermittent_scores(store_panel(spark, sf, 28 + 56), STORE, newest=fx.newest_sale(spark, sf))[1])
 
 
 @query("intermittent_backtest", INTERMITTENT_SQL)
@@ -191,7 +191,7 @@ UNION ALL {UPLIFT_SQL}
 
 @query("feature_screen", SCREEN_SQL)
 def feature_screen(spark, sf):
-    return rounded(backtest.feature_screen(stored_train(spark, sf), 14, 100, 400))
+    return rounded(backtest.feature_screen(stored_train(spark, sf, 14 + 28), 14, 100, 400))
 
 
 PIVOT_SQL = f"""
@@ -238,7 +238,7 @@ def pretrain_gate(spark, sf):
     newest = fx.newest_sale(spark, sf)
     best = scoring.best_by_segment(rounded(backtest.intermittent_backtest(table, STORE, newest=newest)))
     screen = rounded(backtest.uplift_checks(last_days(table, "feature_date", 14, newest), 100, 400))
-    run = fx.sale_bounds(spark, sf).select(F.date_add("hi", 2)).scalar()
+    run = F.date_add(fx.newest_sale(spark, sf), 2)
     return gates.pretrain_gate(metrics, best, screen, run)
 
 
@@ -271,7 +271,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY isbn13, store_id ORDER BY featur
 
 
 def future_rows(spark, sf):
-    return policy.future_features(train_store(spark, sf), STORE, 5)
+    return policy.future_features(train_store(spark, sf, 29), STORE, 5)
 
 
 @query("future_features", f"SELECT * REPLACE (round(qty_rolling_7d, 4) AS qty_rolling_7d, round(qty_rolling_28d, 4) AS qty_rolling_28d) FROM ({FUTURE_SQL})")
@@ -298,7 +298,7 @@ FROM wp JOIN ({share}) sh ON sh.isbn13 = wp.isbn13 AND sh.wh_id = wp.wh_id GROUP
 
 def wh_forecasts(spark, sf):
     rows = fx.forecast_results(spark, sf)
-    newest = fx.sale_bounds(spark, sf).select("hi").scalar()
+    newest = fx.newest_sale(spark, sf)
     place = locations_static(spark).select(F.col("location_id").cast("bigint").alias("store_id"), F.col("wh_id").cast("bigint").alias("wh_id"))
     values = ["predicted_demand", "confidence_low", "confidence_high"]
     return rows.filter(F.col("prediction_date") == newest).join(place, "store_id").groupBy("prediction_date", "target_date", "isbn13", "wh_id").agg(
@@ -307,7 +307,7 @@ def wh_forecasts(spark, sf):
 
 
 def allocation(spark, sf, mode):
-    since = fx.sale_bounds(spark, sf).select(F.date_sub("hi", 28)).scalar()
+    since = F.date_sub(fx.newest_sale(spark, sf), 28)
     return rounded(
         policy.allocate_to_stores(wh_forecasts(spark, sf), fx.sales_fact(spark, sf), store_location_map(spark), locations_static(spark), since, mode),
         6,
@@ -351,7 +351,7 @@ def store_allocation_as_written(spark, sf):
               round(v + 1.2816 * sigma, 4) AS confidence_high FROM p""",
 )
 def series_forecast(spark, sf):
-    return rounded(models.series_forecast(wh_panel(spark, sf), WH, newest=fx.newest_sale(spark, sf)))
+    return rounded(models.series_forecast(wh_panel(spark, sf, 112 + 28), WH, newest=fx.newest_sale(spark, sf)))
 
 
 RULES = [
@@ -447,7 +447,7 @@ def ensemble_weights(spark, sf):
 
 @query("gbt_demand_model")
 def gbt_demand_model(spark, sf):
-    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf, 134 + 28), newest=fx.newest_sale(spark, sf))
     stored = tables.through_disk(spark, split, "split")  # read often while fitting
     model = models.train_demand_model(stored, trees=8, depth=4)
     held = models.score_demand(model, stored.filter("split_name = 'holdout'"))
@@ -521,12 +521,12 @@ TABLES["gap_days"] = "SELECT CAST(unnest(generate_series(max(sale_date) + 1, max
 
 
 def gap_bounds(spark, sf):
-    bounds = fx.sale_bounds(spark, sf)
-    return bounds.select(F.date_add("hi", 1)).scalar(), bounds.select(F.date_add("hi", 3)).scalar()
+    newest = fx.newest_sale(spark, sf)
+    return F.date_add(newest, 1), F.date_add(newest, 3)
 
 
 @query(
-    "synthetic_gap_sales",
+    "synthetic_gap_fill",
     f"""WITH c AS (SELECT d.day, b.isbn13, coalesce(b.price_sales, 15000) AS price, b.is_bestseller_flag AS best,
                    b.is_bestseller_flag OR {bucket_sql('popular-seed', 100, 'b.isbn13')} < 10 AS popular, CAST(l.location_id AS BIGINT) AS store_id, CAST(l.wh_id AS BIGINT) AS wh_id,
                    CASE WHEN l.is_virtual THEN 'online' ELSE 'offline' END AS channel, l.size FROM gap_days d, books_static b, locations_static l WHERE l.location_type <> 'WH')
@@ -538,7 +538,7 @@ def gap_bounds(spark, sf):
             + CASE size WHEN 'L' THEN 500 WHEN 'M' THEN 250 ELSE 0 END + CASE channel WHEN 'online' THEN 700 ELSE 0 END
             + CASE WHEN dayofweek(day) IN (0, 6) THEN 350 ELSE 0 END + CASE WHEN {bucket_sql('spike', 100, 'isbn13', 'day - 1')} < 4 THEN 700 ELSE 0 END)""",
 )
-def synthetic_gap_sales(spark, sf):
+def synthetic_gap_fill(spark, sf):
     stores = training.store_attributes(locations_static(spark))
     return stock.gap_sales(fx.books_static(spark, sf), stores, *gap_bounds(spark, sf))
 
@@ -631,7 +631,7 @@ def snap_sql(label, width):
           FROM inventory i, (SELECT max(sale_date) AS hi FROM sales_lines) x, (SELECT CAST(unnest(generate_series(0, 13)) AS INTEGER) AS d))""",
 )
 def inventory_snapshot_daily(spark, sf):
-    return stock.inventory_snapshots(fx.inventory(spark, sf), fx.sale_bounds(spark, sf).select("hi").scalar())
+    return stock.inventory_snapshots(fx.inventory(spark, sf), fx.newest_sale(spark, sf))
 
 
 @query(
@@ -671,7 +671,7 @@ def open_spikes(spark, sf):
 )
 def forecast_cache_sync(spark, sf):
     rows = fx.forecast_results(spark, sf)
-    newest = fx.sale_bounds(spark, sf).select("hi").scalar()
+    newest = fx.newest_sale(spark, sf)
     version = F.substring("model_version", 1, 30).alias("model_version")
     fresh = policy.latest_run_slice(rows, 2).select("snapshot_date", "isbn13", "store_id", "predicted_demand", version)
     cached = rows.filter(F.col("prediction_date") < newest).select(F.col("target_date").alias("snapshot_date"), "isbn13", "store_id", "predicted_demand", version)

@@ -58,18 +58,18 @@ def train_wh(spark, sf):
     )
 
 
-def train_store(spark, sf):
+def train_store(spark, sf, last=None):
     return training.training_dataset_store(
         fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf),
-        store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf),
+        store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf, last),
     )
 
 
-def store_panel(spark, sf):
+def store_panel(spark, sf, last=None):
     """The dense store panel with its demand class, without covariates."""
     panel = training.store_panel(
         fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), list(range(1, 15)),
-        period=fx.sale_period(spark, sf),
+        period=fx.sale_period(spark, sf, last),
     )
     return series.with_segment(panel, STORE, "feature_date", "qty_sold")
 
@@ -282,7 +282,7 @@ WHERE feature_date > (SELECT max(feature_date) FROM train_store) - 134 AND deman
 
 @query("holdout_split", f"SELECT split_name, isbn13, store_id, feature_date, qty_sold, demand_segment FROM ({SPLIT_SQL})")
 def holdout_split(spark, sf):
-    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf, 134 + 28), newest=fx.newest_sale(spark, sf))
     return split.select("split_name", "isbn13", "store_id", "feature_date", "qty_sold", "demand_segment")
 
 
@@ -313,7 +313,7 @@ def training_metrics(spark, sf):
                  CASE WHEN zero_sales_ratio > 0.995 THEN 'zero_sales_ratio_above_threshold' END) AS r FROM ({METRICS_SQL}) m)""",
 )
 def training_validation(spark, sf):
-    run = fx.sale_bounds(spark, sf).select(F.date_add("hi", 9)).scalar()
+    run = F.date_add(fx.newest_sale(spark, sf), 9)
     return rounded(gates.training_validation(wh_metrics(spark, sf), run, min_rows=1_000_000, min_series=2_000))
 
 
@@ -322,8 +322,8 @@ def training_validation(spark, sf):
     """SELECT max(feature_date) AS max_feature_date, (SELECT max(sale_date) FROM sales_lines) + 2 AS max_allowed_feature_date, true AS is_stale FROM panel_wh""",
 )
 def staleness_guard(spark, sf):
-    run = fx.sale_bounds(spark, sf).select(F.date_add("hi", 3)).scalar()
-    return gates.staleness(wh_panel(spark, sf), run)
+    run = F.date_add(fx.newest_sale(spark, sf), 3)
+    return gates.staleness(wh_panel(spark, sf, 1), run)
 
 
 @query(
@@ -339,10 +339,9 @@ def staleness_guard(spark, sf):
 )
 def forecast_quality(spark, sf):
     rows = fx.forecast_results(spark, sf)
-    newest = fx.sale_bounds(spark, sf)
     out = None
     for back in (0, 1):
-        part = gates.forecast_quality(rows, newest.select(F.date_sub("hi", back)).scalar())
+        part = gates.forecast_quality(rows, F.date_sub(fx.newest_sale(spark, sf), back))
         out = part if out is None else out.unionByName(part)
     pairs = F.transform("target_date_row_counts", lambda x: F.concat_ws("=", x["target_date"].cast("string"), x["row_count"].cast("string")))
     return out.withColumn("target_date_row_counts", F.array_join(pairs, ";"))

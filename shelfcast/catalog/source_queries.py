@@ -251,7 +251,7 @@ def insert_ignore(spark, sf):
 )
 def upsert(spark, sf):
     runs = fx.forecast_results(spark, sf)
-    newest = fx.sale_bounds(spark, sf).select("hi").scalar()
+    newest = fx.newest_sale(spark, sf)
     columns = ["target_date", "isbn13", "store_id", "predicted_demand", "model_version"]
     cached = runs.filter(F.col("prediction_date") < newest).select(*columns)
     fresh = runs.filter(F.col("prediction_date") == newest).select(*columns)
@@ -269,7 +269,7 @@ def replace_partition(spark, sf):
     rows = fx.forecast_results(spark, sf).select("prediction_date", "target_date", "isbn13", "store_id", "predicted_demand")
     rows = rows.withColumn("predicted_demand", F.col("predicted_demand").cast("decimal(38,9)"))
     tables.overwrite_partitions(rows, path, "prediction_date")
-    newest = fx.sale_bounds(spark, sf).first()["hi"]
+    newest = fx.sale_days(spark, sf)[1]
     promoted = rows.withColumn("predicted_demand", (F.col("predicted_demand") * 2).cast("decimal(38,9)"))
     tables.replace_partition(promoted, path, "prediction_date", newest)
     return spark.read.parquet(path).withColumn("predicted_demand", F.col("predicted_demand").cast("double"))

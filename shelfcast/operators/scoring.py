@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from shelfcast.functions.columns import safe_ratio
 from shelfcast.operators.quantiles import exact_quantiles
 
-ERROR = F.abs(F.col("actual") - F.col("predicted"))
-
-
 def stack_models(df: DataFrame, models: dict[str, Column], keep: list[str], actual: str) -> DataFrame:
     """One scored row per model, out of a single pass over the input."""
     entries = [F.struct(F.lit(name).alias("name"), c.cast("double").alias("p")) for name, c in models.items()]
@@ -58,7 +55,7 @@ def error_metrics(scored: DataFrame, group: list[str], quantiles: dict[str, floa
     quantiles = quantiles or {"p50_abs_error": 0.5, "p90_abs_error": 0.9, "p95_abs_error": 0.95}
     pairs = scored.groupBy(*group, "actual", "predicted").agg(F.count("*").alias("_n"))
     sums = pairs.groupBy(*group).agg(*_sums())
-    tails = exact_quantiles(pairs.withColumn("_err", ERROR), group, "_err", quantiles, weight="_n")
+    tails = exact_quantiles(pairs.withColumn("_err", F.abs(F.col("actual") - F.col("predicted"))), group, "_err", quantiles, weight="_n")
     return sums.join(tails, group)
 
 

@@ -69,16 +69,27 @@ def warehouse_panel(
     sales: DataFrame, inventory: DataFrame, store_map: DataFrame, locations: DataFrame, measures=("qty_sold",),
     period: tuple | None = None,
 ) -> DataFrame:
-    """Dense (isbn13, wh_id, day) panel of sales and stock for every series with sales."""
+    """Dense (isbn13, wh_id, day) panel of sales and stock for every series that ever sold.
+
+    With a shorter ``period`` only its days are read and built; the list of
+    series still comes from all sales.
+    """
     keys = ["isbn13", "wh_id"]
     sums = [*measures, "on_hand", "reserved_qty"]
-    sold = daily_warehouse_sales(sales, store_map, locations).withColumn("_sold", F.lit(1))
-    stock = daily_warehouse_inventory(inventory, locations)
     lo, hi = _period(sales, period)
-    daily = _one_table([sold.select(*keys, "feature_date", *measures, "_sold"), stock], [*keys, "feature_date"], [*sums, "_sold"])
-    ever = F.max("_sold").over(Window.partitionBy(*keys)) > 0
-    active = daily.withColumn("_ever", ever).filter("_ever").drop("_ever", "_sold")
-    return densify(active, keys, "feature_date", sums, lo, hi)
+    inside = F.col("feature_date").between(lo, hi)
+    placed = resolve_warehouse(sales, store_map, locations).filter(F.col("sale_date").isNotNull() & F.col("wh_id").isNotNull())
+    series = placed.select(*keys).distinct().select(*keys, lo.alias("feature_date"), F.lit(1).alias("_series"))
+    sold = daily_warehouse_sales(sales, store_map, locations).filter(inside).select(*keys, "feature_date", *measures)
+    stock = daily_warehouse_inventory(inventory, locations).filter(inside)
+    daily = _one_table([series, sold, stock], [*keys, "feature_date"], [*sums, "_series"])
+    return densify(_listed(daily, keys, "_series"), keys, "feature_date", sums, lo, hi)
+
+
+def _listed(daily: DataFrame, keys: list[str], mark: str) -> DataFrame:
+    """Rows of the series that carry the mark on one of their days."""
+    known = F.max(mark).over(Window.partitionBy(*keys)) > 0
+    return daily.withColumn("_known", known).filter("_known").drop("_known", mark)
 
 
 def _covariates() -> dict:
@@ -115,9 +126,10 @@ def enrich(panel: DataFrame, features: DataFrame, books: DataFrame, keep: list[s
     return wide.select(*keep, *[c.alias(name) for name, c in _covariates().items()])
 
 
-def dedupe_features(features: DataFrame) -> DataFrame:
+def dedupe_features(features: DataFrame, period: tuple | None = None) -> DataFrame:
     """One covariate row per book and day; copies are resolved by column order."""
-    return dedupe_first(features, ["isbn13", "feature_date"])
+    rows = features if period is None else features.filter(F.col("feature_date").between(*period))
+    return dedupe_first(rows, ["isbn13", "feature_date"])
 
 
 def training_dataset_wh(
@@ -126,7 +138,7 @@ def training_dataset_wh(
 ) -> DataFrame:
     keys = ["isbn13", "wh_id"]
     panel = warehouse_panel(sales, inventory, store_map, locations, period=period)
-    wide = enrich(panel, dedupe_features(features), books, ["feature_date", *keys, "qty_sold", "on_hand", "reserved_qty"])
+    wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, "qty_sold", "on_hand", "reserved_qty"])
     if drop_prelaunch:
         wide = wide.filter("book_age_days >= 0")
     return with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
@@ -156,13 +168,14 @@ def store_panel(
     keys = ["isbn13", "store_id"]
     sums = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
     lo, hi = _period(sales, period)
-    sold = sales.filter(F.col("store_id").isin(store_ids)).select(
+    sold = sales.filter(F.col("store_id").isin(store_ids) & F.col("sale_date").between(lo, hi)).select(
         *keys, F.col("sale_date").alias("feature_date"), F.coalesce("qty_sold", F.lit(0)).alias("qty_sold")
     )
     link = store_map.select("store_id", F.col("inventory_location_id" if stock_via == "inventory_location" else "location_id").alias("location_id"))
     # Stock columns are taken as they are, so a second row for one key is an error, not a second helping.
     stock = (
-        inventory.groupBy("snapshot_date", "isbn13", "location_id")
+        inventory.filter(F.col("snapshot_date").between(lo, hi))
+        .groupBy("snapshot_date", "isbn13", "location_id")
         .agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in sums[1:]])
         .withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(F.lit("inventory has two rows for one book, place and day"))).otherwise(F.lit(0)))
         .join(link, "location_id")
@@ -173,9 +186,7 @@ def store_panel(
     stores = F.explode(F.array(*[F.lit(s).cast("bigint") for s in store_ids]))
     seeds = books.select("isbn13", stores.alias("store_id"), lo.alias("feature_date"), F.lit(1).alias("_book"))
     daily = _one_table([sold, stock, seeds], [*keys, "feature_date"], [*sums, "_book"])
-    known = F.max("_book").over(Window.partitionBy(*keys)) > 0
-    listed = daily.withColumn("_known", known).filter("_known").drop("_known", "_book")
-    return densify(listed, keys, "feature_date", sums, lo, hi)
+    return densify(_listed(daily, keys, "_book"), keys, "feature_date", sums, lo, hi)
 
 
 def training_dataset_store(
@@ -188,7 +199,7 @@ def training_dataset_store(
     ids = [r["store_id"] for r in stores.select("store_id").orderBy("store_id").collect()]
     panel = store_panel(sales, inventory, books, store_map, ids, stock_via, period)
     facts = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
-    wide = enrich(panel, dedupe_features(features), books, ["feature_date", *keys, *facts])
+    wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, *facts])
     wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
     total = F.sum("qty_sold").over(trailing(keys, "feature_date", 28))
     return wide.withColumn("demand_segment", segment_of(total)).join(stores, "store_id")
@@ -209,7 +220,7 @@ def automl_input(
     )
     lo, hi = _period(sales, period)
     dense = densify(daily, keys, "feature_date", ["qty_sold", "revenue", "avg_price", "tx_count"], lo, hi)
-    flags = dedupe_features(features).select(
+    flags = dedupe_features(features, period).select(
         "isbn13", "feature_date", "sns_mentions_1d", "sns_mentions_7d", "is_holiday", "event_nearby_days", "season",
         "day_of_week", "month", "is_weekend",
     )
