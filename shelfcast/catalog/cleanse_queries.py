@@ -292,7 +292,7 @@ def history_expand(spark, sf):
 )
 def holiday_best(spark, sf):
     zero = F.lit(0).cast("bigint")
-    fixed = cal.holiday_dates(spark, fx.sale_bounds(spark, sf), HOLIDAYS).select("*", F.lit(0).alias("priority"), zero.alias("position"))
+    fixed = cal.holiday_dates(spark, fx.literal_bounds(spark, sf), HOLIDAYS).select("*", F.lit(0).alias("priority"), zero.alias("position"))
     trade = yearly_events(spark, sf).select(F.col("start_date").alias("holiday_date"), F.col("event_type").alias("holiday_name"), F.lit(1).alias("priority"), zero.alias("position"))
     rush = fx.table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(
         F.to_date("o_orderdate").alias("holiday_date"), F.concat(F.lit("rush "), "o_orderpriority").alias("holiday_name"),

@@ -169,9 +169,14 @@ def sale_period(spark, sf, last: int | None = None) -> tuple:
     return F.lit(lo), F.lit(hi)
 
 
+def literal_bounds(spark, sf) -> DataFrame:
+    lo, hi = sale_days(spark, sf)
+    return spark.sql(f"SELECT DATE '{lo}' AS lo, DATE '{hi}' AS hi")
+
+
 @once
 def calendar(spark, sf) -> DataFrame:
-    bounds = sale_bounds(spark, sf)
+    bounds = literal_bounds(spark, sf)
     return calendar_table(bounds, holiday_dates(spark, bounds, HOLIDAYS))
 
 

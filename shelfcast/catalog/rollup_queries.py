@@ -233,6 +233,6 @@ def distinct_series(spark, sf):
 )
 def union_by_name(spark, sf):
     trade = yearly_events(spark, sf).select(F.col("event_type").alias("title"), F.col("start_date").alias("day"), "end_date")
-    off = cal.holiday_dates(spark, fx.sale_bounds(spark, sf), HOLIDAYS).select(F.col("holiday_date").alias("day"), F.col("holiday_name").alias("title"))
+    off = cal.holiday_dates(spark, fx.literal_bounds(spark, sf), HOLIDAYS).select(F.col("holiday_date").alias("day"), F.col("holiday_name").alias("title"))
     orders = fx.pending_orders(spark, sf).select("order_id", F.col("order_type").alias("title"), F.to_date("created_at").alias("day"))
     return cleanse.union_all_by_name([trade, off, orders])

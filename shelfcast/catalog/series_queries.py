@@ -194,7 +194,7 @@ def days_since_stockout(spark, sf):
 
 @query("next_event_days", "SELECT c.day, c.event_nearby_days, count(s.txn_id) AS lines FROM calendar c LEFT JOIN sales_lines s ON s.sale_date = c.day GROUP BY 1, 2")
 def next_event_days(spark, sf):
-    bounds = fx.sale_bounds(spark, sf)
+    bounds = fx.literal_bounds(spark, sf)
     near = cal.next_event_days(cal.day_range(bounds), cal.holiday_dates(spark, bounds, HOLIDAYS))
     lines = fx.sales_lines(spark, sf).groupBy(F.col("sale_date").alias("day")).agg(F.count("*").alias("lines"))
     return near.join(lines, "day", "left").select("day", "event_nearby_days", F.coalesce("lines", F.lit(0)).alias("lines"))

@@ -69,7 +69,7 @@ def multi_source_union(spark, sf):
     made = yearly_events(spark, sf)
     for kind in ("book_fair", "publisher_promo"):  # the author_signing folder stays absent
         made.filter(F.col("event_type") == kind).drop("event_type").write.json(f"{path}/{kind}")
-    days = holiday_dates(spark, fx.sale_bounds(spark, sf), HOLIDAYS)
+    days = holiday_dates(spark, fx.literal_bounds(spark, sf), HOLIDAYS)
     days.select(
         F.concat_ws("-", F.lit("holiday"), F.date_format("holiday_date", "yyyyMMdd")).alias("event_id"),
         F.col("holiday_date").alias("start_date"), F.col("holiday_date").alias("end_date"), F.col("holiday_name").alias("title"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.sides import small_side
+
 
 def trailing_mentions(daily: DataFrame, days: int = 7) -> DataFrame:
     """Mentions of the previous day and of the previous ``days`` days, per book and day.
@@ -63,7 +65,7 @@ def build_features(
         .join(trailing_mentions(mentions), ["isbn13", "feature_date"], "left")
         .join(stock_totals(inventory), ["isbn13", "feature_date"], "left")
         .join(books.select("isbn13", "pub_date", "is_bestseller_flag"), "isbn13", "left")
-        .join(calendar.withColumnRenamed("day", "feature_date"), "feature_date")
+        .join(small_side(calendar.withColumnRenamed("day", "feature_date")), "feature_date")
         .select(
             "feature_date", "isbn13", "is_holiday", "holiday_name", "season", "day_of_week", "is_weekend", "month",
             "event_nearby_days",

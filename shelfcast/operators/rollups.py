@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.domain import inline_table
 from shelfcast.functions.columns import int_div
+from shelfcast.operators.sides import small_side
 
 
 def daily_sales(lines: DataFrame) -> DataFrame:
@@ -141,10 +142,10 @@ def safety_stock(demand: DataFrame, locations: DataFrame, days: int = 5, floor:
     physical = locations.filter("NOT is_virtual")
     stores = physical.filter("location_type <> 'WH'").select(F.col("location_id").cast("bigint").alias("store_id"), "wh_id")
     houses = physical.filter("location_type = 'WH'").groupBy("wh_id").agg(F.min("location_id").cast("bigint").alias("location_id"))
-    base = demand.join(stores, "store_id")
+    base = demand.join(small_side(stores), "store_id")
     store_rows = base.select("isbn13", F.col("store_id").alias("location_id"), units("demand").alias("safety_stock"))
     house_rows = (
-        base.groupBy("isbn13", "wh_id").agg(F.sum("demand").alias("demand")).join(houses, "wh_id")
+        base.groupBy("isbn13", "wh_id").agg(F.sum("demand").alias("demand")).join(small_side(houses), "wh_id")
         .select("isbn13", "location_id", units("demand").alias("safety_stock"))
     )
     return store_rows.unionByName(house_rows)
@@ -156,10 +157,10 @@ def cross_spikes(lines: DataFrame, since: Column, until: Column, at: str = "even
         lines.filter((F.col(at) > since) & (F.col(at) <= until)).groupBy("isbn13").agg(F.count("*").alias("count_w"))
     )
     stats = counts.agg(F.avg("count_w").alias("m"), F.coalesce(F.stddev_pop("count_w"), F.lit(0.0)).alias("s"))
-    mean, spread = stats.select("m").scalar(), stats.select("s").scalar()
+    both = stats.select(F.struct("m", "s")).scalar()
     z = F.try_divide(F.col("count_w") - F.col("mean_w"), F.col("std_w"))
     return (
-        counts.select("isbn13", "count_w", mean.alias("mean_w"), spread.alias("std_w"))
+        counts.select("isbn13", "count_w", both["m"].alias("mean_w"), both["s"].alias("std_w"))
         .withColumn("z_score", z)
         .filter((F.col("std_w") > 0) & (F.col("z_score") >= threshold))
     )

@@ -1,0 +1,17 @@
+"""Join sides that are broadcast only after a look at their size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Ask for a broadcast if ``df`` has at most ``max_rows`` rows.
+
+    Meant for store, location and calendar tables: they join on keys with few
+    values, where a shuffle would put a large part of the facts into one task.
+    The count stops after ``max_rows`` rows. A larger side is left to Spark,
+    which shuffles it and splits heavy keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -10,7 +10,6 @@ from shelfcast.operators.quantiles import exact_quantiles
 from shelfcast.operators.scoring import calibration_factors, error_metrics, stack_models
 from shelfcast.operators.series import (
     last_days,
-    trailing,
     with_intermittent_stats,
     with_lags,
     with_rolling_means,
@@ -137,7 +136,8 @@ def feature_screen(
     held = last_days(training, "feature_date", holdout_days, newest)
     scored = stack_models(held, {"baseline_ma28": zero("qty_rolling_28d")}, ["demand_segment"], "qty_sold")
     tails = exact_quantiles(
-        scored.withColumn("_e", F.abs(F.col("actual") - F.col("predicted"))), ["demand_segment"], "_e", {"metric_3": 0.9}
+        scored.withColumn("_e", F.abs(F.col("actual") - F.col("predicted"))), ["demand_segment"], "_e", {"metric_3": 0.9},
+        few_groups=True,
     )
     wape = safe_ratio(F.sum(F.abs(F.col("actual") - F.col("predicted"))), F.sum(F.abs("actual")))
     base = (
@@ -158,7 +158,8 @@ def segment_multipliers(scored: DataFrame, service_level: float = 0.9, cap: floa
     """Quantile of actual over predicted per segment, kept between 1 and ``cap``."""
     ratio = F.col("actual") / F.greatest("predicted", F.lit(0.05))
     q = exact_quantiles(
-        scored.filter(F.col("demand_segment").isNotNull()).withColumn("_r", ratio), ["demand_segment"], "_r", {"q": service_level}
+        scored.filter(F.col("demand_segment").isNotNull()).withColumn("_r", ratio), ["demand_segment"], "_r", {"q": service_level},
+        few_groups=True,
     )
     return q.select("demand_segment", F.least(F.greatest("q", F.lit(1.0)), F.lit(cap)).alias("multiplier"))
 

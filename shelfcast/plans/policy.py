@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import is_weekend, safe_ratio, weekday
 from shelfcast.operators.keyed import latest_per_key
+from shelfcast.operators.sides import small_side
 
 
 def future_features(
@@ -101,7 +102,7 @@ def stores_per_warehouse(store_map: DataFrame, locations: DataFrame) -> DataFram
 
 def recent_store_sales(sales: DataFrame, stores: DataFrame, since: Column) -> DataFrame:
     sold = sales.filter(F.col("sale_date") >= since).groupBy("isbn13", "store_id").agg(F.sum("qty_sold").alias("store_qty"))
-    return sold.join(stores.select("store_id", "wh_id"), "store_id")
+    return sold.join(small_side(stores.select("store_id", "wh_id")), "store_id")
 
 
 def demand_shares(series: DataFrame, stores: DataFrame, recent: DataFrame, mode: str = "normalized", copies: int = 1) -> DataFrame:
@@ -115,7 +116,7 @@ def demand_shares(series: DataFrame, stores: DataFrame, recent: DataFrame, mode:
     """
     totals = recent.groupBy("isbn13", "wh_id").agg(F.sum("store_qty").alias("_total"))
     rows = (
-        series.join(stores, "wh_id")
+        series.join(small_side(stores), "wh_id")
         .join(recent.select("isbn13", "store_id", "store_qty"), ["isbn13", "store_id"], "left")
         .join(totals, ["isbn13", "wh_id"], "left")
     )
@@ -150,7 +151,7 @@ def roll_up_to_warehouse(forecasts: DataFrame, store_map: DataFrame, locations:
         locations.select("location_id", F.col("wh_id").cast("bigint").alias("wh_id")), "location_id"
     )
     return (
-        forecasts.join(place.select("store_id", "wh_id"), "store_id")
+        forecasts.join(small_side(place.select("store_id", "wh_id")), "store_id")
         .groupBy("wh_id", "isbn13", "target_date", "prediction_date")
         .agg(*[F.sum(c).alias(c) for c in ("predicted_demand", "confidence_low", "confidence_high")])
     )
@@ -162,10 +163,10 @@ def append_warehouse_rows(forecasts: DataFrame, locations: DataFrame, digits: in
     houses = locations.filter(F.col("location_type") == "WH").groupBy("wh_id").agg(F.min("location_id").cast("bigint").alias("_house"))
     total = F.sum(F.coalesce("predicted_demand", F.lit(0.0)))
     summed = (
-        forecasts.join(stores, "store_id")
+        forecasts.join(small_side(stores), "store_id")
         .groupBy("prediction_date", "target_date", "isbn13", "wh_id")
         .agg(total.alias("t"))
-        .join(houses, "wh_id")
+        .join(small_side(houses), "wh_id")
         .select(
             "prediction_date", "target_date", "isbn13", F.col("_house").alias("store_id"), F.bround("t", digits).alias("predicted_demand"),
             F.bround(F.col("t") * 0.85, digits).alias("confidence_low"), F.bround(F.col("t") * 1.15, digits).alias("confidence_high"),

@@ -14,6 +14,7 @@ from shelfcast.operators.series import (
     with_lags,
     with_rolling_means,
 )
+from shelfcast.operators.sides import small_side
 
 
 def resolve_warehouse(sales: DataFrame, store_map: DataFrame, locations: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def resolve_warehouse(sales: DataFrame, store_map: DataFrame, locations: DataFra
         locations.select("location_id", F.col("wh_id").alias("_home")), "location_id"
     )
     return (
-        sales.join(home.select("store_id", "_home"), "store_id", "left")
+        sales.join(small_side(home.select("store_id", "_home")), "store_id", "left")
         .withColumn("wh_id", F.coalesce(F.col("_home").cast("bigint"), F.col("wh_id")))
         .drop("_home")
     )
@@ -40,7 +41,7 @@ def daily_warehouse_sales(sales: DataFrame, store_map: DataFrame, locations: Dat
 def daily_warehouse_inventory(inventory: DataFrame, locations: DataFrame) -> DataFrame:
     return (
         inventory.filter(F.col("snapshot_date").isNotNull())
-        .join(locations.select("location_id", F.col("wh_id").cast("bigint").alias("wh_id")), "location_id")
+        .join(small_side(locations.select("location_id", F.col("wh_id").cast("bigint").alias("wh_id"))), "location_id")
         .groupBy(F.col("snapshot_date").alias("feature_date"), "isbn13", "wh_id")
         .agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("on_hand", "reserved_qty")])
     )
@@ -178,7 +179,7 @@ def store_panel(
         .groupBy("snapshot_date", "isbn13", "location_id")
         .agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in sums[1:]])
         .withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(F.lit("inventory has two rows for one book, place and day"))).otherwise(F.lit(0)))
-        .join(link, "location_id")
+        .join(small_side(link), "location_id")
         .filter(F.col("store_id").isin(store_ids) & (F.col("_n") == 0))
         .select("isbn13", F.col("store_id").cast("bigint").alias("store_id"), F.col("snapshot_date").alias("feature_date"), *sums[1:])
     )
@@ -202,7 +203,7 @@ def training_dataset_store(
     wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, *facts])
     wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
     total = F.sum("qty_sold").over(trailing(keys, "feature_date", 28))
-    return wide.withColumn("demand_segment", segment_of(total)).join(stores, "store_id")
+    return wide.withColumn("demand_segment", segment_of(total)).join(small_side(stores), "store_id")
 
 
 def automl_input(
