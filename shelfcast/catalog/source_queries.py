@@ -11,7 +11,7 @@ from shelfcast.domain import EVENT_TYPES, HOLIDAYS, MART_TABLES, YEARLY_EVENTS,
 from shelfcast.functions.columns import is_isbn13
 from shelfcast.operators.calendar import expand_yearly_events, holiday_dates
 from shelfcast.operators.cleanse import clean_pos
-from shelfcast.operators.series import trailing
+from shelfcast.operators.series import densify, trailing
 from shelfcast.session import fresh_dir
 from shelfcast.sources import load, raw, tables
 from shelfcast.streaming import pos
@@ -276,7 +276,8 @@ def replace_partition(spark, sf):
 
 
 def store_days(spark, sf):
-    return fx.sales_lines(spark, sf).groupBy("store_id", "sale_date").agg(F.sum("qty").alias("qty"))
+    sold = fx.sales_lines(spark, sf).groupBy("store_id", "sale_date").agg(F.sum("qty").alias("qty"))
+    return densify(sold, ["store_id"], "sale_date", ["qty"], *fx.sale_period(spark, sf))
 
 
 def with_month_mean(df):
@@ -286,7 +287,9 @@ def with_month_mean(df):
 
 @query(
     "range_replace",
-    """WITH d AS (SELECT store_id, sale_date, CAST(sum(qty) AS BIGINT) AS qty FROM sales_lines GROUP BY 1, 2),
+    """WITH d AS (SELECT k.store_id, x.day AS sale_date, coalesce(s.qty, 0) AS qty FROM (SELECT DISTINCT store_id FROM sales_lines) k CROSS JOIN sales_days x
+                  LEFT JOIN (SELECT store_id, sale_date, CAST(sum(qty) AS BIGINT) AS qty FROM sales_lines GROUP BY 1, 2) s
+                    ON s.store_id = k.store_id AND s.sale_date = x.day),
             c AS (SELECT store_id, sale_date, CASE WHEN sale_date >= DATE '2001-10-01' THEN qty * 2 ELSE qty END AS qty FROM d)
        SELECT store_id, sale_date, qty, round(avg(qty) OVER (PARTITION BY store_id ORDER BY sale_date
               ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 4) AS mean_28, CAST(date_trunc('month', sale_date) AS DATE) AS sale_month FROM c""",
@@ -297,8 +300,8 @@ def range_replace(spark, sf):
     days = store_days(spark, sf)
     with_month_mean(days).repartition("sale_month").write.partitionBy("sale_month").parquet(path)
     doubled = days.withColumn("qty", F.when(F.col("sale_date") >= start, F.col("qty") * 2).otherwise(F.col("qty")))
-    # 28 earlier rows per store are enough lead-in; stores may skip days, so 90 days are read.
-    redone = with_month_mean(doubled.filter(F.col("sale_date") >= F.date_sub(start, 90)))
+    # The series is dense, so 28 days of lead-in are the 28 rows the mean needs.
+    redone = with_month_mean(doubled.filter(F.col("sale_date") >= F.date_sub(start, 28)))
     tables.replace_range(redone, path, "sale_month", start, end)
     return spark.read.parquet(path)
 

@@ -7,6 +7,8 @@ output instead of adding to it.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,9 +108,10 @@ class PosTables:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def put(self, df: DataFrame, name: str, batch: int) -> None:
+    def put(self, df: DataFrame, name: str, batch: int, by: str | None = None) -> None:
         """Write one batch of a table; repeating the batch replaces it."""
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/batch={batch}")
+        writer = df.write if by is None else df.repartition(by).write.partitionBy(by)
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path(name)}/batch={batch}")
 
     def get(self, name: str, schema: str) -> DataFrame:
         """The named columns of all batches so far; ``batch INT`` may be one. An absent table is empty."""
@@ -128,11 +131,14 @@ SALES_COLUMNS = (
 )
 
 
-def ingest_batch(tables: PosTables, locations: DataFrame):
+def ingest_batch(tables: PosTables, locations: DataFrame, known_days: int | None = None):
     """``foreachBatch`` body: every transaction is stored once, however often it arrives.
 
     Stock and KPIs are functions of the stored sales, so a transaction that
-    arrives again changes neither.
+    arrives again changes neither. By default all stored sales are looked up.
+    Where copies carry the time of the original, ``known_days`` limits the lookup
+    to the date folders that far around the batch, which keeps it small however
+    long the history grows.
     """
 
     def body(lines: DataFrame, batch: int) -> None:
@@ -141,8 +147,13 @@ def ingest_batch(tables: PosTables, locations: DataFrame):
         rows = sales_rows(good, locations).select(*[c.split(" ")[0] for c in SALES_COLUMNS.split(", ")])
         # Rows this batch wrote in an earlier attempt must not count as known.
         known = tables.get("sales", SALES_COLUMNS + ", batch INT").filter(F.col("batch") != batch)
+        if known_days is not None:
+            span = rows.agg(F.min("kpi_date").alias("lo"), F.max("kpi_date").alias("hi")).first()
+            if span["lo"] is not None:
+                lo, hi = span["lo"] - timedelta(days=known_days), span["hi"] + timedelta(days=known_days)
+                known = known.filter(F.col("kpi_date").between(lo, hi))
         fresh = dedupe_first(rows, ["txn_id"], ["event_ts"]).join(known.select("txn_id"), "txn_id", "left_anti")
-        tables.put(fresh, "sales", batch)
+        tables.put(fresh, "sales", batch, by="kpi_date")
         tables.put(bad, "rejected", batch)
         stored = tables.spark.read.schema(SALES_COLUMNS).parquet(f"{tables.path('sales')}/batch={batch}")
         tables.put(audit_rows(stored, "pos-stream", "sales.ingest", "sales_realtime", "txn_id", ["isbn13", "store_id", "qty"]), "audit", batch)
@@ -151,12 +162,12 @@ def ingest_batch(tables: PosTables, locations: DataFrame):
     return body
 
 
-def run_ingest(lines: DataFrame, tables: PosTables, locations: DataFrame, once: bool = True):
+def run_ingest(lines: DataFrame, tables: PosTables, locations: DataFrame, once: bool = True, known_days: int | None = None):
     """Start the ingest stream: everything available once, or every five seconds.
 
     The checkpoint lives with the tables, because their batch numbers belong together.
     """
-    writer = lines.writeStream.foreachBatch(ingest_batch(tables, locations)).option("checkpointLocation", tables.path("_checkpoint"))
+    writer = lines.writeStream.foreachBatch(ingest_batch(tables, locations, known_days)).option("checkpointLocation", tables.path("_checkpoint"))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
     return writer.start()
 
