@@ -66,9 +66,9 @@ def baseline_backtest(spark, sf):
     return rounded(backtest.baseline_backtest(wh_panel(spark, sf, 56), WH, newest=fx.newest_sale(spark, sf)), 5)
 
 
-@query("forecast_error_metrics", metrics_sql(STACK_WH.format(days=2400), "model"))
+@query("forecast_error_metrics", metrics_sql(STACK_WH.format(days=100000), "model"))
 def forecast_error_metrics(spark, sf):
-    return rounded(scoring.error_metrics(backtest.baseline_scores(wh_panel(spark, sf), WH, 2400, newest=fx.newest_sale(spark, sf)), ["model"]), 5)
+    return rounded(scoring.error_metrics(backtest.baseline_scores(wh_panel(spark, sf), WH, 100_000, newest=fx.newest_sale(spark, sf)), ["model"]), 5)
 
 
 SEGMENT_SQL = """
@@ -291,8 +291,8 @@ RECENT_SQL = "SELECT isbn13, wh_id, store_id, sum(qty_sold) AS store_qty FROM sa
 
 def allocation_sql(share):
     return f"""WITH wp AS ({ALLOCATION_INPUT}), st AS ({STORES_SQL}), rs AS ({RECENT_SQL})
-SELECT wp.prediction_date, wp.target_date, wp.isbn13, sh.store_id, round(sum(wp.predicted_demand * sh.share), 6) AS predicted_demand,
-       round(sum(wp.confidence_low * sh.share), 6) AS confidence_low, round(sum(wp.confidence_high * sh.share), 6) AS confidence_high
+SELECT wp.prediction_date, wp.target_date, wp.isbn13, sh.store_id, round(sum(wp.predicted_demand * sh.share), 9) AS predicted_demand,
+       round(sum(wp.confidence_low * sh.share), 9) AS confidence_low, round(sum(wp.confidence_high * sh.share), 9) AS confidence_high
 FROM wp JOIN ({share}) sh ON sh.isbn13 = wp.isbn13 AND sh.wh_id = wp.wh_id GROUP BY 1, 2, 3, 4"""
 
 
@@ -310,7 +310,7 @@ def allocation(spark, sf, mode):
     since = F.date_sub(fx.newest_sale(spark, sf), 28)
     return rounded(
         policy.allocate_to_stores(wh_forecasts(spark, sf), fx.sales_fact(spark, sf), store_location_map(spark), locations_static(spark), since, mode),
-        6,
+        9,
     )
 
 

@@ -9,23 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import col
 
-
-def _pick(df: DataFrame, keys: list[str], order: list, latest: bool) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by if latest else F.min_by
-    rank = F.struct(*[col(c) for c in order], *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(best(F.struct(*rest), rank).alias("_row"))
+def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
+    """The smallest or largest row per key, compared by ``order`` and then by the other columns."""
+    rest = [c for c in order if c not in keys] + [c for c in df.columns if c not in keys and c not in order]
+    if not rest:
+        return df.distinct()
+    best = F.max if latest else F.min
+    picked = df.groupBy(*keys).agg(best(F.struct(*rest)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def dedupe_first(df: DataFrame, keys: list[str], order: list = ()) -> DataFrame:
+def dedupe_first(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
     """One row per key: the first by ``order``, ties broken by all other columns."""
     return _pick(df, keys, list(order), latest=False)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the last by ``order``, ties broken by all other columns."""
     return _pick(df, keys, list(order), latest=True)
 

@@ -54,4 +54,4 @@ def test_upsert_keeps_null_values_of_the_new_row(spark, rows):
 def test_plans_reduce_before_the_shuffle(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     plan = dedupe_first(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min(" in plan and "Window" not in plan
