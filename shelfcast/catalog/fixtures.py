@@ -22,9 +22,10 @@ def once(make):
 
     @wraps(make)
     def frame(spark: SparkSession, sf: str, *name: str):
-        key = (spark.sparkContext.applicationId, id(spark), sf, make.__name__, *name)
+        folder = str(sf).rstrip("/")
+        key = (spark.sparkContext.applicationId, id(spark), folder, make.__name__, *name)
         if key not in _FRAMES:
-            _FRAMES[key] = make(spark, sf, *name)
+            _FRAMES[key] = make(spark, folder, *name)
         return _FRAMES[key]
 
     return frame
@@ -32,7 +33,7 @@ def once(make):
 
 @once
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def isbn(c) -> F.Column:

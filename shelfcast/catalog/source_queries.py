@@ -333,7 +333,7 @@ EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING
 
 
 def event_stream(spark, sf):
-    return pos.read_stream(spark, f"{sf.rstrip('/')}/events.parquet", T.StructType.fromDDL(EVENT_SCHEMA), "parquet")
+    return pos.read_stream(spark, f"{str(sf).rstrip('/')}/events.parquet", T.StructType.fromDDL(EVENT_SCHEMA), "parquet")
 
 
 @query("stream_pos_source", "SELECT * FROM pos_raw")

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.functions.columns import business_date, is_isbn13
+from shelfcast.functions.columns import business_date
 from shelfcast.operators.cleanse import normalize_pos
 from shelfcast.operators.enrich import stock_location
 from shelfcast.operators.keyed import dedupe_first
+from shelfcast.operators.rollups import kpi_daily
 from shelfcast.sources.raw import POS_SCHEMA
 
 
@@ -69,8 +70,6 @@ def sales_rows(records: DataFrame, locations: DataFrame) -> DataFrame:
 
 def kpi_of(sales: DataFrame) -> DataFrame:
     """Daily KPIs of inserted sales, always from all sales of the touched keys."""
-    from shelfcast.operators.rollups import kpi_daily
-
     return kpi_daily(sales.withColumnRenamed("kpi_date", "sale_date").select("sale_date", "store_id", "channel", "isbn13", "qty", "revenue"))
 
 
@@ -209,7 +208,3 @@ def mirror(spark: SparkSession, source: str, target: str, schema: T.StructType,
     if by:
         writer = writer.partitionBy(*by)
     return writer.option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def valid_sales(records: DataFrame) -> DataFrame:
-    return records.filter((F.col("qty") > 0) & is_isbn13("isbn13"))
