@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
 
 QUERIES: dict = {}
@@ -20,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
