@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
+from shelfcast.llm.simhash import simhash_components
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash_components(table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
