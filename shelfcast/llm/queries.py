@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.packing import pack_documents
+from shelfcast.llm.quality import score_quality
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
 from shelfcast.llm.simhash import simhash_components
 
@@ -40,6 +41,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return score_quality(table(spark, sf_dir, "documents"), labels)
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
