@@ -7,6 +7,7 @@ with large and small parts, differencing ends in windows that are nearly equal.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import os
@@ -97,7 +98,7 @@ class WordIds:
     remembered up to a bound. Texts of other tokenizers are encoded whole.
     """
 
-    def __init__(self, path: str, known: int = 300_000, longest: int = 64):
+    def __init__(self, path: str, known: int = 400_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -182,6 +183,13 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     fields += [("ids", T.BinaryType())] + [(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # there are no cycles here, and each collection would walk millions of words
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, words = arrow_schema(fields), WordIds(tokenizer)
         last = np.array([end_id], dtype="<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 36
@@ -214,7 +222,7 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             return batch_of(schema, *([x.v if k == 0 else x for x in column] for k, column in enumerate(zip(*joined, strict=True))))
 
         for batch in batches:
-            for ids, texts in byte_chunks(batch):
+            for ids, texts in byte_chunks(batch, 12 << 20):
                 whole: list[list] = []
                 for doc, tokens in zip(ids.to_pylist(), words([t or b"" for t in texts]), strict=True):
                     tokens += last
