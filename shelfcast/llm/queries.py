@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.language import identify_language
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality import score_quality
+from shelfcast.llm.sampling import crc_of
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
 from shelfcast.llm.simhash import simhash_components
+from shelfcast.llm.toxicity import score_toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,6 +32,15 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of(F.col("doc_id")) % 4 == 2
+    known = docs.where(~held_out).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
+    found = identify_language(docs, known)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("nearest", F.lit("und")).alias("lang_pred"), "score", "rejected")
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -47,6 +59,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), labels)
 
 
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that may be learnt from."""
+    labels = table(spark, sf_dir, "labels").where(crc_of(F.col("doc_id")) % 5 != 0)
+    return labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), toxic_labels(spark, sf_dir))
+    held_out = F.coalesce(crc_of(F.col("doc_id")) % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
