@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
-from shelfcast.llm.sampling import dense, in_one_task, sample_features, sampled_ids
+from shelfcast.llm.sampling import dense, in_one_task, sample_features, two_sided_ids
 
 #: Buckets of word n-grams (one and two words, half each) and of 3-byte character n-grams.
 WORD_BUCKETS, CHAR_BUCKETS = 2048, 2048
 #: Labelled rows of each label that the fit reads at most.
-SAMPLE_ROWS = 999
+SAMPLE_ROWS = 1000
 
 
 def word_numbers(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -128,7 +128,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     if counts.keys() != {0, 1}:
         return b""
-    return in_one_task(sample_features(docs, sampled_ids(labels.where("label in (0, 1)"), sample_rows), features), fit)
+    return in_one_task(sample_features(docs, two_sided_ids(labels, sample_rows), features), fit)
 
 
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -28,6 +28,13 @@ def sampled_ids(labels: DataFrame, rows: int) -> DataFrame:
     return known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows).select(F.col("id").alias("sample_id"), "label")
 
 
+def two_sided_ids(labels: DataFrame, rows: int) -> DataFrame:
+    """The same for the labels 0 and 1: a top-``rows`` of each, reduced on every partition first."""
+    known = labels.where("id is not null").select(F.col("id").alias("sample_id"), "label")
+    sides = [known.where(F.col("label") == side).orderBy(F.xxhash64("sample_id"), "sample_id").limit(rows) for side in (0, 1)]
+    return sides[0].unionAll(sides[1])
+
+
 def sample_features(docs: DataFrame, ids: DataFrame, features: Callable[[bytes], np.ndarray]) -> DataFrame:
     """(sample_id, label, places, values): the non-zero features of the sampled documents (doc_id, text)."""
     picked = docs.join(F.broadcast(ids), docs["doc_id"] == ids["sample_id"]).select("sample_id", "text", "label")  # bounded by the sample

@@ -16,19 +16,20 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
 from shelfcast.llm.quality import fit_platt
-from shelfcast.llm.sampling import in_one_task, sampled_ids
+from shelfcast.llm.sampling import in_one_task, two_sided_ids
 
 #: Labelled rows of each label that the fit reads at most, terms of the index, neighbours that vote, examples of a block.
-SAMPLE_ROWS, TERMS, NEIGHBOURS, BLOCK = 999, 4096, 12, 64
-#: Characters of the pieces of words that are terms beside the words, and words remembered by a task.
-PIECE, KNOWN_WORDS = 4, 300_000
+SAMPLE_ROWS, TERMS, NEIGHBOURS, BLOCK = 2500, 4096, 12, 64
+#: A term must be in so many and in such a share of the toxic examples, and in so many times the share of the others.
+LEAST_EXAMPLES, LEAST_SHARE, LEAST_RATIO = 3, 0.01, 40
+#: Lengths of the stems that are terms beside the words, and words remembered by a task.
+STEMS, KNOWN_WORDS = (4, 5, 6), 300_000
 WORDS = regex.compile(r"\p{L}+").findall
 
 
 def word_terms(word: str) -> list[str]:
-    """A word and its pieces with marked ends, so that a new ending of a known stem still has known terms."""
-    marked = f"^{word}$"
-    return [word, *(f"{i and ' ' or ''}{marked[i : i + PIECE + (not i)]}" for i in range(max(1, len(marked) - PIECE)))]
+    """A word and its first letters as stems, so that a new ending of a known stem still has known terms."""
+    return [word, *(f"{word[:n]}-" for n in STEMS if len(word) >= n)]
 
 
 def term_counts(text: str) -> Counter:
@@ -98,27 +99,33 @@ def _vector(counts: Counter, number: dict[str, int], idf: np.ndarray) -> dict[in
 
 
 def _vote(near: list[tuple[int, float]], labels: np.ndarray) -> float:
-    """Share of toxic neighbours, each by its squared cosine, beside a small vote for not toxic."""
+    """Share of toxic neighbours, each by its squared cosine, beside one vote for not toxic: far neighbours count little."""
     weight = [s * s for _, s in near]
-    return sum(w * float(labels[i]) for w, (i, _) in zip(weight, near, strict=True)) / (sum(weight) + 0.05)
+    return sum(w * float(labels[i]) for w, (i, _) in zip(weight, near, strict=True)) / (sum(weight) + 1)
 
 
 def _fit(table: pa.Table, share: float) -> bytes:
     ids, labels = table["sample_id"].to_pylist(), table["label"].to_numpy().astype(np.int64)
     counts = [term_counts(t or "") for t in table["text"].to_pylist()]
-    sides = [Counter(t for c, y in zip(counts, labels) if y == side for t in c) for side in (0, 1)]
+    seen = [set() for _ in (0, 1)]
+    sides = [Counter(), Counter()]
+    for c, y in zip(counts, labels.tolist(), strict=True):
+        mark = hash(frozenset(c.items()))
+        if mark not in seen[y]:  # copies count once
+            seen[y].add(mark)
+            sides[y].update(c.keys())
     n = [max(1, int((labels == side).sum())) for side in (0, 1)]
 
     def gain(term: str) -> float:
-        """How much oftener a term is in toxic examples, as a log-likelihood ratio; not positive for others."""
+        """How much a term tells of toxic examples, as a log-likelihood ratio; 0 for those not clearly oftener there."""
         a, b = sides[1][term], sides[0][term]
-        if a < 3 or a / n[1] < 4 * (b + 0.5) / n[0]:
+        if a < LEAST_EXAMPLES or a / n[1] < LEAST_SHARE or a / n[1] < LEAST_RATIO * b / n[0]:
             return 0.0
         whole = (a + b) / (n[0] + n[1])
         return a * math.log(a / n[1] / whole) + (b * math.log(b / n[0] / whole) if b else 0.0)
 
     ranked = sorted(((gain(t), t) for t in sides[1]), key=lambda x: (-x[0], x[1]))
-    vocabulary = sorted(t for g, t in ranked[:TERMS] if g > 3)
+    vocabulary = sorted(t for g, t in ranked[:TERMS] if g > 0)
     number = {t: i for i, t in enumerate(vocabulary)}
     idf = np.array([math.log(1 + sum(n) / (sides[0][t] + sides[1][t])) for t in vocabulary], dtype=np.float64)
     vectors = [_vector(c, number, idf) for c in counts]
@@ -155,7 +162,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.keys() != {0, 1}:
         return b""
-    ids = sampled_ids(labels, sample_rows)
+    ids = two_sided_ids(labels, sample_rows)
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["sample_id"]).select("sample_id", "label", "text")  # bounded by the sample
     share = counts[1] / (counts[0] + counts[1])
     return in_one_task(sample, lambda table: _fit(table, share) if len(set(table["label"].to_pylist())) == 2 else b"")
