@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.language import identify_language
+from shelfcast.llm.lines import keep_lines, line_bitmaps
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality import score_quality
 from shelfcast.llm.sampling import crc_of
@@ -32,6 +33,31 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = keep_lines(docs, line_bitmaps(docs))
+    return left.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op2_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, i, l[i] AS line,
+         translate(trim(l[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), often AS (
+  SELECT key, max(doc_id) AS top FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT doc_id, i, line, o.key IS NOT NULL AND doc_id < o.top AS lost FROM lines LEFT JOIN often o USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
