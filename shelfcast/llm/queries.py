@@ -12,6 +12,7 @@ from shelfcast.llm.quality import score_quality
 from shelfcast.llm.sampling import crc_of
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
 from shelfcast.llm.simhash import simhash_components
+from shelfcast.llm.substrings import remove_repeats
 from shelfcast.llm.toxicity import score_toxicity
 
 QUERIES: dict = {}
@@ -108,3 +109,29 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_list(F.col("secrets"), [r.kind for r in BASE]), 256).alias("base_sha256"),
         span_list(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op10_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM texts WHERE len(words) >= 20)
+), later AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS k FROM windows) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later
+), places AS (
+  SELECT doc_id, words[i] AS word, i FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM texts)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT t.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (doc_id)
+"""
