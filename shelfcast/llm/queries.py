@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.decontaminate import contaminated, find_contamination
 from shelfcast.llm.language import identify_language
 from shelfcast.llm.lines import keep_lines, line_bitmaps
 from shelfcast.llm.packing import pack_documents
@@ -80,6 +81,41 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items, contaminated().alias("contaminated"))
+
+
+SQL["op5_decontamination"] = r"""
+WITH texts AS (
+  SELECT doc_id AS id, 0 AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT item_id, words, least(13, len(words)) AS n
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+  WHERE len(words) > 0
+), wanted AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, n, array_to_string(words[s:s + n - 1], ' ') AS w
+  FROM (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM items)
+), sizes AS (
+  SELECT DISTINCT n FROM items
+), seen AS (
+  SELECT id, n, s, array_to_string(words[s:s + n - 1], ' ') AS w
+  FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM texts, sizes WHERE len(words) >= n)
+), hits AS (
+  SELECT id, n, s, item_id FROM seen JOIN wanted USING (n, w)
+), covered AS (
+  SELECT id, count(DISTINCT i) AS n_hit FROM (SELECT id, unnest(range(s, s + n)) AS i FROM hits) GROUP BY id
+), named AS (
+  SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT id, item_id FROM hits) GROUP BY id
+)
+SELECT id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN covered USING (id) LEFT JOIN named USING (id)
+"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
