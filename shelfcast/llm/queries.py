@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.chat import chat_examples, read_turns, trained_text
 from shelfcast.llm.decontaminate import contaminated, find_contamination
 from shelfcast.llm.language import identify_language
 from shelfcast.llm.lines import keep_lines, line_bitmaps
@@ -116,6 +117,46 @@ FROM texts LEFT JOIN covered USING (id) LEFT JOIN named USING (id)
 """
 
 
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = spark.range(2).select(F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(said))
+    examples = chat_examples(turns.unionAll(fixed))
+    back = read_turns(F.col("formatted"))
+    digest = F.sha2(F.array_join(F.transform(back, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256)
+    trained = trained_text(F.col("formatted"), F.col("loss_start"), F.col("loss_end"))
+    read = examples.select(
+        "conv_id",
+        "example",
+        trained.alias("trained"),
+        F.length("formatted").cast("long").alias("chars"),
+        F.when(F.col("whole"), F.size(back)).cast("long").alias("n_turns"),
+        F.when(F.col("whole"), digest).alias("turns_sha256"),
+    )
+    loss = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "trained"))), lambda x: x["trained"]), "")
+    grouped = read.groupBy("conv_id").agg(F.max("n_turns").alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"), loss.alias("loss"), F.sum("chars").alias("formatted_chars"))
+    return grouped.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+SQL["op6_chat_format"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(14 + length(replace(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[', '&lb;'), ']', '&rb;'))
+           + length(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[', '&lb;'), ']', '&rb;'))) OVER o AS upto
+  FROM said WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(CASE WHEN role = 'assistant' THEN 7 + upto WHEN i = n THEN 3 + upto ELSE 0 END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
