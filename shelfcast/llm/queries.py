@@ -171,7 +171,7 @@ def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_toxicity(table(spark, sf_dir, "documents"), toxic_labels(spark, sf_dir))
+    scored = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), toxic_labels(spark, sf_dir))
     held_out = F.coalesce(crc_of(F.col("doc_id")) % 5 == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 

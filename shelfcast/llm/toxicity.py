@@ -169,7 +169,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
 
 
 def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """One row per input row: doc_id, score (probability of label 1), evidence (the three nearest examples).
+    """One row per input row: doc_id, score (probability of label 1), evidence (the three nearest examples), row.
+
+    ``row`` is the whole input row as a struct, so that a filter on the score needs no join.
 
     Texts without a known term, null and empty ones too, have no neighbours and get the score of an empty vote;
     where nothing could be learnt every score is 0. Repeated rows score alike.
@@ -177,13 +179,14 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     docs = document_rows(df, id_col, text_col)
     model = fit_toxicity(docs, labels, sample_rows)
     piece = T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())])
-    fields = [("doc_id", docs.schema["doc_id"].dataType), ("score", T.DoubleType()), ("evidence", T.ArrayType(piece))]
+    whole = df.select(df[id_col].alias("doc_id"), df[text_col].cast("string").alias("text"), F.struct("*").alias("row"))
+    fields = [("doc_id", docs.schema["doc_id"].dataType), ("score", T.DoubleType()), ("evidence", T.ArrayType(piece)), ("row", whole.schema["row"].dataType)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(fields)
         if not model:
             for batch in batches:
-                yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows)
+                yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows, batch.column(2))
             return
         m = np.load(io.BytesIO(model))
         number = {t: i for i, t in enumerate(m["vocabulary"].tolist())}
@@ -205,6 +208,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             return {t: x / length for t, x in raw.items()}
 
         for batch in batches:
+            at = 0
             for part, texts in byte_chunks(batch):
                 scores, evidence = [], []
                 if len(known) > KNOWN_WORDS:
@@ -213,6 +217,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                     near = index.nearest(vector((text or b"").decode("utf-8", "replace")), NEIGHBOURS)
                     scores.append(float(1 / (1 + math.exp(-max(-500.0, min(500.0, slope * (_vote(near, labels) * 8 - 4) + level))))))
                     evidence.append([{"example": ids[i], "cosine": s, "label": int(labels[i])} for i, s in near[:3]])
-                yield batch_of(schema, part, scores, evidence)
+                yield batch_of(schema, part, scores, evidence, batch.column(2).slice(at, len(part)))
+                at += len(part)
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return whole.mapInArrow(run, spark_schema(fields))
