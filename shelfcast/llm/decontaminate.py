@@ -65,7 +65,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     checked = one.join(table, "window", "left").where("first or items is not null")  # each row keeps its first window
     whole = checked.groupBy("doc_id", "mark", "n_words").agg(
         F.sum(F.col("first").cast("int")).alias("rows"),
-        F.sort_array(F.collect_set(F.when(F.col("items").isNotNull(), F.struct((F.col("start") - 1).alias("start"), F.col("words").alias("words"))))).alias("spans"),
+        F.sort_array(F.collect_set(F.when(F.col("items").isNotNull(), F.struct("start", "words")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     covered = F.aggregate(
