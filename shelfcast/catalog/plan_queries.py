@@ -489,88 +489,7 @@ def new_book_quantities(spark, sf):
     return models.new_book_quantities(scores, store_location_map(spark), locations_static(spark))
 
 
-# Stock, orders and deterministic fills.
-
-TARGET_SQL = """
-WITH t AS (SELECT *, CASE demand_segment WHEN 'high' THEN 2.8 WHEN 'medium' THEN 0.9 ELSE 0.25 END AS seg,
-             ('0x' || substr(sha256(isbn13 || '#' || store_id || '#' || feature_date), 1, 12))::BIGINT / 281474976710655.0 AS unit FROM train_store),
-l AS (SELECT *, greatest(0.42 * coalesce(qty_rolling_7d, 0) + 0.32 * coalesce(qty_rolling_28d, 0) + 0.18 * coalesce(qty_lag_7, 0) + 0.08 * coalesce(qty_lag_1, 0), seg)
-    * CASE store_size WHEN 'S' THEN 0.88 WHEN 'L' THEN 1.22 ELSE 1.0 END * CASE channel WHEN 'online' THEN 1.18 ELSE 1.0 END
-    * CASE price_tier WHEN 'LOW' THEN 1.12 WHEN 'HIGH' THEN 0.86 ELSE 1.0 END * (1 + bestseller_flag * 0.22) * (1 + least(ln(1 + sales_point) / 45, 0.28))
-    * (1 + least(author_experience_years / 160.0, 0.18))
-    * CASE category_id % 10 WHEN 0 THEN 0.92 WHEN 1 THEN 1.18 WHEN 2 THEN 1.08 WHEN 3 THEN 0.96 WHEN 4 THEN 1.14 WHEN 5 THEN 1.05 WHEN 6 THEN 1.22
-           WHEN 7 THEN 0.88 WHEN 8 THEN 1.12 ELSE 1.0 END
-    * (1 + weekend_flag * 0.10) * (1 + holiday_flag * 0.16) * (1 + greatest(0, 7 - event_nearby_days) * 0.035) * (1 + least(ln(1 + sns_mentions_7d) / 38, 0.24))
-    * (0.82 + 0.38 * exp(-book_age_days / 180.0)) * (1 + greatest(0, 21 - days_since_last_stockout) * 0.008) * (1 + (unit - 0.5) * 2 * 0.08) AS latent FROM t)
-SELECT feature_date, isbn13, store_id,
-       CAST(greatest(round_even(least(latent, greatest(greatest(greatest(on_hand - reserved_qty, 0) * 0.18, safety_stock * 0.35), seg * 1.2)), 0), 0) AS BIGINT) AS observed_qty FROM l
-"""
-
-
-@query("observed_sales_target", TARGET_SQL)
-def observed_sales_target(spark, sf):
-    return stock.observed_sales_target(train_store(spark, sf)).select("feature_date", *STORE, "observed_qty")
-
-
-def bucket_sql(label, n, *parts):
-    text = " || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(('0x' || substr(md5({text} || '{label}'), 1, 8))::BIGINT % {n})"
-
-
-TABLES["gap_days"] = "SELECT CAST(unnest(generate_series(max(sale_date) + 1, max(sale_date) + 3, INTERVAL 1 DAY)) AS DATE) AS day FROM sales_lines"
-
-
-def gap_bounds(spark, sf):
-    newest = fx.newest_sale(spark, sf)
-    return F.date_add(newest, 1), F.date_add(newest, 3)
-
-
-@query(
-    "synthetic_gap_fill",
-    f"""WITH c AS (SELECT d.day, b.isbn13, coalesce(b.price_sales, 15000) AS price, b.is_bestseller_flag AS best,
-                   b.is_bestseller_flag OR {bucket_sql('popular-seed', 100, 'b.isbn13')} < 10 AS popular, CAST(l.location_id AS BIGINT) AS store_id, CAST(l.wh_id AS BIGINT) AS wh_id,
-                   CASE WHEN l.is_virtual THEN 'online' ELSE 'offline' END AS channel, l.size FROM gap_days d, books_static b, locations_static l WHERE l.location_type <> 'WH')
-        SELECT day AS sale_date, isbn13, store_id, wh_id, channel, q AS qty_sold, q * price AS revenue, price AS avg_price, CAST(1 AS BIGINT) AS tx_count FROM (
-          SELECT *, CAST(CASE WHEN popular THEN 5 + {bucket_sql('qty', 100, 'isbn13', 'store_id', 'day')} % 21
-                    ELSE 1 + CASE WHEN {bucket_sql('qty', 100, 'isbn13', 'store_id', 'day')} < 35 THEN 1 ELSE 0 END
-                           + CASE WHEN {bucket_sql('qty', 100, 'isbn13', 'store_id', 'day')} < 8 THEN 1 ELSE 0 END END AS BIGINT) AS q FROM c
-          WHERE {bucket_sql('sale', 10000, 'isbn13', 'store_id', 'day')} < CASE WHEN popular THEN 9000 ELSE 4200 END + CASE WHEN best THEN 1800 ELSE 0 END
-            + CASE size WHEN 'L' THEN 500 WHEN 'M' THEN 250 ELSE 0 END + CASE channel WHEN 'online' THEN 700 ELSE 0 END
-            + CASE WHEN dayofweek(day) IN (0, 6) THEN 350 ELSE 0 END + CASE WHEN {bucket_sql('spike', 100, 'isbn13', 'day - 1')} < 4 THEN 700 ELSE 0 END)""",
-)
-def synthetic_gap_fill(spark, sf):
-    stores = training.store_attributes(locations_static(spark))
-    return stock.gap_sales(fx.books_static(spark, sf), stores, *gap_bounds(spark, sf))
-
-
-@query(
-    "synthetic_gap_inventory",
-    f"""SELECT d.day AS snapshot_date, b.isbn13, CAST(l.location_id AS BIGINT) AS location_id,
-               20 + CASE WHEN b.is_bestseller_flag THEN 60 ELSE 0 END + CASE l.size WHEN 'L' THEN 80 WHEN 'M' THEN 40 ELSE 15 END
-               + {bucket_sql('onhand', 160, 'b.isbn13', 'l.location_id', 'd.day')} AS on_hand, {bucket_sql('reserved', 12, 'b.isbn13', 'l.location_id', 'd.day')} AS reserved_qty,
-               CAST(CASE l.size WHEN 'L' THEN 15 WHEN 'M' THEN 10 ELSE 5 END AS BIGINT) AS safety_stock
-        FROM gap_days d, books_static b, locations_static l WHERE l.location_type = 'STORE_OFFLINE'""",
-)
-def synthetic_gap_inventory(spark, sf):
-    shops = locations_static(spark).filter("location_type = 'STORE_OFFLINE'").select("location_id", "size").collect()
-    places = sorted((r["location_id"], r["size"]) for r in shops)  # the fixed store list
-    return stock.gap_inventory(fx.books_static(spark, sf), places, *gap_bounds(spark, sf))
-
-
-@query(
-    "synthetic_gap_features",
-    f"""SELECT day AS feature_date, isbn13, strftime(day, '%Y-%m-%d') = '2001-11-06' AS is_holiday, CASE WHEN day = DATE '2001-11-06' THEN 'Book Day' ELSE '' END AS holiday_name,
-          'FALL' AS season, dayofweek(day) + 1 AS day_of_week, dayofweek(day) IN (0, 6) AS is_weekend, CAST(month(day) AS BIGINT) AS month,
-          CASE WHEN day <= DATE '2001-11-06' THEN DATE '2001-11-06' - day ELSE 30 END AS event_nearby_days,
-          15 + {bucket_sql('sns1', 80, 'isbn13', 'day')} + CASE WHEN is_bestseller_flag THEN 80 ELSE 0 END
-            + CASE WHEN {bucket_sql('sale', 10000, 'isbn13', 'day - 1')} < 1700 THEN 90 ELSE 0 END + CASE WHEN {bucket_sql('spike', 100, 'isbn13', 'day - 1')} < 4 THEN 700 ELSE 0 END AS sns_mentions_1d,
-          120 + {bucket_sql('sns7', 350, 'isbn13', 'day')} + CASE WHEN is_bestseller_flag THEN 400 ELSE 0 END
-            + CASE WHEN {bucket_sql('spike', 100, 'isbn13', 'day - 1')} < 4 THEN 1200 ELSE 0 END AS sns_mentions_7d,
-          30 + {bucket_sql('age', 1800, 'isbn13')} AS book_age_days, is_bestseller_flag, 80 + {bucket_sql('stock-total', 5000, 'isbn13', 'day')} AS on_hand_total,
-          {bucket_sql('stockout', 365, 'isbn13', 'day')} AS days_since_last_stockout FROM gap_days, books_static""",
-)
-def synthetic_gap_features(spark, sf):
-    return stock.gap_features(fx.books_static(spark, sf), *gap_bounds(spark, sf), {"2001-11-06": "Book Day"})
+# Stock and orders.
 
 
 @query(
@@ -619,19 +538,18 @@ def order_classify(spark, sf):
     return stock.classify_orders(fx.pending_orders(spark, sf).select("order_id", "order_type", "qty"))
 
 
-def snap_sql(label, width):
-    return f"(('0x' || substr(md5(i.isbn13 || '#' || i.location_id || '#' || (x.hi - d) || '#{label}'), 1, 8))::BIGINT % {width + 1})"
-
-
 @query(
     "inventory_snapshot_daily",
-    f"""SELECT snapshot_date, isbn13, location_id, h AS on_hand, r AS reserved_qty, greatest(h - r, 0) AS available, safety_stock FROM (
-          SELECT x.hi - d AS snapshot_date, i.isbn13, i.location_id, i.safety_stock, greatest(i.on_hand + {snap_sql('hand', 40)} - 20, 0) AS h,
-                 greatest(i.reserved_qty + {snap_sql('held', 4)} - 2, 0) AS r
-          FROM inventory i, (SELECT max(sale_date) AS hi FROM sales_lines) x, (SELECT CAST(unnest(generate_series(0, 13)) AS INTEGER) AS d))""",
+    """WITH stored AS (SELECT snapshot_date, isbn13, location_id, on_hand, reserved_qty, greatest(on_hand - reserved_qty, 0) AS available, safety_stock FROM inventory_daily),
+            today AS (SELECT x.hi AS snapshot_date, isbn13, location_id, on_hand, reserved_qty, greatest(on_hand - reserved_qty, 0) AS available, safety_stock
+                      FROM inventory, (SELECT max(sale_date) AS hi FROM sales_lines) x)
+       SELECT * FROM stored UNION ALL SELECT * FROM today t WHERE NOT EXISTS (
+         SELECT 1 FROM stored s WHERE s.snapshot_date = t.snapshot_date AND s.isbn13 = t.isbn13 AND s.location_id = t.location_id)""",
 )
 def inventory_snapshot_daily(spark, sf):
-    return stock.inventory_snapshots(fx.inventory(spark, sf), fx.newest_sale(spark, sf))
+    day = F.col("snapshot_date")
+    stored = stock.inventory_snapshot(fx.inventory_daily(spark, sf), day)
+    return stock.add_snapshot(stored, stock.inventory_snapshot(fx.inventory(spark, sf), fx.newest_sale(spark, sf)))
 
 
 @query(

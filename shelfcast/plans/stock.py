@@ -1,4 +1,4 @@
-"""Stock rules, order state rules, deterministic demand targets and gap filling."""
+"""Stock rules and order state rules."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.domain import ORDER_TYPES
-from shelfcast.functions.columns import case_map, hash_bucket, hash_unit, is_weekend, season, weekday
+from shelfcast.functions.columns import case_map
 
 
 def low_stock(inventory: DataFrame, limit: int = 5) -> DataFrame:
@@ -17,24 +17,16 @@ def low_stock(inventory: DataFrame, limit: int = 5) -> DataFrame:
     )
 
 
-def inventory_snapshots(inventory: DataFrame, run_date: Column, days: int = 14) -> DataFrame:
-    """Current stock as one snapshot per day back, with a stable jitter per row and day."""
-    back = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
-    rows = inventory.withColumn("d", back).withColumn("snapshot_date", F.date_sub(run_date, F.col("d")))
+def inventory_snapshot(inventory: DataFrame, run_date: Column) -> DataFrame:
+    """Current stock as the snapshot of the run date."""
+    free = F.greatest(F.col("on_hand") - F.col("reserved_qty"), F.lit(0))
+    return inventory.select(run_date.alias("snapshot_date"), "isbn13", "location_id", "on_hand", "reserved_qty", free.alias("available"), "safety_stock")
 
-    def jitter(label, width):
-        key = F.concat_ws("#", "isbn13", F.col("location_id").cast("string"), F.col("snapshot_date").cast("string"), F.lit(label))
-        return hash_bucket(key, width + 1)
 
-    hand = F.greatest(F.col("on_hand") + jitter("hand", 40) - 20, F.lit(0))
-    held = F.greatest(F.col("reserved_qty") + jitter("held", 4) - 2, F.lit(0))
-    return (
-        rows.withColumns({"_hand": hand, "_held": held})
-        .select(
-            "snapshot_date", "isbn13", "location_id", F.col("_hand").alias("on_hand"), F.col("_held").alias("reserved_qty"),
-            F.greatest(F.col("_hand") - F.col("_held"), F.lit(0)).alias("available"), "safety_stock",
-        )
-    )
+def add_snapshot(stored: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Stored snapshots and those rows of ``snapshot`` whose book, place and day are not stored yet."""
+    keys = ["snapshot_date", "isbn13", "location_id"]
+    return stored.unionByName(snapshot.join(stored.select(*keys).distinct(), keys, "left_anti").select(*stored.columns))
 
 
 def expired_reservations(reservations: DataFrame, run_ts: Column) -> DataFrame:
@@ -101,153 +93,3 @@ def classify_orders(orders: DataFrame) -> DataFrame:
             "est_cost": F.col("qty") * F.when(outside, 15_000).otherwise(500),
         }
     )
-
-
-# Weights and factors of the simulated demand target.
-SEGMENT_BASE = {"high": 2.8, "medium": 0.9, "low": 0.25}
-SIZE_FACTOR = {"S": 0.88, "M": 1.0, "L": 1.22}
-CHANNEL_FACTOR = {"online": 1.18, "offline": 1.0}
-TIER_FACTOR = {"LOW": 1.12, "MID": 1.0, "HIGH": 0.86}
-CATEGORY_FACTOR = {0: 0.92, 1: 1.18, 2: 1.08, 3: 0.96, 4: 1.14, 5: 1.05, 6: 1.22, 7: 0.88, 8: 1.12, 9: 1.00}
-
-
-def latent_demand(noise_scale: float = 0.08) -> Column:
-    """Demand before stock limits: recent sales times attribute factors and a stable noise."""
-
-    def num(c, default=0.0):
-        return F.coalesce(F.col(c).cast("double"), F.lit(float(default)))
-
-    anchor = 0.42 * num("qty_rolling_7d") + 0.32 * num("qty_rolling_28d") + 0.18 * num("qty_lag_7") + 0.08 * num("qty_lag_1")
-    key = F.concat_ws("#", "isbn13", F.col("store_id").cast("string"), F.col("feature_date").cast("string"))
-    factors = [
-        case_map("store_size", SIZE_FACTOR, 1.0),
-        case_map("channel", CHANNEL_FACTOR, 1.0),
-        case_map("price_tier", TIER_FACTOR, 1.0),
-        1 + num("bestseller_flag") * 0.22,
-        1 + F.least(F.log1p(num("sales_point")) / 45, F.lit(0.28)),
-        1 + F.least(num("author_experience_years") / 160, F.lit(0.18)),
-        case_map(F.coalesce("category_id", F.lit(0)) % 10, CATEGORY_FACTOR, 1.0),
-        1 + num("weekend_flag") * 0.10,
-        1 + num("holiday_flag") * 0.16,
-        1 + F.greatest(F.lit(0.0), 7 - num("event_nearby_days", 30)) * 0.035,
-        1 + F.least(F.log1p(num("sns_mentions_7d")) / 38, F.lit(0.24)),
-        0.82 + 0.38 * F.exp(-num("book_age_days", 365) / 180),
-        1 + F.greatest(F.lit(0.0), 21 - num("days_since_last_stockout", 365)) * 0.008,
-        1 + (hash_unit(key) - 0.5) * 2 * noise_scale,
-    ]
-    value = F.greatest(anchor, segment_base())
-    for factor in factors:
-        value = value * factor
-    return value
-
-
-def segment_base() -> Column:
-    return case_map("demand_segment", SEGMENT_BASE, 0.4)
-
-
-def observed_sales_target(training: DataFrame) -> DataFrame:
-    """Latent demand cut at what the stock allows, rounded half to even."""
-
-    def num(c):
-        return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-
-    free = F.greatest(num("on_hand") - num("reserved_qty"), F.lit(0.0))
-    capacity = F.greatest(free * 0.18, num("safety_stock") * 0.35)
-    seen = F.least(latent_demand(), F.greatest(capacity, segment_base() * 1.2))
-    return training.withColumn("observed_qty", F.greatest(F.bround(seen), F.lit(0.0)).cast("bigint"))
-
-
-def _bucket(label: str, buckets: int, *parts) -> Column:
-    return hash_bucket(F.concat(*[F.col(p).cast("string") if isinstance(p, str) else p.cast("string") for p in parts], F.lit(label)), buckets)
-
-
-def _days(frame: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
-    return frame.withColumn(name, F.explode(F.sequence(start, end)))
-
-
-def gap_sales(books: DataFrame, stores: DataFrame, start: Column, end: Column, peak: tuple | None = None) -> DataFrame:
-    """Deterministic sales rows for missing days, book by book and store by store.
-
-    A hash of book, store and day against a popularity threshold decides whether
-    there is a sale, a second hash sets its quantity. ``stores`` is the fixed
-    store list and travels as a literal array.
-    """
-    rows = stores.select("store_id", "wh_id", "channel", "store_size").collect()
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(r["store_id"]).cast("bigint").alias("store_id"), F.lit(r["wh_id"]).cast("bigint").alias("wh_id"),
-                F.lit(r["channel"]).alias("channel"), F.lit(r["store_size"]).alias("store_size"),
-            )
-            for r in sorted(rows, key=lambda r: r["store_id"])
-        ]
-    )
-    best = F.coalesce("is_bestseller_flag", F.lit(False))
-    base = books.select("isbn13", F.coalesce("price_sales", F.lit(15000)).alias("price"), best.alias("best")).withColumn(
-        "popular", F.col("best") | (_bucket("popular-seed", 100, "isbn13") < 10)
-    )
-    cells = _days(base, start, end, "sale_date").withColumn("s", F.explode(slots)).select("*", "s.*").drop("s")
-    spike = _bucket("spike", 100, "isbn13", F.date_sub("sale_date", 1)) < 4
-    limit = (
-        F.when(F.col("popular"), 9000).otherwise(4200)
-        + F.when(F.col("best"), 1800).otherwise(0)
-        + case_map("store_size", {"L": 500, "M": 250}, 0)
-        + F.when(F.col("channel") == "online", 700).otherwise(0)
-        + F.when(is_weekend("sale_date"), 350).otherwise(0)
-        + (F.when(F.col("sale_date").between(*peak), 1800).otherwise(0) if peak else F.lit(0))
-        + F.when(spike, 700).otherwise(0)
-    )
-    lot = _bucket("qty", 100, "isbn13", "store_id", "sale_date")
-    qty = F.when(F.col("popular"), 5 + lot % 21).otherwise(1 + F.when(lot < 35, 1).otherwise(0) + F.when(lot < 8, 1).otherwise(0))
-    sold = cells.filter(_bucket("sale", 10000, "isbn13", "store_id", "sale_date") < limit)
-    return sold.withColumn("qty_sold", qty.cast("bigint")).select(
-        "sale_date", "isbn13", "store_id", "wh_id", "channel", "qty_sold", (F.col("qty_sold") * F.col("price")).alias("revenue"),
-        F.col("price").alias("avg_price"), F.lit(1).cast("bigint").alias("tx_count"),
-    )
-
-
-def gap_inventory(books: DataFrame, places: list[tuple[int, str]], start: Column, end: Column) -> DataFrame:
-    """Deterministic stock rows for missing days at the given (location, size) places."""
-    slots = F.array(*[F.struct(F.lit(i).cast("bigint").alias("location_id"), F.lit(s).alias("size")) for i, s in places])
-    cells = (
-        _days(books.select("isbn13", F.coalesce("is_bestseller_flag", F.lit(False)).alias("best")), start, end, "snapshot_date")
-        .withColumn("p", F.explode(slots))
-        .select("isbn13", "best", "snapshot_date", "p.*")
-    )
-    hand = (
-        20
-        + F.when(F.col("best"), 60).otherwise(0)
-        + case_map("size", {"L": 80, "M": 40}, 15)
-        + _bucket("onhand", 160, "isbn13", "location_id", "snapshot_date")
-    )
-    return cells.select(
-        "snapshot_date", "isbn13", "location_id", hand.cast("bigint").alias("on_hand"),
-        _bucket("reserved", 12, "isbn13", "location_id", "snapshot_date").alias("reserved_qty"),
-        case_map("size", {"L": 15, "M": 10}, 5).cast("bigint").alias("safety_stock"),
-    )
-
-
-def gap_features(books: DataFrame, start: Column, end: Column, holidays: dict[str, str]) -> DataFrame:
-    """Deterministic covariates for missing days; ``holidays`` maps ISO dates to names."""
-    day = F.col("feature_date")
-    text = day.cast("string")
-    best = F.coalesce("is_bestseller_flag", F.lit(False))
-    cells = _days(books.select("isbn13", best.alias("best")), start, end, "feature_date")
-    before = F.date_sub("feature_date", 1)
-    spike = _bucket("spike", 100, "isbn13", before) < 4
-    sale = _bucket("sale", 10000, "isbn13", before) < 1700
-    near = F.lit(30)
-    for iso in sorted(holidays, reverse=True):
-        near = F.when(day <= F.lit(iso).cast("date"), F.datediff(F.lit(iso).cast("date"), day)).otherwise(near)
-    return cells.select(
-        "feature_date", "isbn13", text.isin(*holidays).alias("is_holiday"), case_map(text, holidays, "").alias("holiday_name"),
-        season(F.month(day)).alias("season"), weekday(day).alias("day_of_week"), is_weekend(day).alias("is_weekend"),
-        F.month(day).cast("bigint").alias("month"), near.cast("bigint").alias("event_nearby_days"),
-        (15 + _bucket("sns1", 80, "isbn13", "feature_date") + F.when(F.col("best"), 80).otherwise(0) + F.when(sale, 90).otherwise(0)
-         + F.when(spike, 700).otherwise(0)).alias("sns_mentions_1d"),
-        (120 + _bucket("sns7", 350, "isbn13", "feature_date") + F.when(F.col("best"), 400).otherwise(0)
-         + F.when(spike, 1200).otherwise(0)).alias("sns_mentions_7d"),
-        (30 + _bucket("age", 1800, "isbn13")).alias("book_age_days"), F.col("best").alias("is_bestseller_flag"),
-        (80 + _bucket("stock-total", 5000, "isbn13", "feature_date")).alias("on_hand_total"),
-        _bucket("stockout", 365, "isbn13", "feature_date").alias("days_since_last_stockout"),
-    )
