@@ -93,7 +93,7 @@ def pos_normalize(spark, sf):
 @query(
     "store_wh_lookup",
     """SELECT txn_id, store_id, CAST(CASE WHEN store_id BETWEEN 6 AND 10 THEN 2 ELSE 1 END AS BIGINT) AS wh_id,
-              substr(channel || '-channel', 1, 10) AS channel, count(*) AS lines FROM sales_lines GROUP BY 1, 2, 3, 4""",
+              channel || '-channel' AS channel, count(*) AS lines FROM sales_lines GROUP BY 1, 2, 3, 4""",
 )
 def store_wh_lookup(spark, sf):
     lines = fx.sales_lines(spark, sf).select("txn_id", "store_id", F.concat("channel", F.lit("-channel")).alias("channel"))
@@ -126,11 +126,11 @@ def season(spark, sf):
 
 @query(
     "author_dim",
-    """SELECT 'author' AS kind, name, substr(md5(name), 1, 12) AS id, CAST(max(n) AS BIGINT) AS past_books_count FROM (
+    """SELECT 'author' AS kind, name, md5(name) AS id, CAST(max(n) AS BIGINT) AS past_books_count FROM (
          SELECT CASE WHEN trim(split_part(trim(split_part(coalesce(author, ''), ',', 1)), ';', 1)) = '' THEN '(unknown)'
                      ELSE trim(split_part(trim(split_part(coalesce(author, ''), ',', 1)), ';', 1)) END AS name,
                 author_past_books_count AS n FROM books_static) GROUP BY 2
-       UNION ALL SELECT DISTINCT 'publisher', publisher, substr(md5(publisher), 1, 12), CAST(NULL AS BIGINT) FROM books_static""",
+       UNION ALL SELECT DISTINCT 'publisher', publisher, md5(publisher), CAST(NULL AS BIGINT) FROM books_static""",
 )
 def author_dim(spark, sf):
     books = fx.books_static(spark, sf)

@@ -430,19 +430,20 @@ def group_multipliers(spark, sf):
                          CAST(coalesce(qty_lag_7, 0) AS DOUBLE) AS m3 FROM held_store),
             w AS (SELECT a / 10.0 AS w1, b / 10.0 AS w2, (10 - a - b) / 10.0 AS w3 FROM generate_series(0, 10) AS x(a), generate_series(0, 10) AS y(b) WHERE a + b <= 10),
             c AS (SELECT w1, w2, w3, actual, demand_segment, m1 * w1 + m2 * w2 + m3 * w3 AS p FROM h, w),
-            g AS (SELECT w1, w2, w3, sum(actual) AS a, sum(greatest(actual - p, 0)) AS u, sum(greatest(p - actual, 0)) AS o,
-                         sum(greatest(actual - p, 0)) FILTER (demand_segment = 'high') AS hu, sum(actual) FILTER (demand_segment = 'high') AS ha FROM c GROUP BY 1, 2, 3)
-       SELECT CAST(w1 AS DOUBLE) AS w1, CAST(w2 AS DOUBLE) AS w2, CAST(w3 AS DOUBLE) AS w3, round((u * 3 + o) / a, 4) AS weighted_order_cost_rate, round((u + o) / a, 4) AS wape,
-              round(1 - u / a, 4) AS fill_rate_proxy, round((u * 3 + o) / a + 10 * (greatest(0.82 - (1 - u / a), 0) + greatest(0.82 - coalesce(1 - hu / ha, 1 - u / a), 0)), 4) AS score
-       FROM g ORDER BY (u * 3 + o) / a + 10 * (greatest(0.82 - (1 - u / a), 0) + greatest(0.82 - coalesce(1 - hu / ha, 1 - u / a), 0)), 4, 5, 1, 2 LIMIT 10""",
+            g AS (SELECT CAST(w1 AS DOUBLE) AS w1, CAST(w2 AS DOUBLE) AS w2, CAST(w3 AS DOUBLE) AS w3, sum(actual) AS a, sum(greatest(actual - p, 0)) AS u, sum(greatest(p - actual, 0)) AS o,
+                         sum(greatest(actual - p, 0)) FILTER (demand_segment = 'high') AS hu, sum(actual) FILTER (demand_segment = 'high') AS ha,
+                         count(*) FILTER (round(p, 6) < actual) / count(*) AS late FROM c GROUP BY 1, 2, 3),
+            r AS (SELECT w1, w2, w3, (u * 3 + o) / a AS rate, (u + o) / a AS wape, 1 - u / a AS fill, late,
+                         (u * 3 + o) / a + 10 * (greatest(0.82 - (1 - u / a), 0) + greatest(0.82 - coalesce(1 - hu / ha, 1 - u / a), 0)) AS score FROM g)
+       SELECT w1, w2, w3, round(rate, 4) AS weighted_order_cost_rate, round(wape, 4) AS wape, round(fill, 4) AS fill_rate_proxy, round(late, 4) AS underforecast_rate,
+              round(score, 4) AS score, CAST(row_number() OVER (ORDER BY round(score, 8), round(rate, 8), round(wape, 8), w1, w2) AS INTEGER) AS rank FROM r""",
 )
 def ensemble_weights(spark, sf):
     held = held_store(spark, sf).select(
         F.col("qty_sold").cast("double").alias("actual"), "demand_segment", backtest.zero("qty_rolling_7d").alias("m1"),
         backtest.zero("qty_rolling_28d").alias("m2"), F.coalesce(F.col("qty_lag_7").cast("double"), F.lit(0.0)).alias("m3"),
     )
-    # The underforecast rate counts exact ties of sums of fractions; it is left out of the comparison.
-    return rounded(backtest.ensemble_weights(held, ["m1", "m2", "m3"]).drop("underforecast_rate"))
+    return rounded(backtest.ensemble_weights(held, ["m1", "m2", "m3"]))
 
 
 @query("gbt_demand_model")
@@ -549,7 +550,8 @@ def order_classify(spark, sf):
 def inventory_snapshot_daily(spark, sf):
     day = F.col("snapshot_date")
     stored = stock.inventory_snapshot(fx.inventory_daily(spark, sf), day)
-    return stock.add_snapshot(stored, stock.inventory_snapshot(fx.inventory(spark, sf), fx.newest_sale(spark, sf)))
+    today = stock.inventory_snapshot(fx.inventory(spark, sf), fx.newest_sale(spark, sf))
+    return tables.insert_ignore(stored, today, ["snapshot_date", "isbn13", "location_id"])
 
 
 @query(
@@ -581,8 +583,8 @@ def open_spikes(spark, sf):
 
 @query(
     "forecast_cache_sync",
-    f"""WITH fresh AS (SELECT snapshot_date, isbn13, store_id, predicted_demand, substr(model_version, 1, 30) AS model_version FROM ({SLICE_SQL})),
-             cached AS (SELECT target_date AS snapshot_date, isbn13, store_id, predicted_demand, substr(model_version, 1, 30) AS model_version FROM forecast_results
+    f"""WITH fresh AS (SELECT snapshot_date, isbn13, store_id, predicted_demand, model_version FROM ({SLICE_SQL})),
+             cached AS (SELECT target_date AS snapshot_date, isbn13, store_id, predicted_demand, model_version FROM forecast_results
                         WHERE prediction_date < (SELECT max(prediction_date) FROM forecast_results))
         SELECT * FROM fresh UNION ALL SELECT * FROM cached c WHERE NOT EXISTS (
           SELECT 1 FROM fresh f WHERE f.snapshot_date = c.snapshot_date AND f.isbn13 = c.isbn13 AND f.store_id = c.store_id)""",
@@ -590,7 +592,6 @@ def open_spikes(spark, sf):
 def forecast_cache_sync(spark, sf):
     rows = fx.forecast_results(spark, sf)
     newest = fx.newest_sale(spark, sf)
-    version = F.substring("model_version", 1, 30).alias("model_version")
-    fresh = policy.latest_run_slice(rows, 2).select("snapshot_date", "isbn13", "store_id", "predicted_demand", version)
-    cached = rows.filter(F.col("prediction_date") < newest).select(F.col("target_date").alias("snapshot_date"), "isbn13", "store_id", "predicted_demand", version)
+    fresh = policy.latest_run_slice(rows, 2).select("snapshot_date", "isbn13", "store_id", "predicted_demand", "model_version")
+    cached = rows.filter(F.col("prediction_date") < newest).select(F.col("target_date").alias("snapshot_date"), "isbn13", "store_id", "predicted_demand", "model_version")
     return tables.upsert(cached, fresh, ["snapshot_date", "isbn13", "store_id"])

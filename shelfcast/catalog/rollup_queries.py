@@ -63,12 +63,15 @@ def kpi_daily(spark, sf):
 
 @query(
     "kpi_company_rollup",
-    f"""WITH k AS ({KPI_SQL}) SELECT kpi_date, store_id, channel, qty_sold, revenue, tx_count, unique_isbn_count, avg_price FROM k
-        UNION ALL SELECT kpi_date, 0, 'ALL', CAST(sum(qty_sold) AS BIGINT), CAST(sum(revenue) AS BIGINT), CAST(sum(tx_count) AS BIGINT),
-               CAST(least(1000, sum(unique_isbn_count)) AS BIGINT), CAST(sum(revenue) // greatest(sum(qty_sold), 1) AS BIGINT) FROM k GROUP BY 1""",
+    f"""SELECT kpi_date, store_id, channel, qty_sold, revenue, tx_count, unique_isbn_count, avg_price, top_isbn FROM ({KPI_SQL})
+        UNION ALL SELECT a.*, t.isbn13 FROM (
+          SELECT sale_date, CAST(0 AS BIGINT), 'ALL', CAST(sum(qty) AS BIGINT), CAST(sum(revenue) AS BIGINT), count(*), count(DISTINCT isbn13),
+                 CAST(sum(revenue) // nullif(sum(qty), 0) AS BIGINT) FROM sales_lines GROUP BY 1) a
+        JOIN (SELECT sale_date, isbn13, row_number() OVER (PARTITION BY sale_date ORDER BY sum(qty) DESC, isbn13) AS rn FROM sales_lines GROUP BY 1, 2) t
+          ON t.sale_date = a.sale_date AND t.rn = 1""",
 )
 def kpi_company_rollup(spark, sf):
-    return rollups.with_company_total(rollups.kpi_daily(fx.sales_lines(spark, sf)))
+    return rollups.with_company_total(fx.sales_lines(spark, sf))
 
 
 @query(
@@ -145,9 +148,9 @@ def simple_scores(spark, sf):
 
 @query(
     "new_book_wh_qty",
-    f"""SELECT isbn13, CAST(coalesce(sum(q) FILTER (wh_id = 1), 0) AS BIGINT) AS wh1_qty, CAST(coalesce(sum(q) FILTER (wh_id = 2), 0) AS BIGINT) AS wh2_qty
+    f"""SELECT isbn13, CAST(wh_id AS BIGINT) AS wh_id, CAST(sum(q) AS BIGINT) AS qty
         FROM (SELECT s.isbn13, l.wh_id, CAST(round(greatest(s.score, 0) * 30) AS BIGINT) AS q FROM ({SCORE_SQL}) s
-              JOIN store_location_map m ON m.store_id = s.store_id JOIN locations_static l ON l.location_id = m.inventory_location_id) GROUP BY 1""",
+              JOIN store_location_map m ON m.store_id = s.store_id JOIN locations_static l ON l.location_id = m.inventory_location_id) GROUP BY 1, 2""",
 )
 def new_book_wh_qty(spark, sf):
     return models.new_book_wh_quantity(

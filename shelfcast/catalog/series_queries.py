@@ -68,7 +68,7 @@ def train_store(spark, sf, last=None):
 def store_panel(spark, sf, last=None):
     """The dense store panel with its demand class, without covariates."""
     panel = training.store_panel(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), list(range(1, 15)),
+        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), store_location_map(spark).select("store_id"),
         period=fx.sale_period(spark, sf, last),
     )
     return series.with_segment(panel, STORE, "feature_date", "qty_sold")

@@ -16,10 +16,10 @@ def clean_pos(raw: DataFrame) -> DataFrame:
     """Parse the time, keep one row per transaction, then drop invalid rows.
 
     Copies are removed before the validity filters, so an invalid first copy
-    takes its transaction with it.
+    takes its transaction with it. A copy without a readable time comes last.
     """
-    typed = raw.withColumn("ts", F.expr("try_cast(ts AS timestamp)"))
-    single = dedupe_first(typed, ["tx_id"], ["ts", "isbn13", "qty"])
+    typed = raw.withColumn("ts", F.expr("try_cast(ts AS timestamp)")).withColumn("_no_time", F.col("ts").isNull())
+    single = dedupe_first(typed, ["tx_id"], ["_no_time", "ts", "isbn13", "qty"]).drop("_no_time")
     valid = single.filter((F.col("qty") > 0) & is_isbn13("isbn13"))
     return valid.withColumns({"sale_date": F.to_date("ts"), "sale_hour": F.hour("ts")})
 
@@ -76,28 +76,30 @@ def normalize_pos(records: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def stream_warehouse(store: str = "store_id", channel: str = "channel") -> dict[str, Column]:
-    """Warehouse by the fixed store map (default 1) and the channel cut to ten characters."""
-    return {
-        "wh_id": case_map(store, STREAM_STORE_WH, 1).cast("bigint"),
-        "channel": F.substring(channel, 1, 10),
-    }
+def stream_warehouse(store: str = "store_id") -> dict[str, Column]:
+    """Warehouse by the fixed store map (default 1)."""
+    return {"wh_id": case_map(store, STREAM_STORE_WH, 1).cast("bigint")}
 
 
 def author_table(books: DataFrame) -> DataFrame:
     """Distinct first authors; ids come from the name, so they do not depend on row order."""
     named = books.select(first_author("author").alias("name"), "author_past_books_count")
     return named.groupBy("name").agg(F.max("author_past_books_count").alias("past_books_count")).withColumn(
-        "author_id", F.substring(F.md5("name"), 1, 12)
+        "author_id", F.md5("name")
     )
 
 
 def publisher_table(books: DataFrame) -> DataFrame:
     return books.select(F.coalesce("publisher", F.lit("(unknown)")).alias("name")).distinct().withColumn(
-        "publisher_id", F.substring(F.md5("name"), 1, 12)
+        "publisher_id", F.md5("name")
     )
 
 
+def cut_to_widths(df: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """Export step for a target with narrow text columns; the mart itself keeps whole texts."""
+    return df.withColumns({c: F.substring(c, 1, n) for c, n in widths.items()})
+
+
 CATALOG_ITEM = (
     "isbn13 STRING, title STRING, author STRING, publisher STRING, pubDate STRING, categoryId STRING, categoryName STRING, "
     "priceStandard STRING, priceSales STRING, salesPoint STRING, cover STRING, description STRING, subInfo STRUCT<itemPage: STRING>"
@@ -105,7 +107,7 @@ CATALOG_ITEM = (
 
 
 def parse_catalog_items(raw: DataFrame, json: str = "item") -> DataFrame:
-    """Catalog items as JSON text into book rows, with the feed's defaults and lengths."""
+    """Catalog items as JSON text into book rows, with the feed's defaults; texts stay whole."""
     item = raw.select(F.from_json(json, CATALOG_ITEM).alias("i")).select("i.*")
 
     def number(name):
@@ -116,17 +118,17 @@ def parse_catalog_items(raw: DataFrame, json: str = "item") -> DataFrame:
     author = F.nullif(F.trim(F.split(F.trim(F.coalesce("author", F.lit(""))), r"\(").getItem(0)), F.lit(""))
     return item.select(
         F.coalesce("isbn13", F.lit("")).alias("isbn13"),
-        F.substring("title", 1, 200).alias("title"),
-        F.substring(F.coalesce(author, F.lit("(unknown)")), 1, 100).alias("author"),
-        F.substring("publisher", 1, 100).alias("publisher"),
+        "title",
+        F.coalesce(author, F.lit("(unknown)")).alias("author"),
+        "publisher",
         F.col("pubDate").try_cast("date").alias("pub_date"),
         F.coalesce(number("categoryId"), F.lit(0)).alias("category_id"),
-        F.substring("categoryName", 1, 200).alias("category_name"),
+        F.col("categoryName").alias("category_name"),
         standard.alias("price_standard"),
         F.coalesce(number("priceSales"), standard).alias("price_sales"),
         price_tier(standard).alias("price_tier"),
-        F.substring(F.coalesce("cover", F.lit("")), 1, 500).alias("cover_url"),
-        F.substring(strip_html(F.coalesce("description", F.lit(""))), 1, 1000).alias("description"),
+        F.coalesce("cover", F.lit("")).alias("cover_url"),
+        strip_html(F.coalesce("description", F.lit(""))).alias("description"),
         points.alias("sales_point"),
         number("subInfo.itemPage").alias("item_page"),
         (points >= 50_000).alias("is_bestseller_flag"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.sides import small_side
 
 
 def training_view(sales: DataFrame, features: DataFrame, books: DataFrame, locations: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -19,7 +18,7 @@ def training_view(sales: DataFrame, features: DataFrame, books: DataFrame, locat
         sales.select("sale_date", "isbn13", "store_id", "qty_sold")
         .join(features.withColumnRenamed("feature_date", "sale_date"), ["isbn13", "sale_date"], "left")
         .join(book, "isbn13", "left")
-        .join(small_side(place), "store_id", "left")
+        .join(place, "store_id", "left")
         .join(stock, ["isbn13", "sale_date", "store_id"], "left")
         .select(
             "sale_date", "isbn13", "store_id", "qty_sold", "category_id", "category_name", "publisher", "author", "price_tier",
@@ -37,7 +36,7 @@ def available(on_hand="on_hand", reserved="reserved_qty") -> Column:
 def inventory_available(inventory: DataFrame, locations: DataFrame) -> DataFrame:
     """Free stock at active locations."""
     place = locations.filter("active").select("location_id", "location_type", "wh_id", F.col("name").alias("location_name"))
-    return inventory.join(small_side(place), "location_id").withColumn("available", available())
+    return inventory.join(place, "location_id").withColumn("available", available())
 
 
 def online_available(inventory: DataFrame, locations: DataFrame) -> DataFrame:
@@ -46,7 +45,7 @@ def online_available(inventory: DataFrame, locations: DataFrame) -> DataFrame:
         "wh_id", F.col("location_id").alias("online_location_id"), F.col("name").alias("online_location_name")
     )
     houses = locations.filter("location_type = 'WH'").select("wh_id", F.col("location_id").alias("wh_location_id"))
-    pairs = small_side(online.join(houses, "wh_id"))
+    pairs = online.join(houses, "wh_id")
     return inventory.join(pairs, inventory["location_id"] == pairs["wh_location_id"]).select(
         "online_location_id", "online_location_name", "wh_id", "wh_location_id", "isbn13", available().alias("available")
     )
@@ -69,15 +68,13 @@ def stock_location(sales: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("location_id").cast("bigint").alias("store_id"),
         F.when(F.col("location_type") == "STORE_ONLINE", F.col("_house")).otherwise(F.col("location_id")).cast("bigint").alias("debit_location_id"),
     )
-    return sales.join(small_side(source), "store_id", "left").withColumn("debit_location_id", F.coalesce("debit_location_id", "store_id"))
+    return sales.join(source, "store_id", "left").withColumn("debit_location_id", F.coalesce("debit_location_id", "store_id"))
 
 
 def new_book_candidates(features: DataFrame, inventory: DataFrame, store_map: DataFrame, run_date: Column) -> DataFrame:
     """Every book with covariates on the run date, in every store, with the stock it can draw on."""
-    slots = [(r["store_id"], r["inventory_location_id"]) for r in store_map.collect()]
-    store = F.array(
-        *[F.struct(F.lit(s).cast("bigint").alias("store_id"), F.lit(i).cast("bigint").alias("location_id")) for s, i in sorted(slots)]
-    )
+    slot = F.struct(F.col("store_id").cast("bigint").alias("store_id"), F.col("inventory_location_id").cast("bigint").alias("location_id"))
+    store = store_map.agg(F.sort_array(F.collect_list(slot)).alias("s")).scalar()
     day = features.filter(F.col("feature_date") == run_date).withColumn("s", F.explode(store))
     stock = inventory.filter(F.col("snapshot_date") == run_date).select("isbn13", "location_id", "on_hand")
     return (

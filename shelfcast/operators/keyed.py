@@ -6,9 +6,11 @@ holds a large part of the rows is reduced on the map side first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import through_disk
+
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
     """The smallest or largest row per key, compared by ``order`` and then by the other columns."""
@@ -30,30 +32,22 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return _pick(df, keys, list(order), latest=True)
 
 
-def global_rank(df: DataFrame, key: str, rank: str = "rank_no", splits: int = 64) -> DataFrame:
-    """1-based position of every distinct numeric-text ``key`` over the whole table.
+def global_rank(df: DataFrame, key: str, rank: str = "rank_no", splits: int | None = None) -> DataFrame:
+    """1-based position of every row by ``key``, in the key's own order, NULL first, over the whole table.
 
-    A window without partitions would bring all rows into one task. Here the key
-    range is cut at approximate quantiles, rows are ranked inside each cut and
-    shifted by the sizes of the cuts before it. The quantiles only balance the
-    work; ranks are exact for any cut points. Only the cut points, at most
-    ``splits`` numbers, pass through the driver.
+    A window without partitions would bring all rows into one task. Here the rows are range-partitioned by the key,
+    ranked inside each range and shifted by the sizes of the ranges before it. How the ranges are cut only balances
+    the work. The ranged rows are written once, so that sizes and ranks see the same ranges. Equal keys are ranked
+    in no particular order.
     """
-    number = F.col(key).try_cast("decimal(38,0)").cast("double")
-    points = [i / splits for i in range(1, splits)]
-    cuts = df.agg(F.percentile_approx(number, points, 1000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    part: Column = F.lit(0)
-    if cuts:
-        edges = F.array(*[F.lit(float(c)) for c in cuts])
-        part = F.size(F.filter(edges, lambda e: e <= F.coalesce(number, F.lit(float("-inf")))))
-    placed = df.withColumn("_part", part)
+    by = F.col(key).asc_nulls_first()
+    ranged = df.repartitionByRange(splits, by) if splits else df.repartitionByRange(by)
+    placed = through_disk(df.sparkSession, ranged.withColumn("_part", F.spark_partition_id()), "ranged")
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first())
-    ranked = placed.withColumn("_row", F.row_number().over(inside))
-    # At most `splits` offset rows, so this broadcast has a fixed bound.
+    ranked = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(by)))
+    # One offset row for each range, so this broadcast is bounded by the number of partitions.
     return (
         ranked.join(F.broadcast(offsets), "_part")
         .withColumn(rank, (F.col("_row") + F.col("_offset")).cast("bigint"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.domain import inline_table
 from shelfcast.functions.columns import int_div
-from shelfcast.operators.sides import small_side
 
 
 def daily_sales(lines: DataFrame) -> DataFrame:
@@ -47,15 +46,10 @@ def top_book(lines: DataFrame, group: list[str]) -> DataFrame:
     return per_book.groupBy(*group).agg(best.alias("b")).select(*group, F.col("b.isbn13").alias("top_isbn"), (-F.col("b.o")).alias("top_qty"))
 
 
-def with_company_total(kpi: DataFrame, cap: int = 1000) -> DataFrame:
-    """Store rows plus one company row (store 0) per day."""
-    total = kpi.groupBy("kpi_date").agg(
-        F.lit(0).cast("bigint").alias("store_id"), F.lit("ALL").alias("channel"), F.sum("qty_sold").alias("qty_sold"),
-        F.sum("revenue").alias("revenue"), F.sum("tx_count").alias("tx_count"),
-        F.least(F.lit(cap), F.sum("unique_isbn_count")).alias("unique_isbn_count"),
-    )
-    total = total.withColumn("avg_price", F.expr("revenue div greatest(qty_sold, 1)"))
-    return kpi.select(*total.columns).unionByName(total)
+def with_company_total(lines: DataFrame) -> DataFrame:
+    """Store rows plus one company row (store 0) per day, its books counted once however many stores sold them."""
+    whole = lines.withColumns({"store_id": F.lit(0).cast("bigint"), "channel": F.lit("ALL")})
+    return kpi_daily(lines).unionByName(kpi_daily(whole))
 
 
 def branch_inventory(inventory: DataFrame, locations: DataFrame) -> DataFrame:
@@ -142,10 +136,10 @@ def safety_stock(demand: DataFrame, locations: DataFrame, days: int = 5, floor:
     physical = locations.filter("NOT is_virtual")
     stores = physical.filter("location_type <> 'WH'").select(F.col("location_id").cast("bigint").alias("store_id"), "wh_id")
     houses = physical.filter("location_type = 'WH'").groupBy("wh_id").agg(F.min("location_id").cast("bigint").alias("location_id"))
-    base = demand.join(small_side(stores), "store_id")
+    base = demand.join(stores, "store_id")
     store_rows = base.select("isbn13", F.col("store_id").alias("location_id"), units("demand").alias("safety_stock"))
     house_rows = (
-        base.groupBy("isbn13", "wh_id").agg(F.sum("demand").alias("demand")).join(small_side(houses), "wh_id")
+        base.groupBy("isbn13", "wh_id").agg(F.sum("demand").alias("demand")).join(houses, "wh_id")
         .select("isbn13", "location_id", units("demand").alias("safety_stock"))
     )
     return store_rows.unionByName(house_rows)

@@ -47,14 +47,14 @@ def _sums() -> list[Column]:
 
 
 def error_metrics(
-    scored: DataFrame, group: list[str], quantiles: dict[str, float] | None = None, few_groups: bool = True
+    scored: DataFrame, group: list[str], quantiles: dict[str, float] | None = None, few_groups: bool = False
 ) -> DataFrame:
     """MAE, RMSE, WAPE, sMAPE, bias, order quantities and error quantiles per group.
 
     Equal (actual, predicted) pairs are counted first. Sums and quantiles both
     start from that one shuffle, so the forecasts are computed only once.
-    ``few_groups`` holds for model names and demand classes, the usual groups;
-    pass False to score per store, book or any other column of the data.
+    ``few_groups`` is for groups whose number the code fixes, such as model names
+    and demand classes; their cut points may then be broadcast.
     """
     quantiles = quantiles or {"p50_abs_error": 0.5, "p90_abs_error": 0.9, "p95_abs_error": 0.95}
     pairs = scored.groupBy(*group, "actual", "predicted").agg(F.count("*").alias("_n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import safe_ratio
@@ -193,9 +193,9 @@ def weight_grid(steps: int = 10) -> list[tuple[float, float, float]]:
 
 def ensemble_weights(
     rows: DataFrame, members: list[str], min_fill: float = 0.82, min_high_fill: float = 0.82,
-    under_cost: float = 3.0, over_cost: float = 1.0, top: int = 10,
+    under_cost: float = 3.0, over_cost: float = 1.0,
 ) -> DataFrame:
-    """Cost of every weight mix of three member forecasts, best first.
+    """Cost and rank of every weight mix of three member forecasts.
 
     ``rows`` has ``actual``, ``demand_segment`` and the member columns. The whole
     grid is evaluated in one aggregation: the candidates are columns of it, so
@@ -212,7 +212,7 @@ def ensemble_weights(
             F.sum(under).alias(f"u{i}"),
             F.sum(over).alias(f"o{i}"),
             F.sum(F.when(high, under)).alias(f"h{i}"),
-            F.sum((mix < F.col("actual")).cast("bigint")).alias(f"c{i}"),
+            F.sum((F.round(mix, 6) < F.col("actual")).cast("bigint")).alias(f"c{i}"),
         ]
     total = rows.agg(F.count("*").alias("n"), F.sum("actual").alias("a"), F.sum(F.when(high, F.col("actual"))).alias("ah"), *parts)
     cells = F.array(
@@ -228,7 +228,7 @@ def ensemble_weights(
     high_fill = F.coalesce(1 - safe_ratio("g.h", "ah"), fill)
     rate = safe_ratio(F.col("g.u") * under_cost + F.col("g.o") * over_cost, "a")
     short = F.greatest(F.lit(min_fill) - fill, F.lit(0.0)) + F.greatest(F.lit(min_high_fill) - high_fill, F.lit(0.0))
-    return (
+    mixes = (
         total.select("n", "a", "ah", F.explode(cells).alias("g"))
         .select(
             "g.w1", "g.w2", "g.w3",
@@ -238,6 +238,7 @@ def ensemble_weights(
             safe_ratio("g.c", "n").alias("underforecast_rate"),
             (rate + 10 * short).alias("score"),
         )
-        .orderBy("score", "weighted_order_cost_rate", "wape", "w1", "w2")
-        .limit(top)
     )
+    # 66 rows, so the window needs no key; sums of fractions are compared at eight digits
+    order = [*[F.round(c, 8) for c in ("score", "weighted_order_cost_rate", "wape")], "w1", "w2"]
+    return mixes.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))

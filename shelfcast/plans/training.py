@@ -14,7 +14,6 @@ from shelfcast.operators.series import (
     with_lags,
     with_rolling_means,
 )
-from shelfcast.operators.sides import small_side
 
 
 def resolve_warehouse(sales: DataFrame, store_map: DataFrame, locations: DataFrame) -> DataFrame:
@@ -23,7 +22,7 @@ def resolve_warehouse(sales: DataFrame, store_map: DataFrame, locations: DataFra
         locations.select("location_id", F.col("wh_id").alias("_home")), "location_id"
     )
     return (
-        sales.join(small_side(home.select("store_id", "_home")), "store_id", "left")
+        sales.join(home.select("store_id", "_home"), "store_id", "left")
         .withColumn("wh_id", F.coalesce(F.col("_home").cast("bigint"), F.col("wh_id")))
         .drop("_home")
     )
@@ -41,7 +40,7 @@ def daily_warehouse_sales(sales: DataFrame, store_map: DataFrame, locations: Dat
 def daily_warehouse_inventory(inventory: DataFrame, locations: DataFrame) -> DataFrame:
     return (
         inventory.filter(F.col("snapshot_date").isNotNull())
-        .join(small_side(locations.select("location_id", F.col("wh_id").cast("bigint").alias("wh_id"))), "location_id")
+        .join(locations.select("location_id", F.col("wh_id").cast("bigint").alias("wh_id")), "location_id")
         .groupBy(F.col("snapshot_date").alias("feature_date"), "isbn13", "wh_id")
         .agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("on_hand", "reserved_qty")])
     )
@@ -158,10 +157,10 @@ def store_attributes(locations: DataFrame) -> DataFrame:
 
 
 def store_panel(
-    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, store_ids: list[int],
+    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, stores: DataFrame,
     stock_via: str = "store", period: tuple | None = None,
 ) -> DataFrame:
-    """Dense (isbn13, store_id, day) panel over every book and every store.
+    """Dense (isbn13, store_id, day) panel over every book and every store of ``stores`` (column store_id).
 
     ``stock_via="store"`` reads stock at the store's own id, so online stores
     have none; ``"inventory_location"`` reads it where the store draws from.
@@ -169,7 +168,7 @@ def store_panel(
     keys = ["isbn13", "store_id"]
     sums = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
     lo, hi = _period(sales, period)
-    sold = sales.filter(F.col("store_id").isin(store_ids) & F.col("sale_date").between(lo, hi)).select(
+    sold = sales.filter(F.col("sale_date").between(lo, hi)).join(stores, "store_id", "left_semi").select(
         *keys, F.col("sale_date").alias("feature_date"), F.coalesce("qty_sold", F.lit(0)).alias("qty_sold")
     )
     link = store_map.select("store_id", F.col("inventory_location_id" if stock_via == "inventory_location" else "location_id").alias("location_id"))
@@ -179,13 +178,14 @@ def store_panel(
         .groupBy("snapshot_date", "isbn13", "location_id")
         .agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in sums[1:]])
         .withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(F.lit("inventory has two rows for one book, place and day"))).otherwise(F.lit(0)))
-        .join(small_side(link), "location_id")
-        .filter(F.col("store_id").isin(store_ids) & (F.col("_n") == 0))
+        .join(link, "location_id")
+        .filter("_n = 0")
+        .join(stores, "store_id", "left_semi")
         .select("isbn13", F.col("store_id").cast("bigint").alias("store_id"), F.col("snapshot_date").alias("feature_date"), *sums[1:])
     )
     # Every book starts with a zero row in every store, so pairs without sales get a series too.
-    stores = F.explode(F.array(*[F.lit(s).cast("bigint") for s in store_ids]))
-    seeds = books.select("isbn13", stores.alias("store_id"), lo.alias("feature_date"), F.lit(1).alias("_book"))
+    all_stores = stores.agg(F.sort_array(F.collect_set(F.col("store_id").cast("bigint"))).alias("s")).scalar()
+    seeds = books.select("isbn13", F.explode(all_stores).alias("store_id"), lo.alias("feature_date"), F.lit(1).alias("_book"))
     daily = _one_table([sold, stock, seeds], [*keys, "feature_date"], [*sums, "_book"])
     return densify(_listed(daily, keys, "_book"), keys, "feature_date", sums, lo, hi)
 
@@ -196,14 +196,12 @@ def training_dataset_store(
 ) -> DataFrame:
     keys = ["isbn13", "store_id"]
     stores = store_attributes(locations)
-    # One row per store, at most the fixed location list; needed as literals for the spine.
-    ids = [r["store_id"] for r in stores.select("store_id").orderBy("store_id").collect()]
-    panel = store_panel(sales, inventory, books, store_map, ids, stock_via, period)
+    panel = store_panel(sales, inventory, books, store_map, stores.select("store_id"), stock_via, period)
     facts = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
     wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, *facts])
     wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
     total = F.sum("qty_sold").over(trailing(keys, "feature_date", 28))
-    return wide.withColumn("demand_segment", segment_of(total)).join(small_side(stores), "store_id")
+    return wide.withColumn("demand_segment", segment_of(total)).join(stores, "store_id")
 
 
 def automl_input(

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,11 +16,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_LOCAL_DIR: str | None = None
 
-
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and the benchmark; clusters bring their own."""
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g", work_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the benchmark; clusters bring their own. ``work_dir`` takes intermediate tables."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("shelfcast")
@@ -30,7 +27,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | ({"spark.checkpoint.dir": work_dir} if work_dir else {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,20 +35,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of its own: on a cluster a
-    machine-local folder is lost with its machine, so that is an error.
-    """
-    global _LOCAL_DIR
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse, which all executors reach too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _LOCAL_DIR is None:
-        _LOCAL_DIR = tempfile.mkdtemp(prefix="shelfcast-")
-    return _LOCAL_DIR
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -61,3 +47,15 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 def join_path(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if "://" in base else os.path.join(base, *parts)
+
+
+def through_disk(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The copy is removed when the session ends.
+    """
+    path = fresh_dir(spark, label)
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -30,16 +30,15 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path)
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str, records: int = 100) -> DataFrame:
-    """The same feed from a broker topic keyed by book; needs the Kafka package on the cluster."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", records)
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
-    )
+def read_kafka(spark: SparkSession, servers: str, topic: str, records: int | None = None) -> DataFrame:
+    """The same feed from a broker topic keyed by book; needs the Kafka package on the cluster.
+
+    ``records`` bounds a batch; without it a batch takes what has come.
+    """
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if records is not None:
+        reader = reader.option("maxOffsetsPerTrigger", records)
+    return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
 def parse_records(lines: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:

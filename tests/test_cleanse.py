@@ -42,15 +42,15 @@ def test_normalize_defaults(spark):
     assert str(row["event_ts"]) == "2024-05-05 00:00:00"
 
 
-def test_catalog_item_defaults_and_lengths(spark):
+def test_catalog_item_defaults_and_whole_texts(spark):
     item = {
         "isbn13": "9780000000001", "title": "T" * 300, "author": "Kim (writer), Lee", "publisher": "P", "pubDate": "no", "salesPoint": 50000,
         "priceStandard": 0, "description": "<b>x</b> " + "y" * 2000, "subInfo": {"itemPage": 321},
     }
     row = cleanse.parse_catalog_items(spark.createDataFrame([(json.dumps(item),)], "item string")).first()
-    assert len(row["title"]) == 200 and row["author"] == "Kim" and row["pub_date"] is None
+    assert len(row["title"]) == 300 and row["author"] == "Kim" and row["pub_date"] is None
     assert (row["price_standard"], row["price_sales"], row["price_tier"]) == (15000, 15000, "MID")
-    assert row["is_bestseller_flag"] and row["item_page"] == 321 and len(row["description"]) == 1000 and row["description"].startswith("x ")
+    assert row["is_bestseller_flag"] and row["item_page"] == 321 and len(row["description"]) == 2002 and row["description"].startswith("x ")
 
 
 def test_remap_with_clones(spark, rows):
@@ -82,3 +82,14 @@ def test_history_expand(spark):
     ).withColumn("sale_date", F.col("sale_date").cast("date"))
     (row,) = cleanse.expand_history(df).collect()
     assert row["unit_price"] == 4 and str(row["event_ts"]) == "2024-01-01 03:00:00"
+
+
+def test_export_widths(spark):
+    df = spark.createDataFrame([("T" * 300, "d")], "title string, description string")
+    assert [len(v) for v in cleanse.cut_to_widths(df, {"title": 200, "description": 1000}).first()] == [200, 1]
+
+
+def test_a_copy_without_a_time_does_not_win(spark):
+    rows = [("t1", "9788900000004", 2, "not a time"), ("t1", "9788900000004", 2, "2024-01-05 10:00:00")]
+    (row,) = cleanse.clean_pos(spark.createDataFrame(rows, "tx_id string, isbn13 string, qty int, ts string")).collect()
+    assert str(row["sale_date"]) == "2024-01-05"

@@ -19,6 +19,20 @@ def test_latest_per_key(spark):
     assert got == {"a": 2, "b": 3}
 
 
+def test_global_rank_does_not_depend_on_the_ranges(spark):
+    """Keys of unequal length, negative numbers, texts and NULL; ordered as the key's own type is."""
+    texts = [str(i) for i in range(1, 400)] + ["-5", "-40", "abc", "Z", "", None]
+    for kind, keys in (("string", texts), ("bigint", [None, *range(-50, 350, 3)])):
+        shuffled = keys[:]
+        random.Random(1).shuffle(shuffled)
+        df = spark.createDataFrame([(k,) for k in shuffled], f"k {kind}")
+        order = sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
+        want = {k: i + 1 for i, k in enumerate(order)}
+        for splits in (1, 3, 16, None):
+            ranked = global_rank(df, "k", splits=splits)
+            assert ranked.columns == ["k", "rank_no"] and {r["k"]: r["rank_no"] for r in ranked.collect()} == want
+
+
 def test_global_rank_matches_a_sort(spark):
     rng = random.Random(5)
     keys = sorted({f"978{rng.randrange(10**int(rng.choice([3, 6, 10]))):010d}" for _ in range(3000)})

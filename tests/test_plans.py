@@ -87,7 +87,9 @@ def test_factor_is_clamped(spark):
 def test_ensemble_grid(spark):
     assert len(backtest.weight_grid()) == 66
     rows = spark.createDataFrame([("high", 4.0, 4.0, 0.0, 9.0), ("low", 2.0, 2.0, 0.0, 9.0)], "demand_segment string, actual double, a double, b double, c double")
-    best = backtest.ensemble_weights(rows, ["a", "b", "c"]).first()
+    mixes = backtest.ensemble_weights(rows, ["a", "b", "c"])
+    assert sorted(r["rank"] for r in mixes.collect()) == list(range(1, 67))
+    best = mixes.filter("rank = 1").first()
     assert (best["w1"], best["score"], best["wape"]) == (1.0, 0.0, 0.0)
 
 
@@ -130,8 +132,8 @@ def test_panel_needs_unique_stock_rows(spark):
     twice = spark.createDataFrame([(D0, "x", 1, 5, 0, 1)] * 2, "snapshot_date date, isbn13 string, location_id bigint, on_hand bigint, reserved_qty bigint, safety_stock bigint")
     books = spark.createDataFrame([("x",)], "isbn13 string")
     with pytest.raises(Exception, match="two rows"):
-        training.store_panel(sales, twice, books, store_location_map(spark), [1, 2]).collect()
-    ok = training.store_panel(sales, twice.limit(1), books, store_location_map(spark), [1, 2])
+        training.store_panel(sales, twice, books, store_location_map(spark), spark.createDataFrame([(1,), (2,)], "store_id bigint")).collect()
+    ok = training.store_panel(sales, twice.limit(1), books, store_location_map(spark), spark.createDataFrame([(1,), (2,)], "store_id bigint"))
     assert {(r["store_id"], r["qty_sold"], r["on_hand"]) for r in ok.collect()} == {(1, 2, 5), (2, 0, 0)}
 
 
@@ -139,7 +141,7 @@ def test_online_stock_by_parameter(spark):
     sales = spark.createDataFrame([(D0, "x", 13, 2)], "sale_date date, isbn13 string, store_id bigint, qty_sold bigint")
     house = spark.createDataFrame([(D0, "x", 15, 50, 0, 1)], "snapshot_date date, isbn13 string, location_id bigint, on_hand bigint, reserved_qty bigint, safety_stock bigint")
     books = spark.createDataFrame([("x",)], "isbn13 string")
-    at = lambda via: training.store_panel(sales, house, books, store_location_map(spark), [13], via).first()["on_hand"]
+    at = lambda via: training.store_panel(sales, house, books, store_location_map(spark), spark.createDataFrame([(13,)], "store_id bigint"), via).first()["on_hand"]
     assert at("store") == 0 and at("inventory_location") == 50
 
 

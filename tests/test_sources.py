@@ -41,6 +41,16 @@ def test_partition_writes(spark, rows):
     assert rows(spark.read.parquet(path), "d", "v") == [(day, 9), (day + dt.timedelta(days=1), 2)]
     tables.replace_partition(df.filter("v > 100"), path, "d", day)
     assert rows(spark.read.parquet(path), "v") == [(2,)]
+    odd = spark.createDataFrame([("a=b/c d%", 1), (None, 2), ("x", 3)], "k string, v int")
+    path = fresh_dir(spark, "odd")
+    tables.overwrite_partitions(odd, path, "k")
+    for value in ("a=b/c d%", None):
+        tables.replace_partition(odd.withColumn("v", F.lit(7)), path, "k", value)
+    read = spark.read.schema("v int, k string").parquet(path)
+    assert rows(read, "k", "v") == sorted([("a=b/c d%", 7), (None, 7), ("x", 3)], key=repr)
+    for value in ("a=b/c d%", None):
+        tables.replace_partition(odd.limit(0), path, "k", value)
+    assert rows(read.sparkSession.read.schema("v int, k string").parquet(path), "k", "v") == [("x", 3)]
 
 
 def test_versions(spark, rows):
