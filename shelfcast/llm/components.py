@@ -12,13 +12,14 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     """One step: every node hands its larger (or other) neighbours on to its smallest one.
 
     The smallest neighbour is a plain aggregate, reduced before the shuffle, and is joined back to the links, so a
-    node with very many links never gathers them in one row.
+    node with very many links never gathers them in one row. It is written first: then the join meets two plain
+    tables, and Spark can split such a node over several tasks.
     """
     if large:
         both = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        low = written(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "stars")
         return both.join(low, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y")
-    low = links.groupBy("x").agg(F.min("y").alias("m"))  # x > y throughout
+    low = written(links.groupBy("x").agg(F.min("y").alias("m")), "stars")  # x > y throughout
     moved = links.join(low, "x")
     return moved.select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y").unionAll(low.select("x", F.col("m").alias("y")))
 
@@ -35,7 +36,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")))
     before = now.select(mark).first()
     while True:
-        now = written(_star(_star(now, large=True).distinct(), large=False).distinct(), label)
+        now = written(_star(written(_star(now, large=True).distinct(), label), large=False).distinct(), label)
         after = now.select(mark).first()
         if after == before:
             return now.select(F.col("x").alias("node"), F.col("y").alias("component")).unionAll(

@@ -150,7 +150,8 @@ def _windows_inside(docs: DataFrame, blocks: DataFrame, length: int) -> DataFram
 def _later(rows: DataFrame) -> DataFrame:
     """The rows whose hash also stands at an earlier place. The earliest is an aggregate, reduced before the shuffle."""
     earliest = rows.groupBy("b1", "b2").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last"))
-    often = earliest.where("first <> last").select("b1", "b2", "first")
+    # written, so that the join meets two plain tables and Spark can split the copies of one passage over tasks
+    often = written(earliest.where("first <> last").select("b1", "b2", "first"), "often")
     return rows.join(often, ["b1", "b2"]).where(F.struct("doc_id", "place") > F.col("first"))
 
 
@@ -163,7 +164,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     copied = written(_later(blocks).select("doc_id", "place", "windows"), "copied")
     # an anchor with blocks that differ: the windows that they share are found by their own hashes
     shared = blocks.groupBy("anchor").agg(F.min("b1").alias("least"), F.max("b1").alias("most")).where("least <> most")
-    differing = blocks.join(shared.select("anchor"), "anchor", "left_semi")
+    differing = blocks.join(written(shared.select("anchor"), "shared"), "anchor", "left_semi")
     firsts = differing.groupBy("b1", "b2").agg(F.min(F.struct("doc_id", "place", "windows")).alias("first")).select("first.*")
     windows = written(_windows_inside(docs, written(firsts, "differing"), length), "windows")
     return copied.unionAll(_later(windows).select("doc_id", "place", F.lit(1).alias("windows")))
