@@ -151,9 +151,8 @@ def sale_bounds(spark, sf) -> DataFrame:
     return sales_lines(spark, sf).agg(F.min("sale_date").alias("lo"), F.max("sale_date").alias("hi"))
 
 
-@once
 def sale_days(spark, sf) -> tuple:
-    """First and last sale date; a run takes its dates as parameters, so they become literals."""
+    """First and last sale date, looked up now; a run takes its dates as parameters, so they become literals."""
     row = sale_bounds(spark, sf).first()
     return row["lo"], row["hi"]
 
@@ -175,7 +174,6 @@ def literal_bounds(spark, sf) -> DataFrame:
     return spark.sql(f"SELECT DATE '{lo}' AS lo, DATE '{hi}' AS hi")
 
 
-@once
 def calendar(spark, sf) -> DataFrame:
     bounds = literal_bounds(spark, sf)
     return calendar_table(bounds, holiday_dates(spark, bounds, HOLIDAYS))
@@ -233,7 +231,6 @@ def sns_raw(spark, sf) -> DataFrame:
     return sns_events(table(spark, sf, "events"))
 
 
-@once
 def sns_daily(spark, sf) -> DataFrame:
     """Mentions per book and day, moved into the sales period."""
     first = sale_period(spark, sf)[0]
@@ -344,7 +341,6 @@ def order_approvals(spark, sf) -> DataFrame:
     )
 
 
-@once
 def forecast_results(spark, sf) -> DataFrame:
     """Two forecast runs of five days; the older run has faulty rows."""
     last = newest_sale(spark, sf)
@@ -377,60 +373,6 @@ def forecast_results(spark, sf) -> DataFrame:
     )
 
 
-# Product lines: the coarse grain on which dense daily series are built.
-
-
-@once
-def line_books(spark, sf) -> DataFrame:
-    best = F.sum(F.col("is_bestseller_flag").cast("int")) * 2 > F.count("*")
-    return (
-        books_static(spark, sf)
-        .groupBy(F.col("category_name").alias("isbn13"))
-        .agg(
-            F.min("category_id").alias("category_id"),
-            F.min("price_tier").alias("price_tier"),
-            F.max("sales_point").alias("sales_point"),
-            best.alias("is_bestseller_flag"),
-            F.max("author_experience_years").alias("author_experience_years"),
-            F.min("pub_date").alias("pub_date"),
-        )
-    )
-
-
-def _to_line(df: DataFrame, spark, sf, keys: list[str], sums: list[str]) -> DataFrame:
-    lines = books_static(spark, sf).select("isbn13", "category_name")
-    return (
-        df.join(lines, "isbn13")
-        .drop("isbn13")
-        .withColumnRenamed("category_name", "isbn13")
-        .groupBy(*keys)
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-
-
-@once
-def line_sales(spark, sf) -> DataFrame:
-    """Every receipt line counts as one unit, which gives slow, middling and fast series."""
-    return _to_line(
-        sales_fact(spark, sf).withColumn("qty_sold", F.col("tx_count")), spark, sf,
-        ["sale_date", "isbn13", "store_id", "wh_id", "channel"], ["qty_sold", "revenue", "tx_count"],
-    )
-
-
-@once
-def line_inventory(spark, sf) -> DataFrame:
-    return _to_line(
-        inventory_daily(spark, sf), spark, sf,
-        ["snapshot_date", "isbn13", "location_id"], ["on_hand", "reserved_qty", "safety_stock"],
-    )
-
-
-@once
-def line_sns(spark, sf) -> DataFrame:
-    return _to_line(sns_daily(spark, sf), spark, sf, ["isbn13", "mention_date"], ["mentions"])
-
-
-@once
 def features(spark, sf) -> DataFrame:
     spine = sales_lines(spark, sf).select("isbn13", F.col("sale_date").alias("feature_date")).distinct()
     return build_features(
@@ -438,8 +380,8 @@ def features(spark, sf) -> DataFrame:
     )
 
 
-@once
-def line_features(spark, sf) -> DataFrame:
+def book_features(spark, sf) -> DataFrame:
+    """Covariates of every book on every day of the sales period."""
     days = F.explode(F.sequence(*sale_period(spark, sf)))
-    spine = line_books(spark, sf).select("isbn13", days.alias("feature_date"))
-    return build_features(spine, calendar(spark, sf), line_books(spark, sf), line_sns(spark, sf), line_inventory(spark, sf))
+    spine = books_static(spark, sf).select("isbn13", days.alias("feature_date"))
+    return build_features(spine, calendar(spark, sf), books_static(spark, sf), sns_daily(spark, sf), inventory_daily(spark, sf))

@@ -8,6 +8,7 @@ from shelfcast.catalog import fixtures as fx
 from shelfcast.catalog.cleanse_queries import CANDIDATE_SQL, candidates
 from shelfcast.catalog.reference_sql import ISBN
 from shelfcast.catalog.registry import query
+from shelfcast.catalog.util import digest, digest_sql
 from shelfcast.domain import locations_static, store_location_map
 from shelfcast.operators import enrich
 from shelfcast.operators.series import densify
@@ -43,27 +44,30 @@ def wh_resolve(spark, sf):
     return training.resolve_warehouse(sales, store_location_map(spark), locations_static(spark))
 
 
+SPINE = dict(keys=["isbn13", "wh_id"], day="feature_date", ints=["qty"])
+
+
 @query(
     "spine_cross",
-    """SELECT k.isbn13, k.wh_id, d.day AS feature_date, coalesce(s.qty, 0) AS qty
-       FROM (SELECT DISTINCT isbn13, wh_id FROM line_sales) k CROSS JOIN sales_days d
-       LEFT JOIN (SELECT isbn13, wh_id, sale_date, CAST(sum(qty_sold) AS BIGINT) AS qty FROM line_sales GROUP BY 1, 2, 3) s
-         ON s.isbn13 = k.isbn13 AND s.wh_id = k.wh_id AND s.sale_date = d.day""",
+    digest_sql("""SELECT k.isbn13, k.wh_id, d.day AS feature_date, coalesce(s.qty, 0) AS qty
+       FROM (SELECT DISTINCT isbn13, wh_id FROM sales_fact) k CROSS JOIN sales_days d
+       LEFT JOIN (SELECT isbn13, wh_id, sale_date, CAST(sum(qty_sold) AS BIGINT) AS qty FROM sales_fact GROUP BY 1, 2, 3) s
+         ON s.isbn13 = k.isbn13 AND s.wh_id = k.wh_id AND s.sale_date = d.day""", **SPINE),
 )
 def spine_cross(spark, sf):
-    sales = fx.line_sales(spark, sf)
+    sales = fx.sales_fact(spark, sf)
     daily = sales.groupBy("isbn13", "wh_id", F.col("sale_date").alias("feature_date")).agg(F.sum("qty_sold").alias("qty"))
-    return densify(daily, ["isbn13", "wh_id"], "feature_date", ["qty"], *fx.sale_period(spark, sf))
+    return digest(densify(daily, ["isbn13", "wh_id"], "feature_date", ["qty"], *fx.sale_period(spark, sf)), **SPINE)
 
 
 PANEL_SQL = """
 SELECT d.day AS feature_date, k.isbn13, k.wh_id, coalesce(s.qty_sold, 0) AS qty_sold, coalesce(i.on_hand, 0) AS on_hand,
        coalesce(i.reserved_qty, 0) AS reserved_qty
-FROM (SELECT DISTINCT isbn13, wh_id FROM line_sales) k CROSS JOIN sales_days d
-LEFT JOIN (SELECT sale_date, isbn13, wh_id, CAST(sum(qty_sold) AS BIGINT) AS qty_sold FROM line_sales GROUP BY 1, 2, 3) s
+FROM (SELECT DISTINCT isbn13, wh_id FROM sales_fact) k CROSS JOIN sales_days d
+LEFT JOIN (SELECT sale_date, isbn13, wh_id, CAST(sum(qty_sold) AS BIGINT) AS qty_sold FROM sales_fact GROUP BY 1, 2, 3) s
   ON s.sale_date = d.day AND s.isbn13 = k.isbn13 AND s.wh_id = k.wh_id
 LEFT JOIN (SELECT i.snapshot_date, i.isbn13, l.wh_id, CAST(sum(i.on_hand) AS BIGINT) AS on_hand, CAST(sum(i.reserved_qty) AS BIGINT) AS reserved_qty
-           FROM line_inventory i JOIN locations_static l ON l.location_id = i.location_id GROUP BY 1, 2, 3) i
+           FROM inventory_daily i JOIN locations_static l ON l.location_id = i.location_id GROUP BY 1, 2, 3) i
   ON i.snapshot_date = d.day AND i.isbn13 = k.isbn13 AND i.wh_id = k.wh_id
 """
 COVARIATE_SQL = """
@@ -76,21 +80,29 @@ CAST(coalesce(b.is_bestseller_flag, false) AS INTEGER) AS bestseller_flag, coale
 """
 ENRICHED_SQL = f"""
 SELECT p.*, {COVARIATE_SQL} FROM ({PANEL_SQL}) p
-LEFT JOIN line_features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_date LEFT JOIN line_books b ON b.isbn13 = p.isbn13
+LEFT JOIN features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_date LEFT JOIN books_static b ON b.isbn13 = p.isbn13
 """
 
 
 def wh_panel(spark, sf, last=None):
     return training.warehouse_panel(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), store_location_map(spark), locations_static(spark),
+        fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), store_location_map(spark), locations_static(spark),
         period=fx.sale_period(spark, sf, last),
     )
 
 
-@query("dense_enrich", ENRICHED_SQL)
+PANEL_INTS = ["qty_sold", "on_hand", "reserved_qty"]
+COVARIATE_INTS = [
+    "holiday_flag", "day_of_week", "month", "weekend_flag", "event_nearby_days", "sns_mentions_1d", "sns_mentions_7d", "book_age_days",
+    "days_since_last_stockout", "category_id", "sales_point", "bestseller_flag", "author_experience_years",
+]
+ENRICHED = dict(keys=["isbn13", "wh_id"], day="feature_date", ints=PANEL_INTS + COVARIATE_INTS, texts=["price_tier"])
+
+
+@query("dense_enrich", digest_sql(ENRICHED_SQL, **ENRICHED))
 def dense_enrich(spark, sf):
     keep = ["feature_date", "isbn13", "wh_id", "qty_sold", "on_hand", "reserved_qty"]
-    return training.enrich(wh_panel(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf), keep)
+    return digest(training.enrich(wh_panel(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf), keep), **ENRICHED)
 
 
 @query(

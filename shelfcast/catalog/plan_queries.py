@@ -8,7 +8,7 @@ from shelfcast.catalog import fixtures as fx
 from shelfcast.catalog.join_queries import SLICE_SQL, wh_panel
 from shelfcast.catalog.reference_sql import TABLES
 from shelfcast.catalog.registry import query
-from shelfcast.catalog.series_queries import STORE, WH, store_panel, train_store
+from shelfcast.catalog.series_queries import STORE, STORE_DAYS, WH, store_panel, train_store
 from shelfcast.catalog.util import rounded
 from shelfcast.domain import locations_static, store_location_map
 from shelfcast.operators import scoring
@@ -22,7 +22,7 @@ def held_store(spark, sf):
     return last_days(train_store(spark, sf, 14 + 28), "feature_date", 14, fx.newest_sale(spark, sf))
 
 
-def stored_train(spark, sf, last=None):
+def stored_train(spark, sf, last=STORE_DAYS):
     """The store training table, written once for jobs that read it several times."""
     return tables.through_disk(spark, train_store(spark, sf, last), "train-store")
 
@@ -448,9 +448,9 @@ def ensemble_weights(spark, sf):
 
 @query("gbt_demand_model")
 def gbt_demand_model(spark, sf):
-    split = training.holdout_split(train_store(spark, sf, 134 + 28), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
     stored = tables.through_disk(spark, split, "split")  # read often while fitting
-    model = models.train_demand_model(stored, trees=8, depth=4)
+    model = models.train_demand_model(stored)
     held = models.score_demand(model, stored.filter("split_name = 'holdout'"))
     scored = scoring.stack_models(held, {"gbt": F.col("score"), "ma28": backtest.zero("qty_rolling_28d")}, ["demand_segment"], "qty_sold")
     return rounded(scoring.error_metrics(scoring.with_total_segment(scored), ["model", "demand_segment"]))
@@ -460,7 +460,7 @@ def new_book_model(spark, sf):
     labels = models.early_demand(fx.sales_fact(spark, sf)).withColumnRenamed("avg_daily_demand", "label")
     pairs = labels.join(fx.books_static(spark, sf), "isbn13")
     inputs = models.new_book_inputs(pairs, store_location_map(spark), locations_static(spark))
-    return models.train_new_book_model(tables.through_disk(spark, inputs, "new-books"), trees=8, depth=4)
+    return models.train_new_book_model(tables.through_disk(spark, inputs, "new-books"))
 
 
 @query("new_book_train")

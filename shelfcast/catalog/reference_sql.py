@@ -181,27 +181,6 @@ SELECT (SELECT max(sale_date) FROM sales_lines) - run AS prediction_date,
 FROM (SELECT isbn13, partkey, store_id, CAST(sum(qty) % 40 / 4.0 AS DOUBLE) AS demand FROM sales_lines GROUP BY 1, 2, 3),
      (VALUES (0), (1)) AS r(run), (VALUES (1), (2), (3), (4), (5)) AS k(step)
 """
-TABLES["line_books"] = """
-SELECT category_name AS isbn13, CAST(min(category_id) AS BIGINT) AS category_id, min(price_tier) AS price_tier,
-       CAST(max(sales_point) AS BIGINT) AS sales_point, CAST(sum(CASE WHEN is_bestseller_flag THEN 1 ELSE 0 END) * 2 > count(*) AS INTEGER) = 1 AS is_bestseller_flag,
-       CAST(max(author_experience_years) AS BIGINT) AS author_experience_years, min(pub_date) AS pub_date
-FROM books_static GROUP BY category_name
-"""
-TABLES["line_sales"] = """
-SELECT s.sale_date, b.category_name AS isbn13, s.store_id, s.wh_id, s.channel, CAST(sum(s.tx_count) AS BIGINT) AS qty_sold,
-       CAST(sum(s.revenue) AS BIGINT) AS revenue, CAST(sum(s.tx_count) AS BIGINT) AS tx_count
-FROM sales_fact s JOIN books_static b ON b.isbn13 = s.isbn13 GROUP BY 1, 2, 3, 4, 5
-"""
-TABLES["line_inventory"] = """
-SELECT i.snapshot_date, b.category_name AS isbn13, i.location_id, CAST(sum(i.on_hand) AS BIGINT) AS on_hand,
-       CAST(sum(i.reserved_qty) AS BIGINT) AS reserved_qty, CAST(sum(i.safety_stock) AS BIGINT) AS safety_stock
-FROM inventory_daily i JOIN books_static b ON b.isbn13 = i.isbn13 GROUP BY 1, 2, 3
-"""
-TABLES["line_sns"] = """
-SELECT b.category_name AS isbn13, n.mention_date, CAST(sum(n.mentions) AS BIGINT) AS mentions
-FROM sns_daily n JOIN books_static b ON b.isbn13 = n.isbn13 GROUP BY 1, 2
-"""
-
 
 def features_sql(spine: str, books: str, sns: str, inventory: str) -> str:
     """Covariates per (isbn13, feature_date) row of ``spine``."""
@@ -224,6 +203,6 @@ ASOF LEFT JOIN (SELECT DISTINCT isbn13, snapshot_date AS out_date FROM {inventor
 
 
 TABLES["sale_spine"] = "SELECT DISTINCT isbn13, sale_date AS feature_date FROM sales_lines"
-TABLES["line_spine"] = "SELECT k.isbn13, d.day AS feature_date FROM (SELECT isbn13 FROM line_books) k, sales_days d"
+TABLES["book_spine"] = "SELECT b.isbn13, d.day AS feature_date FROM books_static b, sales_days d"
 TABLES["features"] = features_sql("sale_spine", "books_static", "sns_daily", "inventory_daily")
-TABLES["line_features"] = features_sql("line_spine", "line_books", "line_sns", "line_inventory")
+TABLES["book_features"] = features_sql("book_spine", "books_static", "sns_daily", "inventory_daily")

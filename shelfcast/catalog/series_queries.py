@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.catalog import fixtures as fx
-from shelfcast.catalog.join_queries import COVARIATE_SQL, ENRICHED_SQL, PANEL_SQL, wh_panel
+from shelfcast.catalog.join_queries import COVARIATE_INTS, COVARIATE_SQL, ENRICHED_SQL, PANEL_INTS, PANEL_SQL, wh_panel
 from shelfcast.catalog.reference_sql import ISBN, TABLES
 from shelfcast.catalog.registry import query
-from shelfcast.catalog.util import rounded
+from shelfcast.catalog.util import digest, digest_sql, rounded
 from shelfcast.domain import HOLIDAYS, locations_static, store_location_map
 from shelfcast.functions.columns import safe_ratio
 from shelfcast.operators import calendar as cal
@@ -16,6 +16,7 @@ from shelfcast.operators import features as feat
 from shelfcast.operators import rollups, series
 from shelfcast.operators.keyed import latest_per_key
 from shelfcast.plans import gates, policy, training
+from shelfcast.session import through_disk
 
 WH = ["isbn13", "wh_id"]
 STORE = ["isbn13", "store_id"]
@@ -27,13 +28,16 @@ SELECT *, lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_l
        avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS qty_rolling_28d
 FROM ({ENRICHED_SQL}) WHERE book_age_days >= 0 WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date)
 """
+#: Days of the store tables: the window that training reads, and the lead-in of its rolling means.
+STORE_DAYS = 134 + 28
+TABLES["store_days"] = f"SELECT day FROM sales_days WHERE day > (SELECT max(day) FROM sales_days) - {STORE_DAYS}"
 TABLES["panel_store"] = """
 SELECT d.day AS feature_date, b.isbn13, CAST(l.location_id AS BIGINT) AS store_id, coalesce(s.q, 0) AS qty_sold, coalesce(i.on_hand, 0) AS on_hand,
        coalesce(i.reserved_qty, 0) AS reserved_qty, coalesce(i.safety_stock, 0) AS safety_stock
-FROM sales_days d CROSS JOIN line_books b CROSS JOIN (SELECT location_id FROM locations_static WHERE location_type <> 'WH') l
-LEFT JOIN (SELECT sale_date, isbn13, store_id, CAST(sum(qty_sold) AS BIGINT) AS q FROM line_sales GROUP BY 1, 2, 3) s
+FROM store_days d CROSS JOIN books_static b CROSS JOIN (SELECT location_id FROM locations_static WHERE location_type <> 'WH') l
+LEFT JOIN (SELECT sale_date, isbn13, store_id, CAST(sum(qty_sold) AS BIGINT) AS q FROM sales_fact GROUP BY 1, 2, 3) s
   ON s.sale_date = d.day AND s.isbn13 = b.isbn13 AND s.store_id = l.location_id
-LEFT JOIN line_inventory i ON i.snapshot_date = d.day AND i.isbn13 = b.isbn13 AND i.location_id = l.location_id
+LEFT JOIN inventory_daily i ON i.snapshot_date = d.day AND i.isbn13 = b.isbn13 AND i.location_id = l.location_id
 """
 TABLES["train_store"] = f"""
 SELECT x.*, CAST(l.wh_id AS BIGINT) AS wh_id, CASE WHEN l.location_type = 'STORE_ONLINE' THEN 'online' ELSE 'offline' END AS channel,
@@ -44,31 +48,38 @@ SELECT x.*, CAST(l.wh_id AS BIGINT) AS wh_id, CASE WHEN l.location_type = 'STORE
        CASE WHEN sum(qty_sold) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 12 THEN 'high'
             WHEN sum(qty_sold) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 3 THEN 'medium' ELSE 'low' END AS demand_segment
 FROM (SELECT p.*, {COVARIATE_SQL} FROM panel_store p
-      LEFT JOIN line_features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_date LEFT JOIN line_books b ON b.isbn13 = p.isbn13) x
+      LEFT JOIN features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_date LEFT JOIN books_static b ON b.isbn13 = p.isbn13) x
 JOIN locations_static l ON l.location_id = x.store_id
 WINDOW w AS (PARTITION BY isbn13, store_id ORDER BY feature_date)
 """
-ROUNDED_MEANS = "* REPLACE (round(qty_rolling_7d, 4) AS qty_rolling_7d, round(qty_rolling_28d, 4) AS qty_rolling_28d)"
+MEANS = ["qty_rolling_7d", "qty_rolling_28d"]
+LAGS = ["qty_lag_1", "qty_lag_7"]
+WH_DAYS = dict(keys=WH, day="feature_date")
+TRAIN_WH = dict(**WH_DAYS, ints=PANEL_INTS + COVARIATE_INTS + LAGS, floats=MEANS, texts=["price_tier"])
+TRAIN_STORE = dict(
+    keys=STORE, day="feature_date", ints=[*PANEL_INTS, "safety_stock", *COVARIATE_INTS, "wh_id", *LAGS], floats=MEANS,
+    texts=["price_tier", "channel", "location_type", "store_size", "region", "demand_segment"],
+)
 
 
 def train_wh(spark, sf):
     return training.training_dataset_wh(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf),
+        fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf),
         store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf),
     )
 
 
-def train_store(spark, sf, last=None):
+def train_store(spark, sf, last=STORE_DAYS):
     return training.training_dataset_store(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_features(spark, sf), fx.line_books(spark, sf),
+        fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf),
         store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf, last),
     )
 
 
-def store_panel(spark, sf, last=None):
+def store_panel(spark, sf, last=STORE_DAYS):
     """The dense store panel with its demand class, without covariates."""
     panel = training.store_panel(
-        fx.line_sales(spark, sf), fx.line_inventory(spark, sf), fx.line_books(spark, sf), store_location_map(spark), store_location_map(spark).select("store_id"),
+        fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.books_static(spark, sf), store_location_map(spark), store_location_map(spark).select("store_id"),
         period=fx.sale_period(spark, sf, last),
     )
     return series.with_segment(panel, STORE, "feature_date", "qty_sold")
@@ -82,40 +93,53 @@ FROM panel_store WINDOW w AS (PARTITION BY isbn13, store_id ORDER BY feature_dat
 
 @query(
     "lag_features",
-    """SELECT feature_date, isbn13, wh_id, qty_sold, lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_lag_7
-       FROM panel_wh WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date)""",
+    digest_sql(
+        """SELECT feature_date, isbn13, wh_id, qty_sold, lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_lag_7
+           FROM panel_wh WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date)""",
+        **WH_DAYS, ints=["qty_sold", *LAGS],
+    ),
 )
 def lag_features(spark, sf):
     panel = wh_panel(spark, sf).select("feature_date", *WH, "qty_sold")
-    return series.with_lags(panel, WH, "feature_date", "qty_sold")
+    return digest(series.with_lags(panel, WH, "feature_date", "qty_sold"), **WH_DAYS, ints=["qty_sold", *LAGS])
 
 
 @query(
     "rolling_mean",
-    """SELECT feature_date, isbn13, wh_id, qty_sold,
-              round(avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 4) AS qty_rolling_7d,
-              round(avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 4) AS qty_rolling_28d
-       FROM panel_wh""",
+    digest_sql(
+        """SELECT feature_date, isbn13, wh_id, qty_sold,
+                  avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS qty_rolling_7d,
+                  avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS qty_rolling_28d
+           FROM panel_wh""",
+        **WH_DAYS, ints=["qty_sold"], floats=MEANS,
+    ),
 )
 def rolling_mean(spark, sf):
     panel = wh_panel(spark, sf).select("feature_date", *WH, "qty_sold")
-    return rounded(series.with_rolling_means(panel, WH, "feature_date", "qty_sold"))
+    return digest(series.with_rolling_means(panel, WH, "feature_date", "qty_sold"), **WH_DAYS, ints=["qty_sold"], floats=MEANS)
+
+
+SEGMENT_DAYS = dict(keys=[*STORE, "demand_segment"], day="feature_date", ints=["qty_sold"])
 
 
-@query("rolling_sum_segment", "SELECT feature_date, isbn13, store_id, qty_sold, demand_segment FROM panel_segment")
+@query("rolling_sum_segment", digest_sql("panel_segment", **SEGMENT_DAYS))
 def rolling_sum_segment(spark, sf):
-    return store_panel(spark, sf).select("feature_date", *STORE, "qty_sold", "demand_segment")
+    return digest(store_panel(spark, sf), **SEGMENT_DAYS)
 
 
 @query(
     "intermittent_stats",
-    """SELECT feature_date, isbn13, wh_id, round(avg(CASE WHEN qty_sold > 0 THEN qty_sold END) OVER w, 4) AS nonzero_mean_qty,
-              round(avg(CASE WHEN qty_sold > 0 THEN 1.0 ELSE 0.0 END) OVER w, 4) AS nonzero_probability
-       FROM panel_wh WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 56 PRECEDING AND 1 PRECEDING)""",
+    digest_sql(
+        """SELECT feature_date, isbn13, wh_id, avg(CASE WHEN qty_sold > 0 THEN qty_sold END) OVER w AS nonzero_mean_qty,
+                  avg(CASE WHEN qty_sold > 0 THEN 1.0 ELSE 0.0 END) OVER w AS nonzero_probability
+           FROM panel_wh WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 56 PRECEDING AND 1 PRECEDING)""",
+        **WH_DAYS, floats=["nonzero_mean_qty", "nonzero_probability"],
+    ),
 )
 def intermittent_stats(spark, sf):
     panel = wh_panel(spark, sf).select("feature_date", *WH, "qty_sold")
-    return rounded(series.with_intermittent_stats(panel, WH, "feature_date", "qty_sold").drop("qty_sold"))
+    stats = series.with_intermittent_stats(panel, WH, "feature_date", "qty_sold")
+    return digest(stats, **WH_DAYS, floats=["nonzero_mean_qty", "nonzero_probability"])
 
 
 @query(
@@ -228,9 +252,15 @@ def ordered_rank_rules(spark, sf):
 # Training tables.
 
 
-@query("features_build", "SELECT * FROM line_features")
+BOOK_DAYS = dict(
+    keys=["isbn13"], day="feature_date", texts=["holiday_name", "season"],
+    ints=["day_of_week", "month", "event_nearby_days", "sns_mentions_1d", "sns_mentions_7d", "book_age_days", "on_hand_total", "days_since_last_stockout"],
+)
+
+
+@query("features_build", digest_sql("book_features", **BOOK_DAYS))
 def features_build(spark, sf):
-    return fx.line_features(spark, sf)
+    return digest(fx.book_features(spark, sf), **BOOK_DAYS)
 
 
 @query("features_build_books", "SELECT * FROM features")
@@ -238,38 +268,43 @@ def features_build_books(spark, sf):
     return fx.features(spark, sf)
 
 
-@query("training_dataset_wh", f"SELECT {ROUNDED_MEANS} FROM train_wh")
+@query("training_dataset_wh", digest_sql("train_wh", **TRAIN_WH))
 def training_dataset_wh(spark, sf):
-    return rounded(train_wh(spark, sf))
+    return digest(train_wh(spark, sf), **TRAIN_WH)
 
 
-@query("training_dataset_store", f"SELECT {ROUNDED_MEANS} FROM train_store")
+@query("training_dataset_store", digest_sql("train_store", **TRAIN_STORE))
 def training_dataset_store(spark, sf):
-    return rounded(train_store(spark, sf))
+    return digest(train_store(spark, sf), **TRAIN_STORE)
+
+
+AUTOML = dict(
+    keys=["series_id", "wh_id"], day="sale_date", floats=["avg_price"], texts=["season", "price_tier"],
+    ints=["qty_sold", "revenue", "tx_count", "sns_mentions_1d", "sns_mentions_7d", "event_nearby_days", "day_of_week", "month", "category_id",
+          "is_bestseller_flag", "author_experience_years"],
+)
 
 
 @query(
     "automl_input",
-    """SELECT k.isbn13 || '_WH' || k.wh_id AS series_id, d.day AS sale_date, coalesce(s.qty_sold, 0) AS qty_sold, coalesce(s.revenue, 0) AS revenue,
-              round(coalesce(s.avg_price, 0), 4) AS avg_price, coalesce(s.tx_count, 0) AS tx_count, coalesce(f.sns_mentions_1d, 0) AS sns_mentions_1d,
+    digest_sql("""SELECT k.isbn13 || '_WH' || k.wh_id AS series_id, d.day AS sale_date, coalesce(s.qty_sold, 0) AS qty_sold, coalesce(s.revenue, 0) AS revenue,
+              coalesce(s.avg_price, 0) AS avg_price, coalesce(s.tx_count, 0) AS tx_count, coalesce(f.sns_mentions_1d, 0) AS sns_mentions_1d,
               coalesce(f.sns_mentions_7d, 0) AS sns_mentions_7d, coalesce(f.is_holiday, false) AS is_holiday,
               coalesce(f.event_nearby_days, 0) AS event_nearby_days, f.season, f.day_of_week, f.month, coalesce(f.is_weekend, false) AS is_weekend,
               k.wh_id, b.category_id, b.price_tier, CAST(coalesce(b.is_bestseller_flag, false) AS INTEGER) AS is_bestseller_flag,
               coalesce(b.author_experience_years, 0) AS author_experience_years
-       FROM (SELECT DISTINCT isbn13, wh_id FROM line_sales) k CROSS JOIN sales_days d
+       FROM (SELECT DISTINCT isbn13, wh_id FROM sales_fact) k CROSS JOIN sales_days d
        LEFT JOIN (SELECT isbn13, wh_id, sale_date, CAST(sum(qty_sold) AS BIGINT) AS qty_sold, CAST(sum(revenue) AS BIGINT) AS revenue,
-                         avg(CAST(revenue // qty_sold AS DOUBLE)) AS avg_price, CAST(sum(tx_count) AS BIGINT) AS tx_count
-                  FROM line_sales GROUP BY 1, 2, 3) s ON s.isbn13 = k.isbn13 AND s.wh_id = k.wh_id AND s.sale_date = d.day
-       LEFT JOIN line_features f ON f.isbn13 = k.isbn13 AND f.feature_date = d.day LEFT JOIN line_books b ON b.isbn13 = k.isbn13""",
+                         avg(CAST(avg_price AS DOUBLE)) AS avg_price, CAST(sum(tx_count) AS BIGINT) AS tx_count
+                  FROM sales_fact GROUP BY 1, 2, 3) s ON s.isbn13 = k.isbn13 AND s.wh_id = k.wh_id AND s.sale_date = d.day
+       LEFT JOIN features f ON f.isbn13 = k.isbn13 AND f.feature_date = d.day LEFT JOIN books_static b ON b.isbn13 = k.isbn13""", **AUTOML),
 )
 def automl_input(spark, sf):
-    sales = fx.line_sales(spark, sf).withColumn("avg_price", F.expr("revenue div qty_sold"))
-    return rounded(
-        training.automl_input(
-            sales, fx.line_features(spark, sf), fx.line_books(spark, sf), store_location_map(spark), locations_static(spark),
-            fx.sale_period(spark, sf),
-        )
+    wide = training.automl_input(
+        fx.sales_fact(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf), store_location_map(spark), locations_static(spark),
+        fx.sale_period(spark, sf),
     )
+    return digest(wide, **AUTOML)
 
 
 SPLIT_SQL = """
@@ -282,7 +317,7 @@ WHERE feature_date > (SELECT max(feature_date) FROM train_store) - 134 AND deman
 
 @query("holdout_split", f"SELECT split_name, isbn13, store_id, feature_date, qty_sold, demand_segment FROM ({SPLIT_SQL})")
 def holdout_split(spark, sf):
-    split = training.holdout_split(train_store(spark, sf, 134 + 28), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
     return split.select("split_name", "isbn13", "store_id", "feature_date", "qty_sold", "demand_segment")
 
 
@@ -323,7 +358,8 @@ def training_validation(spark, sf):
 )
 def staleness_guard(spark, sf):
     run = F.date_add(fx.newest_sale(spark, sf), 3)
-    return gates.staleness(wh_panel(spark, sf, 1), run)
+    stored = through_disk(spark, wh_panel(spark, sf), "panel")  # the guard looks at the table as it is stored
+    return gates.staleness(stored, run)
 
 
 @query(

@@ -10,3 +10,31 @@ def rounded(df: DataFrame, digits: int = 4, only: list[str] | None = None) -> Da
     """Doubles rounded, so that the order of additions does not show."""
     names = [n for n, t in df.dtypes if t == "double" and (only is None or n in only)]
     return df.withColumns({n: F.round(n, digits) for n in names}) if names else df
+
+
+def digest(df: DataFrame, keys: list[str], day: str, ints=(), floats=(), texts=()) -> DataFrame:
+    """One row per series of a dense table: its rows, and of every column the sum, the ends, and the sum by day number.
+
+    Dense tables have a row for every book, place and day; they are compared by series instead of row by row.
+    """
+    at = F.datediff(day, F.lit("1990-01-01").cast("date"))
+    out = [F.count("*").alias("row_count")]
+    for c in ints:
+        out += [F.sum(c).cast("bigint").alias(f"{c}_sum"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.sum(F.col(c) * at).cast("bigint").alias(f"{c}_by_day")]
+    for c in floats:
+        out += [F.round(F.sum(c), 3).alias(f"{c}_sum"), F.round(F.min(c), 3).alias(f"{c}_min"), F.round(F.max(c), 3).alias(f"{c}_max")]
+    for c in [*texts, day]:
+        out += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+    return df.groupBy(*keys).agg(*out)
+
+
+def digest_sql(sql: str, keys: list[str], day: str, ints=(), floats=(), texts=()) -> str:
+    """The same in SQL over a statement or a table."""
+    out = ["count(*) AS row_count"]
+    for c in ints:
+        out += [f"CAST(sum({c}) AS BIGINT) AS {c}_sum", f"min({c}) AS {c}_min", f"max({c}) AS {c}_max", f"CAST(sum({c} * ({day} - DATE '1990-01-01')) AS BIGINT) AS {c}_by_day"]
+    for c in floats:
+        out += [f"round(sum({c}), 3) AS {c}_sum", f"round(min({c}), 3) AS {c}_min", f"round(max({c}), 3) AS {c}_max"]
+    for c in [*texts, day]:
+        out += [f"min({c}) AS {c}_min", f"max({c}) AS {c}_max"]
+    return f"SELECT {', '.join(keys)}, {', '.join(out)} FROM ({sql}) GROUP BY {', '.join(keys)}"
