@@ -74,7 +74,7 @@ def multi_source_union(spark, sf):
         F.concat_ws("-", F.lit("holiday"), F.date_format("holiday_date", "yyyyMMdd")).alias("event_id"),
         F.col("holiday_date").alias("start_date"), F.col("holiday_date").alias("end_date"), F.col("holiday_name").alias("title"),
     ).write.json(f"{path}/holiday")
-    return raw.read_typed_folders(spark, path, EVENT_TYPES)
+    return raw.read_typed_folders(spark, path, EVENT_TYPES, "event_id STRING, start_date STRING, end_date STRING, title STRING")
 
 
 @query(
@@ -85,9 +85,9 @@ def multi_source_union(spark, sf):
 def partitioned_overwrite(spark, sf):
     path = fresh_dir(spark, "pos-mart")
     rows = clean_pos(fx.pos_raw(spark, sf)).select("tx_id", "isbn13", "qty", "sale_date")
-    tables.overwrite_partitions(rows, path, "sale_date", files_per_partition=1)
+    tables.overwrite_partitions(rows, path, "sale_date", files_per_partition=4)
     late = rows.filter("sale_date >= DATE '2024-01-20'").withColumn("qty", F.col("qty") * 2)
-    tables.overwrite_partitions(late, path, "sale_date", files_per_partition=1)
+    tables.overwrite_partitions(late, path, "sale_date", files_per_partition=4)
     return spark.read.parquet(path)
 
 
@@ -182,10 +182,10 @@ def hive_partition_scan(spark, sf):
     rows = fx.sns_raw(spark, sf).select("mention_id", "isbn13", "mention_count", "collected_at")
     at = F.col("collected_at").cast("timestamp")
     parts = {**day_parts(at), "hour": F.date_format(at, "HH")}
-    rows.withColumns(parts).repartition(*parts).write.partitionBy(*parts).json(path)
+    rows.withColumns(parts).write.partitionBy(*parts).json(path)
     now = rows.agg(F.max(at)).first()[0]
     columns = "mention_id STRING, isbn13 STRING, mention_count STRING, collected_at STRING"
-    return raw.read_recent_hours(spark, path, now, 2, schema=f"{columns}, year INT, month INT, day INT, hour INT").drop(*parts)
+    return raw.read_recent_hours(spark, path, now, f"{columns}, year INT, month INT, day INT, hour INT").drop(*parts)
 
 
 @query(
@@ -298,7 +298,7 @@ def range_replace(spark, sf):
     path = fresh_dir(spark, "store-days")
     start, end = F.lit("2001-10-01").cast("date"), F.lit("2001-12-31").cast("date")
     days = store_days(spark, sf)
-    with_month_mean(days).repartition("sale_month").write.partitionBy("sale_month").parquet(path)
+    tables.overwrite_partitions(with_month_mean(days), path, "sale_month", files_per_partition=4)
     doubled = days.withColumn("qty", F.when(F.col("sale_date") >= start, F.col("qty") * 2).otherwise(F.col("qty")))
     # The series is dense, so 28 days of lead-in are the 28 rows the mean needs.
     redone = with_month_mean(doubled.filter(F.col("sale_date") >= F.date_sub(start, 28)))

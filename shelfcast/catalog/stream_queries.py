@@ -18,7 +18,7 @@ from shelfcast.session import fresh_dir
 from shelfcast.streaming import pos, spikes
 
 TABLES["pos_stored"] = """
-SELECT tx_id AS txn_id, t AS event_ts, CAST(p.location_id AS BIGINT) AS store_id, CAST(1 AS BIGINT) AS wh_id, channel, isbn13, CAST(qty AS BIGINT) AS qty, unit_price,
+SELECT tx_id AS txn_id, t AS event_ts, CAST(p.location_id AS BIGINT) AS store_id, CAST(CASE WHEN p.location_id BETWEEN 6 AND 10 THEN 2 ELSE 1 END AS BIGINT) AS wh_id, channel, isbn13, CAST(qty AS BIGINT) AS qty, unit_price,
        CAST(0 AS BIGINT) AS discount, total_price AS revenue, CAST(NULL AS VARCHAR) AS payment_method, CAST(t + INTERVAL 9 HOUR AS DATE) AS kpi_date,
        CAST(CASE WHEN p.location_id = 13 THEN 15 WHEN p.location_id = 14 THEN 16 ELSE p.location_id END AS BIGINT) AS debit_location_id
 FROM (SELECT *, CAST(ts AS TIMESTAMP) AS t, row_number() OVER (PARTITION BY tx_id ORDER BY qty) AS rn FROM pos_raw WHERE ts <> 'not-a-time') p WHERE rn = 1
@@ -36,7 +36,7 @@ def ingested(spark, sf) -> pos.PosTables:
     lines.repartition(4, "tx_id").select("value").write.text(f"{base}/landing")
     stream = pos.read_stream(spark, f"{base}/landing", T.StructType.fromDDL("value STRING"), "text", files=2)
     tables = pos.PosTables(spark, f"{base}/tables")
-    pos.run_ingest(stream, tables, locations_static(spark)).awaitTermination()
+    pos.run_ingest(stream, tables, locations_static(spark), fx.inventory(spark, sf)).awaitTermination()
     return tables
 
 
@@ -58,7 +58,7 @@ def stream_pos_ingest(spark, sf):
              FROM pos_stored GROUP BY 1, 2, 3, 4) t ON t.kpi_date = a.kpi_date AND t.store_id = a.store_id AND t.channel = a.channel AND t.rn = 1""",
 )
 def stream_kpi(spark, sf):
-    return pos.kpi_of(stored_sales(spark, sf))
+    return pos.newest(ingested(spark, sf), "kpi", pos.KPI_COLUMNS, pos.KPI_KEYS)
 
 
 @query(
@@ -68,7 +68,7 @@ def stream_kpi(spark, sf):
          ON s.isbn13 = i.isbn13 AND s.debit_location_id = i.location_id""",
 )
 def stream_inventory(spark, sf):
-    return pos.debit(fx.inventory(spark, sf), stored_sales(spark, sf))
+    return pos.stock_now(ingested(spark, sf), fx.inventory(spark, sf))
 
 
 @query("stream_bad_records", "SELECT tx_id, 'bad_ts' AS reason, count(*) AS lines FROM pos_raw WHERE ts = 'not-a-time' GROUP BY 1")
@@ -84,7 +84,7 @@ def stream_bad_records(spark, sf):
          ON s.isbn13 = i.isbn13 AND s.debit_location_id = i.location_id""",
 )
 def stream_stock_changed(spark, sf):
-    return pos.stock_events(fx.inventory(spark, sf), stored_sales(spark, sf))
+    return pos.newest(ingested(spark, sf), "stock_changed", pos.EVENT_COLUMNS, ["isbn13", "location_id"])
 
 
 @query(
@@ -108,8 +108,8 @@ def stream_dedupe(spark, sf):
 @query(
     "stream_kpi_windows",
     """WITH r AS (SELECT *, CAST(ts AS TIMESTAMP) AS t FROM pos_raw WHERE ts <> 'not-a-time')
-       SELECT CAST(t AS DATE) AS kpi_date, CAST(location_id AS BIGINT) AS store_id, channel, CAST(sum(qty) AS BIGINT) AS qty_sold, CAST(sum(total_price) AS BIGINT) AS revenue,
-              count(*) AS tx_count FROM r GROUP BY 1, 2, 3 HAVING CAST(t AS DATE) + INTERVAL 1 DAY <= (SELECT max(t) FROM r) - INTERVAL 1 DAY""",
+       SELECT CAST(t + INTERVAL 9 HOUR AS DATE) AS kpi_date, CAST(location_id AS BIGINT) AS store_id, channel, CAST(sum(qty) AS BIGINT) AS qty_sold, CAST(sum(total_price) AS BIGINT) AS revenue,
+              count(*) AS tx_count FROM r GROUP BY 1, 2, 3 HAVING CAST(t + INTERVAL 9 HOUR AS DATE) + INTERVAL 15 HOUR <= (SELECT max(t) FROM r) - INTERVAL 1 DAY""",
 )
 def stream_kpi_windows(spark, sf):
     path = fresh_dir(spark, "kpi-windows")

@@ -22,12 +22,19 @@ def kpi_daily(lines: DataFrame) -> DataFrame:
     Lines are first added up per book. The distinct count is then a plain count
     and the best book a minimum, so neither needs a set or a window.
     """
-    group = ["kpi_date", "store_id", "channel"]
     per_book = lines.groupBy(F.col("sale_date").alias("kpi_date"), "store_id", "channel", "isbn13").agg(
         F.sum("qty").alias("q"), F.sum("revenue").alias("r"), F.count("*").alias("n")
     )
+    return kpi_of_books(per_book, summed=True)
+
+
+def kpi_of_books(books: DataFrame, summed: bool = False) -> DataFrame:
+    """KPIs out of totals per book (q, r, n); ``summed``: a book has one row per day, store and channel already."""
+    group = ["kpi_date", "store_id", "channel"]
+    if not summed:
+        books = books.groupBy(*group, "isbn13").agg(*[F.sum(c).alias(c) for c in ("q", "r", "n")])
     return (
-        per_book.groupBy(*group)
+        books.groupBy(*group)
         .agg(
             F.sum("q").alias("qty_sold"),
             F.sum("r").alias("revenue"),

@@ -38,17 +38,17 @@ def read_ndjson(spark: SparkSession, path: str, columns: dict[str, str]) -> Data
     return raw.select(*[F.col(c).try_cast(t).alias(c) if t != "string" else F.col(c) for c, t in columns.items()])
 
 
-def read_typed_folders(spark: SparkSession, base: str, kinds: list[str], kind_column: str = "event_type") -> DataFrame | None:
-    """One folder per type, tagged with it and united by name; missing folders are left out."""
+def read_typed_folders(spark: SparkSession, base: str, kinds: list[str], schema: str, kind_column: str = "event_type") -> DataFrame | None:
+    """One folder per type, read with the given schema and tagged with its type; missing folders are left out."""
     found = None
     for kind in kinds:
         try:
-            part = spark.read.option("recursiveFileLookup", "true").json(f"{base}/{kind}").withColumn(kind_column, F.lit(kind))
+            part = spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{base}/{kind}").withColumn(kind_column, F.lit(kind))
         except AnalysisException as exc:
-            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+        found = part if found is None else found.unionByName(part)
     return found
 
 
@@ -62,12 +62,9 @@ def hour_filter(now: datetime, hours: int = 2):
     return wanted
 
 
-def read_recent_hours(spark: SparkSession, path: str, now: datetime, hours: int = 2, fmt: str = "json", schema=None) -> DataFrame:
-    """Only the hour folders that are needed; the predicate is on partition columns."""
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path).filter(hour_filter(now, hours))
+def read_recent_hours(spark: SparkSession, path: str, now: datetime, schema: str, hours: int = 2, fmt: str = "json") -> DataFrame:
+    """Only the hour folders that are needed; the predicate is on partition columns, and nothing is inferred."""
+    return spark.read.format(fmt).schema(schema).load(path).filter(hour_filter(now, hours))
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -7,18 +7,16 @@ output instead of adding to it.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions.columns import business_date
-from shelfcast.operators.cleanse import normalize_pos
+from shelfcast.operators.cleanse import normalize_pos, stream_warehouse
 from shelfcast.operators.enrich import stock_location
-from shelfcast.operators.keyed import dedupe_first
-from shelfcast.operators.rollups import kpi_daily
+from shelfcast.operators.rollups import kpi_of_books
+from shelfcast.session import through_disk
 from shelfcast.sources.raw import POS_SCHEMA
 
 
@@ -62,16 +60,11 @@ def parse_records(lines: DataFrame, text: str = "value") -> tuple[DataFrame, Dat
 
 
 def sales_rows(records: DataFrame, locations: DataFrame) -> DataFrame:
-    """Normalized sales rows with their business date and the place they are debited from."""
-    rows = normalize_pos(records).withColumn("kpi_date", business_date("event_ts"))
+    """Normalized sales rows with the warehouse of their store, their business date and the place they are debited from."""
+    rows = normalize_pos(records).withColumns(stream_warehouse()).withColumn("kpi_date", business_date("event_ts"))
     return stock_location(rows, locations)
 
 
-def kpi_of(sales: DataFrame) -> DataFrame:
-    """Daily KPIs of inserted sales, always from all sales of the touched keys."""
-    return kpi_daily(sales.withColumnRenamed("kpi_date", "sale_date").select("sale_date", "store_id", "channel", "isbn13", "qty", "revenue"))
-
-
 def debit(inventory: DataFrame, sales: DataFrame) -> DataFrame:
     """Stock after the sales: debits are added up per book and place, then floored at 0 once."""
     taken = sales.groupBy("isbn13", F.col("debit_location_id").alias("location_id")).agg(F.sum("qty").alias("taken"))
@@ -80,10 +73,9 @@ def debit(inventory: DataFrame, sales: DataFrame) -> DataFrame:
     )
 
 
-def stock_events(inventory: DataFrame, sales: DataFrame) -> DataFrame:
-    """One message per changed stock row: what is left to sell and the cache key to drop."""
-    after = debit(inventory, sales).filter(F.col("taken").isNotNull())
-    return after.select(
+def stock_events(stock: DataFrame) -> DataFrame:
+    """One message per stock row: what is left to sell and the cache key to drop."""
+    return stock.select(
         "isbn13", "location_id", (F.col("on_hand") - F.col("reserved_qty")).alias("available"),
         F.concat_ws(":", F.lit("stock"), "isbn13", F.col("location_id").cast("string")).alias("cache_key"),
     )
@@ -106,9 +98,12 @@ class PosTables:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def put(self, df: DataFrame, name: str, batch: int, by: str | None = None) -> None:
-        """Write one batch of a table; repeating the batch replaces it."""
-        writer = df.write if by is None else df.repartition(by).write.partitionBy(by)
+    def put(self, df: DataFrame, name: str, batch: int, by: str | None = None, files: int = 8) -> None:
+        """Write one batch of a table; repeating the batch replaces it. A value of ``by`` is spread over ``files`` tasks."""
+        writer = df.write
+        if by is not None:
+            salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+            writer = df.withColumn("_salt", salt).repartition(by, "_salt").drop("_salt").write.partitionBy(by)
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path(name)}/batch={batch}")
 
     def get(self, name: str, schema: str) -> DataFrame:
@@ -127,47 +122,136 @@ SALES_COLUMNS = (
     "txn_id STRING, event_ts TIMESTAMP, store_id BIGINT, wh_id BIGINT, channel STRING, isbn13 STRING, qty BIGINT, "
     "unit_price BIGINT, discount BIGINT, revenue BIGINT, payment_method STRING, kpi_date DATE, debit_location_id BIGINT"
 )
+KPI_KEYS = ["kpi_date", "store_id", "channel"]
+BOOK_COLUMNS = "kpi_date DATE, store_id BIGINT, channel STRING, isbn13 STRING, q BIGINT, r BIGINT, n BIGINT"
+KPI_COLUMNS = (
+    "kpi_date DATE, store_id BIGINT, channel STRING, qty_sold BIGINT, revenue BIGINT, tx_count BIGINT, unique_isbn_count BIGINT, "
+    "top_isbn STRING, avg_price BIGINT"
+)
+STOCK_COLUMNS = "isbn13 STRING, location_id BIGINT, on_hand BIGINT, reserved_qty BIGINT, safety_stock BIGINT, taken BIGINT"
+EVENT_COLUMNS = "isbn13 STRING, location_id BIGINT, available BIGINT, cache_key STRING"
+
+
+def names_of(schema: str) -> list[str]:
+    return T.StructType.fromDDL(schema).names
+
+
+def newest(tables: PosTables, name: str, schema: str, keys: list[str], before: int | None = None) -> DataFrame:
+    """The last written row of every key, of all batches or of those before one."""
+    rows = tables.get(name, schema + ", batch INT")
+    rows = rows if before is None else rows.filter(F.col("batch") < before)
+    rest = [c for c in names_of(schema) if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in names_of(schema)])
+
+
+# Stock rows carry a step instead of a batch number: batch b of the sales is step 2b, what happens after it is step 2b + 1.
+
+
+def stock_now(tables: PosTables, opening: DataFrame, before: int | None = None) -> DataFrame:
+    """Current stock: the last written row of a book and place, else the opening one."""
+    keys = ["isbn13", "location_id"]
+    written = newest(tables, "stock", STOCK_COLUMNS, keys, before)
+    first = opening.withColumn("taken", F.lit(None).cast("bigint")).select(*names_of(STOCK_COLUMNS))
+    return written.unionByName(first.join(written.select(*keys), keys, "left_anti"))
+
+
+def restock(tables: PosTables, opening: DataFrame, deliveries: DataFrame, after: int) -> None:
+    """Add delivered units (isbn13, location_id, qty) to the stock as it stands after a batch; repeating it changes nothing."""
+    step = 2 * after + 1
+    came = deliveries.groupBy("isbn13", "location_id").agg(F.sum("qty").alias("_came"))
+    rows = stock_now(tables, opening, step).join(came, ["isbn13", "location_id"]).withColumn("on_hand", F.col("on_hand") + F.col("_came"))
+    tables.put(rows.select(*names_of(STOCK_COLUMNS)), "stock", step)
+
+
+def first_arrivals(sales: DataFrame) -> DataFrame:
+    """Of every transaction the first row that ever arrived; among copies of one batch the earliest, then the smallest.
 
+    The transactions seen are keyed state of the stream, so a batch costs what it holds, however long the history.
+    """
+    order = ["event_ts", *[c for c in sales.columns if c not in ("txn_id", "event_ts")]]
+
+    def pick(key, frames, state):
+        import pandas as pd
+
+        found = pd.concat(list(frames))
+        if not state.exists:
+            state.update((True,))
+            yield found.sort_values(order, na_position="first").head(1)
+
+    return sales.groupBy("txn_id").applyInPandasWithState(pick, sales.schema, "seen BOOLEAN", "append", "NoTimeout")
 
-def ingest_batch(tables: PosTables, locations: DataFrame, known_days: int | None = None):
-    """``foreachBatch`` body: every transaction is stored once, however often it arrives.
 
-    Stock and KPIs are functions of the stored sales, so a transaction that
-    arrives again changes neither. By default all stored sales are looked up.
-    Where copies carry the time of the original, ``known_days`` limits the lookup
-    to the date folders that far around the batch, which keeps it small however
-    long the history grows.
+def ingest_batch(tables: PosTables, opening: DataFrame):
+    """``foreachBatch`` body for first arrivals: sales, KPIs of the touched days, stock, stock messages and change log.
+
+    Everything is written under the batch number and computed from what was written before it, so a repeated batch
+    replaces its own rows.
     """
 
-    def body(lines: DataFrame, batch: int) -> None:
-        lines.persist()
-        good, bad = parse_records(lines)
-        rows = sales_rows(good, locations).select(*[c.split(" ")[0] for c in SALES_COLUMNS.split(", ")])
-        # Rows this batch wrote in an earlier attempt must not count as known.
-        known = tables.get("sales", SALES_COLUMNS + ", batch INT").filter(F.col("batch") != batch)
-        if known_days is not None:
-            span = rows.agg(F.min("kpi_date").alias("lo"), F.max("kpi_date").alias("hi")).first()
-            if span["lo"] is not None:
-                lo, hi = span["lo"] - timedelta(days=known_days), span["hi"] + timedelta(days=known_days)
-                known = known.filter(F.col("kpi_date").between(lo, hi))
-        fresh = dedupe_first(rows, ["txn_id"], ["event_ts"]).join(known.select("txn_id"), "txn_id", "left_anti")
-        tables.put(fresh, "sales", batch, by="kpi_date")
-        tables.put(bad, "rejected", batch)
+    def body(sales: DataFrame, batch: int) -> None:
+        tables.put(sales.select(*names_of(SALES_COLUMNS)), "sales", batch, by="kpi_date")
         stored = tables.spark.read.schema(SALES_COLUMNS).parquet(f"{tables.path('sales')}/batch={batch}")
+        books = stored.groupBy(*KPI_KEYS, "isbn13").agg(F.sum("qty").alias("q"), F.sum("revenue").alias("r"), F.count("*").alias("n"))
+        tables.put(books, "kpi_books", batch, by="kpi_date")
+        known = tables.get("kpi_books", BOOK_COLUMNS + ", batch INT").filter(F.col("batch") <= batch)
+        touched = known.join(stored.select(*KPI_KEYS).distinct(), KPI_KEYS, "left_semi")
+        tables.put(kpi_of_books(touched).select(*names_of(KPI_COLUMNS)), "kpi", batch)
+        taken = stored.groupBy("isbn13", F.col("debit_location_id").alias("location_id")).agg(F.sum("qty").alias("_now"))
+        before = stock_now(tables, opening, 2 * batch).join(taken, ["isbn13", "location_id"])
+        after = before.withColumns(
+            {"on_hand": F.greatest(F.col("on_hand") - F.col("_now"), F.lit(0)), "taken": F.coalesce("taken", F.lit(0)) + F.col("_now")}
+        )
+        tables.put(after.select(*names_of(STOCK_COLUMNS)), "stock", 2 * batch)
+        changed = tables.spark.read.schema(STOCK_COLUMNS).parquet(f"{tables.path('stock')}/batch={2 * batch}")
+        tables.put(stock_events(changed), "stock_changed", batch)
         tables.put(audit_rows(stored, "pos-stream", "sales.ingest", "sales_realtime", "txn_id", ["isbn13", "store_id", "qty"]), "audit", batch)
-        lines.unpersist()
 
     return body
 
 
-def run_ingest(lines: DataFrame, tables: PosTables, locations: DataFrame, once: bool = True, known_days: int | None = None):
-    """Start the ingest stream: everything available once, or every five seconds.
+def compact(tables: PosTables, name: str, schema: str, keys: list[str], upto: int) -> None:
+    """Fold the batches up to one into a single batch that holds the last row of every key; later batches stay.
 
-    The checkpoint lives with the tables, because their batch numbers belong together.
+    The folded rows are written as batch ``upto`` before the older folders are removed, so a reader never misses a row.
     """
-    writer = lines.writeStream.foreachBatch(ingest_batch(tables, locations, known_days)).option("checkpointLocation", tables.path("_checkpoint"))
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
-    return writer.start()
+    spark = tables.spark
+    folded = through_disk(spark, newest(tables, name, schema, keys, upto + 1), f"compact-{name}")
+    tables.put(folded, name, upto)
+    place = spark._jvm.org.apache.hadoop.fs.Path(tables.path(name))
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(place):
+        number = status.getPath().getName().partition("batch=")[2]
+        if number.isdigit() and int(number) < upto:
+            files.delete(status.getPath(), True)
+
+
+class Running:
+    """The queries of one ingest: the sales and the rejected lines."""
+
+    def __init__(self, queries):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:  # noqa: N802  as a single query has it
+        for query in self.queries:
+            query.awaitTermination()
+
+
+def run_ingest(lines: DataFrame, tables: PosTables, locations: DataFrame, opening: DataFrame, once: bool = True) -> Running:
+    """Start the ingest: everything available once, or every five seconds.
+
+    The transactions seen are kept in a RocksDB state store. The checkpoints live with the tables, because their batch numbers belong
+    together.
+    """
+    tables.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    good, bad = parse_records(lines)
+    sales = first_arrivals(sales_rows(good, locations).select(*names_of(SALES_COLUMNS)))
+    timing = {"availableNow": True} if once else {"processingTime": "5 seconds"}
+    writers = [
+        sales.writeStream.foreachBatch(ingest_batch(tables, opening)).option("checkpointLocation", tables.path("_checkpoint")),
+        bad.writeStream.foreachBatch(lambda rows, batch: tables.put(rows, "rejected", batch)).option("checkpointLocation", tables.path("_checkpoint_bad")),
+    ]
+    return Running([w.trigger(**timing).start() for w in writers])
 
 
 def dedupe_stream(records: DataFrame, key: str = "tx_id", at: str = "event_ts", delay: str = "24 hours") -> DataFrame:
@@ -176,12 +260,15 @@ def dedupe_stream(records: DataFrame, key: str = "tx_id", at: str = "event_ts",
 
 
 def kpi_stream(records: DataFrame, at: str = "event_ts", delay: str = "1 day") -> DataFrame:
-    """Running daily totals per store and channel over an already deduplicated stream."""
+    """Running totals per business day, store and channel over an already deduplicated stream.
+
+    A business day begins at midnight in the business time zone, 15:00 UTC the day before.
+    """
     return (
         records.withWatermark(at, delay)
-        .groupBy(F.window(at, "1 day").alias("w"), "store_id", "channel")
+        .groupBy(F.window(at, "1 day", startTime="15 hours").alias("w"), "store_id", "channel")
         .agg(F.sum("qty").alias("qty_sold"), F.sum("revenue").alias("revenue"), F.count("*").alias("tx_count"))
-        .select(F.to_date("w.start").alias("kpi_date"), "store_id", "channel", "qty_sold", "revenue", "tx_count")
+        .select(business_date("w.start").alias("kpi_date"), "store_id", "channel", "qty_sold", "revenue", "tx_count")
     )
 
 

@@ -28,16 +28,18 @@ def poisson_score(windows: DataFrame, default_baseline: float = 5.0, threshold:
     return scored.withColumn("predicted_qty", F.least(F.lit(400), F.greatest(F.lit(30), F.bround(F.col("z_score") * 30).cast("int"))))
 
 
-def window_zscores(counts: DataFrame, threshold: float = 2.0) -> DataFrame:
+def window_zscores(counts: DataFrame, threshold: float = 2.0, salts: int = 16) -> DataFrame:
     """Books that stand out from all books of the same window.
 
-    Mean and spread are aggregated per window and joined back; a window is a
-    group of book counts, not of raw rows.
+    Mean and spread are aggregated per window, reduced on the map side. They are
+    joined back over a salt, so the books of one window meet them in ``salts`` tasks.
     """
     keys = ["window_start", "window_end"]
-    stats = counts.groupBy(*keys).agg(F.avg("count_w").alias("mean_w"), F.stddev_pop("count_w").alias("std_w"))
+    stats = counts.groupBy(*keys).agg(F.avg("count_w").alias("mean_w"), F.stddev_pop("count_w").alias("std_w")).filter("std_w > 0")
+    spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("isbn13"), F.lit(salts)).cast("int"))
     z = F.try_divide(F.col("count_w") - F.col("mean_w"), F.col("std_w"))
-    return counts.join(stats, keys).withColumn("z_score", z).filter((F.col("std_w") > 0) & (F.col("z_score") >= threshold))
+    return salted.join(spread, [*keys, "_salt"]).drop("_salt").withColumn("z_score", z).filter(F.col("z_score") >= threshold)
 
 
 def severity(z: str = "z_score"):

@@ -68,16 +68,16 @@ def test_typed_folders_skip_missing_ones(spark):
     base = fresh_dir(spark, "e")
     spark.createDataFrame([("1", "hall")], "event_id string, location string").write.json(f"{base}/book_fair")
     spark.createDataFrame([("2",)], "event_id string").write.json(f"{base}/holiday")
-    df = raw.read_typed_folders(spark, base, ["book_fair", "holiday", "author_signing"])
+    df = raw.read_typed_folders(spark, base, ["book_fair", "holiday", "author_signing"], "event_id STRING, location STRING")
     assert {(r["event_id"], r["event_type"], r["location"]) for r in df.collect()} == {("1", "book_fair", "hall"), ("2", "holiday", None)}
-    assert raw.read_typed_folders(spark, base, ["none"]) is None
+    assert raw.read_typed_folders(spark, base, ["none"], "event_id STRING") is None
 
 
 def test_hour_scan_reads_only_its_folders(spark):
     base = fresh_dir(spark, "h")
     rows = [(i, 2024, 1, 1, i) for i in range(6)]
     spark.createDataFrame(rows, "v int, year int, month int, day int, hour int").write.partitionBy("year", "month", "day", "hour").json(base)
-    df = raw.read_recent_hours(spark, base, dt.datetime(2024, 1, 1, 4, 30), schema="v int, year int, month int, day int, hour int")
+    df = raw.read_recent_hours(spark, base, dt.datetime(2024, 1, 1, 4, 30), "v int, year int, month int, day int, hour int")
     assert sorted(r["v"] for r in df.collect()) == [3, 4]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan

@@ -21,21 +21,34 @@ def land(spark, base, name, lines):
     spark.createDataFrame([(x,) for x in lines], LINES).coalesce(1).write.text(f"{base}/in/{name}")
 
 
-def run(spark, base, **kw):
+STOCK = "isbn13 string, location_id bigint, on_hand bigint, reserved_qty bigint, safety_stock bigint"
+ISBN = "9780000000001"
+
+
+def opening(spark):
+    return spark.createDataFrame([(ISBN, 15, 10, 1, 5), (ISBN, 13, 9, 0, 5)], STOCK)
+
+
+def run(spark, base):
     tables = pos.PosTables(spark, f"{base}/tables")
     stream = pos.read_stream(spark, f"{base}/in", LINES, "text", files=1)
-    pos.run_ingest(stream, tables, locations_static(spark), **kw).awaitTermination()
+    pos.run_ingest(stream, tables, locations_static(spark), opening(spark)).awaitTermination()
     return tables
 
 
+def sales_of(spark, lines):
+    good, _ = pos.parse_records(spark.createDataFrame([(x,) for x in lines], LINES))
+    return pos.sales_rows(good, locations_static(spark))
+
+
 def test_every_transaction_once_over_batches_and_restarts(spark, rows):
     base = fresh_dir(spark, "ingest")
-    land(spark, base, "a", [record(1), record(2), record(2), "{broken"])
-    land(spark, base, "b", [record(2), record(3), record(4, ts="never"), json.dumps({"tx_id": "t9"})])
+    land(spark, base, "a", [record(1), record(2), record(2, qty=1), "{broken"])
+    land(spark, base, "b", [record(2), record(3, location_id=7), record(4, ts="never"), json.dumps({"tx_id": "t9"})])
     tables = run(spark, base)
     sales = tables.get("sales", pos.SALES_COLUMNS)
     assert [r[0] for r in rows(sales, "txn_id")] == ["t1", "t2", "t3"]
-    assert {r["debit_location_id"] for r in sales.collect()} == {15}
+    assert {(r["txn_id"], r["wh_id"], r["debit_location_id"]) for r in sales.collect()} == {("t1", 1, 15), ("t2", 1, 15), ("t3", 2, 7)}
     bad = tables.get("rejected", "line string, reason string")
     assert [r[0] for r in rows(bad, "reason")] == ["bad_ts", "no_isbn13", "not_json"]
     assert tables.get("audit", "entity_id string").count() == 3
@@ -44,32 +57,59 @@ def test_every_transaction_once_over_batches_and_restarts(spark, rows):
     run(spark, base)  # nothing new
     assert rows(tables.get("sales", pos.SALES_COLUMNS)) == before
     land(spark, base, "c", [record(1), record(2), record(5)])
-    run(spark, base, known_days=1)
+    run(spark, base)
     assert [r[0] for r in rows(tables.get("sales", pos.SALES_COLUMNS), "txn_id")] == ["t1", "t2", "t3", "t5"]
 
 
 def test_repeated_batch_replaces_itself(spark):
-    base = fresh_dir(spark, "repeat")
-    tables = pos.PosTables(spark, base)
-    body = pos.ingest_batch(tables, locations_static(spark))
-    lines = spark.createDataFrame([(record(1),), (record(2),)], LINES)
-    body(lines, 0)
-    body(lines, 0)  # the same batch after a failure
-    body(lines, 1)  # the same records again in a later batch
-    assert tables.get("sales", pos.SALES_COLUMNS).count() == 2
-
-
-def test_stock_and_kpi_follow_the_stored_sales(spark):
-    base = fresh_dir(spark, "stock")
-    land(spark, base, "a", [record(i) for i in range(6)])
-    sales = run(spark, base).get("sales", pos.SALES_COLUMNS)
-    stock = spark.createDataFrame([("9780000000001", 15, 10, 1), ("9780000000001", 13, 9, 0)], "isbn13 string, location_id bigint, on_hand bigint, reserved_qty bigint")
-    after = {r["location_id"]: r["on_hand"] for r in pos.debit(stock, sales).collect()}
-    assert after == {15: 0, 13: 9}  # floored at zero, taken from the warehouse
-    (event,) = pos.stock_events(stock, sales).collect()
-    assert (event["available"], event["cache_key"]) == (-1, "stock:9780000000001:15")
-    (kpi,) = pos.kpi_of(sales).collect()
-    assert (kpi["qty_sold"], kpi["revenue"], kpi["tx_count"], kpi["unique_isbn_count"], kpi["avg_price"]) == (12, 60, 6, 1, 5)
+    tables = pos.PosTables(spark, fresh_dir(spark, "repeat"))
+    body = pos.ingest_batch(tables, opening(spark))
+    first, second = sales_of(spark, [record(1), record(2)]), sales_of(spark, [record(3)])
+    for batch, sales in [(0, first), (0, first), (1, second), (1, second)]:  # each again after a failure
+        body(sales, batch)
+    assert tables.get("sales", pos.SALES_COLUMNS).count() == 3
+    left = {r["location_id"]: (r["on_hand"], r["taken"]) for r in pos.stock_now(tables, opening(spark)).collect()}
+    assert left == {15: (4, 6), 13: (9, None)}
+    (kpi,) = pos.newest(tables, "kpi", pos.KPI_COLUMNS, pos.KPI_KEYS).collect()
+    assert (kpi["qty_sold"], kpi["revenue"], kpi["tx_count"], kpi["unique_isbn_count"], kpi["avg_price"]) == (6, 30, 3, 1, 5)
+
+
+def test_stock_is_floored_where_it_stands_when_refilled(spark):
+    tables = pos.PosTables(spark, fresh_dir(spark, "refill"))
+    body = pos.ingest_batch(tables, opening(spark))
+    body(sales_of(spark, [record(i) for i in range(6)]), 0)  # 12 of 10 units
+    came = spark.createDataFrame([(ISBN, 15, 7)], "isbn13 string, location_id bigint, qty bigint")
+    pos.restock(tables, opening(spark), came, after=0)
+    pos.restock(tables, opening(spark), came, after=0)
+    body(sales_of(spark, [record(7)]), 1)
+    left = {r["location_id"]: r["on_hand"] for r in pos.stock_now(tables, opening(spark)).collect()}
+    assert left == {15: 5, 13: 9}
+    events = tables.get("stock_changed", pos.EVENT_COLUMNS + ", batch INT").orderBy("batch").collect()
+    assert [(r["available"], r["cache_key"]) for r in events] == [(-1, f"stock:{ISBN}:15"), (4, f"stock:{ISBN}:15")]
+    pos.compact(tables, "stock", pos.STOCK_COLUMNS, ["isbn13", "location_id"], 2)
+    assert {r["location_id"]: r["on_hand"] for r in pos.stock_now(tables, opening(spark)).collect()} == left
+    assert {r["batch"] for r in tables.get("stock", pos.STOCK_COLUMNS + ", batch INT").collect()} == {2}
+
+
+def test_one_day_is_written_by_several_tasks(spark):
+    tables = pos.PosTables(spark, fresh_dir(spark, "salt"))
+    rows = spark.range(1000).select("id", F.lit("2024-01-01").cast("date").alias("day"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows become one file again
+    try:
+        tables.put(rows, "t", 0, by="day")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(f"{tables.path('t')}/batch=0").select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1
+
+
+def test_stream_and_batch_agree_on_the_business_day(spark):
+    tables = pos.PosTables(spark, fresh_dir(spark, "day"))
+    late = sales_of(spark, [record(1, ts="2024-01-01 14:59:59"), record(2, ts="2024-01-01 15:00:00")])
+    pos.ingest_batch(tables, opening(spark))(late, 0)
+    kpi = {(str(r["kpi_date"]), r["qty_sold"]) for r in pos.newest(tables, "kpi", pos.KPI_COLUMNS, pos.KPI_KEYS).collect()}
+    windows = pos.kpi_stream(late.select("event_ts", "store_id", "channel", "qty", "revenue")).collect()
+    assert kpi == {(str(r["kpi_date"]), r["qty_sold"]) for r in windows} == {("2024-01-01", 2), ("2024-01-02", 2)}
 
 
 def test_cooldown_inside_a_batch(spark):
