@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -51,6 +53,16 @@ def document_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].alias("doc_id"), df[text_col].cast("string").alias("text"))
 
 
+def whole_rows(df: DataFrame, id_col: str) -> DataFrame:
+    """The id as ``doc_id`` and the whole row as the struct ``row``: what passes through Python comes out unchanged."""
+    return df.select(df[id_col].alias("doc_id"), F.struct("*").alias("row"))
+
+
+def ids_and_texts(batch: pa.RecordBatch, text_col: str) -> pa.RecordBatch:
+    """A batch of ``whole_rows`` as (doc_id, text), without a copy of the texts."""
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).field(text_col).cast(pa.string())], names=["doc_id", "text"])
+
+
 def arrow_schema(fields: list[tuple[str, T.DataType]]) -> pa.Schema:
     return pa.schema([pa.field(name, to_arrow_type(kind)) for name, kind in fields])
 
@@ -60,16 +72,17 @@ def spark_schema(fields: list[tuple[str, T.DataType]]) -> T.StructType:
 
 
 def byte_chunks(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
-    """The ids and UTF-8 texts of a batch in pieces of about ``limit`` bytes, a document never cut."""
-    ids, texts = batch.column(0), batch.column(1).cast(pa.large_binary()).to_pylist()
+    """The ids and UTF-8 texts of a batch in pieces of about ``limit`` bytes, a document never cut.
+
+    Only the texts of one piece are Python objects at a time.
+    """
+    ids, texts = batch.column(0), batch.column(1)
     start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or b"")
-        if size >= limit:
-            yield ids.slice(start, i + 1 - start), texts[start : i + 1]
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
+        if size >= limit or i + 1 == len(texts):
+            yield ids.slice(start, i + 1 - start), texts.slice(start, i + 1 - start).cast(pa.large_binary()).to_pylist()
             start, size = i + 1, 0
-    if start < len(texts):
-        yield ids.slice(start), texts[start:]
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import BLANKS, arrow_schema, batch_of, byte_chunks, document_rows, spark_schema, written
+from shelfcast.llm.common import BLANKS, arrow_schema, batch_of, byte_chunks, document_rows, ids_and_texts, spark_schema, written
 
 DROP, OPEN, SEEN = 0, 1, 2
 
@@ -168,17 +168,17 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     A null or empty text is one empty line; ``kept`` has the lines left, joined by newlines.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), docs[id_col].cast("long").alias("id"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("id"), F.struct("*").alias("row"), F.crc32(text.cast("binary")).alias("crc"))
     with_maps = rows.join(bitmaps, (rows["id"] == bitmaps["doc_id"]) & (rows["crc"] == bitmaps["mark"]), "left")
-    source = with_maps.select("row", "text", "bitmap")
+    source = with_maps.select("id", "row", "bitmap")
     fields = [("row", rows.schema["row"].dataType), ("n_lines", T.LongType()), ("n_dropped", T.LongType()), ("kept", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(fields)
         for batch in batches:
             counts, lost, kept = [], [], []
-            for text, bits in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                text = text.as_py()
+            for text, bits in zip(ids_and_texts(batch, text_col).column(1), batch.column(2).to_pylist(), strict=True):
+                text = text.as_py() or ""
                 n = text.count("\n") + 1
                 if bits is None:
                     counts.append(n)
@@ -191,6 +191,6 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
                 counts.append(n)
                 lost.append(n - len(left))
                 kept.append("\n".join(left))
-            yield batch_of(schema, batch.column(0), counts, lost, kept)
+            yield batch_of(schema, batch.column(1), counts, lost, kept)
 
     return source.mapInArrow(run, spark_schema(fields))

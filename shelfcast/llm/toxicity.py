@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, ids_and_texts, spark_schema, whole_rows
 from shelfcast.llm.quality import fit_platt
 from shelfcast.llm.sampling import in_one_task, two_sided_ids
 
@@ -23,7 +23,7 @@ SAMPLE_ROWS, TERMS, NEIGHBOURS, BLOCK = 2500, 4096, 12, 64
 #: A term must be in so many and in such a share of the toxic examples, and in so many times the share of the others.
 LEAST_EXAMPLES, LEAST_SHARE, LEAST_RATIO = 3, 0.01, 40
 #: Lengths of the stems that are terms beside the words, and words remembered by a task.
-STEMS, KNOWN_WORDS = (4, 5, 6), 300_000
+STEMS, KNOWN_WORDS = (4, 5, 6), 150_000
 WORDS = regex.compile(r"\p{L}+").findall
 
 
@@ -179,14 +179,14 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     docs = document_rows(df, id_col, text_col)
     model = fit_toxicity(docs, labels, sample_rows)
     piece = T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())])
-    whole = df.select(df[id_col].alias("doc_id"), df[text_col].cast("string").alias("text"), F.struct("*").alias("row"))
+    whole = whole_rows(df, id_col)
     fields = [("doc_id", docs.schema["doc_id"].dataType), ("score", T.DoubleType()), ("evidence", T.ArrayType(piece)), ("row", whole.schema["row"].dataType)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(fields)
         if not model:
             for batch in batches:
-                yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows, batch.column(2))
+                yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows, batch.column(1))
             return
         m = np.load(io.BytesIO(model))
         number = {t: i for i, t in enumerate(m["vocabulary"].tolist())}
@@ -209,7 +209,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
         for batch in batches:
             at = 0
-            for part, texts in byte_chunks(batch):
+            for part, texts in byte_chunks(ids_and_texts(batch, text_col)):
                 scores, evidence = [], []
                 if len(known) > KNOWN_WORDS:
                     known.clear()
@@ -217,7 +217,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                     near = index.nearest(vector((text or b"").decode("utf-8", "replace")), NEIGHBOURS)
                     scores.append(float(1 / (1 + math.exp(-max(-500.0, min(500.0, slope * (_vote(near, labels) * 8 - 4) + level))))))
                     evidence.append([{"example": ids[i], "cosine": s, "label": int(labels[i])} for i, s in near[:3]])
-                yield batch_of(schema, part, scores, evidence, batch.column(2).slice(at, len(part)))
+                yield batch_of(schema, part, scores, evidence, batch.column(1).slice(at, len(part)))
                 at += len(part)
 
     return whole.mapInArrow(run, spark_schema(fields))
