@@ -18,8 +18,6 @@ BUCKETS = (256, 2048, 4096)
 WIDTH = sum(BUCKETS)
 #: Documents of each language that the fit reads at most, centroids per language, rounds of clustering.
 SAMPLE_ROWS, CENTROIDS, ROUNDS = 500, 4, 12
-#: Languages that the fit takes; more raise an error, since all centroids are held by every task.
-MOST_LANGUAGES = 500
 NOT_LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -86,8 +84,6 @@ def fit_languages(docs: DataFrame, known: DataFrame, sample_rows: int = SAMPLE_R
         rows = sample.groupBy("label").applyInArrow(learn, out).collect()  # bounded: CENTROIDS rows a language
     finally:
         sample.unpersist()
-    if len({r["label"] for r in rows}) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     rows = sorted(rows, key=lambda r: (r["label"], r["centroid"]))
     matrix = np.array([r["centroid"] for r in rows], dtype=np.float32).reshape(len(rows), WIDTH)
     return [r["label"] for r in rows], matrix, np.array([r["least"] for r in rows]), idf

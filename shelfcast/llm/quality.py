@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
-from shelfcast.llm.sampling import dense, in_one_task, sample_features, two_sided_ids
+from shelfcast.llm.sampling import dense, in_one_task, sample_features, sampled_ids
 
 #: Buckets of word n-grams (one and two words, half each) and of 3-byte character n-grams.
 WORD_BUCKETS, CHAR_BUCKETS = 2048, 2048
@@ -105,8 +105,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     Margins of two folds, each scored by the other's fit, give the calibration; the share of good rows among all
     labelled ones corrects for the balanced sample. Without both labels the model is empty and keeps everything.
     """
-    labels = labels.select("id", F.col("label").cast("int").alias("label"))
-    counts = {r["label"]: r["n"] for r in labels.where("label in (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = labels.select("id", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     width = WORD_BUCKETS + CHAR_BUCKETS
 
     def fit(table: pa.Table) -> bytes:
@@ -128,7 +128,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     if counts.keys() != {0, 1}:
         return b""
-    return in_one_task(sample_features(docs, two_sided_ids(labels, sample_rows), features), fit)
+    return in_one_task(sample_features(docs, sampled_ids(labels, sample_rows), features), fit)
 
 
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -13,26 +13,30 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, spark_schema
 
 
+#: Labels that a sample takes; more raise an error.
+MOST_LABELS = 500
+
+
 def crc_of(column):
     """crc32 of a value written as text."""
     return F.crc32(column.cast("string").cast("binary"))
 
 
-def sampled_ids(labels: DataFrame, rows: int) -> DataFrame:
+def sampled_ids(labels: DataFrame, rows: int, most_labels: int = MOST_LABELS) -> DataFrame:
     """(sample_id, label) for up to ``rows`` ids of each label (columns id, label), those with the smallest hashes.
 
-    Null ids and labels are left out. ``rows`` below 1,000 lets Spark cut each partition to so many before the shuffle.
+    Null ids and labels are left out. The labels are counted first; a share of the hashes that holds about four times
+    the rows wanted is cut out where the rows are read, so what is ranked does not grow with the input.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     known = labels.where("id is not null and label is not null").select("id", "label")
-    return known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows).select(F.col("id").alias("sample_id"), "label")
-
-
-def two_sided_ids(labels: DataFrame, rows: int) -> DataFrame:
-    """The same for the labels 0 and 1: a top-``rows`` of each, reduced on every partition first."""
-    known = labels.where("id is not null").select(F.col("id").alias("sample_id"), "label")
-    sides = [known.where(F.col("label") == side).orderBy(F.xxhash64("sample_id"), "sample_id").limit(rows) for side in (0, 1)]
-    return sides[0].unionAll(sides[1])
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(most_labels + 1).collect()
+    if len(counts) > most_labels:
+        raise ValueError(f"more than {most_labels} labels")
+    shares = known.sparkSession.createDataFrame([(r["label"], min(1.0, 4 * rows / r["n"])) for r in counts], T.StructType([known.schema["label"], T.StructField("share", T.DoubleType())]))
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    few = known.join(F.broadcast(shares), "label").where(place <= F.col("share"))  # ``most_labels`` rows at most
+    order = Window.partitionBy("label").orderBy(place, "id")
+    return few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows).select(F.col("id").alias("sample_id"), "label")
 
 
 def sample_features(docs: DataFrame, ids: DataFrame, features: Callable[[bytes], np.ndarray]) -> DataFrame:

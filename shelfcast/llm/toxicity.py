@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, ids_and_texts, spark_schema, whole_rows
 from shelfcast.llm.quality import fit_platt
-from shelfcast.llm.sampling import in_one_task, two_sided_ids
+from shelfcast.llm.sampling import in_one_task, sampled_ids
 
 #: Labelled rows of each label that the fit reads at most, terms of the index, neighbours that vote, examples of a block.
 SAMPLE_ROWS, TERMS, NEIGHBOURS, BLOCK = 2500, 4096, 12, 64
@@ -110,8 +111,8 @@ def _fit(table: pa.Table, share: float) -> bytes:
     seen = [set() for _ in (0, 1)]
     sides = [Counter(), Counter()]
     for c, y in zip(counts, labels.tolist(), strict=True):
-        mark = hash(frozenset(c.items()))
-        if mark not in seen[y]:  # copies count once
+        mark = tuple(sorted(zlib.crc32(t.encode()) for t in c)[:2])
+        if mark not in seen[y]:  # copies, and most near copies, count once
             seen[y].add(mark)
             sides[y].update(c.keys())
     n = [max(1, int((labels == side).sum())) for side in (0, 1)]
@@ -162,7 +163,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.keys() != {0, 1}:
         return b""
-    ids = two_sided_ids(labels, sample_rows)
+    ids = sampled_ids(labels, sample_rows)
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["sample_id"]).select("sample_id", "label", "text")  # bounded by the sample
     share = counts[1] / (counts[0] + counts[1])
     return in_one_task(sample, lambda table: _fit(table, share) if len(set(table["label"].to_pylist())) == 2 else b"")
