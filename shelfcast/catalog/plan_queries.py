@@ -94,7 +94,7 @@ def segment_error_metrics(spark, sf):
     metrics_sql(
         SEGMENT_SQL, "demand_segment", (0.5, 0.9, 0.95),
         """, round(sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0)), 5) AS weighted_order_cost,
-           round((sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0))) / sum(actual), 5) AS weighted_order_cost_rate""",
+           round((sum(greatest(actual - predicted, 0)) * 3 + sum(greatest(predicted - actual, 0))) / nullif(sum(actual), 0), 5) AS weighted_order_cost_rate""",
     ),
 )
 def order_cost(spark, sf):
