@@ -347,11 +347,11 @@ def store_allocation_as_written(spark, sf):
             d AS (SELECT isbn13, wh_id, dayofweek(feature_date) AS dow, avg(q) AS dq FROM s WHERE feature_date > newest - 112 GROUP BY 1, 2, 3),
             p AS (SELECT f.*, f.newest + k AS target_date, greatest(f.lvl * coalesce(d.dq / nullif(f.mean, 0), 1), 0) AS v FROM f CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS o(k)
                   LEFT JOIN d ON d.isbn13 = f.isbn13 AND d.wh_id = f.wh_id AND d.dow = dayofweek(f.newest + k))
-       SELECT newest AS prediction_date, target_date, isbn13, wh_id, round(v, 4) AS predicted_demand, round(greatest(v - 1.2816 * sigma, 0), 4) AS confidence_low,
-              round(v + 1.2816 * sigma, 4) AS confidence_high FROM p""",
+       SELECT newest AS prediction_date, target_date, isbn13, wh_id, round(v, 6) AS predicted_demand, round(greatest(v - 1.2816 * sigma, 0), 6) AS confidence_low,
+              round(v + 1.2816 * sigma, 6) AS confidence_high FROM p""",
 )
 def series_forecast(spark, sf):
-    return rounded(models.series_forecast(wh_panel(spark, sf, 112 + 28), WH, newest=fx.newest_sale(spark, sf)))
+    return rounded(models.series_forecast(wh_panel(spark, sf, 112 + 28), WH, newest=fx.newest_sale(spark, sf)), 6)
 
 
 RULES = [
