@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def trailing_mentions(daily: DataFrame, days: int = 7) -> DataFrame:
     """Mentions of the previous day and of the previous ``days`` days, per book and day.
 
@@ -47,11 +46,30 @@ def last_stockout(spine: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def stock_totals(inventory: DataFrame) -> DataFrame:
+def _facts(spine: DataFrame, mentions: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Mentions, stock and days since a stockout for every (isbn13, feature_date) of ``spine``.
+
+    Spine, stock and mentions are stacked and moved by book once; range windows over the day number then look at the
+    same day, the days before, and all days so far. A book has at most three rows a day, so a partition of the window
+    is bounded by the calendar.
+    """
     free = F.greatest(F.col("on_hand") - F.col("reserved_qty"), F.lit(0))
-    return inventory.groupBy("isbn13", F.col("snapshot_date").alias("feature_date")).agg(
-        F.sum(free).alias("on_hand_total")
+    stock = inventory.groupBy("isbn13", F.col("snapshot_date").alias("feature_date")).agg(
+        F.sum(free).alias("_total"), F.max(F.when(F.col("on_hand") == 0, F.col("snapshot_date"))).alias("_out")
     )
+    said = mentions.groupBy("isbn13", F.col("mention_date").alias("feature_date")).agg(F.sum("mentions").alias("_said"))
+    stacked = spine.select("isbn13", "feature_date", F.lit(True).alias("_keep"))
+    for part in (stock, said):
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    by_day = Window.partitionBy("isbn13").orderBy(F.datediff("feature_date", F.lit("1970-01-01").cast("date")))
+    seen = F.max("_out").over(by_day.rangeBetween(Window.unboundedPreceding, 0))
+    return stacked.select(
+        "isbn13", "feature_date", "_keep",
+        F.sum("_said").over(by_day.rangeBetween(-1, -1)).alias("sns_mentions_1d"),
+        F.sum("_said").over(by_day.rangeBetween(-7, -1)).alias("sns_mentions_7d"),
+        F.sum("_total").over(by_day.rangeBetween(0, 0)).alias("on_hand_total"),
+        F.datediff("feature_date", seen).cast("bigint").alias("days_since_last_stockout"),
+    ).filter("_keep")
 
 
 def build_features(
@@ -60,9 +78,7 @@ def build_features(
     """Covariates for every (isbn13, feature_date) of ``spine``."""
     age = F.greatest(F.datediff("feature_date", "pub_date"), F.lit(0)).cast("bigint")
     return (
-        last_stockout(spine, inventory)
-        .join(trailing_mentions(mentions), ["isbn13", "feature_date"], "left")
-        .join(stock_totals(inventory), ["isbn13", "feature_date"], "left")
+        _facts(spine, mentions, inventory)
         .join(books.select("isbn13", "pub_date", "is_bestseller_flag"), "isbn13", "left")
         .join(calendar.withColumnRenamed("day", "feature_date"), "feature_date")
         .select(

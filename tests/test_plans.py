@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.domain import locations_static, store_location_map
 from shelfcast.operators import enrich, rollups, scoring
-from shelfcast.plans import backtest, gates, policy, stock, training
+from shelfcast.plans import backtest, gates, models, policy, stock, training
 
 D0 = dt.date(2024, 3, 1)
 LOCATIONS = "location_id int, location_type string, wh_id int, name string, size string, region string, is_virtual boolean, active boolean"
@@ -181,3 +181,34 @@ def test_group_rules(spark):
     df = spark.createDataFrame(rows, "demand_segment string, store_size string, channel string, actual double, predicted double")
     out = backtest.group_multipliers(df, ["store_size"], service_level=0.9, cap=2.5, min_rows=10).collect()
     assert [(r["column"], r["value"], r["multiplier"], r["train_rows"]) for r in out] == [("store_size", "L", 2.5, 30)]
+
+
+def test_company_row_counts_every_book_once(spark):
+    lines = spark.range(3000).select(
+        F.concat(F.lit("b"), (F.col("id") % 1500).cast("string")).alias("isbn13"), F.lit("2024-01-01").cast("date").alias("sale_date"),
+        (F.col("id") % 2 + 1).alias("store_id"), F.lit("offline").alias("channel"), F.when(F.col("id") % 1500 == 7, 5).otherwise(1).alias("qty"), F.lit(10).alias("revenue"),
+    )
+    (row,) = rollups.with_company_total(lines).filter("store_id = 0").collect()
+    assert (row["unique_isbn_count"], row["tx_count"], row["top_isbn"], row["channel"]) == (1500, 3000, "b7", "ALL")
+
+
+def test_new_book_quantities_for_any_warehouse(spark):
+    rows = spark.createDataFrame([("x", 1, 4), ("x", 3, 5), ("x", 3, 6)], "isbn13 string, wh_id bigint, predicted_30d_qty bigint")
+    assert sorted(tuple(r) for r in models.new_book_wh_quantity(rows).collect()) == [("x", 1, 4), ("x", 3, 11)]
+
+
+def test_covariates_move_each_book_once(spark):
+    from shelfcast.operators import calendar as cal
+    from shelfcast.operators import features as feat
+
+    day = lambda n: D0 + dt.timedelta(days=n)
+    spine = spark.createDataFrame([("a", day(n)) for n in range(0, 12)], "isbn13 string, feature_date date")
+    stock = spark.createDataFrame([("a", day(2), 1, 0, 0), ("a", day(2), 2, 5, 1), ("a", day(5), 1, 3, 9)], "isbn13 string, snapshot_date date, location_id int, on_hand int, reserved_qty int")
+    said = spark.createDataFrame([("a", day(1), 10), ("a", day(3), 5)], "isbn13 string, mention_date date, mentions bigint")
+    books = spark.createDataFrame([("a", day(-3), True)], "isbn13 string, pub_date date, is_bestseller_flag boolean")
+    bounds = spark.sql(f"SELECT DATE '{day(0)}' AS lo, DATE '{day(11)}' AS hi")
+    made = feat.build_features(spine, cal.calendar_table(bounds, cal.holiday_dates(spark, bounds, [(1, 1, "New Year")])), books, said, stock)
+    got = {(r["feature_date"] - D0).days: (r["sns_mentions_1d"], r["sns_mentions_7d"], r["on_hand_total"], r["days_since_last_stockout"]) for r in made.collect()}
+    assert got[1] == (0, 0, 0, None) and got[2] == (10, 10, 4, 0) and got[4] == (5, 15, 0, 2) and got[8] == (0, 15, 0, 6) and got[9] == (0, 5, 0, 7) and got[11] == (0, 0, 0, 9)
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Window [") == 1

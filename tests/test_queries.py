@@ -71,3 +71,8 @@ def test_no_cross_joins_of_data(spark):
 def test_store_sides_are_broadcast(spark):
     plan = entry.queries()["wh_resolve"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_dense_tables_grow_with_the_books(spark):
+    rows = [entry.queries()["spine_cross"](spark, f"/root/testdata/{sf}").agg({"row_count": "sum"}).first()[0] for sf in ("sf0.001", "sf0.01")]
+    assert rows[1] > 9 * rows[0] > 1_000_000
