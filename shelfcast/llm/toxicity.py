@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import io
 import math
 import zlib
@@ -42,6 +43,13 @@ def term_counts(text: str) -> Counter:
     return out
 
 
+def sketch(text: str) -> tuple[int, ...]:
+    """The two smallest hashes of the 3-word shingles: equal for copies and for most near copies."""
+    words = WORDS(text.lower())
+    shingles = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+    return tuple(heapq.nsmallest(2, (zlib.crc32(s.encode()) for s in shingles)))
+
+
 class Index:
     """Postings of the examples by term, in blocks of ``BLOCK`` examples, with the largest weight of each term and block.
 
@@ -107,11 +115,12 @@ def _vote(near: list[tuple[int, float]], labels: np.ndarray) -> float:
 
 def _fit(table: pa.Table, share: float) -> bytes:
     ids, labels = table["sample_id"].to_pylist(), table["label"].to_numpy().astype(np.int64)
-    counts = [term_counts(t or "") for t in table["text"].to_pylist()]
+    texts = [t or "" for t in table["text"].to_pylist()]
+    counts = [term_counts(t) for t in texts]
     seen = [set() for _ in (0, 1)]
     sides = [Counter(), Counter()]
-    for c, y in zip(counts, labels.tolist(), strict=True):
-        mark = tuple(sorted(zlib.crc32(t.encode()) for t in c)[:2])
+    for text, c, y in zip(texts, counts, labels.tolist(), strict=True):
+        mark = sketch(text)
         if mark not in seen[y]:  # copies, and most near copies, count once
             seen[y].add(mark)
             sides[y].update(c.keys())
