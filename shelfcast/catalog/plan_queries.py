@@ -446,16 +446,26 @@ def ensemble_weights(spark, sf):
     return rounded(backtest.ensemble_weights(held, ["m1", "m2", "m3"]))
 
 
-@query("gbt_demand_model")
-def gbt_demand_model(spark, sf):
+def fitted_demand(spark, sf, name, loss):
+    """Error metrics of a fitted demand model on the holdout, next to the 28-day mean."""
     split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
     stored = tables.through_disk(spark, split, "split")  # read often while fitting
-    model = models.train_demand_model(stored)
+    model = models.train_demand_model(stored, loss=loss)
     held = models.score_demand(model, stored.filter("split_name = 'holdout'"))
-    scored = scoring.stack_models(held, {"gbt": F.col("score"), "ma28": backtest.zero("qty_rolling_28d")}, ["demand_segment"], "qty_sold")
+    scored = scoring.stack_models(held, {name: F.col("score"), "ma28": backtest.zero("qty_rolling_28d")}, ["demand_segment"], "qty_sold")
     return rounded(scoring.error_metrics(scoring.with_total_segment(scored), ["model", "demand_segment"]))
 
 
+@query("gbt_demand_model")
+def gbt_demand_model(spark, sf):
+    return fitted_demand(spark, sf, "gbt", "squared")
+
+
+@query("poisson_demand_model")
+def poisson_demand_model(spark, sf):
+    return fitted_demand(spark, sf, "poisson", "poisson")
+
+
 def new_book_model(spark, sf):
     labels = models.early_demand(fx.sales_fact(spark, sf)).withColumnRenamed("avg_daily_demand", "label")
     pairs = labels.join(fx.books_static(spark, sf), "isbn13")
