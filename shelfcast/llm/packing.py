@@ -11,7 +11,6 @@ import gc
 import heapq
 import json
 import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
