@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,6 +34,24 @@ def shuffle_files_removed(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
+def giving_back(run: Callable) -> Callable:
+    """``run`` over Arrow batches; at its end the worker, which serves further tasks, gives its free memory back."""
+
+    def whole(batches):
+        import ctypes
+        import gc
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # other C libraries do without
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema
 from shelfcast.llm.sampling import dense, sample_features, sampled_ids
 
 #: Buckets of n-grams of one, two and three bytes of lower-cased text.
@@ -118,4 +118,4 @@ def identify_language(df: DataFrame, known: DataFrame, id_col: str = "doc_id", t
                         rejected.append(not read or c < least[k])
                 yield batch_of(schema, ids, nearest, score, rejected)
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import BLANKS, arrow_schema, batch_of, byte_chunks, document_rows, ids_and_texts, spark_schema, written
+from shelfcast.llm.common import BLANKS, arrow_schema, batch_of, byte_chunks, document_rows, giving_back, ids_and_texts, spark_schema, written
 
 DROP, OPEN, SEEN = 0, 1, 2
 
@@ -54,7 +54,7 @@ def line_hashes(df: DataFrame, least: int) -> DataFrame:
                 place = np.array(places, dtype=np.uint64).view(np.int64)
                 yield batch_of(schema, both[:, 0], both[:, 1], ids.take(pa.array(owner, type=pa.int64())), place)
 
-    return df.mapInArrow(run, spark_schema(fields))
+    return df.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def _stream(batches: Iterator[pa.RecordBatch], schema: pa.Schema, most: int) -> Iterator[pa.RecordBatch]:
@@ -138,7 +138,7 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fields = [(n, T.LongType()) for n in ("h1", "h2", "doc_id", "place", "docs")] + [("state", T.IntegerType())]
     order = ["h1", "h2", F.desc("doc_id")]
     dealt = hashes.repartitionByRange(*order).sortWithinPartitions(*order, "place")
-    streamed = dealt.mapInArrow(lambda batches: _stream(batches, arrow_schema(fields), documents - 1), spark_schema(fields))
+    streamed = dealt.mapInArrow(giving_back(lambda batches: _stream(batches, arrow_schema(fields), documents - 1)), spark_schema(fields))
     marked = written(streamed, "marked")
     ends = marked.where(F.col("state") != DROP).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("doc_id").alias("top"))
     often = F.broadcast(ends.where(F.col("docs") >= documents).select("h1", "h2", "top"))  # two lines a task at most
@@ -159,7 +159,7 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 maps.append(zlib.compress(np.packbits(keep).tobytes()))
             yield batch_of(schema, batch.column(0), batch.column(1), maps)
 
-    return grouped.mapInArrow(pressed, spark_schema(out))
+    return grouped.mapInArrow(giving_back(pressed), spark_schema(out))
 
 
 def keep_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,4 +193,4 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
                 kept.append("\n".join(left))
             yield batch_of(schema, batch.column(1), counts, lost, kept)
 
-    return source.mapInArrow(run, spark_schema(fields))
+    return source.mapInArrow(giving_back(run), spark_schema(fields))

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema
 
 #: Documents in one round of differencing, and the size below which a tail is cut off a rest. Both only shape the windows.
 ROUND_DOCS, TAIL = 1000, 96
@@ -239,7 +239,7 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
         if rest:
             yield placed()
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 class _Row:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema
 from shelfcast.llm.sampling import dense, in_one_task, sample_features, sampled_ids
 
 #: Buckets of word n-grams (one and two words, half each) and of 3-byte character n-grams.
@@ -161,4 +161,4 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 failed = [c[0] < 50 or 100 * c[4] > 50 * c[0] for c in counts]
                 yield batch_of(schema, ids, *zip(*counts, strict=True), failed, goods, [not f and g >= least for f, g in zip(failed, goods, strict=True)])
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))

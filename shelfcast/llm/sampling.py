@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, giving_back, spark_schema
 
 
 #: Labels that a sample takes; more raise an error.
@@ -55,7 +55,7 @@ def sample_features(docs: DataFrame, ids: DataFrame, features: Callable[[bytes],
                 yield batch_of(schema, part, batch.column(2).slice(at, len(part)), places, [r[p].astype(np.float32) for r, p in zip(rows, places, strict=True)])
                 at += len(part)
 
-    return picked.mapInArrow(run, spark_schema(fields))
+    return picked.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def dense(places: pa.Array, values: pa.Array, width: int) -> np.ndarray:
@@ -76,5 +76,5 @@ def in_one_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:
         if read:
             yield batch_of(schema, [fit(pa.Table.from_batches(read))])
 
-    found = sample.repartition(1).sortWithinPartitions("sample_id").mapInArrow(run, "model binary").collect()
+    found = sample.repartition(1).sortWithinPartitions("sample_id").mapInArrow(giving_back(run), "model binary").collect()
     return found[0]["model"] if found else b""

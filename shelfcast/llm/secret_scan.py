@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.automaton import alt, at_least, compile_rules, longest, many, matching_lanes, one, opt, seq, some, word
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 VALUE = one(UPPER + LOWER + DIGITS + "+/_.=-")
@@ -119,7 +119,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         found[owner].append({"kind": order[place], "start": p, "end": p + len(line[x:y].decode("utf-8", "replace"))})
                 yield batch_of(schema, ids, found)
 
-    return docs.mapInArrow(scan, spark_schema(fields))
+    return docs.mapInArrow(giving_back(scan), spark_schema(fields))
 
 
 def span_list(secrets, kinds: list[str] | None = None):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema, written
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema, written
 from shelfcast.llm.components import components
 
 #: Parts of the 64 bits whose counts name a tile: at most 17 ** 4 = 83,521 tiles, whatever the input.
@@ -57,7 +57,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for ids, texts in byte_chunks(batch):
                 yield batch_of(schema, ids, np.array([fingerprint(t, width) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def _tile():
@@ -200,7 +200,7 @@ def near_links(fps: DataFrame, radius: int = 2) -> DataFrame:
             if xs:
                 yield batch_of(schema, np.concatenate(xs), np.concatenate(ys))
 
-    return dealt.mapInArrow(run, spark_schema(fields))
+    return dealt.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def _inside(home: np.ndarray, radius: int, xs: list, ys: list) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, spark_schema, written
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema, written
 
 #: Words of an anchor; fewer if the repeats asked for are shorter.
 ANCHOR = 6
@@ -105,7 +105,7 @@ def anchored_blocks(docs: DataFrame, length: int) -> DataFrame:
                 place = (_marks(texts)[text] | (first - words.starts[text]).astype(np.uint64)).view(np.int64)
                 yield batch_of(schema, b1, b2, anchor, ids.take(pa.array(text)), place, last - first + 1)
 
-    return docs.mapInArrow(run, spark_schema(fields))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def _by_text(spans: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def _windows_inside(docs: DataFrame, blocks: DataFrame, length: int) -> DataFram
                 yield batch_of(schema, b1, b2, ids.take(pa.array(text)), (marks[text] | inside.astype(np.uint64)).view(np.int64))
                 at += len(texts)
 
-    return source.mapInArrow(run, spark_schema(fields))
+    return source.mapInArrow(giving_back(run), spark_schema(fields))
 
 
 def _later(rows: DataFrame) -> DataFrame:
@@ -203,4 +203,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 kept.append(b" ".join(left).decode("utf-8", "replace"))
             yield batch_of(schema, batch.column(0), counts, removed, kept)
 
-    return source.mapInArrow(run, spark_schema(fields))
+    return source.mapInArrow(giving_back(run), spark_schema(fields))

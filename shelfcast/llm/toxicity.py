@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, ids_and_texts, spark_schema, whole_rows
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, ids_and_texts, spark_schema, whole_rows
 from shelfcast.llm.quality import fit_platt
 from shelfcast.llm.sampling import in_one_task, sampled_ids
 
@@ -116,14 +116,13 @@ def _vote(near: list[tuple[int, float]], labels: np.ndarray) -> float:
 def _fit(table: pa.Table, share: float) -> bytes:
     ids, labels = table["sample_id"].to_pylist(), table["label"].to_numpy().astype(np.int64)
     texts = [t or "" for t in table["text"].to_pylist()]
-    counts = [term_counts(t) for t in texts]
     seen = [set() for _ in (0, 1)]
     sides = [Counter(), Counter()]
-    for text, c, y in zip(texts, counts, labels.tolist(), strict=True):
+    for text, y in zip(texts, labels.tolist(), strict=True):
         mark = sketch(text)
         if mark not in seen[y]:  # copies, and most near copies, count once
             seen[y].add(mark)
-            sides[y].update(c.keys())
+            sides[y].update(term_counts(text).keys())
     n = [max(1, int((labels == side).sum())) for side in (0, 1)]
 
     def gain(term: str) -> float:
@@ -138,7 +137,7 @@ def _fit(table: pa.Table, share: float) -> bytes:
     vocabulary = sorted(t for g, t in ranked[:TERMS] if g > 0)
     number = {t: i for i, t in enumerate(vocabulary)}
     idf = np.array([math.log(1 + sum(n) / (sides[0][t] + sides[1][t])) for t in vocabulary], dtype=np.float64)
-    vectors = [_vector(c, number, idf) for c in counts]
+    vectors = [_vector(term_counts(t), number, idf) for t in texts]  # counted again: all counts at once would fill the worker
     order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i], key=lambda t: -vectors[i][t])[:3], i))  # alike ones share blocks
     order = [i for i in order if vectors[i]]
     index, own = Index.build([vectors[i] for i in order], len(vocabulary)), labels[order]
@@ -230,4 +229,4 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 yield batch_of(schema, part, scores, evidence, batch.column(1).slice(at, len(part)))
                 at += len(part)
 
-    return whole.mapInArrow(run, spark_schema(fields))
+    return whole.mapInArrow(giving_back(run), spark_schema(fields))
