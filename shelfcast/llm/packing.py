@@ -97,7 +97,7 @@ class WordIds:
     remembered up to a bound. Texts of other tokenizers are encoded whole.
     """
 
-    def __init__(self, path: str, known: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, known: int = 150_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -221,7 +221,7 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             return batch_of(schema, *([x.v if k == 0 else x for x in column] for k, column in enumerate(zip(*joined, strict=True))))
 
         for batch in batches:
-            for ids, texts in byte_chunks(batch, 6 << 20):
+            for ids, texts in byte_chunks(batch, 3 << 20):
                 whole: list[list] = []
                 for doc, tokens in zip(ids.to_pylist(), words([t or b"" for t in texts]), strict=True):
                     tokens += last
