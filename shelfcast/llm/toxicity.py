@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, ids_and_texts, spark_schema, whole_rows
+from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, ids_and_texts, spark_schema, whole_rows, written
 from shelfcast.llm.quality import fit_platt
 from shelfcast.llm.sampling import in_one_task, sampled_ids
 
@@ -123,7 +123,7 @@ def _fit(table: pa.Table, share: float) -> bytes:
         if mark not in seen[y]:  # copies, and most near copies, count once
             seen[y].add(mark)
             sides[y].update(term_counts(text).keys())
-    n = [max(1, int((labels == side).sum())) for side in (0, 1)]
+    n = [max(1, len(marks)) for marks in seen]  # shares are of the same examples as the counts
 
     def gain(term: str) -> float:
         """How much a term tells of toxic examples, as a log-likelihood ratio; 0 for those not clearly oftener there."""
@@ -162,16 +162,18 @@ def _fit(table: pa.Table, share: float) -> bytes:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes:
-    """The index as bytes, from up to ``sample_rows`` rows of each label of ``labels`` (id, label: 1 toxic, 0 not).
+    """The index as bytes, from up to ``sample_rows`` distinct texts of each label of ``labels`` (id, label: 1 toxic, 0 not).
 
     Empty if a label is missing. Votes of each example's neighbours without itself give the calibration, and the
-    share of toxic rows among all labelled ones corrects for the balanced sample.
+    share of toxic texts among all distinct labelled ones corrects for the balanced sample.
     """
     labels = labels.select("id", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
-    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = labels.join(docs, labels["id"] == docs["doc_id"]).groupBy("label", F.xxhash64("text").alias("mark")).agg(F.min("id").alias("id"))
+    distinct = written(known.select("id", "label"), "examples")  # copies would fill the sample
+    counts = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.keys() != {0, 1}:
         return b""
-    ids = sampled_ids(labels, sample_rows)
+    ids = sampled_ids(distinct, sample_rows)
     sample = docs.join(F.broadcast(ids), docs["doc_id"] == ids["sample_id"]).select("sample_id", "label", "text")  # bounded by the sample
     share = counts[1] / (counts[0] + counts[1])
     return in_one_task(sample, lambda table: _fit(table, share) if len(set(table["label"].to_pylist())) == 2 else b"")

@@ -136,6 +136,18 @@ def test_toxic_documents_are_found_and_clean_ones_left(spark):
     assert toxicity.score_toxicity(frame(spark, bad).limit(0), labels).collect() == []
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_toxic_copies_do_not_push_out_the_terms_of_others(spark, near):
+    clean, bad = toxic_rows()
+    hot = prose(999, 60, 200) + " cursed drivel"
+    copies = [(1000 + i, hot + (f" n{i}" if near else "")) for i in range(2400)]
+    rare = [(d, t.replace("vilest", "scummy").replace("grubby", "scummy").replace("nastiness", "scummy")) for d, t in bad[:20]]
+    labels = spark.createDataFrame([(d, 0) for d, _ in clean[:100]] + [(d, 1) for d, _ in rare[:12] + copies[:2000]], "id long, label int")
+    found = toxicity.score_toxicity(frame(spark, clean + rare + copies), labels, sample_rows=1200).collect()
+    score = {r["doc_id"]: r["score"] for r in found}
+    assert all(score[d] >= 0.5 for d, _ in rare[12:]) and all(score[d] < 0.5 for d, _ in clean)
+
+
 @pytest.mark.parametrize("k", [1, 5, 40])
 def test_block_max_search_is_exact(k):
     rng = random.Random(k)
