@@ -22,7 +22,7 @@ def held_store(spark, sf):
     return last_days(train_store(spark, sf, 14 + 28), "feature_date", 14, fx.newest_sale(spark, sf))
 
 
-def stored_train(spark, sf, last=STORE_DAYS):
+def stored_train(spark, sf, last=None):
     """The store training table, written once for jobs that read it several times."""
     return tables.through_disk(spark, train_store(spark, sf, last), "train-store")
 
@@ -448,7 +448,7 @@ def ensemble_weights(spark, sf):
 
 def fitted_demand(spark, sf, name, loss):
     """Error metrics of a fitted demand model on the holdout, next to the 28-day mean."""
-    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf, STORE_DAYS), newest=fx.newest_sale(spark, sf))
     stored = tables.through_disk(spark, split, "split")  # read often while fitting
     model = models.train_demand_model(stored, loss=loss)
     held = models.score_demand(model, stored.filter("split_name = 'holdout'"))

@@ -28,7 +28,7 @@ SELECT *, lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_l
        avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS qty_rolling_28d
 FROM ({ENRICHED_SQL}) WHERE book_age_days >= 0 WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date)
 """
-#: Days of the store tables: the window that training reads, and the lead-in of its rolling means.
+#: Days of the store table that training reads: its window, and the lead-in of the rolling means.
 STORE_DAYS = 134 + 28
 TABLES["store_days"] = f"SELECT day FROM sales_days WHERE day > (SELECT max(day) FROM sales_days) - {STORE_DAYS}"
 TABLES["panel_store"] = """
@@ -69,14 +69,14 @@ def train_wh(spark, sf):
     )
 
 
-def train_store(spark, sf, last=STORE_DAYS):
+def train_store(spark, sf, last=None):
     return training.training_dataset_store(
         fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf),
         store_location_map(spark), locations_static(spark), period=fx.sale_period(spark, sf, last),
     )
 
 
-def store_panel(spark, sf, last=STORE_DAYS):
+def store_panel(spark, sf, last=None):
     """The dense store panel with its demand class, without covariates."""
     panel = training.store_panel(
         fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.books_static(spark, sf), store_location_map(spark), store_location_map(spark).select("store_id"),
@@ -317,7 +317,7 @@ WHERE feature_date > (SELECT max(feature_date) FROM train_store) - 134 AND deman
 
 @query("holdout_split", f"SELECT split_name, isbn13, store_id, feature_date, qty_sold, demand_segment FROM ({SPLIT_SQL})")
 def holdout_split(spark, sf):
-    split = training.holdout_split(train_store(spark, sf), newest=fx.newest_sale(spark, sf))
+    split = training.holdout_split(train_store(spark, sf, STORE_DAYS), newest=fx.newest_sale(spark, sf))
     return split.select("split_name", "isbn13", "store_id", "feature_date", "qty_sold", "demand_segment")
 
 
