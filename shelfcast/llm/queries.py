@@ -15,7 +15,9 @@ from shelfcast.llm.sampling import crc_of
 from shelfcast.llm.secret_scan import BASE, scan_secrets, span_list
 from shelfcast.llm.simhash import simhash_components
 from shelfcast.llm.substrings import remove_repeats
+from shelfcast.llm.topk import top_inner_products
 from shelfcast.llm.toxicity import score_toxicity
+from shelfcast.llm.whitening import whiten
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -212,3 +214,30 @@ WITH texts AS (
 SELECT t.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_inner_products(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024)
+
+
+SQL["op12_topk_search"] = r"""
+WITH entries AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS c, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), x AS (
+  SELECT vec_id, i, CAST(floor(1024 * c) AS BIGINT) AS x FROM entries
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"), scale=256, components=4)
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
