@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.chat import chat_examples, read_turns, trained_text
+from shelfcast.llm.collocations import mine_collocations
 from shelfcast.llm.decontaminate import contaminated, find_contamination
 from shelfcast.llm.language import identify_language
 from shelfcast.llm.lines import keep_lines, line_bitmaps
@@ -216,6 +217,38 @@ FROM texts t LEFT JOIN kept USING (doc_id)
 """
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), often AS (
+  SELECT lang, m, phrase, count(*) AS f
+  FROM (SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase
+        FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS s FROM pieces, range(1, 6) lengths(m) WHERE len(w) >= m))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, m, phrase, f, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS tail
+  FROM (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM often WHERE m >= 2)
+), scored AS (
+  SELECT lang, phrase, c.f AS a, k, h.f AS l, t.f AS r, n, CAST((1000::HUGEINT * c.f * n) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN (SELECT lang, phrase AS head, f FROM often) h USING (lang, head) JOIN (SELECT lang, phrase AS tail, f FROM often) t USING (lang, tail) JOIN totals USING (lang)
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ends AS (
+  SELECT lang, f AS a, array_to_string(string_split(phrase, ' ')[1:m - 1], ' ') AS phrase FROM often WHERE m >= 3
+  UNION SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:m], ' ') FROM often WHERE m >= 3
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored ANTI JOIN ends USING (lang, phrase, a) QUALIFY rank <= 2000
+"""
+
+
 @query
 def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
