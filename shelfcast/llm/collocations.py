@@ -1,8 +1,10 @@
 """Collocations: frequent phrases by language, counted by an FM-index per shard and summed over the shards.
 
-A shard is a run of pieces with about ``SHARD_WORDS`` words, its words numbered by language. Lengths are counted in
-three rounds, and between them each shard is told which of its own words or pairs are frequent over all shards: other
-words end a phrase, so an index holds little that cannot be in a result. Sums and answers go through joins by phrase.
+A shard is a run of pieces with about ``SHARD_WORDS`` words, its words numbered by language. Three rounds read the
+texts. The first two sum up hashes of words and of pairs of neighbours; the hashes that are frequent over all shards
+become a bitmap of bounded size, and in the next round other words and pairs end a phrase, so that an index holds
+little that cannot be in a result. The last round sums up the phrases themselves. A hash that collides lets a rare
+phrase into that sum and never keeps a frequent one out, so the counts are exact.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,10 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, giving_back, spark_schema, written
 from shelfcast.llm.fm_index import FmIndex
 
-#: Words of a shard, numbers in a row of its text, bytes of text that are split at a time, rows handed on at a time.
-SHARD_WORDS, ROW_WORDS, SLICE_BYTES, OUT_ROWS = 1 << 20, 4096, 1 << 20, 1 << 16
+#: Words of a shard, bytes of text that are split at a time, rows handed on at a time.
+SHARD_WORDS, SLICE_BYTES, OUT_ROWS = 1 << 20, 1 << 20, 1 << 16
+#: Bits of a bitmap per frequent hash, and the least and most bits, as powers of two: 128 MB at most are sent to the tasks.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 23, 30
 #: Candidates that are ranked together before those of a language are.
 RANK_ROWS = 100_000
 UNKNOWN = "und"
@@ -29,7 +33,7 @@ _FOLD = bytes.maketrans(BREAKS + b"\t" + bytes(range(65, 91)), b"\n" * len(BREAK
 NUMBER = T.DecimalType(38, 0)
 
 
-def text_slices(data: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
+def text_slices(data: bytes, limit: int) -> Iterator[bytes]:
     """Folded text in slices of about ``limit`` bytes that end at a blank or a break; a longer word stays whole."""
     at = 0
     while at < len(data):
@@ -61,7 +65,7 @@ class Shard:
     """Words read so far. ``context`` words at its beginning belong to the shard before and only give new ones a left side."""
 
     def __init__(self):
-        self.words: list = [None]
+        self.words: list = [("", b"")]
         self.langs: dict[str, Numbers] = {}
         self.parts: list[np.ndarray] = []
         self.size = self.context = 0
@@ -82,153 +86,139 @@ class Shard:
 
     def open_words(self, most: int) -> list[bytes]:
         """The last words of a piece that goes on, ``most`` at most."""
-        last = self.text()[:-1][-most:] if most else np.zeros(0, dtype=np.int32)
+        last = self.text()[:-1][-most:]
         breaks = np.flatnonzero(last == 0)
         return [self.words[i][1] for i in last[breaks[-1] + 1 if len(breaks) else 0 :].tolist()]
 
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word and its language."""
+        import xxhash
 
-TEXT, FACT = 1, 0
-SHARD_FIELDS = [
-    ("shard", T.LongType()),
-    ("kind", T.IntegerType()),
-    ("part", T.IntegerType()),
-    ("context", T.IntegerType()),
-    ("ids", T.BinaryType()),
-    ("lang", T.StringType()),
-    ("word", T.StringType()),
-    ("n", T.LongType()),
-]
-
-
-def shards(docs: DataFrame, longest: int) -> DataFrame:
-    """The shards of (lang, text): rows of kind TEXT hold word numbers, rows of kind FACT a word, its number (part) and count."""
-
-    def rows(shard: Shard, number: int) -> Iterator[pa.RecordBatch]:
-        schema, text = arrow_schema(SHARD_FIELDS), shard.text()
-        parts = [text[i : i + ROW_WORDS].astype("<i4").tobytes() for i in range(0, len(text), ROW_WORDS)]
-        many = len(parts)
-        none = [None] * many
-        yield batch_of(schema, [number] * many, [TEXT] * many, list(range(many)), [shard.context] * many, parts, none, none, none)
-        counts = np.bincount(text[shard.context :], minlength=len(shard.words))
-        for at in range(1, len(shard.words), OUT_ROWS):
-            some = shard.words[at : at + OUT_ROWS]
-            size = len(some)
-            words = pa.array([w for _, w in some], type=pa.binary()).cast(pa.string())
-            yield batch_of(schema, [number] * size, [FACT] * size, list(range(at, at + size)), [0] * size, [None] * size, [lang for lang, _ in some], words, counts[at : at + size])
+        seed = {lang: xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs}
+        return np.array([xxhash.xxh64_intdigest(w, seed=seed.get(lang, 0)) for lang, w in self.words], dtype=np.uint64)
+
+
+def over_shards(docs: DataFrame, fields: list, work: Callable[[Shard], Iterator[tuple]], longest: int) -> DataFrame:
+    """The columns that ``work`` makes of each shard of (lang, text). A task cuts its own documents; a long one spans shards."""
+    most_words, most_bytes = SHARD_WORDS, SLICE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        shard = Shard()
+        schema, shard = arrow_schema(fields), Shard()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for columns in work(shard):
+                for at in range(0, len(columns[0]), OUT_ROWS):
+                    yield batch_of(schema, *[c[at : at + OUT_ROWS] for c in columns])
+
         for batch in batches:
             for langs, texts in byte_chunks(batch):
                 for lang, text in zip(langs.to_pylist(), texts, strict=True):
-                    for piece in text_slices((text or b"").translate(_FOLD)):
-                        if shard.size >= SHARD_WORDS:
+                    for piece in text_slices((text or b"").translate(_FOLD), most_bytes):
+                        if shard.size >= most_words:
+                            yield from rows()
                             open_words = shard.open_words(longest - 1)
-                            yield from rows(shard, number)
-                            number, shard = number + 1, Shard()
+                            shard = Shard()
                             if open_words:
                                 shard.add(lang, b" ".join(open_words))
                             shard.context = len(open_words)
                         shard.add(lang, piece)
                     shard.end()
         if shard.size:
-            yield from rows(shard, number)
+            yield from rows()
 
-    return docs.mapInArrow(giving_back(run), spark_schema(SHARD_FIELDS))
+    return docs.mapInArrow(giving_back(run), spark_schema(fields))
 
 
-FACT_FIELDS = ["a", "b", "wa", "wb"]
+def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in order."""
+    out = left * np.uint64(0x9E3779B97F4A7C15) + right
+    out ^= out >> np.uint64(29)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def by_shard(text: DataFrame, facts: DataFrame, fields: list, work: Callable) -> DataFrame:
-    """What ``work`` makes of each shard's text and facts (local numbers a and b, their global ones wa and wb).
+class Bitmap:
+    """A set of hashes by their topmost ``power`` bits; may hold more than was put in, never less."""
 
-    The rows of a shard are streamed together; its text and facts are bounded by ``SHARD_WORDS`` and one slice.
-    """
-    none = [F.lit(None).cast("int").alias("part"), F.lit(None).cast("int").alias("context"), F.lit(None).cast("binary").alias("ids")]
-    left = text.select("shard", F.lit(TEXT).alias("kind"), "part", "context", "ids", *[F.lit(None).cast("long").alias(c) for c in FACT_FIELDS])
-    right = facts.select("shard", F.lit(FACT).alias("kind"), *none, *[F.col(c).cast("long").alias(c) for c in FACT_FIELDS])
-    rows = left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "kind", "part")
+    def __init__(self, power: int, bits: np.ndarray):
+        self.power, self.bits = power, bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(fields)
-        here, context, parts, known = None, 0, [], []
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        place = (hashes >> np.uint64(64 - self.power)).astype(np.int64)
+        return (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
-        def finished() -> Iterator[pa.RecordBatch]:
-            if parts and known:
-                for columns in work(here, np.concatenate(parts).astype(np.int64), context, np.concatenate(known)):
-                    for at in range(0, len(columns[0]), OUT_ROWS):
-                        yield batch_of(schema, *[c[at : at + OUT_ROWS] for c in columns])
-
-        for batch in batches:
-            shard, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
-            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shard)], strict=True):
-                if start == end:
-                    continue
-                if shard[start] != here:
-                    yield from finished()
-                    here, context, parts, known = int(shard[start]), 0, [], []
-                some = batch.slice(start, end - start)
-                if kind[start] == TEXT:
-                    context = some.column("context")[0].as_py()
-                    parts.append(np.frombuffer(b"".join(some.column("ids").to_pylist()), dtype="<i4"))
-                elif parts == []:
-                    known.append(np.stack([some.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in FACT_FIELDS], axis=1))
-        yield from finished()
-
-    return rows.mapInArrow(giving_back(run), spark_schema(fields))
 
-
-PAIR_FIELDS = [("shard", T.LongType()), ("a", T.IntegerType()), ("b", T.IntegerType()), ("wa", T.LongType()), ("wb", T.LongType()), ("n", T.LongType())]
+def frequent_bitmap(counted: DataFrame, least: int) -> tuple[int, bytes]:
+    """The bitmap of the hashes of (hash, n) that sum up to ``least``; at most 2 ** ``MOST_BITS`` bits reach the driver."""
+    often = written(counted.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("hash"), "often")
+    power = min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * often.count()).bit_length()))
+    place = F.shiftrightunsigned("hash", 64 - power)
+    size = 1 << 15  # bits of one bitmap that Spark builds
+    parts = often.groupBy(F.floor(place / size).alias("bucket")).agg(F.bitmap_construct_agg(place % size).alias("bits"))
+    bits = bytearray((1 << power) >> 3)
+    for r in parts.toLocalIterator():
+        bits[r["bucket"] * size >> 3 : (r["bucket"] + 1) * size >> 3] = r["bits"]
+    return power, bytes(bits)
 
 
 def _dense(values: np.ndarray, size: int) -> np.ndarray:
-    """A table from local numbers to 1, 2, .. for those in ``values``, 0 for others."""
+    """A table from the numbers below ``size`` to 1, 2, .. for those in ``values``, 0 for others."""
     out = np.zeros(size, dtype=np.int64)
     out[values] = np.arange(1, len(values) + 1)
     return out
 
 
-def shard_pairs(shard: int, text: np.ndarray, context: int, known: np.ndarray) -> Iterator[tuple]:
-    """All pairs of neighbouring frequent words; ``known`` gives their global numbers (a, wa)."""
-    local, world = known[:, 0], known[:, 2]
-    text = _dense(local, max(int(text.max()), int(local.max())) + 1)[text]
+def frequent_words(shard: Shard, words: Bitmap) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+    """The shard's text with only frequent words, their hashes, the context left, and their numbers in the shard."""
+    hashes, text = shard.hashes(), shard.text()
+    known = words.has(hashes)
+    known[0] = False
+    local = np.flatnonzero(known)
+    text = _dense(local, len(hashes))[text]
     keep = text > 0
     keep[1:] |= keep[:-1]  # one break behind each run
-    context, text = int(keep[:context].sum()), text[keep]
-    *_, (words, count) = FmIndex(text, len(local) + 1, 2).phrases(context)
-    if len(words):
-        a, b = words[:, 0] - 1, words[:, 1] - 1
-        yield np.full(len(a), shard), local[a].astype(np.int32), local[b].astype(np.int32), world[a], world[b], count
-
-
-def shard_phrases(longest: int) -> Callable:
-    """Work of a shard: all phrases of 3 to ``longest`` words whose neighbours are frequent pairs (a, b) of ``known``."""
-
-    def work(shard: int, text: np.ndarray, context: int, known: np.ndarray) -> Iterator[tuple]:
-        local, at = np.unique(known[:, :2], return_index=True)
-        world = known[:, 2:].ravel()[at]
-        size = max(int(text.max()), int(local.max())) + 1
-        linked = np.zeros(len(text) + 2, dtype=bool)  # position i - 2 with its right neighbour
-        linked[2:-1] = np.isin(text[:-1] * size + text[1:], known[:, 0] * size + known[:, 1])
-        triple = linked[:-1] & linked[1:]
-        triple = np.concatenate([triple, [False]])
-        here = triple[2:] | triple[1:-1] | triple[:-2]  # in a run of three words or more
-        pieces = np.stack([_dense(local, size)[text], np.where(linked[2:], -1, 0)], axis=1)
-        keep = here[:, None] & (pieces >= 0)
-        context, text = int(keep[:context].sum()), pieces[keep]
-        if not len(text):
-            return
-        for words, count in FmIndex(text, len(local) + 1, longest).phrases(context):
-            own = np.flatnonzero(count)
-            if words.shape[1] >= 3 and len(own):
-                found = np.zeros((len(own), longest), dtype=np.int64)
-                found[:, : words.shape[1]] = world[words[own] - 1]
-                yield (*found.T, count[own])
-
-    return work
+    return text[keep], np.concatenate([[np.uint64(0)], hashes[local]]), int(keep[: shard.context].sum()), local
+
+
+HASHED = [("hash", T.LongType()), ("n", T.LongType())]
+SPELLED = [("lang", T.StringType()), ("phrase", T.StringType()), ("n", T.LongType())]
+
+
+def count_words(shard: Shard) -> Iterator[tuple]:
+    """Hashes of the words with their counts."""
+    counts = np.bincount(shard.text()[shard.context :], minlength=len(shard.words))
+    yield shard.hashes()[1:].view(np.int64), counts[1:]
+
+
+def count_pairs(shard: Shard, words: Bitmap) -> Iterator[tuple]:
+    """Hashes of the pairs of neighbouring frequent words with their counts."""
+    text, hashes, context, local = frequent_words(shard, words)
+    *_, (pairs, count) = FmIndex(text, len(local) + 1, 2).phrases(context)
+    yield mixed(hashes[pairs[:, 0]], hashes[pairs[:, 1]]).view(np.int64), count
+
+
+def count_phrases(shard: Shard, words: Bitmap, pairs: Bitmap, longest: int) -> Iterator[tuple]:
+    """The phrases of up to ``longest`` words whose words and pairs are frequent, with their counts; the empty one counts all words."""
+    langs = pa.array([lang for lang, _ in shard.words], type=pa.string())
+    spelled = pa.array([w for _, w in shard.words], type=pa.binary()).cast(pa.string())
+    counts = np.bincount(shard.text()[shard.context :], minlength=len(shard.words))
+    counts[0] = 0
+    for lang, numbers in shard.langs.items():
+        own = np.array([i for i in numbers.values() if i > 0], dtype=np.int64)
+        yield [lang], [""], [int(counts[own].sum())]
+    text, hashes, context, local = frequent_words(shard, words)
+    own = local[counts[local] > 0]
+    yield langs.take(pa.array(own)), spelled.take(pa.array(own)), counts[own]
+    linked = np.zeros(len(text) + 1, dtype=bool)  # position i - 1 with its right neighbour
+    linked[1:-1] = (text[:-1] > 0) & (text[1:] > 0) & pairs.has(mixed(hashes[text[:-1]], hashes[text[1:]]))
+    here = linked[1:] | linked[:-1]  # in a run of two words or more
+    runs = np.stack([text, np.where(linked[1:], -1, 0)], axis=1)
+    keep = here[:, None] & (runs >= 0)
+    for found, count in FmIndex(runs[keep], len(local) + 1, longest).phrases(int(keep[:context].sum())):
+        real = np.flatnonzero(count)
+        if found.shape[1] > 1 and len(real):
+            number = local[found[real] - 1]
+            parts = [spelled.take(pa.array(c)) for c in number.T]
+            yield langs.take(pa.array(number[:, 0])), pc.binary_join_element_wise(*parts, " "), count[real]
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -240,29 +230,18 @@ def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of every phrase of up to ``longest`` words that occurs ``least`` times, and (lang, n) of all words."""
-    parts = written(shards(docs, longest), "shards")
-    text, vocabulary = parts.where(F.col("kind") == TEXT), parts.where(F.col("kind") == FACT)
-    totals = written(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    often = vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = written(often.select("*", (F.monotonically_increasing_id() + 1).alias("w")), "words")
-    told = vocabulary.join(words, ["lang", "word"]).select("shard", F.col("part").alias("a"), F.lit(0).alias("b"), F.col("w").alias("wa"), F.lit(0).alias("wb"))
-    pairs = written(by_shard(text, told, PAIR_FIELDS, shard_pairs), "pairs")
-    columns = [f"w{i}" for i in range(1, longest + 1)]
-    two = written(pairs.groupBy("wa", "wb").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "two")
-    told = pairs.join(two, ["wa", "wb"]).select("shard", *FACT_FIELDS)
-    fields = [*[(c, T.LongType()) for c in columns], ("n", T.LongType())]
-    more = by_shard(text, told, fields, shard_phrases(longest)).groupBy(*columns).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    rest = [F.lit(0).cast("long").alias(c) for c in columns[2:]]
-    numbered = two.select(F.col("wa").alias("w1"), F.col("wb").alias("w2"), *rest, "f").unionByName(more).select("*", F.monotonically_increasing_id().alias("phrase"))
-    placed = written(numbered, "numbered").select("phrase", "f", F.posexplode(F.array(*columns)).alias("place", "w")).where(F.col("w") > 0)
-    spelled = (
-        placed.join(words.select("w", "lang", "word"), "w")
-        .groupBy("phrase", "f")
-        .agg(F.max("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("place", "word")))["word"].alias("words"))
-        .select("lang", "words", "f")
-    )
-    both = spelled.unionByName(words.select("lang", F.array("word").alias("words"), "f"))
-    return written(both.select("lang", F.array_join("words", " ").alias("phrase"), "words", "f"), "phrases"), totals
+    context = docs.sparkSession.sparkContext
+    words = context.broadcast(frequent_bitmap(over_shards(docs, HASHED, count_words, longest), least))
+
+    def bitmap(sent) -> Bitmap:
+        power, bits = sent.value
+        return Bitmap(power, np.frombuffer(bits, dtype=np.uint8))
+
+    pairs = context.broadcast(frequent_bitmap(over_shards(docs, HASHED, lambda shard: count_pairs(shard, bitmap(words)), longest), least))
+    counted = over_shards(docs, SPELLED, lambda shard: count_phrases(shard, bitmap(words), bitmap(pairs), longest), longest)
+    often = written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == "")), "phrases")
+    phrases = often.where("phrase != ''").select("lang", "phrase", F.split("phrase", " ").alias("words"), "f")
+    return phrases, often.where("phrase = ''").select("lang", F.col("f").alias("n"))
 
 
 def mine_collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 100, longest: int = 5, top: int = 2000) -> DataFrame:

@@ -63,8 +63,8 @@ def residuals(rotated: np.ndarray, cuts: list[int]) -> np.ndarray:
 class Cell:
     """The k best candidates of each query of a group, among those seen so far."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int):
-        self.ids, self.x, self.turn, self.k = ids, x, turn, k
+    def __init__(self, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int, pairs: int = BLOCK_PAIRS):
+        self.ids, self.x, self.turn, self.k, self.pairs = ids, x, turn, k, pairs
         d = x.shape[1]
         self.cuts = sorted({max(1, round(d * c)) for c in CUTS})
         self.rotated = x @ turn
@@ -73,7 +73,7 @@ class Cell:
         self.margin = 16 * d * np.finfo(float).eps
         self.score = np.full((len(ids), k), LEAST)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.size = max(16, BLOCK_PAIRS // max(1, len(ids)))
+        self.size = max(16, pairs // max(1, len(ids)))
         self.over = False
 
     def see(self, ids: np.ndarray, x: np.ndarray) -> None:
@@ -120,7 +120,7 @@ class Cell:
         if small and len(q) > SPARSE * queries * len(x):
             rows, place = np.unique(q, return_inverse=True)
             return (self.x[rows].astype(np.float64) @ x.T.astype(np.float64))[place, c].astype(np.int64)
-        step = max(1, BLOCK_PAIRS // x.shape[1])
+        step = max(1, self.pairs // x.shape[1])
         parts = [np.einsum("ij,ij->i", self.x[q[i : i + step]], x[c[i : i + step]]) for i in range(0, len(q), step)]
         return np.concatenate([*parts, np.zeros(0, dtype=np.int64)])
 
@@ -169,6 +169,8 @@ def top_inner_products(queries: DataFrame, candidates: DataFrame, k: int = 10, i
     right = offered.select("vec_id", "x", "length2", F.pmod(number, F.lit(slices)).cast("int").alias("slice")).select("*", each_group.alias("group"), F.lit(1).alias("kind"))
     cells = left.unionByName(right).repartition("group", "slice").sortWithinPartitions("group", "slice", "kind", F.desc("length2"), "vec_id")
 
+    pairs = BLOCK_PAIRS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(fields)
         here, cell, ids, xs = None, None, [], []
@@ -190,7 +192,7 @@ def top_inner_products(queries: DataFrame, candidates: DataFrame, k: int = 10, i
                     xs.append(x)
                 elif ids or cell is not None:
                     if cell is None:
-                        cell = Cell(np.concatenate(ids), np.concatenate(xs), turn, k)
+                        cell = Cell(np.concatenate(ids), np.concatenate(xs), turn, k, pairs)
                         ids, xs = [], []
                     cell.see(some, x)
         if cell is not None:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from shelfcast.llm import collocations
-from shelfcast.llm.collocations import mine_collocations, text_slices
+from shelfcast.llm.collocations import Bitmap, frequent_bitmap, mine_collocations, text_slices
 from shelfcast.llm.fm_index import FmIndex
 from tests.llm.helpers import UPPER
 
@@ -77,8 +77,7 @@ def mixed(seed, size):
 @pytest.mark.parametrize("seed,words,piece,longest,top", [(0, 1 << 20, 1 << 20, 5, 2000), (1, 50, 40, 5, 2000), (2, 7, 9, 4, 12), (3, 200, 64, 3, 2000)])
 def test_equals_brute_force_for_every_shard_size(spark, monkeypatch, seed, words, piece, longest, top):
     monkeypatch.setattr(collocations, "SHARD_WORDS", words)
-    monkeypatch.setattr(collocations, "text_slices", lambda data: text_slices(data, piece))
-    monkeypatch.setattr(collocations, "ROW_WORDS", 16)
+    monkeypatch.setattr(collocations, "SLICE_BYTES", piece)
     monkeypatch.setattr(collocations, "RANK_ROWS", 20)
     rows = mixed(seed, 150 if words > 10 else 40)
     docs = spark.createDataFrame([(t, lang, "x", 1, 2) for lang, t in rows], "text string, lang string, phrase string, n int, a int").repartition(3)
@@ -97,3 +96,24 @@ def test_tables_without_words(spark):
     none = spark.createDataFrame([], "text string, lang string")
     assert mine_collocations(none).collect() == []
     assert mine_collocations(spark.createDataFrame([(None, None), ("", "en"), ("rare words only", "en")], "text string, lang string")).collect() == []
+
+
+@pytest.mark.parametrize("least_bits", [15, 23])
+def test_bitmap_holds_every_frequent_hash(spark, monkeypatch, least_bits):
+    monkeypatch.setattr(collocations, "LEAST_BITS", least_bits)
+    hashes = np.random.default_rng(5).integers(-(2**63), 2**63, 3000)
+    rows = [(int(h), 2 + i % 2) for i, h in enumerate(hashes) for _ in range(2)] + [(0, 9), (-1, 9)]
+    power, bits = frequent_bitmap(spark.createDataFrame(rows, "hash long, n long"), 5)
+    found = Bitmap(power, np.frombuffer(bits, dtype=np.uint8)).has(hashes.view(np.uint64))
+    assert found[1::2].all()
+    assert found[::2].mean() < 0.1
+    assert Bitmap(power, np.frombuffer(bits, dtype=np.uint8)).has(np.array([0, 2**64 - 1], dtype=np.uint64)).all()
+
+
+def test_colliding_hashes_change_nothing(spark, monkeypatch):
+    """Bitmaps of eight bits let nearly all words and pairs pass, the sums decide."""
+    monkeypatch.setattr(collocations, "LEAST_BITS", 3)
+    monkeypatch.setattr(collocations, "MOST_BITS", 3)
+    rows = mixed(4, 60)
+    docs = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
+    assert sorted(tuple(r) for r in mine_collocations(docs, least=6).collect()) == plain(rows, 6, 5, 2000)
