@@ -101,8 +101,11 @@ ENRICHED = dict(keys=["isbn13", "wh_id"], day="feature_date", ints=PANEL_INTS +
 
 @query("dense_enrich", digest_sql(ENRICHED_SQL, **ENRICHED))
 def dense_enrich(spark, sf):
-    keep = ["feature_date", "isbn13", "wh_id", "qty_sold", "on_hand", "reserved_qty"]
-    return digest(training.enrich(wh_panel(spark, sf), fx.features(spark, sf), fx.books_static(spark, sf), keep), **ENRICHED)
+    panel = training.enriched_warehouse_panel(
+        fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.features(spark, sf), store_location_map(spark), locations_static(spark),
+        period=fx.sale_period(spark, sf),
+    )
+    return digest(training.with_book(panel, fx.books_static(spark, sf)), **ENRICHED)
 
 
 @query(

@@ -212,7 +212,7 @@ WITH t AS (
   SELECT count(*) AS row_count, count(DISTINCT isbn13 || '#' || store_id) AS series_count, min(feature_date) AS min_feature_date, max(feature_date) AS max_feature_date,
          round(CAST(count(*) FILTER (qty_sold = 0) AS DOUBLE) / count(*), 4) AS zero_sales_ratio,
          round(CAST(count(*) FILTER (day_of_week IS NULL OR month IS NULL OR weekend_flag IS NULL OR bestseller_flag IS NULL OR store_id IS NULL OR wh_id IS NULL) AS DOUBLE)
-               / count(*), 4) AS required_null_ratio, count(DISTINCT store_id) AS store_count, CAST(2 AS BIGINT) AS data_lag_days FROM train_store),
+               / count(*), 4) AS required_null_ratio, count(DISTINCT store_id) AS store_count, CAST(2 AS BIGINT) AS data_lag_days FROM train_store_all),
 b AS (SELECT max(wape) FILTER (demand_segment = 'high') AS high_best_wape, max(wape) FILTER (demand_segment = 'medium') AS medium_best_wape,
              max(wape) FILTER (demand_segment = 'low') AS low_best_wape FROM ({BEST_SQL})),
 p AS ({PIVOT_SQL})

@@ -28,18 +28,24 @@ SELECT *, lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_l
        avg(qty_sold) OVER (PARTITION BY isbn13, wh_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS qty_rolling_28d
 FROM ({ENRICHED_SQL}) WHERE book_age_days >= 0 WINDOW w AS (PARTITION BY isbn13, wh_id ORDER BY feature_date)
 """
-#: Days of the store table that training reads: its window, and the lead-in of the rolling means.
+#: Days of the store table that the split and the models read: their window, and the lead-in of the rolling means.
 STORE_DAYS = 134 + 28
 TABLES["store_days"] = f"SELECT day FROM sales_days WHERE day > (SELECT max(day) FROM sales_days) - {STORE_DAYS}"
-TABLES["panel_store"] = """
+
+
+def panel_store_sql(days: str) -> str:
+    return f"""
 SELECT d.day AS feature_date, b.isbn13, CAST(l.location_id AS BIGINT) AS store_id, coalesce(s.q, 0) AS qty_sold, coalesce(i.on_hand, 0) AS on_hand,
        coalesce(i.reserved_qty, 0) AS reserved_qty, coalesce(i.safety_stock, 0) AS safety_stock
-FROM store_days d CROSS JOIN books_static b CROSS JOIN (SELECT location_id FROM locations_static WHERE location_type <> 'WH') l
+FROM {days} d CROSS JOIN books_static b CROSS JOIN (SELECT location_id FROM locations_static WHERE location_type <> 'WH') l
 LEFT JOIN (SELECT sale_date, isbn13, store_id, CAST(sum(qty_sold) AS BIGINT) AS q FROM sales_fact GROUP BY 1, 2, 3) s
   ON s.sale_date = d.day AND s.isbn13 = b.isbn13 AND s.store_id = l.location_id
 LEFT JOIN inventory_daily i ON i.snapshot_date = d.day AND i.isbn13 = b.isbn13 AND i.location_id = l.location_id
 """
-TABLES["train_store"] = f"""
+
+
+def train_store_sql(panel: str) -> str:
+    return f"""
 SELECT x.*, CAST(l.wh_id AS BIGINT) AS wh_id, CASE WHEN l.location_type = 'STORE_ONLINE' THEN 'online' ELSE 'offline' END AS channel,
        l.location_type, l.size AS store_size, l.region,
        lag(qty_sold, 1) OVER w AS qty_lag_1, lag(qty_sold, 7) OVER w AS qty_lag_7,
@@ -47,11 +53,16 @@ SELECT x.*, CAST(l.wh_id AS BIGINT) AS wh_id, CASE WHEN l.location_type = 'STORE
        avg(qty_sold) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS qty_rolling_28d,
        CASE WHEN sum(qty_sold) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 12 THEN 'high'
             WHEN sum(qty_sold) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 3 THEN 'medium' ELSE 'low' END AS demand_segment
-FROM (SELECT p.*, {COVARIATE_SQL} FROM panel_store p
+FROM (SELECT p.*, {COVARIATE_SQL} FROM {panel} p
       LEFT JOIN features f ON f.isbn13 = p.isbn13 AND f.feature_date = p.feature_date LEFT JOIN books_static b ON b.isbn13 = p.isbn13) x
 JOIN locations_static l ON l.location_id = x.store_id
 WINDOW w AS (PARTITION BY isbn13, store_id ORDER BY feature_date)
 """
+
+
+# The whole period, and the last days for what reads no more of it
+TABLES["panel_store_all"], TABLES["panel_store"] = panel_store_sql("sales_days"), panel_store_sql("store_days")
+TABLES["train_store_all"], TABLES["train_store"] = train_store_sql("panel_store_all"), train_store_sql("panel_store")
 MEANS = ["qty_rolling_7d", "qty_rolling_28d"]
 LAGS = ["qty_lag_1", "qty_lag_7"]
 WH_DAYS = dict(keys=WH, day="feature_date")
@@ -85,10 +96,11 @@ def store_panel(spark, sf, last=None):
     return series.with_segment(panel, STORE, "feature_date", "qty_sold")
 
 
-TABLES["panel_segment"] = """
+SEGMENT_TABLE = """
 SELECT *, CASE WHEN sum(qty_sold) OVER w >= 12 THEN 'high' WHEN sum(qty_sold) OVER w >= 3 THEN 'medium' ELSE 'low' END AS demand_segment
-FROM panel_store WINDOW w AS (PARTITION BY isbn13, store_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)
+FROM {} WINDOW w AS (PARTITION BY isbn13, store_id ORDER BY feature_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)
 """
+TABLES["panel_segment_all"], TABLES["panel_segment"] = SEGMENT_TABLE.format("panel_store_all"), SEGMENT_TABLE.format("panel_store")
 
 
 @query(
@@ -122,7 +134,7 @@ def rolling_mean(spark, sf):
 SEGMENT_DAYS = dict(keys=[*STORE, "demand_segment"], day="feature_date", ints=["qty_sold"])
 
 
-@query("rolling_sum_segment", digest_sql("panel_segment", **SEGMENT_DAYS))
+@query("rolling_sum_segment", digest_sql("panel_segment_all", **SEGMENT_DAYS))
 def rolling_sum_segment(spark, sf):
     return digest(store_panel(spark, sf), **SEGMENT_DAYS)
 
@@ -273,7 +285,7 @@ def training_dataset_wh(spark, sf):
     return digest(train_wh(spark, sf), **TRAIN_WH)
 
 
-@query("training_dataset_store", digest_sql("train_store", **TRAIN_STORE))
+@query("training_dataset_store", digest_sql("train_store_all", **TRAIN_STORE))
 def training_dataset_store(spark, sf):
     return digest(train_store(spark, sf), **TRAIN_STORE)
 

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 
 def densify(
-    facts: DataFrame, keys: list[str], day: str, values: list[str], lo: Column, hi: Column, flags: list[str] = ()
+    facts: DataFrame, keys: list[str], day: str, values: list[str], lo: Column, hi: Column, sparse: list[str] = ()
 ) -> DataFrame:
     """One row per series and day between ``lo`` and ``hi``, zero where nothing happened.
 
     ``facts`` has at most one row per series and day. Each fact row is stretched
     up to the day before the next fact of its series, so no table of keys times
     days is joined: only the sparse rows are shuffled, by series, and the dense
-    rows come out already grouped for the windows that follow.
+    rows come out already grouped for the windows that follow. Columns of
+    ``sparse`` stay on the days of their facts and are NULL on the others.
     """
     w = Window.partitionBy(*keys).orderBy(day)
     inside = facts.filter(F.col(day).between(lo, hi))
@@ -27,7 +28,7 @@ def densify(
         *keys,
         F.col("_day").alias(day),
         *[F.when(hit, F.col(v)).otherwise(F.lit(0)).alias(v) for v in values],
-        *flags,
+        *[F.when(hit, F.col(c)).alias(c) for c in sparse],
     )
 
 

@@ -65,6 +65,20 @@ def _period(sales: DataFrame, period: tuple | None):
     return bounds.select("lo").scalar(), bounds.select("hi").scalar()
 
 
+def _warehouse_facts(
+    sales: DataFrame, inventory: DataFrame, store_map: DataFrame, locations: DataFrame, measures, lo: Column, hi: Column
+) -> tuple[DataFrame, list[str]]:
+    """Sparse rows by (isbn13, wh_id, day) with ``_series`` set for every series that ever sold, and the summed columns."""
+    keys = ["isbn13", "wh_id"]
+    sums = [*measures, "on_hand", "reserved_qty"]
+    inside = F.col("feature_date").between(lo, hi)
+    placed = resolve_warehouse(sales, store_map, locations).filter(F.col("sale_date").isNotNull() & F.col("wh_id").isNotNull())
+    series = placed.select(*keys).distinct().select(*keys, lo.alias("feature_date"), F.lit(1).alias("_series"))
+    sold = daily_warehouse_sales(sales, store_map, locations).filter(inside).select(*keys, "feature_date", *measures)
+    stock = daily_warehouse_inventory(inventory, locations).filter(inside)
+    return _one_table([series, sold, stock], [*keys, "feature_date"], [*sums, "_series"]), sums
+
+
 def warehouse_panel(
     sales: DataFrame, inventory: DataFrame, store_map: DataFrame, locations: DataFrame, measures=("qty_sold",),
     period: tuple | None = None,
@@ -75,14 +89,8 @@ def warehouse_panel(
     series still comes from all sales.
     """
     keys = ["isbn13", "wh_id"]
-    sums = [*measures, "on_hand", "reserved_qty"]
     lo, hi = _period(sales, period)
-    inside = F.col("feature_date").between(lo, hi)
-    placed = resolve_warehouse(sales, store_map, locations).filter(F.col("sale_date").isNotNull() & F.col("wh_id").isNotNull())
-    series = placed.select(*keys).distinct().select(*keys, lo.alias("feature_date"), F.lit(1).alias("_series"))
-    sold = daily_warehouse_sales(sales, store_map, locations).filter(inside).select(*keys, "feature_date", *measures)
-    stock = daily_warehouse_inventory(inventory, locations).filter(inside)
-    daily = _one_table([series, sold, stock], [*keys, "feature_date"], [*sums, "_series"])
+    daily, sums = _warehouse_facts(sales, inventory, store_map, locations, measures, lo, hi)
     return densify(_listed(daily, keys, "_series"), keys, "feature_date", sums, lo, hi)
 
 
@@ -92,7 +100,51 @@ def _listed(daily: DataFrame, keys: list[str], mark: str) -> DataFrame:
     return daily.withColumn("_known", known).filter("_known").drop("_known", mark)
 
 
+#: Covariates of a book on a day, as the feature table has them.
+DAILY = (
+    "is_holiday", "day_of_week", "month", "is_weekend", "event_nearby_days", "sns_mentions_1d", "sns_mentions_7d", "book_age_days",
+    "days_since_last_stockout",
+)
+
+
+def _beside_facts(facts: DataFrame, features: DataFrame, keys: list[str], mark: str, names=DAILY) -> DataFrame:
+    """Sparse rows of the marked series, with a row for each of their book's days that has covariates (struct ``_daily``).
+
+    Facts and covariates are stacked and moved by book once. All that follows groups by the book and more, so the
+    covariates need no join by day and dense rows are never moved. A book holds at most its days times its places.
+    """
+    book, place = keys
+    stacked = facts.unionByName(features.select(book, "feature_date", F.struct(*names).alias("_daily")), allowMissingColumns=True)
+    places = F.collect_set(F.when(F.col(mark) > 0, F.col(place))).over(Window.partitionBy(book))
+    own = F.filter("_places", lambda p: p == F.col(place))  # empty if the series is not marked
+    each = F.explode(F.when(F.col("_daily").isNotNull(), F.col("_places")).otherwise(own))
+    # The number is given so that small sparse partitions are not merged before they grow dense.
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = stacked.repartition(parts, book).withColumn("_places", places).withColumn("_place", each).drop(place, "_places")
+    values = [c for c in facts.columns if c not in (*keys, "feature_date", mark)]
+    return (
+        spread.withColumnRenamed("_place", place)
+        .groupBy(*keys, "feature_date")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in values], F.first("_daily", ignorenulls=True).alias("_daily"))
+    )
+
+
+def dense_with_covariates(
+    facts: DataFrame, features: DataFrame, keys: list[str], mark: str, lo: Column, hi: Column, names=DAILY
+) -> DataFrame:
+    """The marked series of ``facts`` on every day from ``lo`` to ``hi``, with the covariates of the book and day or NULL.
+
+    ``features`` has at most one row per book and day. The result is partitioned by book.
+    """
+    beside = _beside_facts(facts, features, keys, mark, names)
+    values = [c for c in beside.columns if c not in (*keys, "feature_date", "_daily")]
+    dense = densify(beside, keys, "feature_date", values, lo, hi, sparse=["_daily"])
+    return dense.select("feature_date", *keys, *values, *[F.col(f"_daily.{c}").alias(c) for c in names])
+
+
 def _covariates() -> dict:
+    """Covariates of a dense row: what is missing becomes zero or is derived from the date."""
+
     def zero(c):
         return F.coalesce(c, F.lit(0))
 
@@ -107,23 +159,29 @@ def _covariates() -> dict:
         "sns_mentions_7d": zero("sns_mentions_7d"),
         "book_age_days": zero("book_age_days"),
         "days_since_last_stockout": zero("days_since_last_stockout"),
-        "category_id": F.col("category_id"),
-        "price_tier": F.col("price_tier"),
-        "sales_point": zero("sales_point"),
-        "bestseller_flag": F.coalesce("_best", F.lit(False)).cast("int"),
-        "author_experience_years": zero("author_experience_years"),
     }
 
 
-def enrich(panel: DataFrame, features: DataFrame, books: DataFrame, keep: list[str]) -> DataFrame:
-    """Add covariates and book attributes; missing ones become zero or are derived from the date."""
+def with_book(dense: DataFrame, books: DataFrame) -> DataFrame:
+    """Add the attributes of the book. A dense side that is partitioned by book stays where it is."""
     book = books.select(
-        "isbn13", "category_id", "price_tier", "sales_point", F.col("is_bestseller_flag").alias("_best"),
-        "author_experience_years",
+        "isbn13", "category_id", "price_tier", F.coalesce("sales_point", F.lit(0)).alias("sales_point"),
+        F.coalesce("is_bestseller_flag", F.lit(False)).cast("int").alias("bestseller_flag"),
+        F.coalesce("author_experience_years", F.lit(0)).alias("author_experience_years"),
     )
-    facts = features.drop("is_bestseller_flag", "holiday_name", "season", "on_hand_total")
-    wide = panel.join(facts, ["isbn13", "feature_date"], "left").join(book, "isbn13", "left")
-    return wide.select(*keep, *[c.alias(name) for name, c in _covariates().items()])
+    return dense.join(book, "isbn13", "left").fillna(0, ["sales_point", "bestseller_flag", "author_experience_years"])
+
+
+def enriched_warehouse_panel(
+    sales: DataFrame, inventory: DataFrame, features: DataFrame, store_map: DataFrame, locations: DataFrame,
+    period: tuple | None = None,
+) -> DataFrame:
+    """The warehouse panel with covariates; ``features`` may hold copies."""
+    keys = ["isbn13", "wh_id"]
+    lo, hi = _period(sales, period)
+    daily, sums = _warehouse_facts(sales, inventory, store_map, locations, ("qty_sold",), lo, hi)
+    dense = dense_with_covariates(daily, dedupe_features(features, period), keys, "_series", lo, hi)
+    return dense.select("feature_date", *keys, *sums, *[c.alias(name) for name, c in _covariates().items()])
 
 
 def dedupe_features(features: DataFrame, period: tuple | None = None) -> DataFrame:
@@ -137,11 +195,11 @@ def training_dataset_wh(
     locations: DataFrame, drop_prelaunch: bool = True, period: tuple | None = None,
 ) -> DataFrame:
     keys = ["isbn13", "wh_id"]
-    panel = warehouse_panel(sales, inventory, store_map, locations, period=period)
-    wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, "qty_sold", "on_hand", "reserved_qty"])
+    wide = enriched_warehouse_panel(sales, inventory, features, store_map, locations, period)
     if drop_prelaunch:
         wide = wide.filter("book_age_days >= 0")
-    return with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
+    wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
+    return with_book(wide, books)
 
 
 def store_attributes(locations: DataFrame) -> DataFrame:
@@ -156,18 +214,14 @@ def store_attributes(locations: DataFrame) -> DataFrame:
     )
 
 
-def store_panel(
-    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, stores: DataFrame,
-    stock_via: str = "store", period: tuple | None = None,
-) -> DataFrame:
-    """Dense (isbn13, store_id, day) panel over every book and every store of ``stores`` (column store_id).
+STORE_SUMS = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
 
-    ``stock_via="store"`` reads stock at the store's own id, so online stores
-    have none; ``"inventory_location"`` reads it where the store draws from.
-    """
-    keys = ["isbn13", "store_id"]
-    sums = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
-    lo, hi = _period(sales, period)
+
+def _store_facts(
+    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, stores: DataFrame, stock_via: str, lo: Column, hi: Column
+) -> DataFrame:
+    """Sparse rows by (isbn13, store_id, day), ``_book`` set for every book and store."""
+    keys, sums = ["isbn13", "store_id"], STORE_SUMS
     sold = sales.filter(F.col("sale_date").between(lo, hi)).join(stores, "store_id", "left_semi").select(
         *keys, F.col("sale_date").alias("feature_date"), F.coalesce("qty_sold", F.lit(0)).alias("qty_sold")
     )
@@ -186,8 +240,22 @@ def store_panel(
     # Every book starts with a zero row in every store, so pairs without sales get a series too.
     all_stores = stores.agg(F.sort_array(F.collect_set(F.col("store_id").cast("bigint"))).alias("s")).scalar()
     seeds = books.select("isbn13", F.explode(all_stores).alias("store_id"), lo.alias("feature_date"), F.lit(1).alias("_book"))
-    daily = _one_table([sold, stock, seeds], [*keys, "feature_date"], [*sums, "_book"])
-    return densify(_listed(daily, keys, "_book"), keys, "feature_date", sums, lo, hi)
+    return _one_table([sold, stock, seeds], [*keys, "feature_date"], [*sums, "_book"])
+
+
+def store_panel(
+    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, stores: DataFrame,
+    stock_via: str = "store", period: tuple | None = None,
+) -> DataFrame:
+    """Dense (isbn13, store_id, day) panel over every book and every store of ``stores`` (column store_id).
+
+    ``stock_via="store"`` reads stock at the store's own id, so online stores
+    have none; ``"inventory_location"`` reads it where the store draws from.
+    """
+    keys = ["isbn13", "store_id"]
+    lo, hi = _period(sales, period)
+    daily = _store_facts(sales, inventory, books, store_map, stores, stock_via, lo, hi)
+    return densify(_listed(daily, keys, "_book"), keys, "feature_date", STORE_SUMS, lo, hi)
 
 
 def training_dataset_store(
@@ -196,12 +264,13 @@ def training_dataset_store(
 ) -> DataFrame:
     keys = ["isbn13", "store_id"]
     stores = store_attributes(locations)
-    panel = store_panel(sales, inventory, books, store_map, stores.select("store_id"), stock_via, period)
-    facts = ["qty_sold", "on_hand", "reserved_qty", "safety_stock"]
-    wide = enrich(panel, dedupe_features(features, period), books, ["feature_date", *keys, *facts])
+    lo, hi = _period(sales, period)
+    daily = _store_facts(sales, inventory, books, store_map, stores.select("store_id"), stock_via, lo, hi)
+    dense = dense_with_covariates(daily, dedupe_features(features, period), keys, "_book", lo, hi)
+    wide = dense.select("feature_date", *keys, *STORE_SUMS, *[c.alias(name) for name, c in _covariates().items()])
     wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
     total = F.sum("qty_sold").over(trailing(keys, "feature_date", 28))
-    return wide.withColumn("demand_segment", segment_of(total)).join(stores, "store_id")
+    return with_book(wide.withColumn("demand_segment", segment_of(total)), books).join(stores, "store_id")
 
 
 def automl_input(
@@ -210,35 +279,26 @@ def automl_input(
 ) -> DataFrame:
     """Wide table with one ``series_id`` per book and warehouse."""
     keys = ["isbn13", "wh_id"]
-    placed = resolve_warehouse(sales, store_map, locations).filter(F.col("wh_id").isNotNull())
+    lo, hi = _period(sales, period)
+    placed = resolve_warehouse(sales, store_map, locations).filter(F.col("wh_id").isNotNull() & F.col("sale_date").between(lo, hi))
     daily = placed.groupBy(*keys, F.col("sale_date").alias("feature_date")).agg(
         F.sum("qty_sold").alias("qty_sold"),
         F.sum("revenue").alias("revenue"),
         F.avg(F.coalesce("avg_price", F.lit(0)).cast("double")).alias("avg_price"),
         F.sum("tx_count").alias("tx_count"),
+        F.lit(1).alias("_series"),
     )
-    lo, hi = _period(sales, period)
-    dense = densify(daily, keys, "feature_date", ["qty_sold", "revenue", "avg_price", "tx_count"], lo, hi)
-    flags = dedupe_features(features, period).select(
-        "isbn13", "feature_date", "sns_mentions_1d", "sns_mentions_7d", "is_holiday", "event_nearby_days", "season",
-        "day_of_week", "month", "is_weekend",
-    )
-    book = books.select("isbn13", "category_id", "price_tier", "is_bestseller_flag", "author_experience_years")
-    return (
-        dense.join(flags, ["isbn13", "feature_date"], "left")
-        .join(book, "isbn13", "left")
-        .select(
-            F.concat("isbn13", F.lit("_WH"), F.col("wh_id").cast("string")).alias("series_id"),
-            F.col("feature_date").alias("sale_date"), "qty_sold", "revenue", "avg_price", "tx_count",
-            F.coalesce("sns_mentions_1d", F.lit(0)).alias("sns_mentions_1d"),
-            F.coalesce("sns_mentions_7d", F.lit(0)).alias("sns_mentions_7d"),
-            F.coalesce("is_holiday", F.lit(False)).alias("is_holiday"),
-            F.coalesce("event_nearby_days", F.lit(0)).alias("event_nearby_days"),
-            "season", "day_of_week", "month", F.coalesce("is_weekend", F.lit(False)).alias("is_weekend"), "wh_id",
-            "category_id", "price_tier",
-            F.coalesce("is_bestseller_flag", F.lit(False)).cast("int").alias("is_bestseller_flag"),
-            F.coalesce("author_experience_years", F.lit(0)).alias("author_experience_years"),
-        )
+    names = ["sns_mentions_1d", "sns_mentions_7d", "is_holiday", "event_nearby_days", "season", "day_of_week", "month", "is_weekend"]
+    dense = dense_with_covariates(daily, dedupe_features(features, period), keys, "_series", lo, hi, names)
+    return with_book(dense, books).select(
+        F.concat("isbn13", F.lit("_WH"), F.col("wh_id").cast("string")).alias("series_id"),
+        F.col("feature_date").alias("sale_date"), "qty_sold", "revenue", "avg_price", "tx_count",
+        F.coalesce("sns_mentions_1d", F.lit(0)).alias("sns_mentions_1d"),
+        F.coalesce("sns_mentions_7d", F.lit(0)).alias("sns_mentions_7d"),
+        F.coalesce("is_holiday", F.lit(False)).alias("is_holiday"),
+        F.coalesce("event_nearby_days", F.lit(0)).alias("event_nearby_days"),
+        "season", "day_of_week", "month", F.coalesce("is_weekend", F.lit(False)).alias("is_weekend"), "wh_id",
+        "category_id", "price_tier", F.col("bestseller_flag").alias("is_bestseller_flag"), "author_experience_years",
     )
 
 
