@@ -89,11 +89,10 @@ def train_store(spark, sf, last=None):
 
 def store_panel(spark, sf, last=None):
     """The dense store panel with its demand class, without covariates."""
-    panel = training.store_panel(
+    return training.store_demand_classes(
         fx.sales_fact(spark, sf), fx.inventory_daily(spark, sf), fx.books_static(spark, sf), store_location_map(spark), store_location_map(spark).select("store_id"),
         period=fx.sale_period(spark, sf, last),
     )
-    return series.with_segment(panel, STORE, "feature_date", "qty_sold")
 
 
 SEGMENT_TABLE = """

@@ -16,16 +16,22 @@ def digest(df: DataFrame, keys: list[str], day: str, ints=(), floats=(), texts=(
     """One row per series of a dense table: its rows, and of every column the sum, the ends, and the sum by day number.
 
     Dense tables have a row for every book, place and day; they are compared by series instead of row by row.
+    Texts are grouped by first: their ends need a sorted aggregation, which then sees few rows.
     """
     at = F.datediff(day, F.lit("1990-01-01").cast("date"))
-    out = [F.count("*").alias("row_count")]
+    parts = [F.count("*").alias("row_count"), F.min(day).alias(f"{day}_min"), F.max(day).alias(f"{day}_max")]
+    parts += [f(c).alias(f"{c}_{n}") for c in (*ints, *floats) for n, f in (("sum", F.sum), ("min", F.min), ("max", F.max))]
+    parts += [F.sum(F.col(c) * at).alias(f"{c}_by_day") for c in ints]
+    merge = {"sum": F.sum, "min": F.min, "max": F.max, "by_day": F.sum}
+    whole = [F.sum("row_count").alias("row_count")]
     for c in ints:
-        out += [F.sum(c).cast("bigint").alias(f"{c}_sum"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.sum(F.col(c) * at).cast("bigint").alias(f"{c}_by_day")]
+        whole += [merge[n](f"{c}_{n}").cast("bigint" if n in ("sum", "by_day") else df.schema[c].dataType).alias(f"{c}_{n}") for n in merge]
     for c in floats:
-        out += [F.round(F.sum(c), 3).alias(f"{c}_sum"), F.round(F.min(c), 3).alias(f"{c}_min"), F.round(F.max(c), 3).alias(f"{c}_max")]
-    for c in [*texts, day]:
-        out += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    return df.groupBy(*keys).agg(*out)
+        whole += [F.round(merge[n](f"{c}_{n}"), 3).alias(f"{c}_{n}") for n in ("sum", "min", "max")]
+    for c in texts:
+        whole += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+    whole += [F.min(f"{day}_min").alias(f"{day}_min"), F.max(f"{day}_max").alias(f"{day}_max")]
+    return df.groupBy(*keys, *texts).agg(*parts).groupBy(*keys).agg(*whole)
 
 
 def digest_sql(sql: str, keys: list[str], day: str, ints=(), floats=(), texts=()) -> str:

@@ -32,6 +32,64 @@ def densify(
     )
 
 
+def densify_with_history(
+    facts: DataFrame, keys: list[str], day: str, values: list[str], lo: Column, hi: Column, value: str,
+    lags=(1, 7), spans=(7, 28), sparse: list[str] = (),
+) -> DataFrame:
+    """``densify`` with ``value`` some days ago (``_lag_k``) and its sums over the days before (``_sum_n``).
+
+    Both are step functions of the sparse rows: a sale enters a sum on the next day and leaves it ``n`` days later. The
+    steps are added up over sparse rows and stretched with them, so no window sorts the dense ones. Like a window over
+    the dense days, a lag is NULL before the series has ``k`` days; a sum starts at zero, ``_days`` tells how many
+    days it can have seen.
+    """
+    steps = {}
+    for name, first, last in [*((f"_lag_{k}", k, k + 1) for k in lags), *((f"_sum_{n}", 1, n + 1) for n in spans)]:
+        steps.setdefault(first, {})[name] = F.col(value)
+        steps.setdefault(last, {})[name] = -F.col(value)
+    names = [*(f"_lag_{k}" for k in lags), *(f"_sum_{n}" for n in spans)]
+    inside = facts.filter(F.col(day).between(lo, hi))
+
+    def step(after: int, changes: dict, own: bool) -> Column:
+        fields = [F.date_add(day, after).alias("_at")]
+        fields += [changes.get(n, F.lit(0)).cast("bigint").alias(n) for n in names]
+        fields += [(F.col(v) if own else F.lit(None)).cast(facts.schema[v].dataType).alias(f"_own_{v}") for v in [*values, *sparse]]
+        return F.struct(*fields)
+
+    later = F.filter(F.array(*[step(k, c, False) for k, c in sorted(steps.items())]), lambda x: x["_at"] <= hi)
+    here = F.array(step(0, {}, True))
+    moves = F.explode(F.when(F.coalesce(F.col(value), F.lit(0)) != 0, F.concat(here, later)).otherwise(here))
+    events = inside.select(*keys, moves.alias("_m")).select(*keys, "_m.*")
+    daily = events.groupBy(*keys, "_at").agg(
+        *[F.sum(n).alias(n) for n in names],
+        *[F.sum(f"_own_{v}").alias(f"_own_{v}") for v in values],
+        *[F.first(f"_own_{c}", ignorenulls=True).alias(f"_own_{c}") for c in sparse],
+    )
+    w = Window.partitionBy(*keys).orderBy("_at")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    spread = daily.withColumns(
+        {n: F.sum(n).over(so_far) for n in names}
+        | {"_from": F.when(F.lag("_at").over(w).isNull(), lo).otherwise(F.col("_at")), "_to": F.coalesce(F.date_sub(F.lead("_at").over(w), 1), hi)}
+    )
+    dense = spread.withColumn("_day", F.explode(F.sequence("_from", "_to")))
+    hit, age = F.col("_day") == F.col("_at"), F.datediff("_day", lo)
+    return dense.select(
+        *keys,
+        F.col("_day").alias(day),
+        *[F.when(hit, F.coalesce(f"_own_{v}", F.lit(0))).otherwise(F.lit(0)).alias(v) for v in values],
+        *[F.when(hit, F.col(f"_own_{c}")).alias(c) for c in sparse],
+        *[F.when(age >= k, F.col(f"_lag_{k}")).alias(f"_lag_{k}") for k in lags],
+        *[f"_sum_{n}" for n in spans],
+        age.alias("_days"),
+    )
+
+
+def mean_before(days: int) -> Column:
+    """Mean of the ``days`` days before, or of as many as there are; NULL on the first day."""
+    seen = F.least(F.col("_days"), F.lit(days))
+    return F.when(seen > 0, F.col(f"_sum_{days}").cast("double") / seen)
+
+
 def history(keys: list[str], day: str):
     return Window.partitionBy(*keys).orderBy(day)
 

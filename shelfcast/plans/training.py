@@ -9,8 +9,9 @@ from shelfcast.functions.columns import hash_bucket, is_weekend, weekday
 from shelfcast.operators.keyed import dedupe_first
 from shelfcast.operators.series import (
     densify,
+    densify_with_history,
+    mean_before,
     segment_of,
-    trailing,
     with_lags,
     with_rolling_means,
 )
@@ -266,11 +267,29 @@ def training_dataset_store(
     stores = store_attributes(locations)
     lo, hi = _period(sales, period)
     daily = _store_facts(sales, inventory, books, store_map, stores.select("store_id"), stock_via, lo, hi)
-    dense = dense_with_covariates(daily, dedupe_features(features, period), keys, "_book", lo, hi)
-    wide = dense.select("feature_date", *keys, *STORE_SUMS, *[c.alias(name) for name, c in _covariates().items()])
-    wide = with_rolling_means(with_lags(wide, keys, "feature_date", "qty_sold"), keys, "feature_date", "qty_sold")
-    total = F.sum("qty_sold").over(trailing(keys, "feature_date", 28))
-    return with_book(wide.withColumn("demand_segment", segment_of(total)), books).join(stores, "store_id")
+    beside = _beside_facts(daily, dedupe_features(features, period), keys, "_book")
+    dense = densify_with_history(beside, keys, "feature_date", STORE_SUMS, lo, hi, "qty_sold", sparse=["_daily"])
+    flat = dense.select("*", *[F.col(f"_daily.{c}").alias(c) for c in DAILY])
+    wide = flat.select(
+        "feature_date", *keys, *STORE_SUMS,
+        *[c.alias(name) for name, c in _covariates().items()],
+        *[F.col(f"_lag_{k}").alias(f"qty_lag_{k}") for k in (1, 7)],
+        *[mean_before(n).alias(f"qty_rolling_{n}d") for n in (7, 28)],
+        segment_of(F.col("_sum_28")).alias("demand_segment"),
+    )
+    return with_book(wide, books).join(stores, "store_id")
+
+
+def store_demand_classes(
+    sales: DataFrame, inventory: DataFrame, books: DataFrame, store_map: DataFrame, stores: DataFrame,
+    stock_via: str = "store", period: tuple | None = None,
+) -> DataFrame:
+    """The dense store panel with the demand class of each day, from the 28 days before it."""
+    keys = ["isbn13", "store_id"]
+    lo, hi = _period(sales, period)
+    daily = _listed(_store_facts(sales, inventory, books, store_map, stores, stock_via, lo, hi), keys, "_book")
+    dense = densify_with_history(daily, keys, "feature_date", STORE_SUMS, lo, hi, "qty_sold", lags=(), spans=(28,))
+    return dense.select(*keys, "feature_date", *STORE_SUMS, segment_of(F.col("_sum_28")).alias("demand_segment"))
 
 
 def automl_input(

@@ -10,7 +10,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry
 from check import TABLES, bag
-from shelfcast.catalog.reference_sql import TABLES as DEFINED
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,10 +20,51 @@ def test_store_tables_equal_sql_over_every_day(spark, name):
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    sql = entry.oracle_sql()[name]
-    cut, whole = (f"store_days AS ({sql})" for sql in (DEFINED["store_days"].strip(), "SELECT day FROM sales_days"))
-    cur = con.execute(sql.replace(cut, whole))  # the registered SQL covers the last 162 days only
+    cur = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cur.description]
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     assert bag(df.columns, rows) == bag(names, cur.fetchall())
+
+
+def above_the_days(df):
+    """The plan nodes that the rows pass after a series is stretched over its days."""
+    path = []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        path = [(d, n) for d, n in path if d < depth] + [(depth, line.strip(" :+-"))]
+        if "Generate explode(sequence(" in line:
+            return [n for _, n in path[:-1]]
+    raise AssertionError("no days")
+
+
+@pytest.mark.parametrize("name,sorts", [("training_dataset_store", 0), ("rolling_sum_segment", 0), ("training_dataset_wh", 1), ("automl_input", 0), ("dense_enrich", 0)])
+def test_dense_rows_are_never_moved(spark, name, sorts):
+    nodes = above_the_days(entry.queries()[name](spark, SF))
+    assert len(nodes) > 3
+    assert not [n for n in nodes if n.startswith("Exchange")]
+    first_sum = max((i for i, n in enumerate(nodes) if "HashAggregate" in n), default=-1)
+    assert len([n for n in nodes[first_sum + 1 :] if n.startswith("Sort ")]) <= sorts
+
+
+def test_history_of_sparse_rows_equals_windows_over_dense_ones(spark):
+    import random
+    from datetime import date, timedelta
+
+    from pyspark.sql import functions as F
+
+    from shelfcast.operators import series
+
+    rng, lo = random.Random(4), date(2024, 2, 20)
+    days = [lo + timedelta(n) for n in range(60)]
+    rows = [(k, lo, 0, 7) for k in range(6)]
+    rows += [(k, d, rng.choice([0, 0, 1, 5, -2, None]), rng.randrange(9)) for k in range(5) for d in days[1:] if rng.random() < 0.2 * k]
+    facts = spark.createDataFrame(rows, "k int, d date, q long, s long")
+    ends = [F.lit(days[0]), F.lit(days[-1])]
+    dense = series.densify(facts.fillna(0, ["q"]), ["k"], "d", ["q", "s"], *ends)
+    want = series.with_segment(series.with_rolling_means(series.with_lags(dense, ["k"], "d", "q"), ["k"], "d", "q"), ["k"], "d", "q")
+    got = series.densify_with_history(facts, ["k"], "d", ["q", "s"], *ends, "q")
+    got = got.select("k", "d", "q", "s", "_lag_1", "_lag_7", series.mean_before(7).alias("a"), series.mean_before(28).alias("b"), series.segment_of(F.col("_sum_28")).alias("c"))
+    read = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert read(got) == read(want)
+    assert got.count() == 6 * 60
