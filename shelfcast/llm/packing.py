@@ -94,10 +94,11 @@ class WordIds:
 
     For tokenizers that drop white space, split words by a pattern and mark word ends: no token reaches over ASCII
     white space, so a word is split by the tokenizer's own pattern once, each piece is tokenized once, and both are
-    remembered up to a bound. Texts of other tokenizers are encoded whole.
+    remembered: up to ``known`` new ones, and as many from before, of which those met again become new ones. So common
+    words stay. Texts of other tokenizers are encoded whole.
     """
 
-    def __init__(self, path: str, known: int = 150_000, longest: int = 64):
+    def __init__(self, path: str, known: int = 100_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -105,6 +106,7 @@ class WordIds:
         self.tokenizer, self.known, self.longest = Tokenizer.from_file(path), known, longest
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: tuple[dict[bytes, bytes], dict[str, bytes]] = {}, {}
         with open(path, encoding="utf-8") as f:
             about = json.load(f)
         steps = (about.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -145,11 +147,11 @@ class WordIds:
         # the tokenizer lowers all letters; lowering A to Z first saves words, but must not make a control string
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.words) > self.known:
-            self.words = {}
-        if len(self.pieces) > self.known:
-            self.pieces = {}
+            self.older, self.words, self.pieces = (self.words, self.pieces), {}, {}
         words = self.words
-        new = list({w for line in split for w in line} - words.keys())
+        unknown = {w for line in split for w in line} - words.keys()
+        words.update((w, self.older[0][w]) for w in unknown & self.older[0].keys())
+        new = list(unknown - words.keys())
         plain, other = [], []
         for w in new:
             s = w.decode("utf-8", "replace")
@@ -158,8 +160,10 @@ class WordIds:
                 plain.append((w, self._parts(s.lower())))
             else:
                 other.append((w, s))
-        self._learn_pieces(list({x for _, parts in plain for x in parts} - self.pieces.keys()))
         pieces = self.pieces
+        unknown = {x for _, parts in plain for x in parts} - pieces.keys()
+        pieces.update((x, self.older[1][x]) for x in unknown & self.older[1].keys())
+        self._learn_pieces(list(unknown - pieces.keys()))
         for w, parts in plain:
             words[w] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[x] for x in parts])
         words.update(zip([w for w, _ in other], self._whole([s for _, s in other]), strict=True))
@@ -221,7 +225,7 @@ def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             return batch_of(schema, *([x.v if k == 0 else x for x in column] for k, column in enumerate(zip(*joined, strict=True))))
 
         for batch in batches:
-            for ids, texts in byte_chunks(batch, 3 << 20):
+            for ids, texts in byte_chunks(batch, 4 << 20):
                 whole: list[list] = []
                 for doc, tokens in zip(ids.to_pylist(), words([t or b"" for t in texts]), strict=True):
                     tokens += last
