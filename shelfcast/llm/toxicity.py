@@ -168,7 +168,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     share of toxic texts among all distinct labelled ones corrects for the balanced sample.
     """
     labels = labels.select("id", F.col("label").cast("int").alias("label")).where("label in (0, 1)")
-    known = labels.join(docs, labels["id"] == docs["doc_id"]).groupBy("label", F.xxhash64("text").alias("mark")).agg(F.min("id").alias("id"))
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"))  # texts are not moved for the join
+    known = labels.join(marked, labels["id"] == marked["doc_id"]).groupBy("label", "mark").agg(F.min("id").alias("id"))
     distinct = written(known.select("id", "label"), "examples")  # copies would fill the sample
     counts = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts.keys() != {0, 1}:
