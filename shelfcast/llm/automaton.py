@@ -111,29 +111,9 @@ def compile_rules(rules: list, anywhere: bool) -> Automaton:
     b = Builder()
     ends = [r(b) for r in rules]
     finals, firsts = {y for _, y in ends}, [x for x, _ in ends]
-    sets = {s for moves in b.moves for s, _ in moves}
-    # bytes that no rule tells apart share a class
-    groups: dict[tuple, int] = {}
-    kind = bytearray(256)
-    sample: list[int] = []
-    ordered = sorted(sets, key=sorted)
-    for byte in range(256):
-        mark = tuple(byte in s for s in ordered)
-        if mark not in groups:
-            groups[mark] = len(groups)
-            sample.append(byte)
-        kind[byte] = groups[mark]
-    n = len(groups)
-
-    def closed(states) -> frozenset:
-        seen, todo = set(states), list(states)
-        while todo:
-            for y in b.empty[todo.pop()]:
-                if y not in seen:
-                    seen.add(y)
-                    todo.append(y)
-        return frozenset(seen)
-
+    kind, sample = _byte_classes(b)
+    n = len(sample)
+    closed = _closure(b.empty)
     begin = closed(firsts)
     step = [[[y for s, y in b.moves[x] if byte in s] for byte in sample] for x in range(len(b.moves))]
     dead = frozenset()
@@ -157,22 +137,97 @@ def compile_rules(rules: list, anywhere: bool) -> Automaton:
         at += 1
     table = np.array(out, dtype=np.int64)
     accepting = np.array([s == done or bool(s & finals) for s in order])
-    # minimisation: refine by acceptance, then by the classes that the successors lie in, until nothing splits
-    label = accepting.astype(np.int64)
+    label, first = _minimised(table, accepting.astype(np.int64))
+    small = label[table[first]]
+    return Automaton((small * n).astype(np.int32).reshape(-1), n, kind, int(label[1]), accepting[first])
+
+
+def compile_starts(rules: list) -> tuple[Automaton, list[tuple[int, ...]]]:
+    """One minimal automaton for reading a text backwards, and for each state the rules that have a match beginning there.
+
+    The transitions of all rules are turned round, and a match may end at any byte.
+    """
+    b = Builder()
+    ends = [r(b) for r in rules]
+    kind, sample = _byte_classes(b)
+    empty: list[list[int]] = [[] for _ in b.moves]
+    back: list[list[tuple]] = [[] for _ in b.moves]
+    for x, (moves, free) in enumerate(zip(b.moves, b.empty, strict=True)):
+        for y in free:
+            empty[y].append(x)
+        for s, y in moves:
+            back[y].append((s, x))
+    closed = _closure(empty)
+    begin = closed([y for _, y in ends])
+    step = [[[y for s, y in back[x] if byte in s] for byte in sample] for x in range(len(back))]
+    dead: frozenset = frozenset()
+    ids, order, out = {dead: 0, begin: 1}, [dead, begin], []
+    at = 0
+    while at < len(order):
+        line = []
+        for c in range(len(sample)):
+            target = closed([y for x in order[at] for y in step[x][c]]) | begin if at else dead
+            if target not in ids:
+                ids[target] = len(order)
+                order.append(target)
+            line.append(ids[target])
+        out.append(line)
+        at += 1
+    table = np.array(out, dtype=np.int64)
+    marks = [tuple(i for i, (x, _) in enumerate(ends) if x in s) for s in order]
+    kinds = {m: i for i, m in enumerate(dict.fromkeys(marks))}
+    label, first = _minimised(table, np.array([kinds[m] for m in marks]))
+    small = label[table[first]]
+    found = [marks[i] for i in first]
+    auto = Automaton((small * len(sample)).astype(np.int32).reshape(-1), len(sample), kind, int(label[1]), np.array([bool(m) for m in found]))
+    return auto, found
+
+
+def _byte_classes(b: Builder) -> tuple[bytes, list[int]]:
+    """The class of each byte, and one byte of each class; bytes that no rule tells apart share one."""
+    ordered = sorted({s for moves in b.moves for s, _ in moves}, key=sorted)
+    groups: dict[tuple, int] = {}
+    kind, sample = bytearray(256), []
+    for byte in range(256):
+        mark = tuple(byte in s for s in ordered)
+        if mark not in groups:
+            groups[mark] = len(groups)
+            sample.append(byte)
+        kind[byte] = groups[mark]
+    return bytes(kind), sample
+
+
+def _closure(empty: list[list[int]]):
+    def closed(states) -> frozenset:
+        seen, todo = set(states), list(states)
+        while todo:
+            for y in empty[todo.pop()]:
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        return frozenset(seen)
+
+    return closed
+
+
+def _minimised(table: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each state and a first state of each class, the dead state in class 0.
+
+    Classes are refined by what their states accept, then by the classes that the successors lie in, until nothing splits.
+    """
     while True:
         _, new = np.unique(np.column_stack([label, label[table]]), axis=0, return_inverse=True)
         new = new.reshape(-1)
-        if new.max() == label.max():
+        if new.max() == len(np.unique(label)) - 1:
             break
         label = new
+    label = new
     number = np.full(label.max() + 1, -1)
     number[label[0]] = 0
     rest = [x for x in range(label.max() + 1) if x != label[0]]
     number[rest] = np.arange(1, len(rest) + 1)
     label = number[label]
-    first = np.unique(label, return_index=True)[1]
-    small = label[table[first]]
-    return Automaton((small * n).astype(np.int32).reshape(-1), n, bytes(kind), int(label[1]), accepting[first])
+    return label, np.unique(label, return_index=True)[1]
 
 
 def matching_lanes(auto: Automaton, buffer: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

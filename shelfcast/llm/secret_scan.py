@@ -2,7 +2,8 @@
 
 The rules are byte expressions. Subset construction and minimisation turn all of them into one transition array.
 No rule reaches over a newline, so lines are the lanes of the pass; a line whose last state accepts is then read
-again with one automaton per rule for the exact spans.
+again for the exact spans: backwards by a second combined automaton, whose states tell the rules that begin there,
+and forward from those places.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.automaton import alt, at_least, compile_rules, longest, many, matching_lanes, one, opt, seq, some, word
+from shelfcast.llm.automaton import alt, at_least, compile_rules, compile_starts, longest, many, matching_lanes, one, opt, seq, some, word
 from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_rows, giving_back, spark_schema
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,18 +72,27 @@ ADDED = [
 RULES = BASE + ADDED
 
 
-def _spans(line: bytes, rules) -> Iterator[tuple[int, int, int]]:
-    """(start, place of the rule, end) in bytes: leftmost, non-overlapping per rule, failing matches dropped."""
-    for place, (valid, auto, rows, accepting) in enumerate(rules):
-        codes, first, at = line.translate(auto.kind), rows[auto.start], 0
-        while at < len(codes):
-            end = longest(rows, accepting, codes, at, auto.start) if first[codes[at]] else -1
-            if end < 0:
-                at += 1
-                continue
-            if valid(line[at:end]):
-                yield at, place, end
-            at = end
+def _spans(line: bytes, starts, rules) -> Iterator[tuple[int, int, int]]:
+    """(start, place of the rule, end) in bytes: leftmost, non-overlapping per rule, failing matches dropped.
+
+    The line is read backwards once, which tells where matches of each rule begin; each rule reads forward from such a
+    place only, to the end of its match, so no text makes it begin in vain.
+    """
+    auto, rows, marks = starts
+    hits: list[list[int]] = [[] for _ in rules]
+    state, place = auto.start, len(line)
+    for c in reversed(line.translate(auto.kind)):
+        place -= 1
+        state = rows[state][c]
+        for r in marks[state]:
+            hits[r].append(place)
+    for rule, (valid, single, steps, accepting) in enumerate(rules):
+        codes, at = line.translate(single.kind) if hits[rule] else b"", 0
+        for begin in reversed(hits[rule]):
+            if begin >= at:
+                at = longest(steps, accepting, codes, begin, single.start)
+                if valid(line[begin:at]):
+                    yield begin, rule, at
 
 
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
@@ -96,25 +106,26 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fields = [("doc_id", docs.schema["doc_id"].dataType), ("secrets", T.ArrayType(span))]
     combined = compile_rules([r.hit for r in rules], anywhere=True)
     single = [compile_rules([r.whole], anywhere=False) for r in rules]
+    begins, marks = compile_starts([r.whole for r in rules])
     order, valid = [r.kind for r in rules], [r.valid for r in rules]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(fields)
+        schema, starts = arrow_schema(fields), (begins, begins.rows(), marks)
         exact = [(v, a, a.rows(), a.accepting.tolist()) for v, a in zip(valid, single, strict=True)]
         for batch in batches:
             for ids, texts in byte_chunks(batch):
                 buffer = b"\n".join(t or b"" for t in texts)
                 breaks = np.flatnonzero(np.frombuffer(buffer, dtype=np.uint8) == 10)
-                starts = np.concatenate([[0], breaks + 1]).astype(np.int64)
+                heads = np.concatenate([[0], breaks + 1]).astype(np.int64)
                 ends = np.concatenate([breaks, [len(buffer)]]).astype(np.int64)
                 owner_at = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
                 found: list[list] = [[] for _ in texts]
-                for i in np.flatnonzero(matching_lanes(combined, buffer, starts, ends - starts)):
-                    a, e = int(starts[i]), int(ends[i])
+                for i in np.flatnonzero(matching_lanes(combined, buffer, heads, ends - heads)):
+                    a, e = int(heads[i]), int(ends[i])
                     owner = int(np.searchsorted(owner_at, a, side="right")) - 1
                     line = buffer[a:e]
                     before = len(buffer[owner_at[owner] : a].decode("utf-8", "replace"))
-                    for x, place, y in sorted(_spans(line, exact)):
+                    for x, place, y in sorted(_spans(line, starts, exact)):
                         p = before + len(line[:x].decode("utf-8", "replace"))
                         found[owner].append({"kind": order[place], "start": p, "end": p + len(line[x:y].decode("utf-8", "replace"))})
                 yield batch_of(schema, ids, found)

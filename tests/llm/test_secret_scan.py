@@ -73,3 +73,34 @@ def test_automata_accept_what_the_expressions_accept(rule, pattern):
             for c in text.translate(anywhere.kind):
                 s = int(anywhere.table[s * anywhere.classes + c]) // anywhere.classes
             assert bool(anywhere.accepting[s]) == bool(re.search(pattern, text))
+
+
+def test_added_kinds_equal_regular_expressions_and_long_lines_take_linear_time():
+    import random
+    import re
+    import time
+
+    from shelfcast.llm.automaton import compile_rules, compile_starts
+    from shelfcast.llm.secret_scan import RULES, _spans
+
+    plain = {
+        "repo_token": rb"gh[pousr]_[A-Za-z0-9]{36,}",
+        "chat_token": rb"xox[abprs]-[A-Za-z0-9-]{10,}",
+        "web_token": rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+",
+        "private_key": rb"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    }
+    begins, marks = compile_starts([r.whole for r in RULES])
+    autos = [compile_rules([r.whole], anywhere=False) for r in RULES]
+    starts, exact = (begins, begins.rows(), marks), [(r.valid, a, a.rows(), a.accepting.tolist()) for r, a in zip(RULES, autos, strict=True)]
+    rng = random.Random(8)
+    parts = [b"eyJ", b".", b"ghp_", b"xoxb-", b"-----BEGIN ", b"RSA ", b"PRIVATE KEY-----", b"Ab1" * 4, b"a-_", b" ", b"z" * 40, b"password=", b"secret", b": '", b"AKIA" + b"Q" * 16]
+    for _ in range(300):
+        line = b"".join(rng.choices(parts, k=rng.randrange(25)))
+        found = sorted(_spans(line, starts, exact))
+        for rule, r in enumerate(RULES):
+            if r.kind in plain:
+                assert [(x, y) for x, k, y in found if k == rule] == [m.span() for m in re.finditer(plain[r.kind], line)]
+    for hard in (b"eyJ" * 350_000, b"eyJa." * 200_000, b"password " * 110_000, b"-----BEGIN " * 90_000, b"gho_" * 250_000):
+        begin = time.perf_counter()
+        list(_spans(hard, starts, exact))
+        assert time.perf_counter() - begin < 4
