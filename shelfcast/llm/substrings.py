@@ -109,12 +109,12 @@ def anchored_blocks(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _by_text(spans: DataFrame) -> DataFrame:
-    """(doc_id, mark, spans array of (start, windows)): bounded by the text's own length."""
+    """(doc_id, mark, spans array of (start, windows)): bounded by the text's own length, also where rows repeat."""
     start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("long")
     return (
         spans.select("doc_id", F.shiftrightunsigned("place", 32).alias("mark"), F.struct(start.alias("start"), "windows").alias("span"))
         .groupBy(F.col("doc_id").alias("of"), "mark")
-        .agg(F.collect_list("span").alias("spans"))
+        .agg(F.collect_set("span").alias("spans"))
     )
 
 
