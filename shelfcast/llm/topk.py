@@ -10,6 +10,7 @@ rounding, scores are whole numbers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,10 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import arrow_schema, batch_of, giving_back, spark_schema, written
 from shelfcast.llm.vectors import dimension, in_one_place, integer_vectors, unpacked
 
-#: Bytes of one copy of the queries of a group, candidates of a slice at least, pairs that are bounded at a time.
-GROUP_BYTES, SLICE_ROWS, BLOCK_PAIRS = 32 << 20, 1 << 20, 1 << 22
-#: Slices per task, so that cells even out; shares of the coordinates after which bounds are taken; share of pairs left
-#: below which they are scored one by one.
-SLICES, CUTS, SPARSE = 3, (0.125, 0.25, 0.5), 0.05
+#: Bytes of one copy of the queries of a group, pairs that are bounded at a time, candidates of the only slice at most.
+GROUP_BYTES, BLOCK_PAIRS, SLICE_ROWS = 32 << 20, 1 << 22, 1024
+#: Shares of the coordinates after which bounds are taken; share of pairs left below which they are scored one by one.
+CUTS, SPARSE = (0.125, 0.25, 0.5), 0.05
 LEAST = np.iinfo(np.int64).min
 EXACT = 2.0**53
 
@@ -149,7 +149,6 @@ def top_inner_products(queries: DataFrame, candidates: DataFrame, k: int = 10, i
     Left out are rows with a null id, a null vector, a null or non-finite entry, another length than most candidates
     have, or a sum of squares beyond 64 bits; all other products fit. Empty tables and sole rows give no rows.
     """
-    spark = candidates.sparkSession
     d = dimension(candidates, vec_col)
 
     def numbers(df: DataFrame, label: str) -> DataFrame:
@@ -160,9 +159,8 @@ def top_inner_products(queries: DataFrame, candidates: DataFrame, k: int = 10, i
     n_asked, n_offered = asked.count(), offered.count()
     fields = [("query_id", T.LongType()), ("vec_id", T.LongType()), ("score", T.LongType())]
     turn = rotation(offered, d) if n_asked and n_offered else np.zeros((d, d))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(1, -(-n_asked * d * 8 // GROUP_BYTES))
-    slices = max(SLICES * tasks, -(-n_offered // SLICE_ROWS))
+    slices = 1 + math.isqrt(n_offered // SLICE_ROWS)  # each cell hands on k rows a query, so slices grow with the root
     number = F.monotonically_increasing_id()
     each_slice, each_group = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (slices, groups))
     left = asked.select("vec_id", "x", "length2", F.pmod(number, F.lit(groups)).cast("int").alias("group")).select("*", each_slice.alias("slice"), F.lit(0).alias("kind"))

@@ -92,6 +92,7 @@ def test_search_equals_brute_force(spark, monkeypatch, seed):
     """Small blocks and slices, lengths of three magnitudes, copies and ties of a third of the rows."""
     monkeypatch.setattr(topk, "BLOCK_PAIRS", 64)
     monkeypatch.setattr(topk, "GROUP_BYTES", 8 * 3 * 5)
+    monkeypatch.setattr(topk, "SLICE_ROWS", 40)
     rng = np.random.default_rng(seed)
     rows = [(int(i), [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(400, 3)) * rng.choice([0.01, 1, 3000], (400, 1)))]
     rows += [(1000 + i, rows[5][1]) for i in range(200)] + [(7, rows[8][1])] * 3
