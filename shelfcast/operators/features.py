@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 def trailing_mentions(daily: DataFrame, days: int = 7) -> DataFrame:
     """Mentions of the previous day and of the previous ``days`` days, per book and day.
 
-    ``daily`` has one row per (isbn13, mention_date). Each row is handed on to
-    the days that look back on it, so no window needs the whole history of a book.
+    ``daily`` has one row per (isbn13, mention_date). It is moved by book once; there each row is handed on to the
+    days that look back on it, so the copies are not moved and no window needs the whole history of a book.
     """
     ahead = F.explode(F.sequence(F.lit(1), F.lit(days)))
     return (
-        daily.select("isbn13", "mention_date", "mentions", ahead.alias("ahead"))
+        daily.select("isbn13", "mention_date", "mentions")
+        .repartition("isbn13")
+        .select("*", ahead.alias("ahead"))
         .groupBy("isbn13", F.date_add("mention_date", F.col("ahead")).alias("feature_date"))
         .agg(
             F.sum(F.when(F.col("ahead") == 1, F.col("mentions"))).alias("sns_mentions_1d"),
