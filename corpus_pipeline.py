@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import written
 from shelfcast.llm.decontaminate import without_contaminated
 from shelfcast.llm.lines import keep_lines, line_bitmaps
-from shelfcast.llm.nearcopies import one_of_each
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.queries import table, tokenizer_file, toxic_labels
+from shelfcast.llm.simhash import one_of_each_group
 from shelfcast.llm.toxicity import score_toxicity
 
 #: SQL has no fingerprints, nearest examples or tokenizer; tests compare the stages with brute force.
@@ -30,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word similarity of 0.8 or more: the smallest id."""
-    return one_of_each(docs)
+    """One document of each group that links of 2 bits or fewer between 3-word fingerprints make: the smallest id."""
+    return one_of_each_group(docs, width=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -233,12 +233,12 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return docs.join(named, docs["fp"] == named["named"]).select("doc_id", "fp", "component_id")
 
 
-def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, with all their columns, whose id is the smallest of its component.
+def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose id is the smallest of its component of ``simhash_components``.
 
     Equal texts under that id stay once. Rows with a null id cannot be named and stay.
     """
-    linked = simhash_components(df, id_col, text_col)
+    linked = simhash_components(df, id_col, text_col, width, radius)
     smallest = linked.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     kept = df.join(smallest, df[id_col] == smallest["kept_id"], "left_semi").dropDuplicates([id_col, text_col])
     return kept.unionAll(df.where(df[id_col].isNull()))
