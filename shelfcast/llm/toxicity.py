@@ -20,12 +20,17 @@ from shelfcast.llm.common import arrow_schema, batch_of, byte_chunks, document_r
 from shelfcast.llm.quality import fit_platt
 from shelfcast.llm.sampling import in_one_task, sampled_ids
 
-#: Labelled rows of each label that the fit reads at most, terms of the index, neighbours that vote, examples of a block.
-SAMPLE_ROWS, TERMS, NEIGHBOURS, BLOCK = 2500, 4096, 12, 64
-#: A term must be in so many and in such a share of the toxic examples, and in so many times the share of the others.
-LEAST_EXAMPLES, LEAST_SHARE, LEAST_RATIO = 3, 0.01, 40
-#: Lengths of the stems that are terms beside the words, and words remembered by a task.
-STEMS, KNOWN_WORDS = (4, 5, 6), 150_000
+#: Labelled rows of each label that the fit reads at most, neighbours that vote, examples of a block.
+SAMPLE_ROWS, NEIGHBOURS, BLOCK = 2500, 12, 32
+#: Weight of a term that tells nothing of the labels, and squared distance at which a vote counts half of a copy's.
+FLOOR, NEAR = 0.02, 0.02
+#: Lengths of the stems that are terms beside the words; words remembered by a task, and their longest.
+STEMS, KNOWN_WORDS, KNOWN_LENGTH = (5,), 150_000, 64
+#: A term in more than one in so many examples is a row of the index's matrix. Splits work, not results.
+COMMON = 40
+#: Texts whose common terms are multiplied at once.
+AT_ONCE = 64
+WORDS = (4, 5, 6), 150_000
 WORDS = regex.compile(r"\p{L}+").findall
 
 
@@ -37,9 +42,8 @@ def word_terms(word: str) -> list[str]:
 def term_counts(text: str) -> Counter:
     out: Counter = Counter()
     for word, n in Counter(WORDS(text.lower())).items():
-        if len(word) <= 64:
-            for term in set(word_terms(word)):
-                out[term] += n
+        for term in set(word_terms(word)):
+            out[term] += n
     return out
 
 
@@ -50,69 +54,124 @@ def sketch(text: str) -> tuple[int, ...]:
     return tuple(heapq.nsmallest(2, (zlib.crc32(s.encode()) for s in shingles)))
 
 
+def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All whole numbers from each ``start`` to below its ``end``, one after the other."""
+    size = end - start
+    return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+
+
+def _arrays(vector: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(vector.keys(), np.int64, len(vector)), np.fromiter(vector.values(), np.float64, len(vector))
+
+
 class Index:
-    """Postings of the examples by term, in blocks of ``BLOCK`` examples, with the largest weight of each term and block.
+    """Postings of the examples by term and block of ``BLOCK`` examples, with the largest weight of each term and block.
 
-    ``nearest`` is exact: a block is left out only if no example in it can reach the worst neighbour found so far.
+    Runs are the postings of one term in one block: ``ptr`` holds the first run of each term, ``first`` the first posting
+    of each run. Terms in more than one example in ``COMMON`` are rows of a matrix instead, added up for all examples in one
+    product. ``nearest`` is exact: postings of a block are left out only if no example in it can reach the worst neighbour so far.
     """
 
-    def __init__(self, ptr: np.ndarray, example: np.ndarray, weight: np.ndarray):
-        self.ptr, self.example, self.weight = ptr, example, weight
-        blocks = ptr.shape[1] - 1
-        self.peak = np.zeros((ptr.shape[0], blocks), dtype=np.float32)
-        term = np.repeat(np.arange(ptr.shape[0]), ptr[:, -1] - ptr[:, 0])
-        np.maximum.at(self.peak, (term, example // BLOCK), weight)
+    def __init__(self, ptr: np.ndarray, first: np.ndarray, example: np.ndarray, weight: np.ndarray):
+        self.ptr, self.first, self.example, self.weight = ptr, first, example, weight
+        self.block = example[first[:-1]] // BLOCK
+        self.peak = np.maximum.reduceat(weight, first[:-1]) if len(weight) else weight
+        self.blocks = int(example.max(initial=-1)) // BLOCK + 1 if len(example) else 0
+        width = self.blocks * BLOCK
+        begin, until = first[ptr[:-1]], first[ptr[1:]]
+        common = np.flatnonzero(until - begin > width // COMMON)
+        self.column = np.full(len(begin), -1, dtype=np.int32)
+        self.column[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), width), dtype=np.float32)
+        for c, t in enumerate(common.tolist()):
+            self.matrix[c, example[begin[t] : until[t]]] = weight[begin[t] : until[t]]
 
     @classmethod
-    def build(cls, vectors: list[dict[int, float]], terms: int) -> Index:
-        rows = sorted((t, i, w) for i, v in enumerate(vectors) for t, w in v.items())
-        term, example = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
-        blocks = -(-max(1, len(vectors)) // BLOCK)
-        ends = np.searchsorted(term * blocks + example // BLOCK, np.arange(terms * blocks), side="right").reshape(terms, blocks)
-        first = np.concatenate([[0], ends[:-1, -1]])[:, None] if terms else np.zeros((0, 1), dtype=np.int64)
-        return cls(np.concatenate([first, ends], axis=1), example, np.array([r[2] for r in rows], dtype=np.float32))
-
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start, end = self.ptr[terms][:, blocks].ravel(), self.ptr[terms][:, blocks + 1].ravel()
-        size = end - start
-        if not size.sum():
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        found, place = np.unique(self.example[at], return_inverse=True)
-        return found, np.bincount(place.reshape(-1), weights=self.weight[at] * np.repeat(np.repeat(weights, len(blocks)), size))
-
-    def nearest(self, vector: dict[int, float], k: int, leave_out: int = -1) -> list[tuple[int, float]]:
+    def build(cls, vectors: list, terms: int) -> Index:
+        """An index of vectors, given as {term: weight} or as (terms, weights)."""
+        pairs = [_arrays(v) if isinstance(v, dict) else v for v in vectors]
+        size = [len(t) for t, _ in pairs]
+        term = np.concatenate([t for t, _ in pairs] or [np.zeros(0, dtype=np.int64)])
+        example = np.repeat(np.arange(len(pairs), dtype=np.int32), size)
+        weight = np.concatenate([w for _, w in pairs] or [np.zeros(0)]).astype(np.float32)
+        order = np.lexsort((example, term))
+        term, example, weight = term[order], example[order], weight[order]
+        new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(example // BLOCK, prepend=-1) != 0))
+        return cls(np.searchsorted(term[new], np.arange(terms + 1)).astype(np.int32), np.append(new, len(term)).astype(np.int32), example, weight)
+
+    def nearest(self, vector: dict | tuple, k: int, leave_out: int = -1) -> list[tuple[int, float]]:
         """The ``k`` examples of the largest positive cosine, ties by number."""
-        if not vector:
-            return []
-        terms, weights = np.array(list(vector)), np.array(list(vector.values()))
-        bound = weights @ self.peak[terms]
+        return self.nearest_all([vector], k, [leave_out])[0]
+
+    def nearest_all(self, vectors: list, k: int, leave_out: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """``nearest`` of each vector, the common terms of all in one product."""
+        pairs = [_arrays(v) if isinstance(v, dict) else v for v in vectors]
+        often = [self.column[t] >= 0 for t, _ in pairs]
+        dense = np.zeros((len(pairs), len(self.matrix)), dtype=np.float32)
+        for row, (t, w), o in zip(dense, pairs, often, strict=True):
+            row[self.column[t[o]]] = w[o]
+        common = dense @ self.matrix
+        if leave_out is not None:
+            here = np.flatnonzero(np.array(leave_out) >= 0)
+            common[here, np.array(leave_out)[here]] = -9.0
+        return [self._best(common[i], t[~o], w[~o], k) for i, ((t, w), o) in enumerate(zip(pairs, often, strict=True))]
+
+    def _best(self, common: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
+        """The best of the sums of ``common`` and the postings of the other terms, block by block from the largest bound on."""
+        start, end = self.ptr[terms], self.ptr[terms + 1]
+        runs, weights = _ranges(start, end), np.repeat(weights, end - start)
+        blocks = self.block[runs]
+        bound = np.bincount(blocks, weights=weights * self.peak[runs], minlength=self.blocks) + common.reshape(self.blocks, BLOCK).max(axis=1, initial=-9.0)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found, scores, at, step = np.zeros(0, dtype=np.int64), np.zeros(0), 0, 2
-        while at < len(order):
-            if len(scores) >= k and bound[order[at]] < np.partition(scores, -k)[-k] - 1e-6:
-                break
-            f, s = self._scores(terms, weights, np.sort(order[at : at + step]))
-            keep = f != leave_out
-            found, scores = np.concatenate([found, f[keep]]), np.concatenate([scores, s[keep]])
+        rank = np.empty(self.blocks, dtype=np.int64)
+        rank[order] = np.arange(self.blocks)
+        place = rank[blocks]
+        scores, at, step, worst = np.zeros(self.blocks * BLOCK), 0, 8, 0.0
+        while at < self.blocks and bound[order[at]] > max(0.0, worst - 1e-5):
+            now = np.flatnonzero((place >= at) & (place < at + step))
+            begin, until = self.first[runs[now]], self.first[runs[now] + 1]
+            posts = _ranges(begin, until)
+            scores += np.bincount(self.example[posts], weights=self.weight[posts] * np.repeat(weights[now], until - begin), minlength=len(scores))
+            inside = (order[at : at + step, None] * BLOCK + np.arange(BLOCK)).ravel()
+            scores[inside] += common[inside]
+            worst = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
             at, step = at + step, 2 * step
-        best = np.lexsort((found, -np.round(scores, 6)))[:k]
-        return [(int(found[i]), min(1.0, float(scores[i]))) for i in best]
+        found = np.flatnonzero(scores > max(0.0, worst - 1e-5))
+        best = found[np.lexsort((found, -np.round(scores[found], 6)))][:k]
+        return [(int(i), min(1.0, float(scores[i]))) for i in best]
 
 
-def _vector(counts: Counter, number: dict[str, int], idf: np.ndarray) -> dict[int, float]:
-    raw = {number[t]: (1 + math.log(n)) * float(idf[number[t]]) for t, n in counts.items() if t in number}
-    length = math.sqrt(sum(w * w for w in raw.values()))
-    return {t: w / length for t, w in raw.items()}
+def _vector(counts: Counter, number: dict[str, int], scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kept = {number[t]: n for t, n in counts.items() if t in number}
+    return _unit(*_arrays(kept), scale)
+
+
+def _unit(terms: np.ndarray, counts: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers with their weights, as a vector of length 1."""
+    raw = (1 + np.log(counts)) * scale[terms]
+    return terms, raw / max(float(np.sqrt(raw @ raw)), 1e-300)
 
 
 def _vote(near: list[tuple[int, float]], labels: np.ndarray) -> float:
-    """Share of toxic neighbours, each by its squared cosine, beside one vote for not toxic: far neighbours count little."""
-    weight = [s * s for _, s in near]
+    """Share of toxic neighbours, weighted by nearness, beside one vote for not toxic.
+
+    A copy has about fifty votes, a neighbour far away next to none, so clean neighbours and distance both count against.
+    """
+    weight = [s * s / (1 - s * s + NEAR) for _, s in near]
     return sum(w * float(labels[i]) for w, (i, _) in zip(weight, near, strict=True)) / (sum(weight) + 1)
 
 
+def _told(a: np.ndarray, b: np.ndarray, n: list[int]) -> np.ndarray:
+    """Log-likelihood ratio of terms in ``a`` of n[1] toxic and ``b`` of n[0] other examples: what a term tells of the label."""
+    share = (a + b) / sum(n)
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    both = part(a, n[1] * share) + part(b, n[0] * share) + part(n[1] - a, n[1] * (1 - share)) + part(n[0] - b, n[0] * (1 - share))
+    return np.maximum(both, 0.0)
+
+
 def _fit(table: pa.Table, share: float) -> bytes:
     ids, labels = table["sample_id"].to_pylist(), table["label"].to_numpy().astype(np.int64)
     texts = [t or "" for t in table["text"].to_pylist()]
@@ -124,25 +183,17 @@ def _fit(table: pa.Table, share: float) -> bytes:
             seen[y].add(mark)
             sides[y].update(term_counts(text).keys())
     n = [max(1, len(marks)) for marks in seen]  # shares are of the same examples as the counts
-
-    def gain(term: str) -> float:
-        """How much a term tells of toxic examples, as a log-likelihood ratio; 0 for those not clearly oftener there."""
-        a, b = sides[1][term], sides[0][term]
-        if a < LEAST_EXAMPLES or a / n[1] < LEAST_SHARE or a / n[1] < LEAST_RATIO * b / n[0]:
-            return 0.0
-        whole = (a + b) / (n[0] + n[1])
-        return a * math.log(a / n[1] / whole) + (b * math.log(b / n[0] / whole) if b else 0.0)
-
-    ranked = sorted(((gain(t), t) for t in sides[1]), key=lambda x: (-x[0], x[1]))
-    vocabulary = sorted(t for g, t in ranked[:TERMS] if g > 0)
+    vocabulary = sorted(sides[0].keys() | sides[1].keys())
+    a, b = (np.array([side[t] for t in vocabulary], dtype=np.float64) for side in (sides[1], sides[0]))
+    told = np.sqrt(_told(a, b, n))
+    scale = np.log(1 + sum(n) / np.maximum(a + b, 1)) * (FLOOR + told / max(float(told.max(initial=0.0)), 1e-300))
     number = {t: i for i, t in enumerate(vocabulary)}
-    idf = np.array([math.log(1 + sum(n) / (sides[0][t] + sides[1][t])) for t in vocabulary], dtype=np.float64)
-    vectors = [_vector(term_counts(t), number, idf) for t in texts]  # counted again: all counts at once would fill the worker
-    order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i], key=lambda t: -vectors[i][t])[:3], i))  # alike ones share blocks
-    order = [i for i in order if vectors[i]]
+    vectors = [_vector(term_counts(t), number, scale) for t in texts]  # counted again: all counts at once would fill the worker
+    order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:3]].tolist(), i))  # alike ones share blocks
     index, own = Index.build([vectors[i] for i in order], len(vocabulary)), labels[order]
     place = {i: p for p, i in enumerate(order)}
-    votes = np.array([_vote(index.nearest(v, NEIGHBOURS, place.get(i, -1)), own) for i, v in enumerate(vectors)])
+    near = [x for i in range(0, len(vectors), AT_ONCE) for x in index.nearest_all(vectors[i : i + AT_ONCE], NEIGHBOURS, [place[j] for j in range(i, min(i + AT_ONCE, len(vectors)))])]
+    votes = np.array([_vote(x, own) for x in near])
     slope, level = fit_platt(votes * 8 - 4, labels.astype(float))
     toxic = int(labels.sum())
     level += math.log(share / (1 - share)) - math.log(toxic / (len(labels) - toxic))
@@ -150,8 +201,9 @@ def _fit(table: pa.Table, share: float) -> bytes:
     np.savez(
         out,
         vocabulary=np.array(vocabulary, dtype=np.str_),
-        idf=idf,
+        terms=scale,
         ptr=index.ptr,
+        first=index.first,
         example=index.example,
         weight=index.weight,
         labels=own,
@@ -185,8 +237,8 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     ``row`` is the whole input row as a struct, so that a filter on the score needs no join.
 
-    Texts without a known term, null and empty ones too, have no neighbours and get the score of an empty vote;
-    where nothing could be learnt every score is 0. Repeated rows score alike.
+    Every sampled example votes with its whole vector. Texts without a term of any
+    example, null and empty ones too, have no neighbours and get the score of an empty vote; where nothing could be learnt every score is 0. Repeated rows score alike.
     """
     docs = document_rows(df, id_col, text_col)
     model = fit_toxicity(docs, labels, sample_rows)
@@ -202,22 +254,21 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             return
         m = np.load(io.BytesIO(model))
         number = {t: i for i, t in enumerate(m["vocabulary"].tolist())}
-        index, labels, ids, idf, (slope, level) = Index(m["ptr"], m["example"], m["weight"]), m["labels"], m["ids"].tolist(), m["idf"], m["scale"]
-        known: dict[str, tuple[int, ...]] = {}
-
-        def vector(text: str) -> dict[int, float]:
-            counts: Counter = Counter()
-            words = WORDS(text.lower())
-            for w in words:
-                terms = known.get(w)
-                if terms is None:
-                    terms = tuple({number[t] for t in word_terms(w) if t in number}) if len(w) <= 64 else ()
-                    known[w] = terms
-                for t in terms:
-                    counts[t] += 1
-            raw = {t: (1 + math.log(n)) * float(idf[t]) for t, n in counts.items()}
-            length = math.sqrt(sum(x * x for x in raw.values()))
-            return {t: x / length for t, x in raw.items()}
+        index, labels, ids, scale, (slope, level) = Index(m["ptr"], m["first"], m["example"], m["weight"]), m["labels"], m["ids"].tolist(), m["terms"], m["scale"]
+        known: dict[str, list[int]] = {}
+
+        def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
+            terms, counts = [], []
+            for w, n in Counter(WORDS(text.lower())).items():
+                own = known.get(w)
+                if own is None:
+                    own = list({number[t] for t in word_terms(w) if t in number})
+                    if len(w) <= KNOWN_LENGTH:
+                        known[w] = own
+                terms += own
+                counts += [n] * len(own)
+            found, at = np.unique(np.array(terms, dtype=np.int64), return_inverse=True)
+            return _unit(found, np.bincount(at.reshape(-1), weights=counts, minlength=len(found)) if counts else np.zeros(0), scale)
 
         for batch in batches:
             at = 0
@@ -225,8 +276,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 scores, evidence = [], []
                 if len(known) > KNOWN_WORDS:
                     known.clear()
-                for text in texts:
-                    near = index.nearest(vector((text or b"").decode("utf-8", "replace")), NEIGHBOURS)
+                for near in (x for i in range(0, len(texts), AT_ONCE) for x in index.nearest_all([vector((t or b"").decode("utf-8", "replace")) for t in texts[i : i + AT_ONCE]], NEIGHBOURS)):
                     scores.append(float(1 / (1 + math.exp(-max(-500.0, min(500.0, slope * (_vote(near, labels) * 8 - 4) + level))))))
                     evidence.append([{"example": ids[i], "cosine": s, "label": int(labels[i])} for i, s in near[:3]])
                 yield batch_of(schema, part, scores, evidence, batch.column(1).slice(at, len(part)))

@@ -148,6 +148,23 @@ def test_toxic_copies_do_not_push_out_the_terms_of_others(spark, near):
     assert all(score[d] >= 0.5 for d, _ in rare[12:]) and all(score[d] < 0.5 for d, _ in clean)
 
 
+def test_copies_of_toxic_examples_are_toxic(spark):
+    clean, bad = toxic_rows()
+    odd = [(400, "x" * 90), (401, " ".join(f"own{c}" for c in "abcdefgh")), (402, "\u4e2d" * 70 + " " + prose(78, 12, 200))]  # words of one example
+    labels = spark.createDataFrame([(d, 0) for d, _ in clean[:100]] + [(d, 1) for d, _ in bad[:40] + odd], "id long, label int")
+    copies = [(1000 + d, t) for d, t in bad[:40] + odd]
+    score = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(frame(spark, clean + bad + odd + copies), labels).collect()}
+    assert all(score[d] >= 0.5 for d, _ in copies) and all(score[d] < 0.5 for d, _ in clean)
+
+
+def test_a_batch_of_searches_equals_single_ones():
+    rng = random.Random(8)
+    vectors = [{t: rng.random() for t in rng.sample(range(90), rng.randint(0, 9))} for _ in range(300)]
+    index = toxicity.Index.build(vectors, 90)
+    assert index.nearest_all(vectors, 7, list(range(300))) == [index.nearest(v, 7, i) for i, v in enumerate(vectors)]
+    assert toxicity.Index.build([], 3).nearest({1: 1.0}, 2) == []
+
+
 @pytest.mark.parametrize("k", [1, 5, 40])
 def test_block_max_search_is_exact(k):
     rng = random.Random(k)
