@@ -95,7 +95,11 @@ class Index:
         example = np.repeat(np.arange(len(pairs), dtype=np.int32), size)
         weight = np.concatenate([w for _, w in pairs] or [np.zeros(0)]).astype(np.float32)
         order = np.lexsort((example, term))
-        term, example, weight = term[order], example[order], weight[order]
+        return cls.of(term[order], example[order], weight[order], terms)
+
+    @classmethod
+    def of(cls, term: np.ndarray, example: np.ndarray, weight: np.ndarray, terms: int) -> Index:
+        """An index of postings that are sorted by term and example."""
         new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(example // BLOCK, prepend=-1) != 0))
         return cls(np.searchsorted(term[new], np.arange(terms + 1)).astype(np.int32), np.append(new, len(term)).astype(np.int32), example, weight)
 
@@ -141,9 +145,8 @@ class Index:
         return [(int(i), min(1.0, float(scores[i]))) for i in best]
 
 
-def _vector(counts: Counter, number: dict[str, int], scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    kept = {number[t]: n for t, n in counts.items() if t in number}
-    return _unit(*_arrays(kept), scale)
+def _numbered(counts: Counter, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    return _arrays({number[t]: n for t, n in counts.items() if t in number})
 
 
 def _unit(terms: np.ndarray, counts: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +191,8 @@ def _fit(table: pa.Table, share: float) -> bytes:
     told = np.sqrt(_told(a, b, n))
     scale = np.log(1 + sum(n) / np.maximum(a + b, 1)) * (FLOOR + told / max(float(told.max(initial=0.0)), 1e-300))
     number = {t: i for i, t in enumerate(vocabulary)}
-    vectors = [_vector(term_counts(t), number, scale) for t in texts]  # counted again: all counts at once would fill the worker
+    counted = [_numbered(term_counts(t), number) for t in texts]  # counted again: all words at once would fill the worker
+    vectors = [_unit(t, c, scale) for t, c in counted]
     order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:3]].tolist(), i))  # alike ones share blocks
     index, own = Index.build([vectors[i] for i in order], len(vocabulary)), labels[order]
     place = {i: p for p, i in enumerate(order)}
@@ -197,22 +201,43 @@ def _fit(table: pa.Table, share: float) -> bytes:
     slope, level = fit_platt(votes * 8 - 4, labels.astype(float))
     toxic = int(labels.sum())
     level += math.log(share / (1 - share)) - math.log(toxic / (len(labels) - toxic))
+    term, many = (np.concatenate([counted[i][side] for i in order]) for side in (0, 1))
+    example = np.repeat(np.arange(len(order), dtype=np.int32), [len(counted[i][0]) for i in order])
+    sort = np.lexsort((example, term))
     out = io.BytesIO()
-    np.savez(
+    np.savez_compressed(  # postings as counts: a tenth of the index they give
         out,
-        vocabulary=np.array(vocabulary, dtype=np.str_),
+        vocabulary=np.frombuffer("\n".join(vocabulary).encode(), dtype=np.uint8),
         terms=scale,
-        ptr=index.ptr,
-        first=index.first,
-        example=index.example,
-        weight=index.weight,
+        sizes=np.bincount(term, minlength=len(vocabulary)).astype(np.int32),
+        example=example[sort].astype(np.min_scalar_type(len(order))),
+        many=many[sort].astype(np.min_scalar_type(int(many.max(initial=0)))),
         labels=own,
-        ids=np.array([str(ids[i]) for i in order], dtype=np.str_),
+        ids=np.frombuffer("\n".join(str(ids[i]).encode().hex() for i in order).encode(), dtype=np.uint8),
         scale=np.array([slope, level]),
     )
     return out.getvalue()
 
 
+class Model:
+    """What ``_fit`` has learnt, with the index built again."""
+
+    def __init__(self, model: bytes):
+        m = np.load(io.BytesIO(model))
+        words = m["vocabulary"].tobytes().decode().split("\n")
+        self.number = {t: i for i, t in enumerate(words)}
+        self.scale, self.labels, (self.slope, self.level) = m["terms"], m["labels"], m["scale"].tolist()
+        self.ids = [bytes.fromhex(x).decode() for x in m["ids"].tobytes().decode().split("\n")]
+        term, example = np.repeat(np.arange(len(words)), m["sizes"]), m["example"].astype(np.int32)
+        raw = (1 + np.log(m["many"].astype(np.float64))) * self.scale[term]
+        length = np.sqrt(np.bincount(example, weights=raw * raw, minlength=len(self.labels)))
+        self.index = Index.of(term, example, (raw / np.maximum(length, 1e-300)[example]).astype(np.float32), len(words))
+
+    def score(self, near: list[tuple[int, float]]) -> float:
+        """The calibrated probability of label 1 after the neighbours' votes."""
+        return float(1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * (_vote(near, self.labels) * 8 - 4) + self.level)))))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes:
     """The index as bytes, from up to ``sample_rows`` distinct texts of each label of ``labels`` (id, label: 1 toxic, 0 not).
 
@@ -252,9 +277,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             for batch in batches:
                 yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows, batch.column(1))
             return
-        m = np.load(io.BytesIO(model))
-        number = {t: i for i, t in enumerate(m["vocabulary"].tolist())}
-        index, labels, ids, scale, (slope, level) = Index(m["ptr"], m["first"], m["example"], m["weight"]), m["labels"], m["ids"].tolist(), m["terms"], m["scale"]
+        m = Model(model)
         known: dict[str, list[int]] = {}
 
         def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -262,13 +285,13 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             for w, n in Counter(WORDS(text.lower())).items():
                 own = known.get(w)
                 if own is None:
-                    own = list({number[t] for t in word_terms(w) if t in number})
+                    own = list({m.number[t] for t in word_terms(w) if t in m.number})
                     if len(w) <= KNOWN_LENGTH:
                         known[w] = own
                 terms += own
                 counts += [n] * len(own)
             found, at = np.unique(np.array(terms, dtype=np.int64), return_inverse=True)
-            return _unit(found, np.bincount(at.reshape(-1), weights=counts, minlength=len(found)) if counts else np.zeros(0), scale)
+            return _unit(found, np.bincount(at.reshape(-1), weights=counts, minlength=len(found)) if counts else np.zeros(0), m.scale)
 
         for batch in batches:
             at = 0
@@ -276,9 +299,11 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 scores, evidence = [], []
                 if len(known) > KNOWN_WORDS:
                     known.clear()
-                for near in (x for i in range(0, len(texts), AT_ONCE) for x in index.nearest_all([vector((t or b"").decode("utf-8", "replace")) for t in texts[i : i + AT_ONCE]], NEIGHBOURS)):
-                    scores.append(float(1 / (1 + math.exp(-max(-500.0, min(500.0, slope * (_vote(near, labels) * 8 - 4) + level))))))
-                    evidence.append([{"example": ids[i], "cosine": s, "label": int(labels[i])} for i, s in near[:3]])
+                for i in range(0, len(texts), AT_ONCE):
+                    vectors = [vector((t or b"").decode("utf-8", "replace")) for t in texts[i : i + AT_ONCE]]
+                    for near in m.index.nearest_all(vectors, NEIGHBOURS):
+                        scores.append(m.score(near))
+                        evidence.append([{"example": m.ids[i], "cosine": s, "label": int(m.labels[i])} for i, s in near[:3]])
                 yield batch_of(schema, part, scores, evidence, batch.column(1).slice(at, len(part)))
                 at += len(part)
 

@@ -161,7 +161,8 @@ def test_a_batch_of_searches_equals_single_ones():
     rng = random.Random(8)
     vectors = [{t: rng.random() for t in rng.sample(range(90), rng.randint(0, 9))} for _ in range(300)]
     index = toxicity.Index.build(vectors, 90)
-    assert index.nearest_all(vectors, 7, list(range(300))) == [index.nearest(v, 7, i) for i, v in enumerate(vectors)]
+    for i, found in enumerate(index.nearest_all(vectors, 7, list(range(300)))):
+        assert [s for _, s in found] == pytest.approx([s for _, s in index.nearest(vectors[i], 7, i)], abs=1e-5) and i not in {e for e, _ in found}
     assert toxicity.Index.build([], 3).nearest({1: 1.0}, 2) == []
 
 
