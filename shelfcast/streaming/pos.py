@@ -136,9 +136,10 @@ def names_of(schema: str) -> list[str]:
     return T.StructType.fromDDL(schema).names
 
 
-def newest(tables: PosTables, name: str, schema: str, keys: list[str], before: int | None = None) -> DataFrame:
-    """The last written row of every key, of all batches or of those before one."""
+def newest(tables: PosTables, name: str, schema: str, keys: list[str], before: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    """The last written row of every key, or of the keys in ``among``, of all batches or of those before one."""
     rows = tables.get(name, schema + ", batch INT")
+    rows = rows if among is None else rows.join(among, keys, "left_semi")
     rows = rows if before is None else rows.filter(F.col("batch") < before)
     rest = [c for c in names_of(schema) if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r"))
@@ -148,10 +149,11 @@ def newest(tables: PosTables, name: str, schema: str, keys: list[str], before: i
 # Stock rows carry a step instead of a batch number: batch b of the sales is step 2b, what happens after it is step 2b + 1.
 
 
-def stock_now(tables: PosTables, opening: DataFrame, before: int | None = None) -> DataFrame:
-    """Current stock: the last written row of a book and place, else the opening one."""
+def stock_now(tables: PosTables, opening: DataFrame, before: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    """Current stock, of all or of the books and places in ``among``: the last written row, else the opening one."""
     keys = ["isbn13", "location_id"]
-    written = newest(tables, "stock", STOCK_COLUMNS, keys, before)
+    written = newest(tables, "stock", STOCK_COLUMNS, keys, before, among)
+    opening = opening if among is None else opening.join(among, keys, "left_semi")
     first = opening.withColumn("taken", F.lit(None).cast("bigint")).select(*names_of(STOCK_COLUMNS))
     return written.unionByName(first.join(written.select(*keys), keys, "left_anti"))
 
@@ -160,7 +162,7 @@ def restock(tables: PosTables, opening: DataFrame, deliveries: DataFrame, after:
     """Add delivered units (isbn13, location_id, qty) to the stock as it stands after a batch; repeating it changes nothing."""
     step = 2 * after + 1
     came = deliveries.groupBy("isbn13", "location_id").agg(F.sum("qty").alias("_came"))
-    rows = stock_now(tables, opening, step).join(came, ["isbn13", "location_id"]).withColumn("on_hand", F.col("on_hand") + F.col("_came"))
+    rows = stock_now(tables, opening, step, came).join(came, ["isbn13", "location_id"]).withColumn("on_hand", F.col("on_hand") + F.col("_came"))
     tables.put(rows.select(*names_of(STOCK_COLUMNS)), "stock", step)
 
 
@@ -198,7 +200,7 @@ def ingest_batch(tables: PosTables, opening: DataFrame):
         touched = known.join(stored.select(*KPI_KEYS).distinct(), KPI_KEYS, "left_semi")
         tables.put(kpi_of_books(touched).select(*names_of(KPI_COLUMNS)), "kpi", batch)
         taken = stored.groupBy("isbn13", F.col("debit_location_id").alias("location_id")).agg(F.sum("qty").alias("_now"))
-        before = stock_now(tables, opening, 2 * batch).join(taken, ["isbn13", "location_id"])
+        before = stock_now(tables, opening, 2 * batch, taken).join(taken, ["isbn13", "location_id"])
         after = before.withColumns(
             {"on_hand": F.greatest(F.col("on_hand") - F.col("_now"), F.lit(0)), "taken": F.coalesce("taken", F.lit(0)) + F.col("_now")}
         )
