@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import io
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,14 +25,14 @@ from shelfcast.llm.sampling import in_one_task, sampled_ids
 SAMPLE_ROWS, NEIGHBOURS, BLOCK = 2500, 12, 32
 #: Weight of a term that tells nothing of the labels, and squared distance at which a vote counts half of a copy's.
 FLOOR, NEAR = 0.02, 0.02
-#: Lengths of the stems that are terms beside the words; words remembered by a task, and their longest.
-STEMS, KNOWN_WORDS, KNOWN_LENGTH = (5,), 150_000, 64
+#: Lengths of the stems that are terms beside the words; words remembered by a task, and all their letters.
+STEMS, KNOWN_WORDS, KNOWN_LETTERS = (5,), 150_000, 4_000_000
 #: A term in more than one in so many examples is a row of the index's matrix. Splits work, not results.
 COMMON = 40
 #: Texts whose common terms are multiplied at once.
 AT_ONCE = 64
-WORDS = (4, 5, 6), 150_000
 WORDS = regex.compile(r"\p{L}+").findall
+ASCII_WORDS = re.compile("[a-z]+").findall
 
 
 def word_terms(word: str) -> list[str]:
@@ -39,9 +40,14 @@ def word_terms(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) >= n)]
 
 
+def word_counts(text: str) -> Counter:
+    low = text.lower()
+    return Counter(ASCII_WORDS(low) if low.isascii() else WORDS(low))
+
+
 def term_counts(text: str) -> Counter:
     out: Counter = Counter()
-    for word, n in Counter(WORDS(text.lower())).items():
+    for word, n in word_counts(text).items():
         for term in set(word_terms(word)):
             out[term] += n
     return out
@@ -108,41 +114,50 @@ class Index:
         return self.nearest_all([vector], k, [leave_out])[0]
 
     def nearest_all(self, vectors: list, k: int, leave_out: list[int] | None = None) -> list[list[tuple[int, float]]]:
-        """``nearest`` of each vector, the common terms of all in one product."""
+        """``nearest`` of each vector, given as {term: weight} or as (terms, weights)."""
         pairs = [_arrays(v) if isinstance(v, dict) else v for v in vectors]
-        often = [self.column[t] >= 0 for t, _ in pairs]
-        dense = np.zeros((len(pairs), len(self.matrix)), dtype=np.float32)
-        for row, (t, w), o in zip(dense, pairs, often, strict=True):
-            row[self.column[t[o]]] = w[o]
-        common = dense @ self.matrix
+        text = np.repeat(np.arange(len(pairs)), [len(t) for t, _ in pairs])
+        return self.nearest_of(text, np.concatenate([t for t, _ in pairs]), np.concatenate([w for _, w in pairs]), len(pairs), k, leave_out)
+
+    def nearest_of(self, text: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, leave_out: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """``nearest`` of ``n`` vectors together, whose entries are (text, term, weight).
+
+        The common terms of all are one product. All weights are positive, so the k-th best of these sums is a floor of the
+        k-th best score, and the rare terms are read only in blocks whose bound passes it.
+        """
+        width = self.blocks * BLOCK
+        if not width or not n:
+            return [[] for _ in range(n)]
+        often = self.column[terms] >= 0
+        dense = np.zeros((n, len(self.matrix)), dtype=np.float32)
+        dense[text[often], self.column[terms[often]]] = weights[often]
+        scores = (dense @ self.matrix).astype(np.float64)
         if leave_out is not None:
             here = np.flatnonzero(np.array(leave_out) >= 0)
-            common[here, np.array(leave_out)[here]] = -9.0
-        return [self._best(common[i], t[~o], w[~o], k) for i, ((t, w), o) in enumerate(zip(pairs, often, strict=True))]
-
-    def _best(self, common: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
-        """The best of the sums of ``common`` and the postings of the other terms, block by block from the largest bound on."""
+            scores[here, np.array(leave_out)[here]] = -9.0
+        text, terms, weights = text[~often], terms[~often], weights[~often]
         start, end = self.ptr[terms], self.ptr[terms + 1]
-        runs, weights = _ranges(start, end), np.repeat(weights, end - start)
-        blocks = self.block[runs]
-        bound = np.bincount(blocks, weights=weights * self.peak[runs], minlength=self.blocks) + common.reshape(self.blocks, BLOCK).max(axis=1, initial=-9.0)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, dtype=np.int64)
-        rank[order] = np.arange(self.blocks)
-        place = rank[blocks]
-        scores, at, step, worst = np.zeros(self.blocks * BLOCK), 0, 8, 0.0
-        while at < self.blocks and bound[order[at]] > max(0.0, worst - 1e-5):
-            now = np.flatnonzero((place >= at) & (place < at + step))
-            begin, until = self.first[runs[now]], self.first[runs[now] + 1]
-            posts = _ranges(begin, until)
-            scores += np.bincount(self.example[posts], weights=self.weight[posts] * np.repeat(weights[now], until - begin), minlength=len(scores))
-            inside = (order[at : at + step, None] * BLOCK + np.arange(BLOCK)).ravel()
-            scores[inside] += common[inside]
-            worst = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
-            at, step = at + step, 2 * step
-        found = np.flatnonzero(scores > max(0.0, worst - 1e-5))
-        best = found[np.lexsort((found, -np.round(scores[found], 6)))][:k]
-        return [(int(i), min(1.0, float(scores[i]))) for i in best]
+        runs, text, weights = _ranges(start, end), np.repeat(text, end - start), np.repeat(weights, end - start)
+        cell = text * self.blocks + self.block[runs]
+        bound = np.bincount(cell, weights=weights * self.peak[runs], minlength=n * self.blocks) + scores.reshape(-1, BLOCK).max(axis=1)
+        open_ = bound > np.repeat(self._floor(scores, k), self.blocks)
+        now = np.flatnonzero(open_[cell])
+        begin, until = self.first[runs[now]], self.first[runs[now] + 1]
+        posts = _ranges(begin, until)
+        at = np.repeat(text[now] * width, until - begin) + self.example[posts]
+        scores += np.bincount(at, weights=self.weight[posts] * np.repeat(weights[now], until - begin), minlength=n * width).reshape(n, width)
+        row, found = np.nonzero(scores > self._floor(scores, k)[:, None])
+        value = scores[row, found]
+        order = np.lexsort((found, -np.round(value, 6), row))
+        found, value = found[order].tolist(), np.minimum(value[order], 1.0).tolist()
+        ends = np.searchsorted(row, np.arange(n + 1)).tolist()
+        return [list(zip(found[i:j][:k], value[i:j][:k], strict=True)) for i, j in zip(ends, ends[1:])]
+
+    @staticmethod
+    def _floor(scores: np.ndarray, k: int) -> np.ndarray:
+        """Below the k-th best of each row of scores, rounding apart, and at least 0."""
+        worst = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.zeros(len(scores))
+        return np.maximum(0.0, worst - 1e-5)
 
 
 def _numbered(counts: Counter, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -238,6 +253,43 @@ class Model:
         return float(1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * (_vote(near, self.labels) * 8 - 4) + self.level)))))
 
 
+class Words:
+    """The term numbers of words, each looked up once while it is remembered."""
+
+    def __init__(self, number: dict[str, int]):
+        self.number = number
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.letters = 0
+        self.terms = np.full((1 << 12, 1 + len(STEMS)), -1, dtype=np.int64)
+
+    def _new(self, word: str) -> int:
+        at = self.known[word] = len(self.known)
+        self.letters += len(word)
+        if at == len(self.terms):
+            self.terms = np.concatenate([self.terms, np.full_like(self.terms, -1)])
+        for i, term in enumerate(word_terms(word)):
+            self.terms[at, i] = self.number.get(term, -1)
+        return at
+
+    def term_counts(self, counted: list[Counter]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, count) of all texts' words, sorted, each text and term once."""
+        if len(self.known) > KNOWN_WORDS or self.letters > KNOWN_LETTERS:
+            self.clear()
+        known, new = self.known.get, self._new
+        at = [new(w) if (i := known(w)) is None else i for words in counted for w in words]
+        size = np.array([len(words) for words in counted])
+        counts = np.fromiter((n for words in counted for n in words.values()), np.float64, len(at))
+        terms = self.terms[np.array(at, dtype=np.int64)]
+        text = np.repeat(np.arange(len(counted)), size)[:, None] * len(self.number) + terms
+        there = terms >= 0
+        key, place = np.unique(text[there], return_inverse=True)
+        many = np.bincount(place.reshape(-1), weights=np.broadcast_to(counts[:, None], terms.shape)[there], minlength=len(key))
+        return *np.divmod(key, max(1, len(self.number))), many
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes:
     """The index as bytes, from up to ``sample_rows`` distinct texts of each label of ``labels`` (id, label: 1 toxic, 0 not).
 
@@ -278,30 +330,18 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 yield batch_of(schema, batch.column(0), [0.0] * batch.num_rows, [[]] * batch.num_rows, batch.column(1))
             return
         m = Model(model)
-        known: dict[str, list[int]] = {}
-
-        def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-            terms, counts = [], []
-            for w, n in Counter(WORDS(text.lower())).items():
-                own = known.get(w)
-                if own is None:
-                    own = list({m.number[t] for t in word_terms(w) if t in m.number})
-                    if len(w) <= KNOWN_LENGTH:
-                        known[w] = own
-                terms += own
-                counts += [n] * len(own)
-            found, at = np.unique(np.array(terms, dtype=np.int64), return_inverse=True)
-            return _unit(found, np.bincount(at.reshape(-1), weights=counts, minlength=len(found)) if counts else np.zeros(0), m.scale)
+        words = Words(m.number)
 
         for batch in batches:
             at = 0
             for part, texts in byte_chunks(ids_and_texts(batch, text_col)):
                 scores, evidence = [], []
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
                 for i in range(0, len(texts), AT_ONCE):
-                    vectors = [vector((t or b"").decode("utf-8", "replace")) for t in texts[i : i + AT_ONCE]]
-                    for near in m.index.nearest_all(vectors, NEIGHBOURS):
+                    counted = [word_counts((t or b"").decode("utf-8", "replace")) for t in texts[i : i + AT_ONCE]]
+                    text, terms, counts = words.term_counts(counted)
+                    raw = (1 + np.log(counts)) * m.scale[terms]
+                    length = np.sqrt(np.bincount(text, weights=raw * raw, minlength=len(counted)))
+                    for near in m.index.nearest_of(text, terms, raw / np.maximum(length, 1e-300)[text], len(counted), NEIGHBOURS):
                         scores.append(m.score(near))
                         evidence.append([{"example": m.ids[i], "cosine": s, "label": int(m.labels[i])} for i, s in near[:3]])
                 yield batch_of(schema, part, scores, evidence, batch.column(1).slice(at, len(part)))
