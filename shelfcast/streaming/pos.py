@@ -108,10 +108,22 @@ class PosTables:
 
     def get(self, name: str, schema: str) -> DataFrame:
         """The named columns of all batches so far; ``batch INT`` may be one. An absent table is empty."""
+        return self._read(self.path(name), schema)
+
+    def get_batch(self, name: str, schema: str, batch: int) -> DataFrame:
+        """The named columns of one batch; a batch that was not written is empty."""
+        return self._read(f"{self.path(name)}/batch={batch}", schema)
+
+    def drop_batch(self, name: str, batch: int) -> None:
+        """Remove what one batch wrote, if it wrote anything."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/batch={batch}")
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+    def _read(self, path: str, schema: str) -> DataFrame:
         names = T.StructType.fromDDL(schema).names
         reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
         try:
-            return reader.parquet(self.path(name)).select(*names)
+            return reader.parquet(path).select(*names)
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -184,14 +196,18 @@ def first_arrivals(sales: DataFrame) -> DataFrame:
     return sales.groupBy("txn_id").applyInPandasWithState(pick, sales.schema, "seen BOOLEAN", "append", "NoTimeout")
 
 
-def ingest_batch(tables: PosTables, opening: DataFrame):
+def ingest_batch(tables: PosTables, opening: DataFrame, fold: int = 50):
     """``foreachBatch`` body for first arrivals: sales, KPIs of the touched days, stock, stock messages and change log.
 
     Everything is written under the batch number and computed from what was written before it, so a repeated batch
-    replaces its own rows.
+    replaces its own rows. Every ``fold`` batches the stock rows of older batches become one per book and place: a batch
+    reads the stock as it stands and the rows of ``fold`` batches, however long the history.
     """
 
     def body(sales: DataFrame, batch: int) -> None:
+        if batch and batch % fold == 0:
+            # Not the step of a delivery after the last batch: that one may still be repeated.
+            compact(tables, "stock", STOCK_COLUMNS, ["isbn13", "location_id"], 2 * (batch - 1))
         tables.put(sales.select(*names_of(SALES_COLUMNS)), "sales", batch, by="kpi_date")
         stored = tables.spark.read.schema(SALES_COLUMNS).parquet(f"{tables.path('sales')}/batch={batch}")
         books = stored.groupBy(*KPI_KEYS, "isbn13").agg(F.sum("qty").alias("q"), F.sum("revenue").alias("r"), F.count("*").alias("n"))
@@ -215,11 +231,12 @@ def ingest_batch(tables: PosTables, opening: DataFrame):
 def compact(tables: PosTables, name: str, schema: str, keys: list[str], upto: int) -> None:
     """Fold the batches up to one into a single batch that holds the last row of every key; later batches stay.
 
-    The folded rows are written as batch ``upto`` before the older folders are removed, so a reader never misses a row.
+    The folded rows are added to batch ``upto`` before the older folders are removed, so a reader never misses a row. Where
+    that batch has a key already, the folded row is equal to it; so folding can be cut off anywhere and repeated.
     """
     spark = tables.spark
     folded = through_disk(spark, newest(tables, name, schema, keys, upto + 1), f"compact-{name}")
-    tables.put(folded, name, upto)
+    folded.write.mode("append").parquet(f"{tables.path(name)}/batch={upto}")
     place = spark._jvm.org.apache.hadoop.fs.Path(tables.path(name))
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in files.listStatus(place):

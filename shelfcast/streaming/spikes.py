@@ -83,17 +83,35 @@ def new_spikes(windows: DataFrame, history: DataFrame, minutes: int = 30) -> Dat
 SPIKE_COLUMNS = "isbn13 STRING, detected_at TIMESTAMP, z_score DOUBLE, count_w BIGINT, severity STRING"
 
 
+RECENT_COLUMNS = "isbn13 STRING, detected_at TIMESTAMP"
+
+
+def still_cooling(recent: DataFrame, closed: DataFrame, minutes: int) -> DataFrame:
+    """The newest spike of every book that can still hold back one of a later batch.
+
+    Later batches only close windows that end after all ``closed`` so far, so a spike older than the cooldown before
+    the newest of them is dropped: what is kept is bounded by the books that spiked within one cooldown.
+    """
+    newest = closed.agg(F.max("window_end").alias("_end"))
+    last = recent.groupBy("isbn13").agg(F.max("detected_at").alias("detected_at"))
+    cooling = F.col("_end").isNull() | (F.col("detected_at") > F.col("_end") - F.expr(f"INTERVAL {minutes} MINUTES"))
+    return last.join(F.broadcast(newest), cooling).drop("_end")  # one row, so no row meets more than one
+
+
 def spike_batch(tables, threshold: float = 2.0, minutes: int = 30):
-    """``foreachBatch`` body: score closed windows, keep new spikes, log them.
+    """``foreachBatch`` body: score closed windows, keep new spikes, log them, hand on the cooldowns that still run.
 
-    A repeated batch replaces its own spikes, and its own spikes do not count as history.
+    A batch reads the running cooldowns of the batch before it and no older spike, and writes its own. Batch numbers have
+    no gaps, and a repeated batch reads the same cooldowns again and replaces what it wrote.
     """
 
     def body(counts: DataFrame, batch: int) -> None:
-        history = tables.get("spikes", SPIKE_COLUMNS + ", batch INT").filter(F.col("batch") != batch).select("isbn13", "detected_at")
-        found = new_spikes(window_zscores(counts, threshold), history, minutes)
+        recent = tables.get_batch("cooling", RECENT_COLUMNS, batch - 1)
+        found = new_spikes(window_zscores(counts, threshold), recent, minutes)
         tables.put(found.select(*[c.split(" ")[0] for c in SPIKE_COLUMNS.split(", ")]), "spikes", batch)
-        stored = tables.spark.read.schema(SPIKE_COLUMNS).parquet(f"{tables.path('spikes')}/batch={batch}")
+        stored = tables.get_batch("spikes", SPIKE_COLUMNS, batch)
+        tables.put(still_cooling(recent.unionByName(stored.select("isbn13", "detected_at")), counts, minutes), "cooling", batch)
+        tables.drop_batch("cooling", batch - 2)
         named = stored.withColumn("event_id", F.concat_ws("@", "isbn13", F.col("detected_at").cast("string")))
         tables.put(audit_rows(named, "spike-stream", "spike.detected", "spike_events", "event_id", ["isbn13", "z_score", "count_w", "severity"]), "spike_audit", batch)
 

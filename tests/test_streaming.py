@@ -91,6 +91,25 @@ def test_stock_is_floored_where_it_stands_when_refilled(spark):
     assert {r["batch"] for r in tables.get("stock", pos.STOCK_COLUMNS + ", batch INT").collect()} == {2}
 
 
+def test_folding_the_stock_changes_nothing(spark):
+    rng = random.Random(8)
+    batches = [sales_of(spark, [record(10 * b + i, qty=rng.randrange(1, 4)) for i in range(2)]) for b in range(5)]
+    came = spark.createDataFrame([(ISBN, 15, 2)], "isbn13 string, location_id bigint, qty bigint")
+    tables = pos.PosTables(spark, fresh_dir(spark, "fold"))
+    body = pos.ingest_batch(tables, opening(spark), fold=2)
+    on_hand, taken = 10, 0
+    for b, sales in enumerate(batches):
+        for _ in range(1 + b // 3):  # the last two batches and deliveries are repeated
+            body(sales, b)
+        for _ in range(1 + b // 3):
+            pos.restock(tables, opening(spark), came, after=b)
+        sold = sales.agg(F.sum("qty")).first()[0]
+        on_hand, taken = max(0, on_hand - sold) + 2, taken + sold
+    left = {r["location_id"]: (r["on_hand"], r["taken"]) for r in pos.stock_now(tables, opening(spark)).collect()}
+    assert left == {15: (on_hand, taken), 13: (9, None)}
+    assert {r["batch"] for r in tables.get("stock", "batch INT").distinct().collect()} == {6, 7, 8, 9}
+
+
 def test_one_day_is_written_by_several_tasks(spark):
     tables = pos.PosTables(spark, fresh_dir(spark, "salt"))
     rows = spark.range(1000).select("id", F.lit("2024-01-01").cast("date").alias("day"))
@@ -125,6 +144,31 @@ def test_cooldown_inside_a_batch(spark):
     assert sorted((r["isbn13"], r["detected_at"]) for r in out.collect()) == kept
 
 
+def test_cooldown_over_batches_reads_the_batch_before_only(spark):
+    rng, t0 = random.Random(6), dt.datetime(2024, 1, 1)
+    tables = pos.PosTables(spark, fresh_dir(spark, "cooling"))
+    body = spikes.spike_batch(tables, threshold=1.0)
+    at = [t0 + dt.timedelta(minutes=10 * i) for i in range(14)]
+    hot = {t: set(rng.sample("abc", rng.randrange(0, 3))) for t in at}
+    kept, last = [], {}
+    for t in at:
+        for k in sorted(hot[t]):
+            if k not in last or last[k] <= t - dt.timedelta(minutes=30):
+                kept.append((k, t))
+                last[k] = t
+    batches = [at[0:3], at[3:4], [], at[4:9], at[9:10], at[10:14]]
+    for b, ends in enumerate(batches):
+        rows = [(t - dt.timedelta(hours=1), t, k, 90 if k in hot[t] else 1) for t in ends for k in [*"abc", *(f"cold{i}" for i in range(9))]]
+        counts = spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, isbn13 string, count_w bigint")
+        for _ in range(1 + (b == 3)):  # one batch is repeated
+            body(counts, b)
+        cooling = tables.get_batch("cooling", spikes.RECENT_COLUMNS, b).collect()
+        assert len(cooling) <= 3 and all(r["detected_at"] > max(x for e in batches[: b + 1] for x in e) - dt.timedelta(minutes=30) for r in cooling)
+    stored = tables.get("spikes", spikes.SPIKE_COLUMNS).collect()
+    assert sorted((r["isbn13"], r["detected_at"]) for r in stored) == sorted(kept)
+    assert {r["batch"] for r in tables.get("cooling", "batch INT").collect()} <= {4, 5}
+
+
 def test_spike_stream_equals_batch(spark):
     base = fresh_dir(spark, "spike")
     t0 = dt.datetime(2024, 1, 1)
