@@ -11,7 +11,7 @@ from shelfcast.catalog.registry import query
 from shelfcast.catalog.series_queries import STORE, STORE_DAYS, WH, store_panel, train_store
 from shelfcast.catalog.util import rounded
 from shelfcast.domain import locations_static, store_location_map
-from shelfcast.operators import scoring
+from shelfcast.operators import scoring, sketches
 from shelfcast.operators.series import last_days
 from shelfcast.plans import backtest, gates, models, policy, stock, training
 from shelfcast.sources import tables
@@ -71,6 +71,37 @@ def forecast_error_metrics(spark, sf):
     return rounded(scoring.error_metrics(backtest.baseline_scores(wh_panel(spark, sf), WH, 100_000, newest=fx.newest_sale(spark, sf)), ["model"]), 5)
 
 
+def stored_errors(spark, sf):
+    """Absolute errors of the last 56 days by model and day."""
+    scored = backtest.baseline_scores(wh_panel(spark, sf, 84), WH, 56, newest=fx.newest_sale(spark, sf), keep=["feature_date"])
+    errors = scored.select("model", "feature_date", F.abs(F.col("actual") - F.col("predicted")).alias("err"))
+    return tables.through_disk(spark, errors, "errors")
+
+
+@query(
+    "error_sketch_periods",
+    " UNION ALL ".join(
+        f"SELECT '{days} days' AS period, model, count(*) AS row_count, true AS p50_in_bound, true AS p90_in_bound FROM ({STACK_WH.format(days=days)}) GROUP BY 2"
+        for days in (56, 28)
+    ),
+)
+def error_sketch_periods(spark, sf):
+    """Quantiles of two periods merged from the same stored sketches by day, and whether their exact ranks are within the bound."""
+    names, errors = {"p50": 0.5, "p90": 0.9}, stored_errors(spark, sf)
+    stored = tables.through_disk(spark, sketches.sketch_by(errors, ["model", "feature_date"], "err"), "error-sketches")
+    out = []
+    for days in (56, 28):
+        among = F.col("feature_date") > F.date_sub(fx.newest_sale(spark, sf), days)
+        merged = sketches.merged_quantiles(stored, ["model"], names, among)
+        shares = {f"{q}_{side}": c for q in names for side, c in sketches.rank_shares("err", q).items()}
+        ranks = errors.filter(among).join(F.broadcast(merged), "model").groupBy("model", "n").agg(*[c.alias(n) for n, c in shares.items()])  # a row a model
+        near = [
+            ((F.col(f"{n}_below") <= q + sketches.rank_error()) & (F.col(f"{n}_upto") >= q - sketches.rank_error())).alias(f"{n}_in_bound") for n, q in names.items()
+        ]
+        out.append(ranks.select(F.lit(f"{days} days").alias("period"), "model", F.col("n").alias("row_count"), *near))
+    return out[0].unionByName(out[1])
+
+
 SEGMENT_SQL = """
 SELECT s.seg AS demand_segment, CAST(qty_sold AS DOUBLE) AS actual, coalesce(qty_rolling_28d, 0) AS predicted
 FROM train_store t, (VALUES (true), (false)) AS a(is_all), LATERAL (SELECT CASE WHEN a.is_all THEN 'all' ELSE t.demand_segment END AS seg) s

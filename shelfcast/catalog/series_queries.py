@@ -16,7 +16,8 @@ from shelfcast.operators import features as feat
 from shelfcast.operators import rollups, series
 from shelfcast.operators.keyed import latest_per_key
 from shelfcast.plans import gates, policy, training
-from shelfcast.session import through_disk
+from shelfcast.session import fresh_dir, through_disk
+from shelfcast.sources.tables import read_current
 
 WH = ["isbn13", "wh_id"]
 STORE = ["isbn13", "store_id"]
@@ -349,6 +350,14 @@ def training_metrics(spark, sf):
     return rounded(wh_metrics(spark, sf))
 
 
+@query("training_publish", f"SELECT m.*, 'PASSED' AS validation_status, CAST(NULL AS VARCHAR) AS reject_reason, row_count AS published_rows FROM ({METRICS_SQL}) m")
+def training_publish(spark, sf):
+    base, newest = fresh_dir(spark, "training"), fx.newest_sale(spark, sf)
+    audit = gates.publish_training(train_wh(spark, sf), base, newest, newest, max_zero_ratio=1.0)
+    published = read_current(spark, base).agg(F.count(F.lit(1)).alias("published_rows"))
+    return rounded(audit).join(published)
+
+
 @query(
     "training_validation",
     f"""SELECT * EXCLUDE (r), CASE WHEN r = '' THEN 'PASSED' ELSE 'FAILED' END AS validation_status, nullif(r, '') AS reject_reason FROM (

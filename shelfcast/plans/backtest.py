@@ -31,12 +31,14 @@ def with_baselines(panel: DataFrame, keys: list[str], value: str = "qty_sold") -
     return with_lags(rolled, keys, "feature_date", value, lags=(7,), prefix="lag_")
 
 
-def baseline_scores(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold", newest: Column | None = None) -> DataFrame:
+def baseline_scores(
+    panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold", newest: Column | None = None, keep: list[str] = ()
+) -> DataFrame:
     """Moving averages and the same weekday of last week, one scored row per model."""
     base = with_baselines(recent_panel(panel, holdout_days, 28, newest), keys, value)
     held = last_days(base, "feature_date", holdout_days, newest)
     models = {"ma_7d": zero("ma_7d"), "ma_28d": zero("ma_28d"), "same_weekday": zero("lag_7")}
-    return stack_models(held, models, [], value)
+    return stack_models(held, models, list(keep), value)
 
 
 def baseline_backtest(panel: DataFrame, keys: list[str], holdout_days: int = 28, value: str = "qty_sold", newest: Column | None = None) -> DataFrame:
