@@ -40,13 +40,16 @@ def inventory_available(inventory: DataFrame, locations: DataFrame) -> DataFrame
 
 
 def online_available(inventory: DataFrame, locations: DataFrame) -> DataFrame:
-    """Stock an online store can sell: that of the warehouse of its region."""
+    """Stock an online store can sell: that of the warehouse of its region.
+
+    The pairs of places are fixed rows, so they are what is sent to the tasks, whatever size a plan gives the stock.
+    """
     online = locations.filter("location_type = 'STORE_ONLINE' AND is_virtual AND active").select(
         "wh_id", F.col("location_id").alias("online_location_id"), F.col("name").alias("online_location_name")
     )
     houses = locations.filter("location_type = 'WH'").select("wh_id", F.col("location_id").alias("wh_location_id"))
     pairs = online.join(houses, "wh_id")
-    return inventory.join(pairs, inventory["location_id"] == pairs["wh_location_id"]).select(
+    return inventory.join(F.broadcast(pairs), inventory["location_id"] == pairs["wh_location_id"]).select(
         "online_location_id", "online_location_name", "wh_id", "wh_location_id", "isbn13", available().alias("available")
     )
 

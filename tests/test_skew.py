@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.operators import rollups
+from shelfcast.domain import locations_static
+from shelfcast.operators import enrich, rollups
 from shelfcast.operators.keyed import dedupe_first
 from shelfcast.operators.quantiles import exact_quantiles
+from shelfcast.session import fresh_dir
 
 
 def skewed(spark, n=60_000):
@@ -39,3 +41,16 @@ def test_hot_group_quantile(spark):
     got = {r["isbn13"]: r["q"] for r in exact_quantiles(df, ["isbn13"], "v", {"q": 0.9}, cuts=32).collect()}
     want = {r["isbn13"]: r["q"] for r in df.groupBy("isbn13").agg(F.expr("percentile(v, 0.9)").alias("q")).collect()}
     assert len(got) == len(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_stock_is_not_sent_to_every_task(spark):
+    place = F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(1, 17)])).alias("location_id")
+    path = f"{fresh_dir(spark, 'stock')}/stock"
+    spark.range(30_000).select(F.col("id").alias("n")).write.parquet(path)  # few bytes on disk, many rows of stock
+    stock = spark.read.parquet(path).select(F.col("n").cast("string").alias("isbn13"), place).selectExpr("*", "9L AS on_hand", "2L AS reserved_qty")
+    out = enrich.online_available(stock, locations_static(spark))
+    assert out.agg(F.sum("available")).first()[0] == 30_000 * 2 * 7
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BuildRight" in plan and "BuildLeft" not in plan
