@@ -181,19 +181,18 @@ def restock(tables: PosTables, opening: DataFrame, deliveries: DataFrame, after:
 def first_arrivals(sales: DataFrame) -> DataFrame:
     """Of every transaction the first row that ever arrived; among copies of one batch the earliest, then the smallest.
 
-    The transactions seen are keyed state of the stream, so a batch costs what it holds, however long the history.
+    The transactions seen are state of a streaming aggregation, read by a query in update mode; so a batch costs what it
+    holds, however long the history, and no row passes through Python. The state keeps the first row with the time of its
+    batch, which Spark logs, so that a repeated batch has the same. A row leaves only if its transaction has been seen at
+    no other time than the present batch's; so a clock that is set back lets no transaction through twice.
     """
-    order = ["event_ts", *[c for c in sales.columns if c not in ("txn_id", "event_ts")]]
-
-    def pick(key, frames, state):
-        import pandas as pd
-
-        found = pd.concat(list(frames))
-        if not state.exists:
-            state.update((True,))
-            yield found.sort_values(order, na_position="first").head(1)
-
-    return sales.groupBy("txn_id").applyInPandasWithState(pick, sales.schema, "seen BOOLEAN", "append", "NoTimeout")
+    now = F.current_timestamp()
+    rest = [c for c in sales.columns if c not in ("txn_id", "event_ts")]
+    seen = sales.withColumn("_at", now).groupBy("txn_id").agg(
+        F.min(F.struct("_at", "event_ts", *rest)).alias("_first"), F.max("_at").alias("_last")
+    )
+    fresh = seen.filter((F.col("_first._at") == now) & (F.col("_last") == now))
+    return fresh.select(*[F.col(c) if c == "txn_id" else F.col(f"_first.{c}").alias(c) for c in sales.columns])
 
 
 def ingest_batch(tables: PosTables, opening: DataFrame, fold: int = 50):
@@ -267,7 +266,7 @@ def run_ingest(lines: DataFrame, tables: PosTables, locations: DataFrame, openin
     sales = first_arrivals(sales_rows(good, locations).select(*names_of(SALES_COLUMNS)))
     timing = {"availableNow": True} if once else {"processingTime": "5 seconds"}
     writers = [
-        sales.writeStream.foreachBatch(ingest_batch(tables, opening)).option("checkpointLocation", tables.path("_checkpoint")),
+        sales.writeStream.outputMode("update").foreachBatch(ingest_batch(tables, opening)).option("checkpointLocation", tables.path("_checkpoint")),
         bad.writeStream.foreachBatch(lambda rows, batch: tables.put(rows, "rejected", batch)).option("checkpointLocation", tables.path("_checkpoint_bad")),
     ]
     return Running([w.trigger(**timing).start() for w in writers])

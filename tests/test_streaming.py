@@ -61,6 +61,18 @@ def test_every_transaction_once_over_batches_and_restarts(spark, rows):
     assert [r[0] for r in rows(tables.get("sales", pos.SALES_COLUMNS), "txn_id")] == ["t1", "t2", "t3", "t5"]
 
 
+def test_first_arrivals_take_no_python_and_the_earliest_copy(spark):
+    base = fresh_dir(spark, "first")
+    land(spark, base, "a", [record(1, ts="2024-01-01 05:00:00"), record(1, ts="2024-01-01 04:00:00", qty=3), record(1, ts="2024-01-01 04:00:00")])
+    land(spark, base, "b", [record(1, ts="2024-01-01 01:00:00"), record(1, ts="2024-01-01 09:00:00"), record(2)])
+    lines = pos.read_stream(spark, f"{base}/in", LINES, "text", files=1)
+    made = pos.first_arrivals(pos.sales_rows(pos.parse_records(lines)[0], locations_static(spark)))
+    assert "Pandas" not in made._jdf.queryExecution().analyzed().toString()
+    got = {r["txn_id"]: (str(r["event_ts"]), r["qty"]) for r in run(spark, base).get("sales", pos.SALES_COLUMNS).collect()}
+    assert got["t1"] == ("2024-01-01 04:00:00", 2) or got["t1"] == ("2024-01-01 01:00:00", 2)  # by the file that came first
+    assert sorted(got) == ["t1", "t2"]
+
+
 def test_repeated_batch_replaces_itself(spark):
     tables = pos.PosTables(spark, fresh_dir(spark, "repeat"))
     body = pos.ingest_batch(tables, opening(spark))
