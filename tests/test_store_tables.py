@@ -69,3 +69,42 @@ def test_history_of_sparse_rows_equals_windows_over_dense_ones(spark):
     read = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
     assert read(got) == read(want)
     assert got.count() == 6 * 60
+
+
+def test_panel_windows_equal_windows_over_dense_rows(spark):
+    import random
+    from datetime import date, timedelta
+
+    from pyspark.sql import functions as F
+
+    from shelfcast.operators import series
+
+    rng, lo = random.Random(9), date(2024, 2, 20)
+    days = [lo + timedelta(n) for n in range(90)]
+    rows = [(k, lo, 0) for k in range(6)]
+    rows += [(k, d, rng.choice([0, 1, 5, -2])) for k in range(5) for d in days[1:] if rng.random() < 0.2 * k]
+    facts = spark.createDataFrame(rows, "k int, d date, q long")
+    ends = [F.lit(days[0]), F.lit(days[-1])]
+    dense = series.densify(facts, ["k"], "d", ["q"], *ends)
+    want = series.with_rolling_means(series.with_lags(dense, ["k"], "d", "q"), ["k"], "d", "q")
+    want = series.with_intermittent_stats(want, ["k"], "d", "q")
+    got = series.densify_with_windows(facts, ["k"], "d", ["q"], *ends, "q", lags=(1, 7), spans=(7, 28), lookback=56).select(*want.columns)
+    read = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert got.dtypes == want.dtypes
+    assert read(got) == read(want)
+
+
+@pytest.mark.parametrize("name", ["lag_features", "rolling_mean", "intermittent_stats", "forecast_error_metrics"])
+def test_panel_windows_do_not_sort_dense_rows(spark, name):
+    nodes = above_the_days(entry.queries()[name](spark, SF))
+    first_sum = max(i for i, n in enumerate(nodes) if "HashAggregate" in n)
+    assert not [n for n in nodes[first_sum + 1 :] if n.startswith(("Sort ", "Window"))]
+
+
+def test_intermittent_backtest_brings_its_windows(spark):
+    from shelfcast.catalog.series_queries import store_panel
+    from shelfcast.plans import backtest
+
+    panel = store_panel(spark, SF, 84, backtest.INTERMITTENT)
+    nodes = above_the_days(backtest.intermittent_inputs(panel, ["isbn13", "store_id"], 14, 56))
+    assert not [n for n in nodes if n.startswith(("Sort ", "Window"))]
