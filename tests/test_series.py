@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import calendar as cal
 from shelfcast.operators import series
-from shelfcast.operators.features import last_stockout, trailing_mentions
+from shelfcast.operators.features import build_daily_features, build_features, last_stockout, trailing_mentions
 
 D0 = dt.date(2024, 1, 1)
 
@@ -83,3 +83,30 @@ def test_trailing_mentions_move_each_row_once(spark):
     plan = trailing_mentions(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1, plan
     assert plan.index("Generate") < plan.index("Exchange "), plan
+
+
+def test_daily_features_are_steps_of_the_sparse_rows(spark):
+    """The same as windows over every book and day, with days outside, a book listed twice, one unknown and a null key."""
+    books = spark.createDataFrame(
+        [("a", day(3), True), ("a", day(9), False), ("b", None, None), (None, day(1), True), ("c", day(2), False)],
+        "isbn13 string, pub_date date, is_bestseller_flag boolean",
+    )
+    said = spark.createDataFrame(
+        [("a", day(2), 5), ("a", day(4), 7), ("a", day(14), 3), ("b", day(9), None), ("b", day(9), 2), (None, day(6), 4), ("x", day(6), 4), ("a", day(40), 9)],
+        "isbn13 string, mention_date date, mentions bigint",
+    )
+    stock = spark.createDataFrame(
+        [("a", day(1), 1, 0, 0), ("a", day(8), 1, 0, 3), ("a", day(8), 2, 9, 3), ("b", day(7), 1, 4, None), ("b", day(19), 1, 0, 0), (None, day(9), 1, 0, 1),
+         ("b", None, 1, 0, 1), ("x", day(8), 1, 0, 0), ("c", day(30), 1, 0, 0)],
+        "isbn13 string, snapshot_date date, location_id bigint, on_hand bigint, reserved_qty bigint",
+    )
+    calendar = spark.createDataFrame(
+        [(day(i), i == 8, None, "winter", i % 7 + 1, False, 1, 0) for i in range(4, 23)],
+        "day date, is_holiday boolean, holiday_name string, season string, day_of_week bigint, is_weekend boolean, month bigint, event_nearby_days bigint",
+    )
+    lo, hi = F.lit(day(5)), F.lit(day(20))
+    spine = books.select("isbn13", F.explode(F.sequence(lo, hi)).alias("feature_date"))
+    want = build_features(spine, calendar, books, said, stock)
+    got = build_daily_features(books, lo, hi, calendar, said, stock)
+    assert got.schema.names == want.schema.names and got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -108,3 +108,10 @@ def test_intermittent_backtest_brings_its_windows(spark):
     panel = store_panel(spark, SF, 84, backtest.INTERMITTENT)
     nodes = above_the_days(backtest.intermittent_inputs(panel, ["isbn13", "store_id"], 14, 56))
     assert not [n for n in nodes if n.startswith(("Sort ", "Window"))]
+
+
+def test_days_of_books_are_neither_moved_nor_sorted(spark):
+    nodes = above_the_days(entry.queries()["features_build"](spark, SF))
+    first_sum = max(i for i, n in enumerate(nodes) if "HashAggregate" in n)
+    dense = nodes[first_sum + 1 :]
+    assert dense and not [n for n in dense if n.startswith(("Exchange", "Sort ", "Window"))]
