@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from shelfcast.domain import inline_table
 from shelfcast.functions.columns import int_div
 
+#: Tasks that rows are dealt to, at least, where grouping reduces little.
+DEALT_PARTS = 200
+
 
 def daily_sales(lines: DataFrame) -> DataFrame:
     """Totals per day, book, store and channel."""
@@ -60,8 +63,14 @@ def with_company_total(lines: DataFrame) -> DataFrame:
 
 
 def branch_inventory(inventory: DataFrame, locations: DataFrame) -> DataFrame:
-    """Books and units per location; locations without stock stay in the result."""
-    per_book = inventory.groupBy("location_id", "isbn13").agg(F.sum("on_hand").alias("q"))
+    """Books and units per location; locations without stock stay in the result.
+
+    A book and location has few rows, so grouping before the shuffle would hold most of a task's rows and reduce nothing.
+    The rows are dealt first, to a given number of tasks: partitions small in bytes but with many groups are not merged.
+    """
+    parts = max(DEALT_PARTS, int(inventory.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = inventory.select("location_id", "isbn13", "on_hand").repartition(parts, "location_id", "isbn13")
+    per_book = dealt.groupBy("location_id", "isbn13").agg(F.sum("on_hand").alias("q"))
     stock = per_book.groupBy("location_id").agg(F.count("isbn13").alias("distinct_books"), F.sum("q").alias("total_qty"))
     return locations.join(stock, "location_id", "left").select(
         "location_id", F.col("name").alias("location_name"), "region", "location_type",

@@ -54,3 +54,12 @@ def test_stock_is_not_sent_to_every_task(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
+def test_stock_summary_deals_rows_before_it_groups(spark):
+    stock = [(1, "a", 3), (1, "a", 4), (1, None, 5), (1, "b", None), (2, "a", 1)]
+    summary = rollups.branch_inventory(spark.createDataFrame(stock, "location_id bigint, isbn13 string, on_hand bigint"), locations_static(spark))
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    got = {r["location_id"]: (r["distinct_books"], r["total_qty"]) for r in summary.collect()}
+    assert len(got) == locations_static(spark).count() and got[1] == (2, 12) and got[2] == (1, 1) and got[3] == (0, None)
+    assert f", {rollups.DEALT_PARTS}), REPARTITION_BY_NUM" in plan and "Aggregate" not in plan.split("REPARTITION_BY_NUM")[1]
