@@ -65,6 +65,16 @@ def test_upsert_keeps_null_values_of_the_new_row(spark, rows):
     assert rows(tables.upsert(old, new, ["k"])) == [(1, None)]
 
 
+def test_upsert_resolves_copies_of_both_sides_in_one_shuffle(spark, rows):
+    old = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (2, "c", 5), (None, "n", 1)], "k int, v string, t int")
+    new = spark.createDataFrame([(2, 9, "x"), (2, 7, "z"), (None, 2, None), (4, 1, "y")], "k int, t int, v string")
+    assert rows(tables.upsert(old, new, ["k"])) == [(1, "b", 0), (2, "z", 7), (4, "y", 1), (None, None, 2)]
+    assert rows(tables.upsert(old, new, ["k"], ["t"])) == [(1, "b", 0), (2, "x", 9), (4, "y", 1), (None, None, 2)]
+    assert rows(tables.upsert(old.select("k"), new.select("k"), ["k"])) == [(1,), (2,), (4,), (None,)]
+    plan = tables.upsert(old, new, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "partial_max(" in plan
+
+
 def test_plans_reduce_before_the_shuffle(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     plan = dedupe_first(df, ["k"])._jdf.queryExecution().executedPlan().toString()
