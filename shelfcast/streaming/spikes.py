@@ -86,6 +86,9 @@ SPIKE_COLUMNS = "isbn13 STRING, detected_at TIMESTAMP, z_score DOUBLE, count_w B
 RECENT_COLUMNS = "isbn13 STRING, detected_at TIMESTAMP"
 
 
+CLOSED_COLUMNS = "window_start TIMESTAMP, window_end TIMESTAMP, isbn13 STRING, count_w BIGINT"
+
+
 def still_cooling(recent: DataFrame, closed: DataFrame, minutes: int) -> DataFrame:
     """The newest spike of every book that can still hold back one of a later batch.
 
@@ -102,16 +105,21 @@ def spike_batch(tables, threshold: float = 2.0, minutes: int = 30):
     """``foreachBatch`` body: score closed windows, keep new spikes, log them, hand on the cooldowns that still run.
 
     A batch reads the running cooldowns of the batch before it and no older spike, and writes its own. Batch numbers have
-    no gaps, and a repeated batch reads the same cooldowns again and replaces what it wrote.
+    no gaps, and a repeated batch reads the same cooldowns again and replaces what it wrote. The closed windows are written
+    first and read back, since each further use of a stream's batch would run through its whole state once more.
     """
 
-    def body(counts: DataFrame, batch: int) -> None:
+    def body(batch_counts: DataFrame, batch: int) -> None:
+        columns = [c.split(" ") for c in CLOSED_COLUMNS.split(", ")]
+        tables.put(batch_counts.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns]), "closed", batch)
+        counts = tables.get_batch("closed", CLOSED_COLUMNS, batch)
         recent = tables.get_batch("cooling", RECENT_COLUMNS, batch - 1)
         found = new_spikes(window_zscores(counts, threshold), recent, minutes)
         tables.put(found.select(*[c.split(" ")[0] for c in SPIKE_COLUMNS.split(", ")]), "spikes", batch)
         stored = tables.get_batch("spikes", SPIKE_COLUMNS, batch)
         tables.put(still_cooling(recent.unionByName(stored.select("isbn13", "detected_at")), counts, minutes), "cooling", batch)
         tables.drop_batch("cooling", batch - 2)
+        tables.drop_batch("closed", batch)
         named = stored.withColumn("event_id", F.concat_ws("@", "isbn13", F.col("detected_at").cast("string")))
         tables.put(audit_rows(named, "spike-stream", "spike.detected", "spike_events", "event_id", ["isbn13", "z_score", "count_w", "severity"]), "spike_audit", batch)
 
@@ -119,7 +127,11 @@ def spike_batch(tables, threshold: float = 2.0, minutes: int = 30):
 
 
 def run_spikes(sales: DataFrame, tables, threshold: float = 2.0, once: bool = True, **windows):
-    """Sliding sales counts per book, scored when a window closes."""
+    """Sliding sales counts per book, scored when a window closes.
+
+    The counts of open windows are kept in a RocksDB state store: a sale is in as many windows as slides fit into one.
+    """
+    tables.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     writer = sales_windows(sales, **windows).writeStream.outputMode("append").foreachBatch(spike_batch(tables, threshold))
     writer = writer.option("checkpointLocation", tables.path("_spike_checkpoint"))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 minutes")

@@ -208,3 +208,29 @@ def test_archive_splits_bad_lines(spark):
     good = spark.read.text(f"{base}/out/data")
     assert good.select("year", "month", "day").first()[:] == (2024, 1, 1) and good.count() == 1
     assert [r["value"] for r in spark.read.text(f"{base}/out/errors").collect()] == ["junk"]
+
+
+def test_spike_batch_runs_through_the_closed_windows_once(spark):
+    tables = pos.PosTables(spark, fresh_dir(spark, "once"))
+    t0, seen = dt.datetime(2024, 1, 1), spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(t0, t0 + dt.timedelta(hours=1), f"b{i}", 90 if i == 0 else 1) for i in range(10)]
+    counts = spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, isbn13 string, count_w bigint")
+    spikes.spike_batch(tables)(counts.mapInArrow(passed, counts.schema), 0)
+    assert [r["isbn13"] for r in tables.get("spikes", spikes.SPIKE_COLUMNS).collect()] == ["b0"]
+    assert seen.value == len(rows) and tables.get_batch("closed", spikes.CLOSED_COLUMNS, 0).isEmpty()
+
+
+def test_spike_stream_keeps_its_state_in_rocksdb(spark):
+    base, name = fresh_dir(spark, "spike-state"), "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.unset(name)
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "isbn13 string, event_ts timestamp").write.parquet(f"{base}/in")
+    stream = pos.read_stream(spark, f"{base}/in", T.StructType.fromDDL("isbn13 STRING, event_ts TIMESTAMP"), "parquet")
+    query = spikes.run_spikes(stream, pos.PosTables(spark, f"{base}/tables"))
+    query.awaitTermination()
+    assert any("rocksdbPutCount" in s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"])
