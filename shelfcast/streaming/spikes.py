@@ -31,15 +31,24 @@ def poisson_score(windows: DataFrame, default_baseline: float = 5.0, threshold:
 def window_zscores(counts: DataFrame, threshold: float = 2.0, salts: int = 16) -> DataFrame:
     """Books that stand out from all books of the same window.
 
-    Mean and spread are aggregated per window, reduced on the map side. They are
-    joined back over a salt, so the books of one window meet them in ``salts`` tasks.
+    Mean and spread are aggregated per window, reduced on the map side, from sums of whole numbers, so that the order of the
+    rows does not show in scores at a threshold. They are joined back over a salt, so the books of one window meet them in
+    ``salts`` tasks.
     """
     keys = ["window_start", "window_end"]
-    stats = counts.groupBy(*keys).agg(F.avg("count_w").alias("mean_w"), F.stddev_pop("count_w").alias("std_w")).filter("std_w > 0")
+    n, total, squares = (F.col(c).cast("decimal(38,0)") for c in ("_n", "_sum", "_squares"))
+    sums = counts.groupBy(*keys).agg(
+        F.count("count_w").alias("_n"), F.sum("count_w").alias("_sum"), F.sum(F.col("count_w") * F.col("count_w")).alias("_squares")
+    )
+    root = F.sqrt((n * squares - total * total).cast("double"))  # n times the spread
+    stats = sums.withColumn("_root", root).filter("_root > 0").withColumns(
+        {"mean_w": F.col("_sum").cast("double") / F.col("_n"), "std_w": F.col("_root") / F.col("_n")}
+    ).drop("_squares")
     spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = counts.withColumn("_salt", F.pmod(F.xxhash64("isbn13"), F.lit(salts)).cast("int"))
-    z = F.try_divide(F.col("count_w") - F.col("mean_w"), F.col("std_w"))
-    return salted.join(spread, [*keys, "_salt"]).drop("_salt").withColumn("z_score", z).filter(F.col("z_score") >= threshold)
+    z = (F.col("count_w") * F.col("_n") - F.col("_sum")).cast("double") / F.col("_root")
+    scored = salted.join(spread, [*keys, "_salt"]).withColumn("z_score", z).filter(F.col("z_score") >= threshold)
+    return scored.drop("_salt", "_n", "_sum", "_root")
 
 
 def severity(z: str = "z_score"):

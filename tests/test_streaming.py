@@ -234,3 +234,17 @@ def test_spike_stream_keeps_its_state_in_rocksdb(spark):
     query = spikes.run_spikes(stream, pos.PosTables(spark, f"{base}/tables"))
     query.awaitTermination()
     assert any("rocksdbPutCount" in s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def test_window_scores_do_not_depend_on_the_order_of_rows(spark):
+    rng, t0 = random.Random(8), dt.datetime(2024, 1, 1)
+    rows = [(t0, t0 + dt.timedelta(hours=1), f"b{i}", 90 if i < 7 else i % 5) for i in range(300)]
+    seen = set()
+    for parts in (1, 3, 7, 8):
+        rng.shuffle(rows)
+        counts = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "window_start timestamp, window_end timestamp, isbn13 string, count_w bigint")
+        seen |= {(r["mean_w"], r["std_w"], r["z_score"]) for r in spikes.window_zscores(counts).filter("count_w = 90").collect()}
+    assert len(seen) == 1
+    at_three = [(t0, t0 + dt.timedelta(hours=1), f"b{i}", 2 if i == 0 else 1) for i in range(10)]  # mean 1.1, spread 0.3
+    counts = spark.createDataFrame(at_three, "window_start timestamp, window_end timestamp, isbn13 string, count_w bigint")
+    assert [r["z_score"] for r in spikes.window_zscores(counts, threshold=3.0).collect()] == [3.0]
