@@ -4,7 +4,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.domain import locations_static, store_location_map
+from shelfcast.catalog import plan_queries
+from shelfcast.domain import CATEGORICAL_FEATURES, NUMERIC_FEATURES, locations_static, store_location_map
 from shelfcast.operators import enrich, rollups, scoring
 from shelfcast.plans import backtest, gates, models, policy, stock, training
 
@@ -212,3 +213,31 @@ def test_covariates_move_each_book_once(spark):
     assert got[1] == (0, 0, 0, None) and got[2] == (10, 10, 4, 0) and got[4] == (5, 15, 0, 2) and got[8] == (0, 15, 0, 6) and got[9] == (0, 5, 0, 7) and got[11] == (0, 0, 0, 9)
     plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Window [") == 1
+
+
+def test_metrics_of_a_fitted_model_read_stored_scores(spark, monkeypatch):
+    """The model ran once for each branch of the metrics, and rows of all groups met in one task by a join with the cut points."""
+    names = [c for c in CATEGORICAL_FEATURES if c != "demand_segment"]
+    split = spark.range(80).select(
+        *[((F.col("id") * (i + 3)) % 7).cast("double").alias(c) for i, c in enumerate(NUMERIC_FEATURES)],
+        *[F.concat(F.lit("v"), F.col("id") % 2).alias(c) for c in names],
+        F.when(F.col("id") % 3 == 0, "high").otherwise("medium").alias("demand_segment"),
+        F.when(F.col("id") < 60, "train").otherwise("holdout").alias("split_name"), (F.col("id") % 5).alias("qty_sold"),
+    )
+    monkeypatch.setattr(plan_queries, "train_store", lambda *_: None)
+    monkeypatch.setattr(plan_queries.fx, "newest_sale", lambda *_: None)
+    monkeypatch.setattr(plan_queries.training, "holdout_split", lambda *_, **__: split)
+    got = plan_queries.fitted_demand(spark, "", "poisson", "poisson")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan
+    assert "_salt" not in plan
+    rows = split.filter("split_name = 'holdout'").select("demand_segment", "qty_sold", "qty_rolling_28d").collect()
+    found = {(r["model"], r["demand_segment"]): r for r in got.collect()}
+    assert sorted(found) == sorted((m, d) for m in ("ma28", "poisson") for d in ("all", "high", "medium"))
+    for d in ("all", "high", "medium"):
+        errors = [abs(r["qty_sold"] - r["qty_rolling_28d"]) for r in rows if d in ("all", r["demand_segment"])]
+        one = found["ma28", d]
+        assert (one["row_count"], found["poisson", d]["row_count"]) == (len(errors),) * 2
+        assert one["mae"] == pytest.approx(sum(errors) / len(errors), abs=1e-4)
+        low, high = (sorted(errors)[f((len(errors) - 1) / 2)] for f in (math.floor, math.ceil))
+        assert one["p50_abs_error"] == pytest.approx((low + high) / 2, abs=1e-4)
