@@ -241,3 +241,26 @@ def test_metrics_of_a_fitted_model_read_stored_scores(spark, monkeypatch):
         assert one["mae"] == pytest.approx(sum(errors) / len(errors), abs=1e-4)
         low, high = (sorted(errors)[f((len(errors) - 1) / 2)] for f in (math.floor, math.ceil))
         assert one["p50_abs_error"] == pytest.approx((low + high) / 2, abs=1e-4)
+
+
+def test_rows_for_trees_are_dealt_by_their_number(spark, rows):
+    """Files are cut by bytes, so a large split of few distinct values came to the trees in a few huge tasks."""
+    few = spark.range(0, 1000, 1, 2)
+    dealt = models.dealt_by_rows(few, 100)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10
+    assert max(r["count"] for r in sizes) <= 110
+    assert rows(dealt) == rows(few)
+    assert models.dealt_by_rows(few, 500) is few
+
+
+def test_trees_are_fitted_on_dealt_rows(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(models, "TREE_ROWS", 10, raising=False)
+    monkeypatch.setattr(models, "demand_pipeline", lambda *_: type("Fit", (), {"fit": lambda _, rows: fitted.append(rows)})())
+    split = spark.range(0, 50, 1, 2).select(
+        *[F.col("id").alias(c) for c in [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]], F.lit("train").alias("split_name"), F.col("id").alias("qty_sold")
+    )
+    models.train_demand_model(split)
+    assert fitted[0].rdd.getNumPartitions() == 5
+    assert sorted(r["label"] for r in fitted[0].collect()) == [float(i) for i in range(50)]
