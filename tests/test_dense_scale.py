@@ -42,3 +42,33 @@ def test_places_are_counted_with_the_series(spark):
     assert got.pop("store_count") == table.groupBy("store_id").count().count() == 3
     assert got == gates.training_metrics(table, ["isbn13", "store_id"], ["month"]).first().asDict()
     assert gates.training_metrics(table.limit(0), ["isbn13", "store_id"], ["month"], place="store_id").first()["series_count"] == 0
+
+
+def test_counted_scores_have_the_metrics_of_all_rows(spark):
+    rng, lo = random.Random(3), date(2024, 1, 1)
+    rows = [(k, lo + timedelta(d), rng.choice([0, 0, 0, 2, 5])) for k in "abcd" for d in range(70)]
+    panel = spark.createDataFrame(rows, "isbn13 string, feature_date date, qty_sold bigint").withColumn("wh_id", F.lit(1))
+    every = backtest.baseline_scores(panel, ["isbn13", "wh_id"])
+    counted = backtest.baseline_scores(panel, ["isbn13", "wh_id"], counted=True)
+    assert counted.count() < every.count() == counted.agg(F.sum("_n")).first()[0]
+    close = lambda df: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in read(df)]
+    assert close(scoring.error_metrics(counted, ["model"], weight="_n")) == close(scoring.error_metrics(every, ["model"]))
+
+
+def test_rows_without_a_prediction_count_but_have_no_quantile(spark):
+    scored = spark.createDataFrame([("m", 1.0, 2.0), ("m", 1.0, 2.0), ("m", 3.0, None)], "model string, actual double, predicted double")
+    row = scoring.error_metrics(scored, ["model"]).first()
+    assert (row["row_count"], row["actual_sum"], row["p50_abs_error"]) == (3, 5.0, 1.0)
+
+
+def test_equal_rows_of_the_ensemble_are_counted_first(spark):
+    rng = random.Random(5)
+    rows = [(float(rng.choice([0, 0, 2])), rng.choice(["high", "low", None]), rng.choice([0.0, 0.5]), rng.choice([0.0, 1.5]), 0.25) for _ in range(200)]
+    table = spark.createDataFrame(rows, "actual double, demand_segment string, m1 double, m2 double, m3 double")
+    weights = backtest.ensemble_weights(table, ["m1", "m2", "m3"])
+    assert "keys=[actual" in plan(weights)
+    total = sum(r[0] for r in rows)
+    for w in weights.collect():
+        diffs = [r[0] - (r[2] * w["w1"] + r[3] * w["w2"] + r[4] * w["w3"]) for r in rows]
+        assert w["wape"] == pytest.approx(sum(abs(d) for d in diffs) / total)
+        assert w["fill_rate_proxy"] == pytest.approx(1 - sum(max(d, 0) for d in diffs) / total)
