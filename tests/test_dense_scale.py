@@ -27,6 +27,13 @@ def read(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+@pytest.mark.parametrize("make", [store_panel, wh_panel])
+def test_sparse_partitions_are_not_merged_before_they_grow(spark, make):
+    lines = plan(make(spark, SF)).splitlines()
+    at = next(i for i, x in enumerate(lines) if "Generate explode(sequence(" in x)
+    assert "REPARTITION_BY_NUM" in next(x for x in lines[at:] if "Exchange" in x)
+
+
 def test_pretrain_gate_does_not_store_the_whole_table(spark, monkeypatch):
     stored, real = [], tables.through_disk
     monkeypatch.setattr(tables, "through_disk", lambda s, df, label: stored.append(label) or real(s, df, label))
