@@ -79,3 +79,58 @@ def test_equal_rows_of_the_ensemble_are_counted_first(spark):
         diffs = [r[0] - (r[2] * w["w1"] + r[3] * w["w2"] + r[4] * w["w3"]) for r in rows]
         assert w["wape"] == pytest.approx(sum(abs(d) for d in diffs) / total)
         assert w["fill_rate_proxy"] == pytest.approx(1 - sum(max(d, 0) for d in diffs) / total)
+
+
+def test_digest_of_counted_rows_equals_the_plain_one(spark):
+    rng, lo = random.Random(8), date(2024, 1, 1)
+    rows = [(k, lo + timedelta(d), rng.choice([0, 0, 7, None]), d % 7, rng.choice([0.5, None]), rng.choice(["x", None])) for k in ("a", "b", None) for d in range(90)]
+    rows.append(("c", None, 3, None, None, None))
+    table = spark.createDataFrame(rows, "k string, d date, q bigint, dow bigint, m double, t string")
+    columns = dict(keys=["k"], day="d", ints=["q", "dow"], floats=["m"], texts=["t"])
+    plain = digest(table, **columns)
+    for daily in (["dow"], []):
+        counted = digest(table, **columns, daily=daily)
+        assert counted.dtypes == plain.dtypes
+        assert read(counted) == read(plain)
+
+
+def test_held_columns_are_found_once_a_stretch(spark):
+    lo, hi = date(2024, 2, 25), date(2024, 3, 9)
+    facts = spark.createDataFrame([("a", date(2024, 2, 28), 3, 5), ("a", hi, 1, None), ("b", lo, 0, 2)], "k string, d date, q bigint, c bigint")
+    hold = lambda rows: rows.withColumn("e", F.coalesce("c", F.lit(-1)) * 2)
+    ends = F.lit(lo), F.lit(hi)
+    for dense in (
+        series.densify(facts, ["k"], "d", ["q"], *ends, sparse=["c"], hold=hold),
+        series.densify_with_history(facts, ["k"], "d", ["q"], *ends, "q", sparse=["c"], hold=hold).select("k", "d", "q", "c", "e"),
+    ):
+        rows = {r[:2]: r[2:] for r in read(dense)}
+        assert len(rows) == 2 * 14
+        assert rows["a", date(2024, 2, 28)] == (3, 5, 10)
+        assert rows["a", hi] == (1, None, -2)
+        assert rows["b", lo] == (0, 2, 4)
+        assert rows["a", date(2024, 2, 29)] == rows["a", lo] == rows["b", hi] == (0, None, -2)
+
+
+def test_store_table_joins_nothing_to_dense_rows(spark):
+    lines = plan(entry.queries()["training_dataset_store"](spark, SF)).splitlines()
+    at = next(i for i, x in enumerate(lines) if "Generate explode(sequence(" in x)
+    assert not [x for x in lines[:at] if "Join" in x]
+
+
+def test_covariates_leave_out_what_is_not_asked_for(spark):
+    shown = plan(gates.training_metrics(plan_queries.train_store(spark, SF), ["isbn13", "store_id"]))
+    assert "_daily_month" in shown and "_daily_sns_mentions_7d" not in shown
+
+
+def test_day_numbers_give_the_weekdays(spark):
+    from shelfcast.functions.columns import weekday, weekday_of_date
+
+    days = spark.sql("SELECT explode(sequence(DATE '1969-12-20', DATE '1970-01-20')) AS d").union(spark.sql("SELECT CAST(NULL AS DATE) AS d"))
+    assert not days.filter(~weekday_of_date("d").eqNullSafe(weekday("d"))).collect()
+
+
+def test_warehouse_table_asks_for_prelaunch_books_first(spark):
+    from shelfcast.catalog.series_queries import train_wh
+
+    assert plan(train_wh(spark, SF)).count("Generate explode(sequence(") == 1
+    assert fx.features(spark, SF).filter("book_age_days < 0").isEmpty()
